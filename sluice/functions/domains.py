@@ -23,7 +23,7 @@ REGION = ("NE", "SE", "SW", "NW", "MW", "CW")
 SKILL_LEVEL = ("JUNIOR", "MID", "SENIOR")
 CERT_STATUS = ("ACTIVE", "EXPIRED")
 WAREHOUSE = ("WH-0", "WH-1", "WH-2", "WH-3", "WH-4", "WH-5", "WH-6", "WH-7")
-MANAGER = ("MGR-001", "MGR-002", "MGR-003", "MGR-004", "MGR-005", "MGR-006")
+MANAGER = ("MGR-1", "MGR-2", "MGR-3", "MGR-4", "MGR-5")
 PERSONAL_MAIL = ("gmail.com", "yahoo.com")
 
 # standard value -> accepted spellings
@@ -70,6 +70,13 @@ SEVERITY_WEIGHT = {"CRITICAL": 30, "HIGH": 20, "MEDIUM": 10, "LOW": 5}
 DEFAULT_WEIGHT = 5
 GRADES = (("A", 90), ("B", 75), ("C", 60), ("D", 50))
 
+MOJIBAKE_PATTERN = "Ã|Â"
+INVISIBLE_PATTERN = "[\u200b-\u200d\ufeff]"
+CURRENCY_PATTERN = r"^(\$|USD)([0-9.]+)$"
+RANGE_PATTERN = r"^[0-9.]+-[0-9.]+$"
+SCIENTIFIC_PATTERN = r"^[0-9.]+[eE][0-9]+$"
+DIGITS_PATTERN = "^[0-9]+$"
+PLACEHOLDER_MAIL = "test@test.com"
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 CENT = 0.01
 MAX_HOURS = 24

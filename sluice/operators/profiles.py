@@ -101,13 +101,6 @@ TASK = Profile(
     {"tasks": Measure("assignments")},
 )
 
-INVOICE_NUMBER = Profile(
-    "invoice_number",
-    ("invoice_number", "invoice_id"),
-    {"invoices": _plain("invoice_number", "invoice_id")},
-    {"bills": Measure("invoices")},
-)
-
 TECHNICIAN_NAME = Profile(
     "technician_name",
     ("name_key",),
@@ -115,13 +108,6 @@ TECHNICIAN_NAME = Profile(
     {"technicians": Measure("technicians")},
 )
 
-CUSTOMER_BATCH = Profile(
-    "customer_batch",
-    ("customer_id",),
-    {"customers_all": _plain("customer_id")},
-    {"customers": Measure("customers_all")},
-)
-
 PART_LINE = Profile(
     "part_line",
     ("work_order_id", "part_number", "recorded_date"),

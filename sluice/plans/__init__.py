@@ -1,0 +1 @@
+"""Whole steps: staging, curation, monitoring and the full run."""
