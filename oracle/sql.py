@@ -14,7 +14,6 @@ from .extended_sql import X_KEYS, X_ROWS
 from .rules_sql import (
     ALL_KEYS,
     AS_OF,
-    DONE,
     KEYS,
     ROWS,
     D,

@@ -1,4 +1,8 @@
-"""Helpers that read text-typed columns without ever raising.
+"""Expression text that reads dirty columns without ever raising.
+
+Expressions are SQL text, for ``selectExpr``, ``filter`` and ``expr``: a rule
+can then be stored and shown as it is evaluated, and a projection of dozens of
+columns reaches the optimizer in one call.
 
 ANSI mode turns a failed ``cast`` into an error; dirty text must become null
 instead, so every parse here is a ``try_cast``.  Timestamps are read as wall
@@ -10,91 +14,105 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+TODAY = ":as_of"
 
 
-def col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def at(text: str, as_of: dt.date) -> str:
+    """Fix the clock of an expression."""
+    return text.replace(TODAY, day_literal(as_of))
 
 
-def upper_trim(c: str | Column) -> Column:
-    return F.upper(F.trim(col(c)))
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def upper_snake(c: str | Column) -> Column:
-    """Blanks become underscores before the trim, so outer blanks survive as ``_``."""
-    return F.upper(F.trim(F.translate(col(c), " ", "_")))
+def listed(values: Iterable[str]) -> str:
+    return ", ".join(quoted(v) for v in values)
+
+
+def instant_literal(value: dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ'{value.isoformat(sep=' ')}'"
 
 
-def lower_trim(c: str | Column) -> Column:
-    return F.lower(F.trim(col(c)))
+def day_literal(value: dt.date) -> str:
+    return f"DATE'{value.isoformat()}'"
 
 
-def is_blank(c: str | Column) -> Column:
-    return col(c).isNull() | (F.trim(col(c)) == "")
+def upper_trim(c: str) -> str:
+    return f"upper(trim({c}))"
+
+
+def upper_snake(c: str) -> str:
+    """Blanks become underscores before the trim, so outer blanks survive as ``_``."""
+    return f"upper(trim(translate({c}, ' ', '_')))"
 
 
-def number(c: str | Column, money: str = "double") -> Column:
-    return col(c).try_cast(money)
+def lower_trim(c: str) -> str:
+    return f"lower(trim({c}))"
 
 
-def day(c: str | Column) -> Column:
-    return col(c).try_cast("date")
+def is_blank(c: str) -> str:
+    return f"({c} IS NULL OR trim({c}) = '')"
 
 
-def instant(c: str | Column) -> Column:
-    return col(c).try_cast("timestamp_ntz")
+def number(c: str, money: str = "double") -> str:
+    return f"try_cast({c} AS {money})"
 
 
-def instant_literal(value: dt.datetime) -> Column:
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+def day(c: str) -> str:
+    return f"try_cast({c} AS date)"
 
 
-def day_literal(value: dt.date) -> Column:
-    return F.lit(value.isoformat()).cast("date")
+def instant(c: str) -> str:
+    return f"try_cast({c} AS timestamp_ntz)"
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+def hours_between(start: str, end: str) -> str:
+    return f"timestampdiff(SECOND, {start}, {end}) / 3600"
 
 
-def minutes_crossed(start: Column, end: Column) -> Column:
+def minutes_crossed(start: str, end: str) -> str:
     """Minute boundaries between two instants, as ``DATEDIFF(MINUTE, ...)`` counts them."""
-    floor = lambda t: F.date_trunc("MINUTE", t)
-    return F.timestamp_diff("MINUTE", floor(start), floor(end))
+    return f"timestampdiff(MINUTE, date_trunc('MINUTE', {start}), date_trunc('MINUTE', {end}))"
 
 
-def true_only(flag: Column) -> Column:
+def one_of(value: str, domain: Iterable[str]) -> str:
+    return f"{value} IN ({listed(domain)})"
+
+
+def outside(value: str, domain: Iterable[str]) -> str:
+    """Not in the domain; unknown for null."""
+    return f"{value} NOT IN ({listed(domain)})"
+
+
+def true_only(flag: str) -> str:
     """Unknown counts as false."""
-    return F.coalesce(flag, F.lit(False))
+    return f"coalesce({flag}, false)"
 
 
-def any_true(*flags: Column) -> Column:
-    out = true_only(flags[0])
-    for flag in flags[1:]:
-        out = out | true_only(flag)
-    return out
+def any_true(*flags: str) -> str:
+    return "(" + " OR ".join(true_only(flag) for flag in flags) + ")"
 
 
-def first_match(cases: Iterable[tuple[Column, Column | str]], otherwise: Column | None = None) -> Column:
+def case(cases: Iterable[tuple[str, str]], otherwise: str = "NULL") -> str:
     """Value of the first case whose condition holds."""
-    out = None
-    for condition, value in cases:
-        value = F.lit(value) if isinstance(value, str) else value
-        out = F.when(condition, value) if out is None else out.when(condition, value)
-    return out.otherwise(F.lit(None) if otherwise is None else otherwise)
+    branches = " ".join(f"WHEN {condition} THEN {value}" for condition, value in cases)
+    return f"CASE {branches} ELSE {otherwise} END"
 
 
-def from_synonyms(value: Column, synonyms: Mapping[str, tuple[str, ...]], otherwise: Column) -> Column:
-    cases = [(value.isin(*spellings), standard) for standard, spellings in synonyms.items()]
-    return first_match(cases, otherwise)
+def from_synonyms(value: str, synonyms: Mapping[str, tuple[str, ...]], otherwise: str) -> str:
+    return case([(one_of(value, words), quoted(standard)) for standard, words in synonyms.items()], otherwise)
 
 
-def lookup(value: Column, table: Mapping[str, str]) -> Column:
+def lookup(value: str, table: Mapping[str, str]) -> str:
     """Small fixed map; null when the value is not listed."""
-    return first_match([(value == key, found) for key, found in table.items()], F.lit(None).cast("string"))
+    return case([(f"{value} = {quoted(key)}", quoted(found)) for key, found in table.items()])
+
+
+def tagged(prefix: str, value: str) -> str:
+    return f"concat({quoted(prefix + ' [')}, {value}, ']')"
 
 
-def tagged(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(prefix + " ["), value, F.lit("]"))
+def named(expressions: Mapping[str, str]) -> list[str]:
+    """``text AS name`` for a whole projection."""
+    return [text if text == name else f"{text} AS {name}" for name, text in expressions.items()]

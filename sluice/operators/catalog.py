@@ -2,108 +2,94 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as d
 from ..functions.columns import (
+    TODAY,
+    case,
     day,
+    hours_between,
     instant,
     is_blank,
     minutes_crossed,
     number,
-    seconds_between,
+    one_of,
+    outside,
+    quoted,
     upper_snake,
     upper_trim,
 )
 from . import profiles as p
-from .profiles import completed, open_order, terminated
+from .profiles import COMPLETED, OPEN, TERMINATED, key_profile
 from .rules import Frames, KeyRule, PairRule, RowRule
 
-c = F.col
-
-
-def _note(text: str):
-    return lambda as_of: {"violation_detail": F.lit(text)}
-
-
-def missing(name: str):
-    return lambda as_of: c(name).isNull()
-
-
-def negative(*names: str):
-    def fails(as_of: Column) -> Column:
-        out = number(names[0]) < 0
-        for name in names[1:]:
-            out = out | (number(name) < 0)
-        return out
-
-    return fails
-
-
-def unparsed(name: str, parse):
-    return lambda as_of: c(name).isNotNull() & parse(name).isNull()
+CU = ("customer_id", "customer_name")
+WO = ("work_order_id", "work_order_number")
+TE = ("technician_id", "full_name")
+IN = ("invoice_id", "invoice_number")
 
+COMPLETENESS = "Completeness"
+UNIQUENESS = "Uniqueness"
+VALIDITY = "Validity"
+INTEGRITY = "Referential Integrity"
+CONSISTENCY = "Consistency"
+TIMELINESS = "Timeliness"
+BUSINESS = "Business Rules"
 
-def after(parse, late: str, early: str):
-    return lambda as_of: parse(late) > parse(early)
 
+def _note(text: str) -> dict[str, str]:
+    return {"violation_detail": quoted(text)}
 
-def off_balance(plus: tuple[str, ...], minus: tuple[str, ...], total: str):
-    def gap(as_of: Column) -> Column:
-        return F.abs(expected_amount(plus, minus) - number(total))
 
-    return lambda as_of: gap(as_of) > d.CENT
+def missing(name: str) -> str:
+    return f"{name} IS NULL"
 
 
-def expected_amount(plus: tuple[str, ...], minus: tuple[str, ...] = ()) -> Column:
-    out = number(plus[0])
-    for name in plus[1:]:
-        out = out + number(name)
-    for name in minus:
-        out = out - number(name)
-    return out
+def is_value(name: str, value: str) -> str:
+    return f"{upper_trim(name)} = {quoted(value)}"
 
 
-def days_since(name: str, as_of: Column) -> Column:
-    return F.datediff(as_of, day(name))
+def negative(*names: str) -> str:
+    return " OR ".join(f"{number(name)} < 0" for name in names)
 
 
-def status_open_since(status: Column, name: str, days: int):
-    return lambda as_of: status & instant(name).isNotNull() & (days_since(name, as_of) > days)
+def unparsed(name: str, parse: Callable[[str], str]) -> str:
+    return f"{name} IS NOT NULL AND {parse(name)} IS NULL"
 
 
-CU = ("customer_id", "customer_name")
-WO = ("work_order_id", "work_order_number")
-TE = ("technician_id", "full_name")
-IN = ("invoice_id", "invoice_number")
+def after(parse: Callable[[str], str], late: str, early: str) -> str:
+    return f"{parse(late)} > {parse(early)}"
 
-COMPLETENESS = "Completeness"
-UNIQUENESS = "Uniqueness"
-VALIDITY = "Validity"
-INTEGRITY = "Referential Integrity"
-CONSISTENCY = "Consistency"
-TIMELINESS = "Timeliness"
-BUSINESS = "Business Rules"
 
+def future(name: str) -> str:
+    return f"{day(name)} > {TODAY}"
 
-def missing_times(as_of: Column) -> Column:
-    return c("actual_start").isNull() | c("actual_end").isNull()
 
+def days_since(name: str) -> str:
+    return f"datediff({TODAY}, {day(name)})"
 
-def mismatched_sla(as_of: Column) -> Column:
-    kept = F.when(instant("actual_end") <= instant("sla_due_date"), "Y").otherwise("N")
-    return kept != upper_trim("sla_met")
 
+def gap(amount: str, total: str) -> str:
+    return f"abs({amount} - {number(total)})"
 
-def evaluable_sla(as_of: Column) -> Column:
-    return instant("actual_end").isNotNull() & instant("sla_due_date").isNotNull() & c("sla_met").isNotNull()
 
+ORDER_COST = f"({number('labor_cost')} + {number('parts_cost')})"
+BILL_AMOUNT = f"({number('subtotal')} + {number('tax_amount')} - {number('discount_amount')})"
+MISSING_TIMES = "actual_start IS NULL OR actual_end IS NULL"
+LATE = after(instant, "actual_end", "sla_due_date")
+SLA_KNOWN = f"{instant('actual_end')} IS NOT NULL AND {instant('sla_due_date')} IS NOT NULL AND sla_met IS NOT NULL"
+SLA_KEPT = case([(f"{instant('actual_end')} <= {instant('sla_due_date')}", "'Y'")], "'N'")
+SLA_MISMATCH = f"{SLA_KEPT} <> {upper_trim('sla_met')}"
 
 ROW_RULES = (
     RowRule(
         "C-001", COMPLETENESS, "customers", "CRITICAL", "customer_name is NULL or blank",
-        column="customer_name", fails=lambda a: is_blank("customer_name"), show=CU,
+        column="customer_name", fails=is_blank("customer_name"), show=CU,
     ),
     RowRule(
         "C-002", COMPLETENESS, "customers", "CRITICAL", "account_status is NULL",
@@ -111,15 +97,15 @@ ROW_RULES = (
     ),
     RowRule(
         "C-003", COMPLETENESS, "work_orders", "CRITICAL", "WO missing site_id or customer_id",
-        fails=lambda a: c("site_id").isNull() | c("customer_id").isNull(), show=WO,
-        detail=lambda a: {
-            "site_issue": F.when(c("site_id").isNull(), "site_id is NULL").otherwise(""),
-            "cust_issue": F.when(c("customer_id").isNull(), "customer_id is NULL").otherwise(""),
+        fails="site_id IS NULL OR customer_id IS NULL", show=WO,
+        detail={
+            "site_issue": case([("site_id IS NULL", "'site_id is NULL'")], "''"),
+            "cust_issue": case([("customer_id IS NULL", "'customer_id is NULL'")], "''"),
         },
     ),
     RowRule(
         "C-004", COMPLETENESS, "work_orders", "HIGH", "Completed WO missing actual times",
-        fails=missing_times, scope=completed, show=WO + ("status", "actual_start", "actual_end"),
+        fails=MISSING_TIMES, scope=COMPLETED, show=WO + ("status", "actual_start", "actual_end"),
     ),
     RowRule(
         "C-005", COMPLETENESS, "technicians", "HIGH", "Technician missing employee_number",
@@ -128,11 +114,11 @@ ROW_RULES = (
     ),
     RowRule(
         "C-006", COMPLETENESS, "technicians", "MEDIUM", "Technician missing full_name",
-        column="full_name", fails=lambda a: is_blank("full_name"), show=TE,
+        column="full_name", fails=is_blank("full_name"), show=TE,
     ),
     RowRule(
         "C-007", COMPLETENESS, "customers", "MEDIUM", "Customer missing all contact fields",
-        fails=lambda a: c("primary_contact").isNull() & c("email_address").isNull() & c("phone_number").isNull(),
+        fails="primary_contact IS NULL AND email_address IS NULL AND phone_number IS NULL",
         show=CU + ("primary_contact", "email_address", "phone_number"),
     ),
     RowRule(
@@ -142,37 +128,34 @@ ROW_RULES = (
     RowRule(
         "C-009", COMPLETENESS, "technicians", "HIGH", "Terminated tech missing termination_date",
         column="termination_date", fails=missing("termination_date"),
-        scope=lambda a: upper_trim("employment_status") == "TERMINATED",
+        scope=is_value("employment_status", "TERMINATED"),
         show=TE + ("employment_status", "termination_date"),
     ),
     RowRule(
         "V-001", VALIDITY, "customers", "CRITICAL", "account_status not in allowed domain",
         column="account_status",
-        fails=lambda a: ~upper_trim("account_status").isin(*d.CUSTOMER_STATUS) | c("account_status").isNull(),
+        fails=f"account_status IS NULL OR {outside(upper_trim('account_status'), d.CUSTOMER_STATUS)}",
         show=CU + ("account_status",),
         detail=_note("Not in allowed domain: ACTIVE, INACTIVE, SUSPENDED, PENDING"),
     ),
     RowRule(
         "V-002", VALIDITY, "work_orders", "CRITICAL", "WO status not in allowed domain",
-        column="status", fails=lambda a: ~upper_snake("status").isin(*d.WORK_ORDER_STATUS),
+        column="status", fails=outside(upper_snake("status"), d.WORK_ORDER_STATUS),
         show=WO + ("status",), detail=_note("Invalid status value"),
     ),
     RowRule(
         "V-003", VALIDITY, "customers", "HIGH", "Negative credit_limit",
         column="credit_limit", fails=negative("credit_limit"), show=CU,
-        detail=lambda a: {"raw_credit_limit": c("credit_limit")},
+        detail={"raw_credit_limit": "credit_limit"},
     ),
     RowRule(
         "V-004", VALIDITY, "customers", "HIGH", "credit_limit cannot be parsed as numeric",
         column="credit_limit", fails=unparsed("credit_limit", number), show=CU,
-        detail=lambda a: {
-            "raw_credit_limit": c("credit_limit"),
-            "violation_detail": F.lit("Cannot convert to decimal"),
-        },
+        detail={"raw_credit_limit": "credit_limit", **_note("Cannot convert to decimal")},
     ),
     RowRule(
         "V-005", VALIDITY, "customers", "MEDIUM", "Invalid email format",
-        column="email_address", fails=lambda a: ~c("email_address").rlike(d.EMAIL_PATTERN),
+        column="email_address", fails=f"NOT rlike(email_address, {quoted(d.EMAIL_PATTERN)})",
         show=CU + ("email_address",), detail=_note("Invalid email format"),
     ),
     RowRule(
@@ -187,14 +170,14 @@ ROW_RULES = (
     ),
     RowRule(
         "V-008", VALIDITY, "work_orders", "HIGH", "WO type not in allowed domain",
-        column="work_order_type", fails=lambda a: ~upper_trim("work_order_type").isin(*d.WORK_ORDER_TYPE),
+        column="work_order_type", fails=outside(upper_trim("work_order_type"), d.WORK_ORDER_TYPE),
         show=WO + ("work_order_type",), detail=_note("WO type not in allowed domain"),
     ),
     RowRule(
         "V-009", VALIDITY, "technicians", "HIGH", "employment_status invalid domain/casing",
-        column="employment_status", fails=lambda a: ~upper_snake("employment_status").isin(*d.TECHNICIAN_STATUS),
+        column="employment_status", fails=outside(upper_snake("employment_status"), d.TECHNICIAN_STATUS),
         show=("technician_id", "first_name", "last_name", "employment_status"),
-        detail=lambda a: {"normalized_attempt": upper_snake("employment_status")},
+        detail={"normalized_attempt": upper_snake("employment_status")},
     ),
     RowRule(
         "V-010", VALIDITY, "technicians", "HIGH", "Negative hourly_rate",
@@ -203,34 +186,34 @@ ROW_RULES = (
     ),
     RowRule(
         "V-011", VALIDITY, "technicians", "MEDIUM", "hourly_rate > $500 (suspect value)",
-        column="hourly_rate", fails=lambda a: number("hourly_rate") > d.MAX_RATE, show=TE + ("hourly_rate",),
+        column="hourly_rate", fails=f"{number('hourly_rate')} > {d.MAX_RATE}", show=TE + ("hourly_rate",),
     ),
     RowRule(
         "V-012", VALIDITY, "work_orders", "MEDIUM", "WO priority not in allowed domain",
-        column="priority", fails=lambda a: ~upper_trim("priority").isin(*d.PRIORITY), show=WO + ("priority",),
+        column="priority", fails=outside(upper_trim("priority"), d.PRIORITY), show=WO + ("priority",),
     ),
     RowRule(
         "V-013", VALIDITY, "invoices", "HIGH", "invoice_status not in allowed domain",
-        column="invoice_status", fails=lambda a: ~upper_trim("invoice_status").isin(*d.INVOICE_STATUS),
+        column="invoice_status", fails=outside(upper_trim("invoice_status"), d.INVOICE_STATUS),
         show=IN + ("invoice_status",),
     ),
     RowRule(
         "V-014", VALIDITY, "assignments", "LOW", "assignment_role not in allowed domain",
-        column="assignment_role", fails=lambda a: ~upper_trim("assignment_role").isin(*d.ASSIGNMENT_ROLE),
+        column="assignment_role", fails=outside(upper_trim("assignment_role"), d.ASSIGNMENT_ROLE),
         show=("assignment_id", "assignment_role"),
     ),
     RowRule(
         "V-015", VALIDITY, "assignments", "MEDIUM", "assignment_status not in allowed domain",
-        column="assignment_status", fails=lambda a: ~upper_trim("assignment_status").isin(*d.ASSIGNMENT_STATUS),
+        column="assignment_status", fails=outside(upper_trim("assignment_status"), d.ASSIGNMENT_STATUS),
         show=("assignment_id", "assignment_status"),
     ),
     RowRule(
         "V-016", VALIDITY, "customers", "LOW", "phone_number contains alpha characters",
-        column="phone_number", fails=lambda a: c("phone_number").rlike("[a-zA-Z]"), show=CU + ("phone_number",),
+        column="phone_number", fails="rlike(phone_number, '[a-zA-Z]')", show=CU + ("phone_number",),
     ),
     RowRule(
         "V-017", VALIDITY, "customers", "HIGH", "customer_type not in allowed domain",
-        column="customer_type", fails=lambda a: ~upper_trim("customer_type").isin(*d.CUSTOMER_TYPE),
+        column="customer_type", fails=outside(upper_trim("customer_type"), d.CUSTOMER_TYPE),
         show=CU + ("customer_type",),
     ),
     RowRule(
@@ -240,7 +223,7 @@ ROW_RULES = (
     RowRule(
         "CS-001", CONSISTENCY, "work_orders", "CRITICAL", "actual_end before actual_start",
         fails=after(instant, "actual_start", "actual_end"), show=WO + ("actual_start", "actual_end"),
-        detail=lambda a: {"minutes_inverted": minutes_crossed(instant("actual_end"), instant("actual_start"))},
+        detail={"minutes_inverted": minutes_crossed(instant("actual_end"), instant("actual_start"))},
     ),
     RowRule(
         "CS-002", CONSISTENCY, "technicians", "HIGH", "hire_date after termination_date",
@@ -249,50 +232,46 @@ ROW_RULES = (
     ),
     RowRule(
         "CS-003", CONSISTENCY, "work_orders", "HIGH", "Completed WO missing time data",
-        fails=lambda a: completed() & missing_times(a),
+        fails=f"{COMPLETED} AND ({MISSING_TIMES})",
         show=("work_order_id", "status", "actual_start", "actual_end"),
         detail=_note("Completed WO missing time data"),
     ),
     RowRule(
         "CS-004", CONSISTENCY, "work_orders", "HIGH", "total_cost does not equal labor+parts",
-        fails=off_balance(("labor_cost", "parts_cost"), (), "total_cost"), show=WO,
-        detail=lambda a: {
+        fails=f"{gap(ORDER_COST, 'total_cost')} > {d.CENT}", show=WO,
+        detail={
             "labor_cost": number("labor_cost"),
             "parts_cost": number("parts_cost"),
-            "expected_total": F.round(expected_amount(("labor_cost", "parts_cost")), 2),
+            "expected_total": f"round({ORDER_COST}, 2)",
             "actual_total": number("total_cost"),
-            "discrepancy_amount": F.round(
-                F.abs(expected_amount(("labor_cost", "parts_cost")) - number("total_cost")), 2
-            ),
+            "discrepancy_amount": f"round({gap(ORDER_COST, 'total_cost')}, 2)",
         },
     ),
     RowRule(
         "CS-005", CONSISTENCY, "invoices", "CRITICAL", "Invoice total does not balance",
-        fails=off_balance(("subtotal", "tax_amount"), ("discount_amount",), "total_amount"), show=IN,
-        detail=lambda a: {
+        fails=f"{gap(BILL_AMOUNT, 'total_amount')} > {d.CENT}", show=IN,
+        detail={
             "subtotal": number("subtotal"),
             "tax_amount": number("tax_amount"),
             "discount_amount": number("discount_amount"),
-            "expected_total": F.round(expected_amount(("subtotal", "tax_amount"), ("discount_amount",)), 2),
+            "expected_total": f"round({BILL_AMOUNT}, 2)",
             "recorded_total": number("total_amount"),
-            "discrepancy": F.round(
-                F.abs(expected_amount(("subtotal", "tax_amount"), ("discount_amount",)) - number("total_amount")), 2
-            ),
+            "discrepancy": f"round({gap(BILL_AMOUNT, 'total_amount')}, 2)",
         },
     ),
     RowRule(
         "CS-006", CONSISTENCY, "work_orders", "HIGH", "SLA flagged met but completed after due date",
-        fails=lambda a: upper_trim("sla_met").isin("Y", "YES") & (instant("actual_end") > instant("sla_due_date")),
+        fails=f"{one_of(upper_trim('sla_met'), ('Y', 'YES'))} AND {LATE}",
         show=WO + ("sla_due_date", "actual_end", "sla_met"),
         detail=_note("SLA flagged as MET but completed after due date"),
     ),
     RowRule(
         "CS-008", CONSISTENCY, "invoices", "MEDIUM", "Payment received exceeds invoice total",
         fails=after(number, "payment_received", "total_amount"), show=IN,
-        detail=lambda a: {
+        detail={
             "invoice_total": number("total_amount"),
             "payment_received": number("payment_received"),
-            "overpayment": F.round(number("payment_received") - number("total_amount"), 2),
+            "overpayment": f"round({number('payment_received')} - {number('total_amount')}, 2)",
         },
     ),
     RowRule(
@@ -302,8 +281,8 @@ ROW_RULES = (
     ),
     RowRule(
         "CS-010", CONSISTENCY, "work_orders", "MEDIUM", "actual_hours > 24 on single-day WO",
-        fails=lambda a: (number("actual_hours") > d.MAX_HOURS)
-        & (F.datediff(instant("actual_end"), instant("actual_start")) == 0),
+        fails=f"{number('actual_hours')} > {d.MAX_HOURS}"
+        f" AND datediff({instant('actual_end')}, {instant('actual_start')}) = 0",
         show=WO + ("actual_start", "actual_end", "actual_hours"),
         detail=_note("actual_hours exceeds maximum for single-day WO"),
     ),
@@ -313,50 +292,43 @@ ROW_RULES = (
     ),
     RowRule(
         "CS-012", CONSISTENCY, "assignments", "MEDIUM", "hours_logged doesn't match start/end duration",
-        fails=lambda a: F.abs(
-            number("hours_logged") - seconds_between(instant("start_time"), instant("end_time")) / 3600
-        )
-        > 1.0,
+        fails=f"abs({number('hours_logged')} - {hours_between(instant('start_time'), instant('end_time'))}) > 1",
         show=("assignment_id", "start_time", "end_time", "hours_logged"),
     ),
     RowRule(
         "T-001", TIMELINESS, "customers", "HIGH", "customer created_date in the future",
-        column="created_date", fails=lambda a: day("created_date") > a, show=CU + ("created_date",),
+        column="created_date", fails=future("created_date"), show=CU + ("created_date",),
         detail=_note("created_date is in the future"),
     ),
     RowRule(
         "T-002", TIMELINESS, "technicians", "HIGH", "hire_date in the future",
-        column="hire_date", fails=lambda a: day("hire_date") > a, show=TE + ("hire_date",),
+        column="hire_date", fails=future("hire_date"), show=TE + ("hire_date",),
         detail=_note("hire_date is in the future"),
     ),
     RowRule(
         "T-003", TIMELINESS, "work_orders", "CRITICAL", "Completed WO has future scheduled_date",
-        column="scheduled_date", fails=lambda a: completed() & (day("scheduled_date") > a),
+        column="scheduled_date", fails=f"{COMPLETED} AND {future('scheduled_date')}",
         show=WO + ("status", "scheduled_date", "actual_end"),
         detail=_note("Completed WO has future scheduled date"),
     ),
     RowRule(
         "T-004", TIMELINESS, "customers", "LOW", "Active customer record stale > 2 years",
         column="last_modified",
-        fails=lambda a: status_open_since(
-            upper_trim("account_status") == "ACTIVE", "last_modified", d.STALE_CUSTOMER_DAYS
-        )(a),
+        fails=f"{is_value('account_status', 'ACTIVE')} AND {days_since('last_modified')} > {d.STALE_CUSTOMER_DAYS}",
         show=CU + ("account_status", "last_modified"),
-        detail=lambda a: {
-            "days_since_modified": days_since("last_modified", a),
-            "violation_detail": F.lit("Customer record not updated in 2+ years"),
+        detail={
+            "days_since_modified": days_since("last_modified"),
+            **_note("Customer record not updated in 2+ years"),
         },
     ),
     RowRule(
         "T-005", TIMELINESS, "work_orders", "HIGH", "IN_PROGRESS WO stale > 90 days",
         column="last_modified",
-        fails=lambda a: status_open_since(
-            upper_snake("status") == "IN_PROGRESS", "last_modified", d.STALE_WORK_DAYS
-        )(a),
+        fails=f"{upper_snake('status')} = 'IN_PROGRESS' AND {days_since('last_modified')} > {d.STALE_WORK_DAYS}",
         show=WO + ("status", "scheduled_date", "last_modified"),
-        detail=lambda a: {
-            "days_open": days_since("last_modified", a),
-            "violation_detail": F.lit("IN_PROGRESS WO stale for 90+ days"),
+        detail={
+            "days_open": days_since("last_modified"),
+            **_note("IN_PROGRESS WO stale for 90+ days"),
         },
     ),
     RowRule(
@@ -370,54 +342,46 @@ ROW_RULES = (
     ),
     RowRule(
         "BR-003", BUSINESS, "work_orders", "HIGH", "SLA flag does not match calculated SLA",
-        column="sla_met", fails=mismatched_sla, scope=evaluable_sla, lists_scope=True,
+        column="sla_met", fails=SLA_MISMATCH, scope=SLA_KNOWN, lists_scope=True,
         show=WO + ("priority", "sla_due_date", "actual_end"),
-        detail=lambda a: {
-            "recorded_sla_flag": c("sla_met"),
-            "calculated_sla_flag": F.when(instant("actual_end") <= instant("sla_due_date"), "Y").otherwise("N"),
-            "sla_flag_status": F.when(mismatched_sla(a), "MISMATCH").otherwise("OK"),
+        detail={
+            "recorded_sla_flag": "sla_met",
+            "calculated_sla_flag": SLA_KEPT,
+            "sla_flag_status": case([(SLA_MISMATCH, "'MISMATCH'")], "'OK'"),
         },
     ),
     RowRule(
         "BR-004", BUSINESS, "invoices", "MEDIUM", "PAID invoice missing payment_date",
         column="payment_date",
-        fails=lambda a: (upper_trim("invoice_status") == "PAID") & c("payment_date").isNull(),
+        fails=f"{is_value('invoice_status', 'PAID')} AND payment_date IS NULL",
         show=IN + ("invoice_status", "payment_date"),
     ),
     RowRule(
         "BR-005", BUSINESS, "work_orders", "MEDIUM", "Completed WO has estimated_hours = 0",
-        column="estimated_hours", fails=lambda a: completed() & (number("estimated_hours") == 0),
+        column="estimated_hours", fails=f"{COMPLETED} AND {number('estimated_hours')} = 0",
         show=WO + ("status", "estimated_hours"),
     ),
 )
 
 
-def excess(measure: str, *not_null: str):
+def excess(measure: str, *not_null: str) -> str:
     """Records beyond the first of each key; keys with a null part pass when listed."""
-
-    def failed() -> Column:
-        extra = c(measure) > 1
-        for name in not_null:
-            extra = extra & c(name).isNotNull()
-        return F.when(extra, c(measure) - 1).otherwise(0)
-
-    return failed
+    condition = " AND ".join([f"{measure} > 1", *[f"{name} IS NOT NULL" for name in not_null]])
+    return f"if({condition}, {measure} - 1, 0)"
 
 
-def repeated_keys(measure: str, key: str):
-    return lambda: F.when((c(measure) > 1) & c(key).isNotNull(), 1).otherwise(0)
+def repeated_keys(measure: str, key: str) -> str:
+    return f"if({measure} > 1 AND {key} IS NOT NULL, 1, 0)"
 
 
-def without(child: str, parent: str, key: str):
+def without(child: str, parent: str, key: str) -> str:
     """Child records whose key no parent record has; null keys pass."""
-    return lambda: F.when(c(key).isNotNull() & (c(parent) == 0), c(child)).otherwise(0)
+    return f"if({key} IS NOT NULL AND {parent} = 0, {child}, 0)"
 
 
-def childless(parent: str, child: str):
+def childless(parent: str, child: str, key: str) -> str:
     """Parent records without a child; a null key never finds one."""
-    return lambda: F.when(
-        (c(child) == 0) | c("work_order_id").isNull(), c(parent)
-    ).otherwise(0)
+    return f"if({child} = 0 OR {key} IS NULL, {parent}, 0)"
 
 
 KEY_RULES = (
@@ -474,38 +438,30 @@ KEY_RULES = (
     ),
     KeyRule(
         "BR-001", BUSINESS, "work_orders", "HIGH", "Completed WO has no assignment record",
-        profile=p.WORK_ORDER, uses=("done", "tasks"), total="done", failed=childless("done", "tasks"),
+        profile=p.WORK_ORDER, uses=("done", "tasks"), total="done", failed=childless("done", "tasks", "work_order_id"),
     ),
     KeyRule(
         "BR-002", BUSINESS, "work_orders", "HIGH", "Completed WO missing invoice (revenue leakage risk)",
         profile=p.WORK_ORDER, uses=("done", "done_paid", "bills"), total="done",
-        failed=childless("done_paid", "bills"),
+        failed=childless("done_paid", "bills", "work_order_id"),
     ),
 )
 
 
-def open_order_counts(orders: DataFrame) -> DataFrame:
-    return orders.filter(open_order()).groupBy("work_order_id").agg(F.count(F.lit(1)).alias("open_orders"))
-
-
-def terminated_counts(technicians: DataFrame) -> DataFrame:
-    return technicians.filter(terminated()).groupBy("technician_id").agg(F.count(F.lit(1)).alias("gone"))
-
-
-def terminated_on_open(frames: Frames, as_of: Column) -> DataFrame:
+def terminated_on_open(frames: Frames, as_of: dt.date) -> DataFrame:
     """Join rows of assignment, open order and terminated technician.
 
     Each side is reduced to one count per key first, so the join never
     multiplies rows, however often a key occurs.
     """
-    tasks = frames["assignments"].groupBy("work_order_id", "technician_id").agg(F.count(F.lit(1)).alias("tasks"))
-    joined = tasks.join(terminated_counts(frames["technicians"]), "technician_id", "left").join(
-        open_order_counts(frames["work_orders"]), "work_order_id", "left"
-    )
-    hits = F.coalesce(c("tasks") * c("gone") * c("open_orders"), F.lit(0))
-    return joined.agg(
-        F.coalesce(F.sum("tasks"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum(hits), F.lit(0)).alias("failed_records"),
+    count = F.count(F.lit(1))
+    tasks = key_profile(frames, p.TASK, ["tasks"], as_of)
+    gone = frames["technicians"].filter(TERMINATED).groupBy("technician_id").agg(count.alias("gone"))
+    orders = frames["work_orders"].filter(OPEN).groupBy("work_order_id").agg(count.alias("open_orders"))
+    joined = tasks.join(gone, "technician_id", "left").join(orders, "work_order_id", "left")
+    return joined.selectExpr(
+        "coalesce(sum(tasks), 0) AS total_records",
+        "coalesce(sum(tasks * gone * open_orders), 0) AS failed_records",
     )
 
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import instant, lower_trim
+from ..functions.columns import case, instant, lower_trim, quoted
 from ..sources.tables import shared_dir
 
 
@@ -76,8 +76,10 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: st
     )
 
 
-def email_order(row_id: str = "_src_row") -> list[Column]:
-    return [newest_first(instant("last_modified")), F.col(row_id).asc()]
+def email_keys(customers: DataFrame, row_id: str) -> DataFrame:
+    return customers.selectExpr(
+        f"{lower_trim('email_address')} AS email_key", f"{instant('last_modified')} AS modified", row_id
+    )
 
 
 def extract_order(row_id: str = "_src_row") -> list[Column]:
@@ -86,11 +88,8 @@ def extract_order(row_id: str = "_src_row") -> list[Column]:
 
 def rank_by_email(customers: DataFrame, row_id: str = "_src_row") -> DataFrame:
     """Rank within the normalised e-mail, latest change first; missing e-mails form one group."""
-    narrow = customers.select(
-        lower_trim("email_address").alias("email_key"), instant("last_modified").alias("modified"), row_id
-    )
     order = [newest_first("modified"), F.col(row_id).asc()]
-    return ranked(narrow, ["email_key"], order, "rn_email").select(row_id, "email_key", "rn_email")
+    return ranked(email_keys(customers, row_id), ["email_key"], order, "rn_email").select(row_id, "email_key", "rn_email")
 
 
 def rank_by_id(customers: DataFrame, row_id: str = "_src_row") -> DataFrame:
@@ -108,9 +107,7 @@ def with_duplicate_flags(
     the same customer_id, comes first.  All missing e-mails count as one e-mail
     unless ``null_keys_are_distinct``.
     """
-    email = customers.select(
-        lower_trim("email_address").alias("email_key"), instant("last_modified").alias("modified"), row_id
-    )
+    email = email_keys(customers, row_id)
     if null_keys_are_distinct:
         email = email.filter(F.col("email_key").isNotNull())
     first_by_email = keep_latest(email, ["email_key"], [newest_first("modified"), F.col(row_id).asc()])
@@ -135,12 +132,12 @@ def with_duplicate_flags(
     )
 
 
-def duplicate_reason() -> Column:
-    return (
-        F.when(F.col("is_id_duplicate"), "Duplicate customer_id — lower priority retained")
-        .when(F.col("is_email_duplicate"), "Duplicate email address — older record")
-        .otherwise(F.lit(None).cast("string"))
-    )
+DUPLICATE_REASON = case(
+    [
+        ("is_id_duplicate", quoted("Duplicate customer_id — lower priority retained")),
+        ("is_email_duplicate", quoted("Duplicate email address — older record")),
+    ]
+)
 
 
 def other_ids_by_email(customers: DataFrame) -> DataFrame:

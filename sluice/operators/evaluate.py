@@ -8,6 +8,7 @@ reduced to one row per task before it moves.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
@@ -18,97 +19,59 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .rules import Frames, KeyRule, PairRule, Profile, RowRule, Rule
+from ..functions.columns import at, case, named, quoted
+from .profiles import key_profile
+from .rules import Frames, KeyRule, PairRule, RowRule, Rule
 
-COUNT_COLUMNS = ("rule_code", "dq_dimension", "target_table", "severity", "total_records", "failed_records", "details")
 RESULT_COLUMNS = (
     "rule_code", "dq_dimension", "target_table", "severity", "total_records", "failed_records", "pass_rate", "status",
 )
 
 
-def _rows_of(aggregate: DataFrame, rules: Sequence[Rule], extra: Iterable[Column] = ()) -> DataFrame:
-    """One wide row of ``total_i``/``failed_i`` columns as one row per rule."""
-    records = [
-        F.struct(
-            F.lit(rule.code).alias("rule_code"),
-            F.lit(rule.dimension).alias("dq_dimension"),
-            F.lit(rule.target).alias("target_table"),
-            F.lit(rule.severity).alias("severity"),
-            F.col(f"total_{i}").cast("bigint").alias("total_records"),
-            F.col(f"failed_{i}").cast("bigint").alias("failed_records"),
-            F.lit(rule.description).alias("details"),
-        )
-        for i, rule in enumerate(rules)
-    ]
-    return aggregate.select(*extra, F.inline(F.array(*records)))
+def _record(rule: Rule, total: str, failed: str) -> str:
+    return (
+        f"struct({quoted(rule.code)} AS rule_code, {quoted(rule.dimension)} AS dq_dimension,"
+        f" {quoted(rule.target)} AS target_table, {quoted(rule.severity)} AS severity,"
+        f" CAST({total} AS bigint) AS total_records, CAST({failed} AS bigint) AS failed_records,"
+        f" {quoted(rule.description)} AS details)"
+    )
 
 
-def row_rule_aggregates(rules: Sequence[RowRule], as_of: Column) -> list[Column]:
-    out = []
-    for i, rule in enumerate(rules):
-        fails = rule.fails(as_of)
-        if rule.scope is None:
-            out.append(F.count(F.lit(1)).alias(f"total_{i}"))
-            out.append(F.count_if(fails).alias(f"failed_{i}"))
-        else:
-            scope = rule.scope(as_of)
-            out.append(F.count_if(scope).alias(f"total_{i}"))
-            out.append(F.count_if(scope & fails).alias(f"failed_{i}"))
-    return out
+def _one_pass(df: DataFrame, records: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Evaluate all records as one aggregate and unfold them to one row per rule."""
+    wide = df.groupBy(*by).agg(F.expr(f"array({', '.join(records)})").alias("records"))
+    return wide.selectExpr(*by, "inline(records)")
 
 
-def row_rule_counts(df: DataFrame, rules: Sequence[RowRule], as_of: Column, by: Sequence[str] = ()) -> DataFrame:
+def row_rule_counts(df: DataFrame, rules: Sequence[RowRule], as_of: dt.date, by: Sequence[str] = ()) -> DataFrame:
     """All row rules of one table in one pass, optionally per group of ``by``."""
-    aggregates = row_rule_aggregates(rules, as_of)
-    return _rows_of(df.groupBy(*by).agg(*aggregates), rules, [F.col(b) for b in by])
+    records = []
+    for rule in rules:
+        if rule.scope is None:
+            total, failed = "count(1)", f"count_if({rule.fails})"
+        else:
+            total, failed = f"count_if({rule.scope})", f"count_if(({rule.scope}) AND ({rule.fails}))"
+        records.append(at(_record(rule, total, failed), as_of))
+    return _one_pass(df, records, by)
 
 
-def key_profile(frames: Frames, profile: Profile, names: Sequence[str], as_of: Column) -> DataFrame:
-    """Counts of the named measures for every key found in any table they read."""
-    tables = defaultdict(list)
-    for name in names:
-        tables[profile.measures[name].table].append(name)
-    parts = []
-    for table, own in tables.items():
-        keys = [k.alias(n) for k, n in zip(profile.key_of[table](), profile.keys)]
-        counted = []
-        for name in names:
-            scope = profile.measures[name].scope
-            if name not in own:
-                hit = F.lit(0)
-            elif scope is None:
-                hit = F.lit(1)
-            else:
-                hit = F.when(scope(as_of), 1).otherwise(0)
-            counted.append(hit.cast("bigint").alias(name))
-        part = frames[table].select(*keys, *counted)
-        if all(profile.measures[name].scope is not None for name in own):
-            part = part.filter(reduce(lambda a, b: a | b, [F.col(n) > 0 for n in own]))
-        parts.append(part)
-    stacked = reduce(DataFrame.unionAll, parts)
-    return stacked.groupBy(*profile.keys).agg(*[F.sum(n).alias(n) for n in names])
-
-
-def key_rule_counts(frames: Frames, rules: Sequence[KeyRule], as_of: Column) -> DataFrame:
+def key_rule_counts(frames: Frames, rules: Sequence[KeyRule], as_of: dt.date) -> DataFrame:
     """All rules that share one profile."""
     profile = rules[0].profile
     names = list(dict.fromkeys(n for rule in rules for n in (*rule.uses, rule.total)))
     counts = key_profile(frames, profile, names, as_of)
-    aggregates = []
-    for i, rule in enumerate(rules):
-        aggregates.append(F.coalesce(F.sum(rule.total), F.lit(0)).alias(f"total_{i}"))
-        aggregates.append(F.coalesce(F.sum(rule.failed()), F.lit(0)).alias(f"failed_{i}"))
-    return _rows_of(counts.agg(*aggregates), rules)
+    return _one_pass(
+        counts,
+        [_record(r, f"coalesce(sum({r.total}), 0)", f"coalesce(sum({r.failed}), 0)") for r in rules],
+    )
 
 
-def pair_rule_counts(frames: Frames, rule: PairRule, as_of: Column) -> DataFrame:
-    counts = rule.counts(frames, as_of).select(
-        F.col("total_records").alias("total_0"), F.col("failed_records").alias("failed_0")
-    )
-    return _rows_of(counts, [rule])
+def pair_rule_counts(frames: Frames, rule: PairRule, as_of: dt.date) -> DataFrame:
+    record = _record(rule, "total_records", "failed_records")
+    return rule.counts(frames, as_of).selectExpr(f"inline(array({record}))")
 
 
-def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: Column) -> DataFrame:
+def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFrame:
     """Total and failed records of every rule, before pass rate and status."""
     by_table: dict[str, list[RowRule]] = defaultdict(list)
     by_profile: dict[str, list[KeyRule]] = defaultdict(list)
@@ -125,24 +88,18 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: Column) -> DataFra
     return reduce(DataFrame.unionAll, parts)
 
 
-def pass_rate(digits: int = 2) -> Column:
-    total, failed = F.col("total_records"), F.col("failed_records")
-    return F.when(total > 0, F.round(100.0 * (total - failed) / total, digits)).otherwise(100.0)
-
-
-def rule_status(warning: str = "WARNING") -> Column:
-    return (
-        F.when(F.col("failed_records") == 0, "PASS")
-        .when(F.col("severity").isin("CRITICAL", "HIGH"), "FAIL")
-        .otherwise(warning)
-    )
-
-
 def with_outcome(counts: DataFrame, digits: int = 2, warning: str = "WARNING") -> DataFrame:
-    return counts.withColumns({"pass_rate": pass_rate(digits), "status": rule_status(warning)})
+    """Add pass rate and status."""
+    rate = f"round(100.0D * (total_records - failed_records) / total_records, {digits})"
+    status = case(
+        [("failed_records = 0", "'PASS'"), ("severity IN ('CRITICAL', 'HIGH')", "'FAIL'")], quoted(warning)
+    )
+    return counts.selectExpr(
+        "*", f"{case([('total_records > 0', rate)], '100.0D')} AS pass_rate", f"{status} AS status"
+    )
 
 
-def evaluate(frames: Frames, rules: Iterable[Rule], as_of: Column) -> DataFrame:
+def evaluate(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFrame:
     """One row per rule: counts, pass rate and status."""
     return with_outcome(rule_counts(frames, rules, as_of))
 
@@ -153,18 +110,24 @@ def rules_for_table(rules: Iterable[Rule], text: str) -> list[Rule]:
 
 
 def registry(spark, rules: Iterable[Rule]) -> DataFrame:
-    """The rules as a table, one row per rule."""
+    """The rules as a table, one row per rule, with the condition that is evaluated."""
     rows = [
-        (i, r.key, r.code, r.description, r.dimension, r.target, r.column, r.severity, True)
+        (i, r.code, r.description, r.dimension, r.target, r.column, r.severity, True, condition(r))
         for i, r in enumerate(rules, 1)
     ]
     return spark.createDataFrame(
         rows,
-        "rule_id int, rule_key string, rule_code string, rule_name string, dq_dimension string,"
-        " target_table string, target_column string, severity string, is_active boolean",
+        "rule_id int, rule_code string, rule_name string, dq_dimension string, target_table string,"
+        " target_column string, severity string, is_active boolean, sql_check string",
     )
 
 
+def condition(rule: Rule) -> str | None:
+    if isinstance(rule, RowRule):
+        return rule.fails
+    return rule.failed if isinstance(rule, KeyRule) else None
+
+
 @contextmanager
 def _quiet():
     """Keep expected analysis errors out of the log."""
@@ -180,7 +143,7 @@ def _quiet():
             logger.disabled = was
 
 
-def evaluate_isolated(frames: Frames, rules: Iterable[Rule], as_of: Column) -> DataFrame:
+def evaluate_isolated(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFrame:
     """As ``evaluate``, but a rule that cannot be bound to its table gives a row
     with status ERROR and null counts instead of failing the suite.
 
@@ -213,20 +176,15 @@ def evaluate_isolated(frames: Frames, rules: Iterable[Rule], as_of: Column) -> D
 # -- listings ---------------------------------------------------------------
 
 
-def violating_rows(df: DataFrame, rule: RowRule, as_of: Column) -> DataFrame:
+def violating_rows(df: DataFrame, rule: RowRule, as_of: dt.date) -> DataFrame:
     """The failing rows of a row rule, with what is needed to act on them."""
-    keep = rule.scope(as_of) if rule.scope is not None else None
+    conditions = [] if rule.scope is None else [rule.scope]
     if not rule.lists_scope:
-        fails = rule.fails(as_of)
-        keep = fails if keep is None else keep & fails
-    detail = rule.detail(as_of) if rule.detail else {}
-    shown = [F.col(name) for name in rule.show if name not in detail]
-    return df.filter(keep).select(
-        F.lit(rule.code).alias("rule_code"),
-        F.lit(rule.severity).alias("severity"),
-        *shown,
-        *[value.alias(name) for name, value in detail.items()],
-    )
+        conditions.append(rule.fails)
+    shown = [name for name in rule.show if name not in rule.detail]
+    texts = [f"{quoted(rule.code)} AS rule_code", f"{quoted(rule.severity)} AS severity", *shown, *named(rule.detail)]
+    keep = " AND ".join(f"({condition})" for condition in conditions)
+    return df.filter(at(keep, as_of)).selectExpr(*[at(text, as_of) for text in texts])
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

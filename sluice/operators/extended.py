@@ -6,19 +6,45 @@ not enter the score.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as d
-from ..functions.columns import day, instant, lookup, number, upper_snake, upper_trim
+from ..functions.columns import (
+    TODAY,
+    day,
+    instant,
+    lookup,
+    number,
+    one_of,
+    outside,
+    quoted,
+    upper_snake,
+    upper_trim,
+)
 from . import profiles as p
-from .catalog import BUSINESS, COMPLETENESS, CONSISTENCY, INTEGRITY, TIMELINESS, UNIQUENESS, VALIDITY
-from .catalog import after, excess, missing, without
-from .profiles import completed
+from .catalog import (
+    BUSINESS,
+    COMPLETENESS,
+    CONSISTENCY,
+    INTEGRITY,
+    TIMELINESS,
+    UNIQUENESS,
+    VALIDITY,
+    after,
+    excess,
+    future,
+    gap,
+    is_value,
+    missing,
+    negative,
+    without,
+)
+from .profiles import COMPLETED
 from .rules import Frames, KeyRule, PairRule, RowRule
 
-c = F.col
-
 
 def _row(group, code, dimension, table, severity, text, fails, **more):
     return RowRule(code, dimension, table, severity, text, group=group, fails=fails, **more)
@@ -35,71 +61,59 @@ def _pair(group, code, dimension, table, severity, text, counts):
     return PairRule(code, dimension, table, severity, text, group=group, counts=counts)
 
 
-def status_is(name: str, *values: str) -> Column:
-    return upper_snake(name).isin(*values)
+def state(*values: str) -> str:
+    return one_of(upper_snake("status"), values)
 
 
-def when_parent(child: str, parent: str):
-    """Child records whose key has such a parent."""
-    return lambda: F.when(c(parent) > 0, c(child)).otherwise(0)
+def matches(name: str, pattern: str) -> str:
+    return f"rlike({name}, {quoted(pattern)})"
 
 
-def city_off_state(as_of: Column) -> Column:
-    return lookup(upper_trim("billing_city"), d.CITY_STATE) != upper_trim("billing_state")
+def when_parent(child: str, parent: str) -> str:
+    """Child records whose key has such a parent."""
+    return f"if({parent} > 0, {child}, 0)"
 
 
-def region_off_state(as_of: Column) -> Column:
-    return lookup(upper_trim("billing_state"), d.STATE_REGION) != upper_trim("region_code")
+CITY_OFF_STATE = f"{lookup(upper_trim('billing_city'), d.CITY_STATE)} <> {upper_trim('billing_state')}"
+REGION_OFF_STATE = f"{lookup(upper_trim('billing_state'), d.STATE_REGION)} <> {upper_trim('region_code')}"
+LINE_AMOUNT = f"{number('quantity_used')} * {number('unit_cost')}"
 
 
-def recovered_amount(name: str) -> Column:
+def recovered_amount(name: str) -> str:
     """The number inside an amount written with a currency mark."""
-    return number(F.regexp_extract(c(name), d.CURRENCY_PATTERN, 2))
+    return number(f"regexp_extract({name}, {quoted(d.CURRENCY_PATTERN)}, 2)")
 
 
-def cross_batch_keys(frames: Frames, as_of: Column) -> DataFrame:
-    keys = frames["customers_all"].groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("records"),
-        (F.min("_batch_id") != F.max("_batch_id")).alias("again"),
-    )
-    return keys.agg(
-        F.sum("records").alias("total_records"), F.count_if(c("again")).alias("failed_records")
-    )
+def cross_batch_keys(frames: Frames, as_of: dt.date) -> DataFrame:
+    batches = F.expr("min(_batch_id) <> max(_batch_id)").alias("again")
+    keys = frames["customers_all"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("records"), batches)
+    return keys.selectExpr("sum(records) AS total_records", "count_if(again) AS failed_records")
 
 
-def numbers_on_two_invoices(frames: Frames, as_of: Column) -> DataFrame:
-    numbers = frames["invoices"].groupBy("invoice_number").agg(
-        F.count(F.lit(1)).alias("records"),
-        (F.min("invoice_id") != F.max("invoice_id")).alias("shared"),
+def numbers_on_two_invoices(frames: Frames, as_of: dt.date) -> DataFrame:
+    ids = F.expr("min(invoice_id) <> max(invoice_id)").alias("shared")
+    numbers = frames["invoices"].groupBy("invoice_number").agg(F.count(F.lit(1)).alias("records"), ids)
+    return numbers.selectExpr(
+        "sum(records) AS total_records", "count_if(invoice_number IS NOT NULL AND shared) AS failed_records"
     )
-    known = c("invoice_number").isNotNull() & c("shared")
-    return numbers.agg(F.sum("records").alias("total_records"), F.count_if(known).alias("failed_records"))
 
 
-def late_assignments(frames: Frames, as_of: Column) -> DataFrame:
+def late_assignments(frames: Frames, as_of: dt.date) -> DataFrame:
     """Assignments made long after the order was due to start.
 
     Both sides are reduced per key before they meet: orders to their last
     scheduled day, assignments to counts per assigned day.
     """
-    due = frames["work_orders"].groupBy("work_order_id").agg(F.max(day("scheduled_date")).alias("due"))
-    made = (
-        frames["assignments"]
-        .groupBy("work_order_id", day("assigned_date").alias("made"))
-        .agg(F.count(F.lit(1)).alias("tasks"))
+    due = frames["work_orders"].groupBy("work_order_id").agg(F.expr(f"max({day('scheduled_date')}) AS due"))
+    made = frames["assignments"].selectExpr("work_order_id", f"{day('assigned_date')} AS made")
+    made = made.groupBy("work_order_id", "made").agg(F.count(F.lit(1)).alias("tasks"))
+    return made.join(due, "work_order_id", "left").selectExpr(
+        "sum(tasks) AS total_records",
+        f"coalesce(sum(if(datediff(made, due) > {d.LATE_ASSIGNMENT_DAYS}, tasks, 0)), 0) AS failed_records",
     )
-    late = F.datediff("made", "due") > d.LATE_ASSIGNMENT_DAYS
-    return made.join(due, "work_order_id", "left").agg(
-        F.sum("tasks").alias("total_records"),
-        F.coalesce(F.sum(F.when(late, c("tasks"))), F.lit(0)).alias("failed_records"),
-    )
-
 
-def expired_technicians(measure: str):
-    return lambda: F.when(
-        (c(measure) > 0) & (c("certs") > 0) & (c("certs") == c("expired_certs")), c(measure)
-    ).otherwise(0)
 
+ALL_EXPIRED = "if(active > 0 AND certs > 0 AND certs = expired_certs, active, 0)"
 
 CU, TE, WO, IN, AS, PA, CE = (
     "customers_all", "technicians", "work_orders", "invoices", "assignments", "parts", "certs",
@@ -107,29 +121,29 @@ CU, TE, WO, IN, AS, PA, CE = (
 
 EXTENDED_RULES = (
     _row("x_mojibake", "X-MOJIBAKE", VALIDITY, CU, "MEDIUM", "customer_name shows a broken encoding",
-         lambda a: c("customer_name").rlike(d.MOJIBAKE_PATTERN), show=("customer_id", "customer_name")),
+         matches("customer_name", d.MOJIBAKE_PATTERN), show=("customer_id", "customer_name")),
     _row("x_zero_width", "X-ZERO-WIDTH", VALIDITY, CU, "MEDIUM", "email holds an invisible character",
-         lambda a: c("email_address").rlike(d.INVISIBLE_PATTERN), show=("customer_id", "email_address")),
+         matches("email_address", d.INVISIBLE_PATTERN), show=("customer_id", "email_address")),
     _row("x_city_state", "X-CITY-STATE", CONSISTENCY, CU, "MEDIUM", "billing_city is not in billing_state",
-         city_off_state, show=("customer_id", "billing_city", "billing_state")),
+         CITY_OFF_STATE, show=("customer_id", "billing_city", "billing_state")),
     _row("x_region_state", "X-REGION-STATE", CONSISTENCY, CU, "MEDIUM", "region_code does not cover billing_state",
-         region_off_state, show=("customer_id", "billing_state", "region_code")),
+         REGION_OFF_STATE, show=("customer_id", "billing_state", "region_code")),
     _row("x_currency_text", "X-CURRENCY-CREDIT", VALIDITY, CU, "MEDIUM", "credit_limit carries a currency mark",
-         lambda a: c("credit_limit").rlike(d.CURRENCY_PATTERN), show=("customer_id", "credit_limit"),
-         detail=lambda a: {"recovered_amount": recovered_amount("credit_limit")}),
+         matches("credit_limit", d.CURRENCY_PATTERN), show=("customer_id", "credit_limit"),
+         detail={"recovered_amount": recovered_amount("credit_limit")}),
     _row("x_currency_text", "X-RANGE-CREDIT", VALIDITY, CU, "MEDIUM", "credit_limit is a range",
-         lambda a: c("credit_limit").rlike(d.RANGE_PATTERN), show=("customer_id", "credit_limit")),
+         matches("credit_limit", d.RANGE_PATTERN), show=("customer_id", "credit_limit")),
     _row("x_currency_text", "X-CURRENCY-RATE", VALIDITY, TE, "MEDIUM", "hourly_rate carries a currency mark",
-         lambda a: c("hourly_rate").rlike(d.CURRENCY_PATTERN), show=("technician_id", "hourly_rate"),
-         detail=lambda a: {"recovered_amount": recovered_amount("hourly_rate")}),
+         matches("hourly_rate", d.CURRENCY_PATTERN), show=("technician_id", "hourly_rate"),
+         detail={"recovered_amount": recovered_amount("hourly_rate")}),
     _row("x_currency_text", "X-RANGE-RATE", VALIDITY, TE, "MEDIUM", "hourly_rate is a range",
-         lambda a: c("hourly_rate").rlike(d.RANGE_PATTERN), show=("technician_id", "hourly_rate")),
+         matches("hourly_rate", d.RANGE_PATTERN), show=("technician_id", "hourly_rate")),
     _row("x_sci_notation", "X-SCI-NOTATION", VALIDITY, CU, "LOW", "credit_limit in scientific notation",
-         lambda a: c("credit_limit").rlike(d.SCIENTIFIC_PATTERN), show=("customer_id", "credit_limit")),
+         matches("credit_limit", d.SCIENTIFIC_PATTERN), show=("customer_id", "credit_limit")),
     _row("x_magnitude", "X-MAGNITUDE", VALIDITY, CU, "MEDIUM", "credit_limit is implausibly large",
-         lambda a: number("credit_limit") > d.HUGE_CREDIT, show=("customer_id", "credit_limit")),
+         f"{number('credit_limit')} > {d.HUGE_CREDIT}", show=("customer_id", "credit_limit")),
     _row("x_modified_before_created", "X-MODIFIED-BEFORE-CREATED", CONSISTENCY, CU, "MEDIUM",
-         "last_modified before created_date", lambda a: day("last_modified") < day("created_date"),
+         "last_modified before created_date", after(day, "created_date", "last_modified"),
          show=("customer_id", "created_date", "last_modified")),
     _row("x_modified_before_created", "X-SCHEDULED-BEFORE-CREATED", CONSISTENCY, WO, "MEDIUM",
          "scheduled_date before created_date", after(day, "created_date", "scheduled_date"),
@@ -137,28 +151,28 @@ EXTENDED_RULES = (
     _pair("x_cross_batch_duplicate", "X-CROSS-BATCH", UNIQUENESS, CU, "HIGH",
           "customer_id extracted again in a later batch", cross_batch_keys),
     _row("x_placeholder", "X-PLACEHOLDER-EMAIL", VALIDITY, CU, "LOW", "email is a placeholder",
-         lambda a: F.lower(F.trim("email_address")) == d.PLACEHOLDER_MAIL, show=("customer_id", "email_address")),
+         f"lower(trim(email_address)) = {quoted(d.PLACEHOLDER_MAIL)}", show=("customer_id", "email_address")),
     _row("x_placeholder", "X-DIGIT-NAME", VALIDITY, CU, "MEDIUM", "customer_name is all digits",
-         lambda a: c("customer_name").rlike(d.DIGITS_PATTERN), show=("customer_id", "customer_name")),
+         matches("customer_name", d.DIGITS_PATTERN), show=("customer_id", "customer_name")),
     _row("x_placeholder", "X-EMPTY-STATUS", COMPLETENESS, CU, "HIGH", "account_status is empty text",
-         lambda a: c("account_status") == "", show=("customer_id", "account_status")),
+         "account_status = ''", show=("customer_id", "account_status")),
     _row("x_tech_domains", "X-TECH-REGION", VALIDITY, TE, "MEDIUM", "home_region not in allowed domain",
-         lambda a: ~upper_trim("home_region").isin(*d.REGION), show=("technician_id", "home_region")),
+         outside(upper_trim("home_region"), d.REGION), show=("technician_id", "home_region")),
     _row("x_tech_domains", "X-TECH-NO-REGION", COMPLETENESS, TE, "LOW", "home_region is NULL",
          missing("home_region"), show=("technician_id", "home_region")),
     _row("x_tech_domains", "X-TECH-SKILL", VALIDITY, TE, "MEDIUM", "skill_level missing or not in allowed domain",
-         lambda a: ~upper_trim("skill_level").isin(*d.SKILL_LEVEL) | c("skill_level").isNull(),
+         f"skill_level IS NULL OR {outside(upper_trim('skill_level'), d.SKILL_LEVEL)}",
          show=("technician_id", "skill_level")),
     _row("x_tech_domains", "X-TECH-EMAIL", VALIDITY, TE, "LOW", "e-mail at a personal provider",
-         lambda a: F.lower(F.substring_index("email", "@", -1)).isin(*d.PERSONAL_MAIL),
+         one_of("lower(substring_index(email, '@', -1))", d.PERSONAL_MAIL),
          show=("technician_id", "email")),
     _row("x_tech_domains", "X-TECH-MANAGER", INTEGRITY, TE, "MEDIUM", "manager_id is not a known manager",
-         lambda a: ~c("manager_id").isin(*d.MANAGER), show=("technician_id", "manager_id")),
+         outside("manager_id", d.MANAGER), show=("technician_id", "manager_id")),
     _row("x_tech_domains", "X-TECH-NAMES", COMPLETENESS, TE, "MEDIUM", "first and last name are NULL",
-         lambda a: c("first_name").isNull() & c("last_name").isNull(), show=("technician_id",)),
+         "first_name IS NULL AND last_name IS NULL", show=("technician_id",)),
     _key("x_name_duplicate", "X-NAME-DUPLICATE", UNIQUENESS, TE, "LOW", "full_name on more than one technician",
          p.TECHNICIAN_NAME, ("technicians",), "technicians",
-         lambda: F.when((c("technicians") > 1) & (c("name_key") != ""), c("technicians") - 1).otherwise(0)),
+         "if(technicians > 1 AND name_key <> '', technicians - 1, 0)"),
     _key("x_wo_inactive_customer", "X-WO-INACTIVE-CUSTOMER", BUSINESS, WO, "HIGH",
          "WO for an inactive or suspended customer", p.CUSTOMER, ("orders", "barred"), "orders",
          when_parent("orders", "barred")),
@@ -167,57 +181,54 @@ EXTENDED_RULES = (
     _row("x_component_gt_total", "X-LABOR-GT-TOTAL", CONSISTENCY, WO, "HIGH", "labor_cost exceeds total_cost",
          after(number, "labor_cost", "total_cost"), show=("work_order_id", "labor_cost", "total_cost")),
     _row("x_state_contradiction", "X-CANCELLED-COST", BUSINESS, WO, "MEDIUM", "cancelled WO carries costs",
-         lambda a: status_is("status", "CANCELLED") & (number("total_cost") > 0), show=("work_order_id", "total_cost")),
+         f"{state('CANCELLED')} AND {number('total_cost')} > 0", show=("work_order_id", "total_cost")),
     _row("x_state_contradiction", "X-OPEN-WITH-END", BUSINESS, WO, "MEDIUM", "IN_PROGRESS WO has an actual_end",
-         lambda a: status_is("status", "IN_PROGRESS") & c("actual_end").isNotNull(),
+         f"{state('IN_PROGRESS')} AND actual_end IS NOT NULL",
          show=("work_order_id", "actual_end")),
     _row("x_state_contradiction", "X-OPEN-RESOLVED", BUSINESS, WO, "MEDIUM", "open WO has a resolution_code",
-         lambda a: ~upper_trim("status").isin(*d.COMPLETED) & c("resolution_code").isNotNull(),
+         f"{outside(upper_trim('status'), d.COMPLETED)} AND resolution_code IS NOT NULL",
          show=("work_order_id", "status", "resolution_code")),
     _row("x_state_contradiction", "X-ZERO-HOURS", BUSINESS, WO, "MEDIUM", "completed WO with zero hours",
-         lambda a: completed() & (number("actual_hours") == 0), show=("work_order_id", "actual_hours")),
+         f"{COMPLETED} AND {number('actual_hours')} = 0", show=("work_order_id", "actual_hours")),
     _row("x_state_contradiction", "X-INSTALL-NO-PARTS", BUSINESS, WO, "MEDIUM",
          "completed installation without parts cost",
-         lambda a: completed()
-         & (upper_trim("work_order_type") == "INSTALLATION")
-         & (F.coalesce(number("parts_cost"), F.lit(0.0)) == 0),
+         f"{COMPLETED} AND {is_value('work_order_type', 'INSTALLATION')} AND coalesce({number('parts_cost')}, 0) = 0",
          show=("work_order_id", "parts_cost")),
     _row("x_wo_null_number", "X-WO-NULL-NUMBER", COMPLETENESS, WO, "MEDIUM", "work_order_number is NULL",
          missing("work_order_number"), show=("work_order_id",)),
     _row("x_invoice_null_number", "X-INVOICE-NULL-NUMBER", COMPLETENESS, IN, "MEDIUM", "invoice_number is NULL",
          missing("invoice_number"), show=("invoice_id",)),
     _row("x_blank_description", "X-BLANK-DESCRIPTION", COMPLETENESS, WO, "LOW", "description is only blanks",
-         lambda a: F.trim("description") == "", show=("work_order_id",)),
+         "trim(description) = ''", show=("work_order_id",)),
     _row("x_invoice_contradictions", "X-TAX-GT-SUBTOTAL", CONSISTENCY, IN, "HIGH", "tax_amount exceeds subtotal",
          after(number, "tax_amount", "subtotal"), show=("invoice_id", "subtotal", "tax_amount")),
     _row("x_invoice_contradictions", "X-VOID-PAID", BUSINESS, IN, "HIGH", "VOID invoice has a payment",
-         lambda a: (upper_trim("invoice_status") == "VOID") & (number("payment_received") > 0),
+         f"{is_value('invoice_status', 'VOID')} AND {number('payment_received')} > 0",
          show=("invoice_id", "payment_received")),
     _key("x_invoice_contradictions", "X-BILLED-CANCELLED", BUSINESS, IN, "HIGH", "invoice for a cancelled WO",
          p.WORK_ORDER, ("bills", "cancelled"), "bills", when_parent("bills", "cancelled")),
     _row("x_invoice_contradictions", "X-PAID-EARLY", CONSISTENCY, IN, "MEDIUM", "payment_date before invoice_date",
          after(day, "invoice_date", "payment_date"), show=("invoice_id", "invoice_date", "payment_date")),
     _row("x_invoice_contradictions", "X-PAID-ZERO", BUSINESS, IN, "MEDIUM", "PAID invoice with zero total",
-         lambda a: (upper_trim("invoice_status") == "PAID") & (number("total_amount") == 0), show=("invoice_id",)),
+         f"{is_value('invoice_status', 'PAID')} AND {number('total_amount')} = 0", show=("invoice_id",)),
     _row("x_invoice_contradictions", "X-PAID-NOT-MARKED", BUSINESS, IN, "MEDIUM", "paid in full but still SENT",
-         lambda a: (upper_trim("invoice_status") == "SENT")
-         & (number("payment_received") >= number("total_amount")),
+         f"{is_value('invoice_status', 'SENT')} AND {number('payment_received')} >= {number('total_amount')}",
          show=("invoice_id", "payment_received", "total_amount")),
     _row("x_invoice_contradictions", "X-INVOICE-FUTURE", TIMELINESS, IN, "MEDIUM", "invoice_date in the future",
-         lambda a: day("invoice_date") > a, show=("invoice_id", "invoice_date")),
+         future("invoice_date"), show=("invoice_id", "invoice_date")),
     _pair("x_invoice_number_duplicate", "X-INVOICE-NUMBER", UNIQUENESS, IN, "HIGH",
           "invoice_number on more than one invoice", numbers_on_two_invoices),
     _row("x_assignment_contradictions", "X-DONE-FUTURE", TIMELINESS, AS, "HIGH",
          "completed assignment starts in the future",
-         lambda a: (upper_trim("assignment_status") == "COMPLETED") & (day("start_time") > a),
+         f"{is_value('assignment_status', 'COMPLETED')} AND {future('start_time')}",
          show=("assignment_id", "start_time")),
     _row("x_assignment_contradictions", "X-DONE-ZERO", BUSINESS, AS, "MEDIUM", "completed assignment, zero hours",
-         lambda a: (upper_trim("assignment_status") == "COMPLETED") & (number("hours_logged") == 0),
+         f"{is_value('assignment_status', 'COMPLETED')} AND {number('hours_logged')} = 0",
          show=("assignment_id", "hours_logged")),
     _row("x_assignment_contradictions", "X-NEGATIVE-HOURS", VALIDITY, AS, "HIGH", "hours_logged is negative",
-         lambda a: number("hours_logged") < 0, show=("assignment_id", "hours_logged")),
+         negative("hours_logged"), show=("assignment_id", "hours_logged")),
     _row("x_assignment_contradictions", "X-LONG-SHIFT", BUSINESS, AS, "LOW", "hours_logged above a single shift",
-         lambda a: number("hours_logged") > d.LONG_SHIFT_HOURS, show=("assignment_id", "hours_logged")),
+         f"{number('hours_logged')} > {d.LONG_SHIFT_HOURS}", show=("assignment_id", "hours_logged")),
     _key("x_assignment_contradictions", "X-ACTIVE-ON-STOPPED", BUSINESS, AS, "HIGH",
          "ACTIVE assignment on a held or cancelled WO", p.WORK_ORDER, ("tasks", "active_tasks", "not_active"),
          "tasks", when_parent("active_tasks", "not_active")),
@@ -227,20 +238,20 @@ EXTENDED_RULES = (
          missing("assignment_status"), show=("assignment_id",)),
     _row("x_assignment_contradictions", "X-ASSIGNED-AFTER-START", CONSISTENCY, AS, "MEDIUM",
          "assigned_date after start_time",
-         lambda a: day("assigned_date") > instant("start_time").cast("date"),
+         f"{day('assigned_date')} > CAST({instant('start_time')} AS date)",
          show=("assignment_id", "assigned_date", "start_time")),
     _key("x_two_leads", "X-TWO-LEADS", BUSINESS, AS, "MEDIUM", "more than one LEAD on a WO", p.WORK_ORDER,
          ("tasks", "leads"), "tasks",
-         lambda: F.when(c("work_order_id").isNotNull() & (c("leads") > 1), 1).otherwise(0)),
+         "if(work_order_id IS NOT NULL AND leads > 1, 1, 0)"),
     _row("x_parts", "X-PART-QTY", VALIDITY, PA, "HIGH", "quantity_used is zero or negative",
-         lambda a: number("quantity_used") <= 0, show=("part_usage_id", "quantity_used")),
+         f"{number('quantity_used')} <= 0", show=("part_usage_id", "quantity_used")),
     _row("x_parts", "X-PART-PRICE", VALIDITY, PA, "MEDIUM", "unit_cost is zero",
-         lambda a: number("unit_cost") == 0, show=("part_usage_id", "unit_cost")),
+         f"{number('unit_cost')} = 0", show=("part_usage_id", "unit_cost")),
     _row("x_parts", "X-PART-CURRENCY", VALIDITY, PA, "MEDIUM", "unit_cost carries a currency mark",
-         lambda a: c("unit_cost").rlike(d.CURRENCY_PATTERN), show=("part_usage_id", "unit_cost"),
-         detail=lambda a: {"recovered_amount": recovered_amount("unit_cost")}),
+         matches("unit_cost", d.CURRENCY_PATTERN), show=("part_usage_id", "unit_cost"),
+         detail={"recovered_amount": recovered_amount("unit_cost")}),
     _row("x_parts", "X-PART-TOTAL", CONSISTENCY, PA, "HIGH", "total_cost is not quantity times price",
-         lambda a: F.abs(number("quantity_used") * number("unit_cost") - number("total_cost")) > d.CENT,
+         f"{gap(LINE_AMOUNT, 'total_cost')} > {d.CENT}",
          show=("part_usage_id", "quantity_used", "unit_cost", "total_cost")),
     _key("x_parts", "X-PART-ORPHAN", INTEGRITY, PA, "HIGH", "part line has orphaned work_order_id", p.WORK_ORDER,
          ("parts", "orders"), "parts", without("parts", "orders", "work_order_id")),
@@ -249,9 +260,9 @@ EXTENDED_RULES = (
     _key("x_parts", "X-PART-DUPLICATE", UNIQUENESS, PA, "MEDIUM", "same part on the same WO and day", p.PART_LINE,
          ("parts",), "parts", excess("parts", "work_order_id", "part_number", "recorded_date")),
     _row("x_parts", "X-PART-WAREHOUSE", VALIDITY, PA, "LOW", "warehouse_code not in allowed domain",
-         lambda a: ~upper_trim("warehouse_code").isin(*d.WAREHOUSE), show=("part_usage_id", "warehouse_code")),
+         outside(upper_trim("warehouse_code"), d.WAREHOUSE), show=("part_usage_id", "warehouse_code")),
     _row("x_parts", "X-PART-FUTURE", TIMELINESS, PA, "MEDIUM", "recorded_date in the future",
-         lambda a: day("recorded_date") > a, show=("part_usage_id", "recorded_date")),
+         future("recorded_date"), show=("part_usage_id", "recorded_date")),
     _row("x_parts", "X-PART-RECORDER", COMPLETENESS, PA, "LOW", "recorded_by is NULL",
          missing("recorded_by"), show=("part_usage_id",)),
     _row("x_certs", "X-CERT-DATES", CONSISTENCY, CE, "HIGH", "expiry_date before issued_date",
@@ -261,11 +272,11 @@ EXTENDED_RULES = (
     _key("x_certs", "X-CERT-DUPLICATE", UNIQUENESS, CE, "MEDIUM", "same certificate twice for a technician",
          p.CERT_LINE, ("certs",), "certs", excess("certs", "technician_id", "certification_code")),
     _row("x_certs", "X-CERT-STATUS", VALIDITY, CE, "MEDIUM", "cert_status not in allowed domain",
-         lambda a: ~upper_trim("cert_status").isin(*d.CERT_STATUS), show=("cert_id", "cert_status")),
+         outside(upper_trim("cert_status"), d.CERT_STATUS), show=("cert_id", "cert_status")),
     _row("x_certs", "X-CERT-FUTURE", TIMELINESS, CE, "MEDIUM", "issued_date in the future",
-         lambda a: day("issued_date") > a, show=("cert_id", "issued_date")),
+         future("issued_date"), show=("cert_id", "issued_date")),
     _row("x_certs", "X-CERT-LAPSED", TIMELINESS, CE, "HIGH", "ACTIVE certificate past its expiry",
-         lambda a: (upper_trim("cert_status") == "ACTIVE") & (day("expiry_date") < a),
+         f"{is_value('cert_status', 'ACTIVE')} AND {day('expiry_date')} < {TODAY}",
          show=("cert_id", "expiry_date")),
     _key("x_certs", "X-CERT-TERMINATED", BUSINESS, CE, "MEDIUM", "ACTIVE certificate of a terminated technician",
          p.TECHNICIAN, ("certs", "active_certs", "terminated"), "certs", when_parent("active_certs", "terminated")),
@@ -273,7 +284,7 @@ EXTENDED_RULES = (
          missing("issuing_body"), show=("cert_id",)),
     _key("x_all_certs_expired", "X-ALL-CERTS-EXPIRED", BUSINESS, TE, "HIGH",
          "active technician whose certificates are all expired", p.TECHNICIAN,
-         ("technicians", "active", "certs", "expired_certs"), "technicians", expired_technicians("active")),
+         ("technicians", "active", "certs", "expired_certs"), "technicians", ALL_EXPIRED),
 )
 
 GROUPS = tuple(dict.fromkeys(rule.group for rule in EXTENDED_RULES))

@@ -6,15 +6,14 @@ count.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import domains as d
-from ..functions.columns import day, upper_trim
 from . import profiles as p
-from .catalog import BY_KEY, negative, repeated_keys
+from .catalog import BY_KEY, days_since, is_value, negative, repeated_keys
 from .evaluate import rule_counts, with_outcome
 from .rules import Frames
 
@@ -28,31 +27,26 @@ CODES = (
 )
 
 
-def _not_distinct(measure: str, key: str):
+def not_distinct(measure: str, key: str) -> str:
     """Records beyond the distinct non-null keys, so records without a key count."""
-    return lambda: F.when(F.col(key).isNull(), F.col(measure)).otherwise(F.col(measure) - 1)
-
-
-def _present(measure: str, failed):
-    return lambda: F.when(F.col(measure) > 0, failed()).otherwise(0)
+    return f"if({measure} > 0, if({key} IS NULL, {measure}, {measure} - 1), 0)"
 
 
 OVERRIDES = {
-    "u_001": {"failed": _present("customers", _not_distinct("customers", "customer_id"))},
+    "u_001": {"failed": not_distinct("customers", "customer_id")},
     "u_002": {"profile": p.EMAIL_UNTRIMMED, "failed": repeated_keys("customers", "email_key")},
-    "u_003": {"failed": _present("orders", _not_distinct("orders", "work_order_id"))},
+    "u_003": {"failed": not_distinct("orders", "work_order_id")},
     "v_006": {"fails": negative("labor_cost", "parts_cost")},
     "v_007": {"fails": negative("subtotal", "total_amount")},
     "t_005": {
-        "fails": lambda a: (upper_trim("status") == "IN_PROGRESS")
-        & (F.datediff(a, day("last_modified")) > d.STALE_WORK_DAYS)
+        "fails": f"{is_value('status', 'IN_PROGRESS')} AND {days_since('last_modified')} > {d.STALE_WORK_DAYS}"
     },
 }
 
 EXTERNAL_RULES = tuple(replace(BY_KEY[key], **OVERRIDES.get(key, {})) for key in CODES)
 
 
-def evaluate_external(frames: Frames, as_of: Column, text: str | None = None) -> DataFrame:
+def evaluate_external(frames: Frames, as_of: dt.date, text: str | None = None) -> DataFrame:
     """Pass rates to one decimal and the short label WARN; ``text`` filters by table."""
     rules = [r for r in EXTERNAL_RULES if text is None or text in r.target]
     return with_outcome(rule_counts(frames, rules, as_of), digits=1, warning="WARN")

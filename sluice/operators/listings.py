@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import lower_trim, number
 from .catalog import BY_KEY
 from .evaluate import childless_rows, orphan_rows, repeated_groups, violating_rows
-from .profiles import completed, open_order, terminated
+from .profiles import COMPLETED, OPEN, TERMINATED
 from .rules import Frames, RowRule
 
 
@@ -42,7 +43,7 @@ def duplicate_customers(frames: Frames) -> DataFrame:
 
 
 def duplicate_emails(frames: Frames) -> DataFrame:
-    keyed = frames["customers"].select(lower_trim("email_address").alias("shared_email"))
+    keyed = frames["customers"].select(F.expr(f"{lower_trim('email_address')} AS shared_email"))
     groups = repeated_groups(keyed.filter(F.col("shared_email").isNotNull()), ["shared_email"], None, "occurrence_count")
     return labelled(groups, "u_002", "shared_email", "occurrence_count")
 
@@ -118,7 +119,7 @@ def orphan_billed_customers(frames: Frames) -> DataFrame:
 
 
 def unassigned_orders(frames: Frames) -> DataFrame:
-    rows = childless_rows(frames["work_orders"].filter(completed()), frames["assignments"], "work_order_id")
+    rows = childless_rows(frames["work_orders"].filter(COMPLETED), frames["assignments"], "work_order_id")
     return labelled(
         rows, "br_001", "work_order_id", "work_order_number", "status", "customer_id",
         note="Completed WO has no technician assignment",
@@ -126,7 +127,7 @@ def unassigned_orders(frames: Frames) -> DataFrame:
 
 
 def unbilled_orders(frames: Frames) -> DataFrame:
-    done = frames["work_orders"].filter(completed() & (number("total_cost") > 0))
+    done = frames["work_orders"].filter(f"{COMPLETED} AND {number('total_cost')} > 0")
     rows = childless_rows(done, frames["invoices"], "work_order_id")
     return labelled(
         rows, "br_002", "work_order_id", "work_order_number", "status", "customer_id", "total_cost",
@@ -137,11 +138,11 @@ def unbilled_orders(frames: Frames) -> DataFrame:
 def terminated_on_open_rows(frames: Frames) -> DataFrame:
     newest = ("_extract_timestamp", "_src_row")
     gone = latest_parent(
-        frames["technicians"].filter(terminated()), "technician_id", ("full_name", "employment_status"),
+        frames["technicians"].filter(TERMINATED), "technician_id", ("full_name", "employment_status"),
         newest, "technician_matches",
     )
     orders = latest_parent(
-        frames["work_orders"].filter(open_order()).withColumnRenamed("status", "wo_status"),
+        frames["work_orders"].filter(OPEN).withColumnRenamed("status", "wo_status"),
         "work_order_id", ("wo_status",), newest, "order_matches",
     )
     tasks = frames["assignments"].select("assignment_id", "technician_id", "work_order_id")
@@ -156,7 +157,7 @@ def terminated_on_open_rows(frames: Frames) -> DataFrame:
 def invoices_without_contact(frames: Frames) -> DataFrame:
     """Invoices whose customer lacks a contact, an e-mail or a phone."""
     shown = ("customer_name", "primary_contact", "email_address", "phone_number")
-    lacking = F.col("primary_contact").isNull() | F.col("email_address").isNull() | F.col("phone_number").isNull()
+    lacking = " OR ".join(f"{name} IS NULL" for name in shown[1:])
     customers = latest_parent(
         frames["customers"].filter(lacking), "customer_id", shown, ("_extract_timestamp", "_src_row"), "join_rows"
     )
@@ -204,11 +205,14 @@ def shared_email_pairs(frames: Frames) -> DataFrame:
 
 def loose_email_rows(frames: Frames) -> DataFrame:
     """The pattern form of the e-mail rule: shape by LIKE, blanks and length."""
-    email = F.col("email_address")
-    bad = ~email.like("%@%.%") | email.like("% %") | (F.length(F.rtrim(email)) < 6)
-    return frames["customers"].filter(email.isNotNull() & bad).select(
-        F.lit("V-005").alias("rule_code"), F.lit("MEDIUM").alias("severity"),
-        "customer_id", "customer_name", "email_address", F.lit("Invalid email format").alias("violation_detail"),
+    bad = "email_address NOT LIKE '%@%.%' OR email_address LIKE '% %' OR length(rtrim(email_address)) < 6"
+    return frames["customers"].filter(bad).selectExpr(
+        "'V-005' AS rule_code",
+        "'MEDIUM' AS severity",
+        "customer_id",
+        "customer_name",
+        "email_address",
+        "'Invalid email format' AS violation_detail",
     )
 
 
@@ -230,7 +234,7 @@ LISTINGS: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
-def violations(frames: Frames, key: str, as_of: Column) -> DataFrame:
+def violations(frames: Frames, key: str, as_of: dt.date) -> DataFrame:
     """What fails rule ``key``: rows, or groups for the uniqueness rules."""
     rule = BY_KEY[key]
     if isinstance(rule, RowRule):

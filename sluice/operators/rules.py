@@ -10,17 +10,18 @@ A rule says which rows of its target table fail.  Three shapes exist:
 ``PairRule``
     the count of join rows between tables, computed from per-key counts.
 
-``as_of`` replaces the wall clock, so a run can be repeated.
+Conditions are SQL text.  ``:as_of`` in it stands for the day of the run, which
+replaces the wall clock, so a run can be repeated.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
-Predicate = Callable[[Column], Column]
 Frames = Mapping[str, DataFrame]
 
 
@@ -54,10 +55,11 @@ TABLE_NAMES = {
 
 @dataclass(frozen=True)
 class RowRule(Rule):
-    fails: Predicate = field(kw_only=True)
-    scope: Predicate | None = field(default=None, kw_only=True)
+    fails: str = field(kw_only=True)
+    scope: str | None = field(default=None, kw_only=True)
+    # columns and named expressions of the listing of failing rows
     show: tuple[str, ...] = field(default=(), kw_only=True)
-    detail: Callable[[Column], dict[str, Column]] | None = field(default=None, kw_only=True)
+    detail: Mapping[str, str] = field(default_factory=dict, kw_only=True)
     # the listing keeps every row in scope and labels it, instead of the failing rows only
     lists_scope: bool = field(default=False, kw_only=True)
 
@@ -67,7 +69,7 @@ class Measure:
     """Rows of ``table`` (those in ``scope``) counted per key."""
 
     table: str
-    scope: Predicate | None = None
+    scope: str | None = None
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,7 @@ class Profile:
 
     name: str
     keys: tuple[str, ...]
-    key_of: Mapping[str, Callable[[], tuple[Column, ...]]]
+    key_of: Mapping[str, tuple[str, ...]]
     measures: Mapping[str, Measure]
 
 
@@ -87,11 +89,11 @@ class KeyRule(Rule):
     profile: Profile = field(kw_only=True)
     uses: tuple[str, ...] = field(kw_only=True)
     total: str = field(kw_only=True)
-    failed: Callable[[], Column] = field(kw_only=True)
+    failed: str = field(kw_only=True)
 
 
 @dataclass(frozen=True)
 class PairRule(Rule):
     """``counts`` yields one row ``(total_records, failed_records)``."""
 
-    counts: Callable[[Frames, Column], DataFrame] = field(kw_only=True)
+    counts: Callable[[Frames, dt.date], DataFrame] = field(kw_only=True)

@@ -33,7 +33,7 @@ def scd2_merge(
     )
     changed = has_old & has_new & ~same
     types = {f.name: f.dataType for f in dimension.schema.fields}
-    start = day_literal(effective)
+    start = F.expr(day_literal(effective))
 
     kept = F.struct(
         *[

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as d
-from ..functions.columns import day_literal, first_match, instant_literal
+from ..functions.columns import case, day_literal, instant_literal, quoted
 
 SCORE_COLUMNS = {
     "completeness_score": "Completeness",
@@ -20,83 +20,71 @@ SCORE_COLUMNS = {
 }
 
 
-def severity_weight(default: int = d.DEFAULT_WEIGHT) -> Column:
-    cases = [(F.col("severity") == name, F.lit(weight)) for name, weight in d.SEVERITY_WEIGHT.items()]
-    return first_match(cases, F.lit(default))
+def severity_weight(default: int = d.DEFAULT_WEIGHT) -> str:
+    return case([(f"severity = {quoted(s)}", str(w)) for s, w in d.SEVERITY_WEIGHT.items()], str(default))
 
 
-def severity_rank() -> Column:
-    cases = [(F.col("severity") == name, F.lit(i)) for i, name in enumerate(d.SEVERITY_WEIGHT, 1)]
-    return first_match(cases, F.lit(len(d.SEVERITY_WEIGHT)))
+def severity_rank() -> str:
+    cases = [(f"severity = {quoted(s)}", str(i)) for i, s in enumerate(d.SEVERITY_WEIGHT, 1)]
+    return case(cases, str(len(d.SEVERITY_WEIGHT)))
 
 
-def score(only: Column | None = None, digits: int = 2) -> Column:
+def score(only: str = "true", digits: int = 2) -> str:
     """100 minus the weighted share of failing records; 0 when no rule counts."""
     weight = severity_weight()
-    lost = weight * F.col("failed_records") / F.greatest(F.col("total_records"), F.lit(1))
-    if only is not None:
-        weight, lost = F.when(only, weight), F.when(only, lost)
-    full = F.coalesce(F.sum(weight), F.lit(0))
-    left = F.greatest(F.lit(0.0), F.round(100.0 - F.sum(lost) / full * 100.0, digits))
-    return F.when(full > 0, left).otherwise(0.0)
+    lost = f"sum({weight} * failed_records / greatest(total_records, 1)) FILTER (WHERE {only})"
+    full = f"sum({weight}) FILTER (WHERE {only})"
+    left = f"greatest(0.0D, round(100.0D - {lost} / {full} * 100.0D, {digits}))"
+    return f"if({full} > 0, {left}, 0.0D)"
 
 
-def grade(value: Column) -> Column:
-    return first_match([(value >= floor, letter) for letter, floor in d.GRADES], F.lit("F"))
+def grade(value: str) -> str:
+    return case([(f"{value} >= {floor}", quoted(letter)) for letter, floor in d.GRADES], "'F'")
 
 
 def overall(results: DataFrame, digits: int = 2) -> DataFrame:
-    return results.agg(score(digits=digits).alias("overall_score"))
+    return results.selectExpr(f"{score(digits=digits)} AS overall_score")
 
 
 def by_dimension(results: DataFrame, digits: int = 2) -> DataFrame:
-    return results.groupBy("dq_dimension").agg(score(digits=digits).alias("dimension_score"))
+    return results.groupBy("dq_dimension").agg(F.expr(score(digits=digits)).alias("dimension_score"))
 
 
 def graded(results: DataFrame, digits: int = 2) -> DataFrame:
-    return overall(results, digits).withColumn("grade", grade(F.col("overall_score")))
+    return overall(results, digits).selectExpr("*", f"{grade('overall_score')} AS grade")
 
 
-def _fails(severity: str) -> Column:
-    return F.count_if((F.col("status") == "FAIL") & (F.col("severity") == severity))
+def _counts(kind: str) -> list[str]:
+    fails = "CAST(count_if(status = 'FAIL' AND severity = '{}') AS {}) AS {}".format
+    return [
+        f"CAST(count_if(status = 'PASS') AS {kind}) AS rules_passed",
+        f"CAST(count_if(status <> 'PASS') AS {kind}) AS rules_failed",
+        fails("CRITICAL", kind, "critical_failures"),
+        fails("HIGH", kind, "high_failures"),
+    ]
 
 
 def severity_counts(results: DataFrame) -> DataFrame:
-    return results.agg(
-        F.count_if(F.col("status") == "PASS").alias("rules_passed"),
-        F.count_if(F.col("status") != "PASS").alias("rules_failed"),
-        _fails("CRITICAL").alias("critical_failures"),
-        _fails("HIGH").alias("high_failures"),
-    )
+    return results.selectExpr(*_counts("bigint"))
 
 
 def summary_row(results: DataFrame, run_id: str, score_date: dt.date, target: str = "ALL_TABLES") -> DataFrame:
     """One wide row per run."""
-    scores = [score(F.col("dq_dimension") == name).alias(column) for column, name in SCORE_COLUMNS.items()]
-    as_int = lambda c: c.cast("int")
-    row = results.agg(
-        as_int(F.count(F.lit(1))).alias("total_rules_run"),
-        as_int(F.count_if(F.col("status") == "PASS")).alias("rules_passed"),
-        as_int(F.count_if(F.col("status") != "PASS")).alias("rules_failed"),
-        as_int(_fails("CRITICAL")).alias("critical_failures"),
-        as_int(_fails("HIGH")).alias("high_failures"),
-        score().alias("overall_score"),
-        *scores,
+    scores = [f"{score(f'dq_dimension = {quoted(name)}')} AS {column}" for column, name in SCORE_COLUMNS.items()]
+    row = results.selectExpr(
+        "CAST(count(1) AS int) AS total_rules_run", *_counts("int"), f"{score()} AS overall_score", *scores
     )
-    return row.select(
-        F.lit(run_id).alias("run_id"),
-        day_literal(score_date).alias("score_date"),
-        F.lit(target).alias("target_table"),
-        "*",
+    return row.selectExpr(
+        f"{quoted(run_id)} AS run_id", f"{day_literal(score_date)} AS score_date",
+        f"{quoted(target)} AS target_table", "*",
     )
 
 
 def failed_checks(results: DataFrame) -> DataFrame:
     """Failing rules, heaviest severity first."""
-    weight = severity_weight(0)
     return (
-        results.filter(F.col("status") != "PASS")
-        .select("rule_code", "severity", weight.alias("weight"), "failed_records", "details")
+        results.filter("status <> 'PASS'")
+        .selectExpr("rule_code", "severity", f"{severity_weight(0)} AS weight", "failed_records", "details")
         .orderBy(F.col("weight").desc(), "rule_code")
     )
 
@@ -119,28 +107,28 @@ def history(summaries: DataFrame, runs: int = 5) -> DataFrame:
 
 def by_table(results: DataFrame) -> DataFrame:
     """Counts summed per table, dimension and severity, with one pass rate each."""
-    total, failed = F.col("total_records_checked"), F.col("total_failures")
-    rate = F.round(100.0 * (1 - failed / F.nullif(total, F.lit(0))), 2)
     return (
         results.groupBy("target_table", "dq_dimension", "severity")
         .agg(
             F.sum("total_records").alias("total_records_checked"),
             F.sum("failed_records").alias("total_failures"),
         )
-        .withColumn("pass_rate_pct", rate)
-        .orderBy("target_table", "dq_dimension", severity_rank())
+        .selectExpr(
+            "*", "round(100.0D * (1 - total_failures / nullif(total_records_checked, 0)), 2) AS pass_rate_pct"
+        )
+        .orderBy("target_table", "dq_dimension", F.expr(severity_rank()))
     )
 
 
 def result_rows(results: DataFrame, run_id: str, executed: dt.datetime) -> DataFrame:
     """Results as stored: one row per rule and run."""
-    return results.select(
-        F.lit(run_id).alias("run_id"),
+    return results.selectExpr(
+        f"{quoted(run_id)} AS run_id",
         "rule_code",
         "dq_dimension",
         "target_table",
         "severity",
-        instant_literal(executed).alias("execution_time"),
+        f"{instant_literal(executed)} AS execution_time",
         "total_records",
         "failed_records",
         "pass_rate",

@@ -4,91 +4,91 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_literal, instant_literal
 from ..operators.keys import surrogate_key
 
-c = F.col
-
 FIRST_DAY = dt.date(2015, 1, 1)
 LAST_DAY = dt.date(2027, 12, 31)
 UNKNOWN_START = dt.date(2000, 1, 1)
 
 
-def date_key(day: str | Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
+def date_key(day: str) -> str:
+    return f"CAST(date_format({day}, 'yyyyMMdd') AS int)"
 
 
 def days(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_DAY) -> DataFrame:
     """One row per day; a calendar is bounded by its range, whatever the data."""
-    spine = F.explode(F.sequence(day_literal(first), day_literal(last)))
-    return spark.range(1).select(spine.alias("full_date"))
+    return spark.range(1).selectExpr(f"explode(sequence({day_literal(first)}, {day_literal(last)})) AS full_date")
 
 
 def days_covering(df: DataFrame, column: str) -> DataFrame:
     """All days of the years a column touches."""
-    span = df.agg(F.min(column).alias("_a"), F.max(column).alias("_b")).filter("_a IS NOT NULL")
-    first = F.trunc("_a", "year")
-    last = F.date_sub(F.add_months(F.trunc("_b", "year"), 12), 1)
-    return span.select(F.explode(F.sequence(first, last)).alias("full_date"))
-
-
-def iso_week(day: str = "full_date") -> Column:
-    return F.weekofyear(day)
+    span = df.selectExpr(f"min({column}) AS first", f"max({column}) AS last").filter("first IS NOT NULL")
+    return span.selectExpr(
+        "explode(sequence(trunc(first, 'year'), date_sub(add_months(trunc(last, 'year'), 12), 1))) AS full_date"
+    )
 
 
-def sunday_week(day: str = "full_date") -> Column:
-    """Weeks that start on Sunday, the first one holding January 1."""
-    new_year = F.trunc(day, "year")
-    return F.floor((F.dayofyear(day) + F.dayofweek(new_year) - 2) / 7).cast("int") + 1
+ISO_WEEK = "weekofyear(full_date)"
+# weeks that start on Sunday, the first one holding January 1
+SUNDAY_WEEK = "CAST(floor((dayofyear(full_date) + dayofweek(trunc(full_date, 'year')) - 2) / 7) AS int) + 1"
 
 
-def dim_date(calendar: DataFrame, week: Column | None = None, fiscal: bool = True) -> DataFrame:
-    day = c("full_date")
+def dim_date(calendar: DataFrame, week: str = ISO_WEEK, fiscal: bool = True) -> DataFrame:
     columns = [
-        (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).alias("date_sk"),
-        day,
-        F.year(day).alias("year_num"),
-        F.quarter(day).alias("quarter_num"),
-        F.month(day).alias("month_num"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        (iso_week() if week is None else week).alias("week_num"),
-        F.dayofweek(day).alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        F.dayofweek(day).isin(1, 7).alias("is_weekend"),
+        f"{date_key('full_date')} AS date_sk",
+        "full_date",
+        "year(full_date) AS year_num",
+        "quarter(full_date) AS quarter_num",
+        "month(full_date) AS month_num",
+        "date_format(full_date, 'MMMM') AS month_name",
+        f"{week} AS week_num",
+        "dayofweek(full_date) AS day_of_week",
+        "date_format(full_date, 'EEEE') AS day_name",
+        "dayofweek(full_date) IN (1, 7) AS is_weekend",
     ]
     if fiscal:
         columns += [
-            F.lit(False).alias("is_holiday"),
-            F.year(day).alias("fiscal_year"),
-            F.quarter(day).alias("fiscal_quarter"),
+            "false AS is_holiday",
+            "year(full_date) AS fiscal_year",
+            "quarter(full_date) AS fiscal_quarter",
         ]
-    return calendar.select(*columns)
+    return calendar.selectExpr(*columns)
+
+
+def _open_version(start: str) -> list[str]:
+    return [
+        f"coalesce({start}, {day_literal(UNKNOWN_START)}) AS effective_from",
+        "CAST(NULL AS date) AS effective_to",
+        "true AS is_current",
+    ]
+
+
+def _loaded(loaded: dt.datetime) -> str:
+    return f"{instant_literal(loaded)} AS load_date"
 
 
 def dim_customer(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
     """Clean, first-of-their-key customers as open versions."""
-    clean = staged.filter(~c("is_quarantined") & ~c("is_duplicate"))
-    rows = clean.select(
+    rows = staged.filter("NOT is_quarantined AND NOT is_duplicate").selectExpr(
         "customer_id",
         "customer_name",
         "customer_type",
         "account_status",
         "region_code",
         "credit_limit",
-        F.coalesce("created_date", day_literal(UNKNOWN_START)).alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
-        c("stg_batch_id").alias("record_source"),
-        instant_literal(loaded).alias("load_date"),
+        *_open_version("created_date"),
+        "stg_batch_id AS record_source",
+        _loaded(loaded),
     )
     return surrogate_key(rows, ["customer_id"], "customer_sk")
 
 
 def dim_technician(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
-    rows = staged.filter(~c("is_quarantined")).select(
+    rows = staged.filter("NOT is_quarantined").selectExpr(
         "technician_id",
         "employee_number",
         "full_name",
@@ -96,17 +96,19 @@ def dim_technician(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
         "skill_level",
         "home_region",
         "hire_date",
-        F.coalesce("hire_date", day_literal(UNKNOWN_START)).alias("effective_from"),
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
-        instant_literal(loaded).alias("load_date"),
+        *_open_version("hire_date"),
+        _loaded(loaded),
     )
     return surrogate_key(rows, ["technician_id"], "technician_sk")
 
 
-def _calendar_key(calendar: DataFrame, day: str, key: str) -> DataFrame:
-    # a calendar is a few thousand rows by construction
-    return F.broadcast(calendar.select(c("full_date").alias(day), c("date_sk").alias(key)))
+def _clean_facts(staged: DataFrame, key: str, name: str) -> DataFrame:
+    """Clean staged rows with their fact key.
+
+    Every lookup that follows matches at most one row, so the key can be
+    assigned first, over the staged rows alone.
+    """
+    return surrogate_key(staged.filter("NOT is_quarantined"), [key], name)
 
 
 def _with_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
@@ -114,86 +116,83 @@ def _with_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
     return rows.join(current, "customer_id", "left")
 
 
-def _work_order_measures() -> list[Column]:
-    zero = F.lit(0.0)
-    return [
-        c("work_order_type"),
-        c("priority"),
-        c("status"),
-        c("estimated_hours"),
-        c("actual_hours"),
-        c("labor_cost"),
-        c("parts_cost"),
-        (F.coalesce("labor_cost", zero) + F.coalesce("parts_cost", zero)).alias("total_cost"),
-        c("sla_met"),
-        (c("actual_hours") - c("estimated_hours")).alias("hours_variance"),
-    ]
+def _with_day(rows: DataFrame, calendar: DataFrame, day: str, key: str) -> DataFrame:
+    # a calendar is a few thousand rows by construction
+    keys = F.broadcast(calendar.selectExpr(f"full_date AS {day}", f"date_sk AS {key}"))
+    return rows.join(keys, day, "left")
+
+
+_WORK_ORDER_MEASURES = (
+    "work_order_type",
+    "priority",
+    "status",
+    "estimated_hours",
+    "actual_hours",
+    "labor_cost",
+    "parts_cost",
+    "coalesce(labor_cost, 0) + coalesce(parts_cost, 0) AS total_cost",
+    "sla_met",
+    "actual_hours - estimated_hours AS hours_variance",
+)
 
 
 def fact_work_orders(
     staged: DataFrame, customers: DataFrame, calendar: DataFrame, loaded: dt.datetime
 ) -> DataFrame:
     """Clean work orders with their dimension keys; total cost is recomputed."""
-    rows = staged.filter(~c("is_quarantined")).withColumns(
-        {"_scheduled": c("scheduled_date"), "_completed": c("actual_end").cast("date")}
-    )
-    facts = (
-        _with_customer(rows, customers)
-        .join(_calendar_key(calendar, "_scheduled", "scheduled_date_sk"), "_scheduled", "left")
-        .join(_calendar_key(calendar, "_completed", "completed_date_sk"), "_completed", "left")
-        .select(
-            "work_order_id",
-            "work_order_number",
-            "customer_sk",
-            "scheduled_date_sk",
-            "completed_date_sk",
-            *_work_order_measures(),
-            instant_literal(loaded).alias("load_date"),
-            c("stg_batch_id").alias("record_source"),
-        )
+    rows = _clean_facts(staged, "work_order_id", "fact_wo_sk")
+    rows = _with_customer(rows.selectExpr("*", "CAST(actual_end AS date) AS completed_date"), customers)
+    rows = _with_day(rows, calendar, "scheduled_date", "scheduled_date_sk")
+    rows = _with_day(rows, calendar, "completed_date", "completed_date_sk")
+    return rows.selectExpr(
+        "fact_wo_sk",
+        "work_order_id",
+        "work_order_number",
+        "customer_sk",
+        "scheduled_date_sk",
+        "completed_date_sk",
+        *_WORK_ORDER_MEASURES,
+        _loaded(loaded),
+        "stg_batch_id AS record_source",
     )
-    return surrogate_key(facts, ["work_order_id"], "fact_wo_sk")
 
 
 def fact_work_orders_by_format(staged: DataFrame, customers: DataFrame, loaded: dt.datetime) -> DataFrame:
     """As ``fact_work_orders``, with date keys formatted instead of looked up."""
-    rows = staged.filter(~c("is_quarantined"))
-    facts = _with_customer(rows, customers).select(
+    rows = _with_customer(_clean_facts(staged, "work_order_id", "fact_wo_sk"), customers)
+    return rows.selectExpr(
+        "fact_wo_sk",
         "work_order_id",
         "work_order_number",
         "customer_sk",
-        date_key("scheduled_date").alias("scheduled_date_sk"),
-        date_key("actual_end").alias("completed_date_sk"),
-        *_work_order_measures(),
-        instant_literal(loaded).alias("load_date"),
-        c("stg_batch_id").alias("record_source"),
+        f"{date_key('scheduled_date')} AS scheduled_date_sk",
+        f"{date_key('actual_end')} AS completed_date_sk",
+        *_WORK_ORDER_MEASURES,
+        _loaded(loaded),
+        "stg_batch_id AS record_source",
     )
-    return surrogate_key(facts, ["work_order_id"], "fact_wo_sk")
 
 
 def fact_invoices(
     staged: DataFrame, customers: DataFrame, calendar: DataFrame, loaded: dt.datetime
 ) -> DataFrame:
-    outstanding = c("total_amount") - F.coalesce("payment_received", F.lit(0.0))
-    facts = (
-        _with_customer(staged.filter(~c("is_quarantined")), customers)
-        .join(_calendar_key(calendar, "invoice_date", "invoice_date_sk"), "invoice_date", "left")
-        .join(_calendar_key(calendar, "due_date", "due_date_sk"), "due_date", "left")
-        .select(
-            "invoice_id",
-            "invoice_number",
-            "work_order_id",
-            "customer_sk",
-            "invoice_date_sk",
-            "due_date_sk",
-            "invoice_status",
-            "subtotal",
-            "tax_amount",
-            "discount_amount",
-            "total_amount",
-            "payment_received",
-            F.round(outstanding, 2).alias("outstanding_amount"),
-            instant_literal(loaded).alias("load_date"),
-        )
+    rows = _with_customer(_clean_facts(staged, "invoice_id", "fact_inv_sk"), customers)
+    rows = _with_day(rows, calendar, "invoice_date", "invoice_date_sk")
+    rows = _with_day(rows, calendar, "due_date", "due_date_sk")
+    return rows.selectExpr(
+        "fact_inv_sk",
+        "invoice_id",
+        "invoice_number",
+        "work_order_id",
+        "customer_sk",
+        "invoice_date_sk",
+        "due_date_sk",
+        "invoice_status",
+        "subtotal",
+        "tax_amount",
+        "discount_amount",
+        "total_amount",
+        "payment_received",
+        "round(total_amount - coalesce(payment_received, 0), 2) AS outstanding_amount",
+        _loaded(loaded),
     )
-    return surrogate_key(facts, ["invoice_id"], "fact_inv_sk")

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as d
-from ..functions.columns import instant, instant_literal, number, upper_trim
-
-c = F.col
+from ..functions.columns import instant, instant_literal, named, number, outside, quoted, upper_trim
 
 RAW, STAGING, CURATED = "RAW", "STAGING", "CURATED"
+CLEAN = "NOT is_quarantined"
 
 CUSTOMER_METRICS = (
     "Customers — NULL name",
@@ -28,46 +28,39 @@ WORK_ORDER_METRICS = (
 )
 
 
-def off_domain(value: Column) -> Column:
-    return ~value.isin(*d.CUSTOMER_STATUS) | value.isNull()
+def off_domain(status: str) -> str:
+    return f"({outside(status, d.CUSTOMER_STATUS)} OR {status} IS NULL)"
 
 
-def _metrics(layer: str, aggregate: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    records = [F.struct(F.lit(n).alias("metric"), c(f"m{i}").cast("bigint").alias("n")) for i, n in enumerate(names)]
-    return aggregate.select(F.lit(layer).alias("layer"), F.inline(F.array(*records)))
+def _metrics(layer: str, df: DataFrame, names: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """One aggregate over a layer, unfolded to a row per metric."""
+    records = [f"struct({quoted(n)} AS metric, CAST({v} AS bigint) AS n)" for n, v in zip(names, values)]
+    wide = df.selectExpr(f"array({', '.join(records)}) AS records")
+    return wide.selectExpr(f"{quoted(layer)} AS layer", "inline(records)")
 
 
-def customer_metrics(layer: str, df: DataFrame, status: Column) -> DataFrame:
+def customer_metrics(layer: str, df: DataFrame, status: str) -> DataFrame:
     """All customer metrics of a layer; duplicates come from per-key counts."""
     per_id = df.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(c("customer_name").isNull()).alias("no_name"),
-        F.count_if(off_domain(status)).alias("off"),
-    )
-    totals = per_id.agg(
-        *[F.coalesce(F.sum(x), F.lit(0)).alias(m) for x, m in (("no_name", "m0"), ("off", "m1"))],
-        F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("m2"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("m3"),
+        F.expr("count_if(customer_name IS NULL)").alias("unnamed"),
+        F.expr(f"count_if({off_domain(status)})").alias("off"),
     )
-    return _metrics(layer, totals, CUSTOMER_METRICS)
+    sums = [f"coalesce(sum({value}), 0)" for value in ("unnamed", "off", "n - 1", "n")]
+    return _metrics(layer, per_id, CUSTOMER_METRICS, sums)
 
 
 def work_order_metrics(layer: str, df: DataFrame) -> DataFrame:
-    negative = (number("labor_cost") < 0) | (number("parts_cost") < 0)
-    inverted = instant("actual_end") < instant("actual_start")
-    totals = df.agg(
-        F.count_if(negative).alias("m0"), F.count_if(inverted).alias("m1"), F.count(F.lit(1)).alias("m2")
+    negative = f"{number('labor_cost')} < 0 OR {number('parts_cost')} < 0"
+    inverted = f"{instant('actual_end')} < {instant('actual_start')}"
+    return _metrics(
+        layer, df, WORK_ORDER_METRICS, [f"count_if({negative})", f"count_if({inverted})", "count(1)"]
     )
-    return _metrics(layer, totals, WORK_ORDER_METRICS)
 
 
-def curated_metrics(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def curated_metrics(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The curated layer holds no such problem by construction; only its rows are counted."""
-    last = len(names) - 1
-    totals = df.agg(
-        *[F.lit(0).alias(f"m{i}") for i in range(last)], F.count(F.lit(1)).alias(f"m{last}")
-    )
-    return _metrics(CURATED, totals, names)
+    return _metrics(CURATED, df, names, ["0"] * (len(names) - 1) + ["count(1)"])
 
 
 def before_after(
@@ -79,47 +72,35 @@ def before_after(
     curated_orders: DataFrame,
 ) -> DataFrame:
     """One row per metric with a column per layer."""
-    clean = ~c("is_quarantined")
     parts = [
         customer_metrics(RAW, raw_customers, upper_trim("account_status")),
-        customer_metrics(STAGING, staged_customers.filter(clean), c("account_status")),
+        customer_metrics(STAGING, staged_customers.filter(CLEAN), "account_status"),
         curated_metrics(curated_customers.filter("is_current"), CUSTOMER_METRICS),
         work_order_metrics(RAW, raw_orders),
-        work_order_metrics(STAGING, staged_orders.filter(clean)),
+        work_order_metrics(STAGING, staged_orders.filter(CLEAN)),
         curated_metrics(curated_orders, WORK_ORDER_METRICS),
     ]
-    tall = reduce(DataFrame.unionAll, parts)
-    layers = [F.max(F.when(c("layer") == name, c("n"))).alias(name.lower()) for name in (RAW, STAGING, CURATED)]
-    return tall.groupBy("metric").agg(*layers)
+    layers = [F.expr(f"max(n) FILTER (WHERE layer = '{name}')").alias(name.lower()) for name in (RAW, STAGING, CURATED)]
+    return reduce(DataFrame.unionAll, parts).groupBy("metric").agg(*layers)
 
 
 def before_after_customers(raw: DataFrame, staged: DataFrame, curated: DataFrame) -> DataFrame:
     """One row per layer with a column per customer metric."""
     names = ("null_names", "invalid_status", "duplicate_ids", "total_customers")
-
-    def row(label: str, df: DataFrame) -> DataFrame:
-        wide = [
-            F.max(F.when(c("metric") == metric, c("n"))).alias(name) for metric, name in zip(CUSTOMER_METRICS, names)
-        ]
-        return df.agg(*wide).select(F.lit(label).alias("layer"), *names)
-
-    return (
-        row("RAW (Dirty)", customer_metrics(RAW, raw, upper_trim("account_status")))
-        .unionAll(
-            row(
-                "STAGING (Cleansed)",
-                customer_metrics(STAGING, staged.filter(~c("is_quarantined")), c("account_status")),
-            )
-        )
-        .unionAll(
-            row("CURATED (Analytics-Ready)", curated_metrics(curated.filter("is_current"), CUSTOMER_METRICS))
-        )
-    )
+    layers = {
+        "RAW (Dirty)": customer_metrics(RAW, raw, upper_trim("account_status")),
+        "STAGING (Cleansed)": customer_metrics(STAGING, staged.filter(CLEAN), "account_status"),
+        "CURATED (Analytics-Ready)": curated_metrics(curated.filter("is_current"), CUSTOMER_METRICS),
+    }
+    wide = [
+        f"max(n) FILTER (WHERE metric = {quoted(metric)}) AS {name}" for metric, name in zip(CUSTOMER_METRICS, names)
+    ]
+    rows = [df.selectExpr(f"{quoted(label)} AS layer", *wide) for label, df in layers.items()]
+    return reduce(DataFrame.unionAll, rows)
 
 
-def pct_share(n: Column, total: Column) -> Column:
-    share = F.round(100.0 * n / F.greatest(total, F.lit(1)), 1)
-    return F.concat(share.cast("string"), F.lit("%"))
+def pct_share(n: str, total: str) -> str:
+    return f"concat(CAST(round(100.0D * {n} / greatest({total}, 1), 1) AS string), '%')"
 
 
 def pipeline_run(
@@ -127,36 +108,32 @@ def pipeline_run(
     name: str,
     started: dt.datetime,
     ended: dt.datetime,
-    extracted: list[DataFrame],
-    staged: list[DataFrame],
-    curated: list[DataFrame],
+    extracted: Sequence[DataFrame],
+    staged: Sequence[DataFrame],
+    curated: Sequence[DataFrame],
     status: str = "COMPLETED",
     triggered_by: str = "job",
 ) -> DataFrame:
     """One audit row; all counts come from one union of aggregates."""
-    zero = F.lit(0).cast("bigint")
-
-    def counts(df: DataFrame, layer: str) -> DataFrame:
-        n = F.count(F.lit(1))
-        held = F.count_if("is_quarantined") if layer == STAGING else zero
-        values = {RAW: (n, zero, zero, zero), STAGING: (zero, n, held, zero), CURATED: (zero, zero, zero, n)}[layer]
-        return df.agg(*[v.alias(k) for v, k in zip(values, ("e", "s", "h", "u"))])
-
-    parts = [counts(df, RAW) for df in extracted]
-    parts += [counts(df, STAGING) for df in staged]
-    parts += [counts(df, CURATED) for df in curated]
-    totals = reduce(DataFrame.unionAll, parts).agg(*[F.sum(k).alias(k) for k in ("e", "s", "h", "u")])
-    return totals.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(name).alias("pipeline_name"),
-        instant_literal(started).alias("run_start"),
-        instant_literal(ended).alias("run_end"),
-        F.lit(status).alias("status"),
-        c("e").alias("records_extracted"),
-        c("s").alias("records_staged"),
-        c("h").alias("records_quarantined"),
-        c("u").alias("records_curated"),
-        F.lit(None).cast("double").alias("dq_score"),
-        F.lit(None).cast("string").alias("error_message"),
-        F.lit(triggered_by).alias("triggered_by"),
-    )
+    columns = ("records_extracted", "records_staged", "records_quarantined", "records_curated")
+
+    def counts(df: DataFrame, **values: str) -> DataFrame:
+        return df.selectExpr(*[f"CAST({values.get(c, '0')} AS bigint) AS {c}" for c in columns])
+
+    held = "count_if(is_quarantined)"
+    parts = [counts(df, records_extracted="count(1)") for df in extracted]
+    parts += [counts(df, records_staged="count(1)", records_quarantined=held) for df in staged]
+    parts += [counts(df, records_curated="count(1)") for df in curated]
+    totals = reduce(DataFrame.unionAll, parts).selectExpr(*[f"sum({c}) AS {c}" for c in columns])
+    row = {
+        "run_id": quoted(run_id),
+        "pipeline_name": quoted(name),
+        "run_start": instant_literal(started),
+        "run_end": instant_literal(ended),
+        "status": quoted(status),
+        **{c: c for c in columns},
+        "dq_score": "CAST(NULL AS double)",
+        "error_message": "CAST(NULL AS string)",
+        "triggered_by": quoted(triggered_by),
+    }
+    return totals.selectExpr(*named(row))

@@ -5,17 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as d
 from ..functions import standardize as std
-from ..functions.columns import day, day_literal, instant, instant_literal, lower_trim, number, upper_trim
+from ..functions.columns import day, instant, instant_literal, lower_trim, named, number, quoted, upper_trim
 from ..operators import dedup
 from ..operators import quarantine as q
-from ..operators.quarantine import NOTEBOOK, SCRIPT
-
-c = F.col
+from ..operators.quarantine import NOTEBOOK, SCRIPT, with_flags
 
 
 @dataclass(frozen=True)
@@ -36,23 +34,20 @@ class Load:
     row_id: str = "_src_row"
 
     @property
-    def today(self) -> Column:
-        return day_literal(self.as_of)
-
-    def metadata(self) -> list[Column]:
-        batch = c("_batch_id") if self.batch_id is None else F.lit(self.batch_id)
-        return [instant_literal(self.loaded).alias("stg_load_date"), batch.alias("stg_batch_id")]
+    def metadata(self) -> dict[str, str]:
+        batch = "_batch_id" if self.batch_id is None else quoted(self.batch_id)
+        return {"stg_load_date": instant_literal(self.loaded), "stg_batch_id": batch}
 
 
 def with_parent_flag(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
     """Add whether the key exists in the parent; a null key does not."""
-    known = dedup.distinct_keys(parent.filter(c(key).isNotNull()), key).withColumn("_known", F.lit(True))
-    return child.join(known, key, "left").select(*child.columns, c("_known").isNotNull().alias(name))
+    known = dedup.distinct_keys(parent.filter(F.col(key).isNotNull()), key).withColumn("_known", F.lit(True))
+    return child.join(known, key, "left").selectExpr(*child.columns, f"_known IS NOT NULL AS {name}")
 
 
 def flagged_customers(raw: DataFrame, load: Load) -> DataFrame:
     marked = dedup.with_duplicate_flags(raw, load.row_id, load.null_keys_are_distinct)
-    return marked.withColumns(q.customer_flags(load.today, load.book, load.money))
+    return with_flags(marked, q.customer_flags(load.book, load.money), load.as_of)
 
 
 def stage_customers(raw: DataFrame, load: Load) -> DataFrame:
@@ -61,103 +56,100 @@ def stage_customers(raw: DataFrame, load: Load) -> DataFrame:
     reason = q.customer_reason(load.book)
     if script:
         rows = dedup.with_master_key(rows, raw)
-        reason = F.coalesce(reason, dedup.duplicate_reason())
-        master = c("duplicate_of_key")
-    else:
-        master = F.lit(None).cast("string").alias("duplicate_of_key")
-    region = F.trim("region_code") if script else upper_trim("region_code")
-    return rows.select(
-        "customer_id",
-        F.trim("customer_name").alias("customer_name"),
-        std.customer_type().alias("customer_type"),
-        std.customer_status(keep_raw=script).alias("account_status"),
-        number("credit_limit", load.money).alias("credit_limit"),
-        F.trim("primary_contact").alias("primary_contact"),
-        lower_trim("email_address").alias("email_address"),
-        "phone_number",
-        F.trim("billing_city").alias("billing_city"),
-        upper_trim("billing_state").alias("billing_state"),
-        std.zip5().alias("billing_zip"),
-        region.alias("region_code"),
-        day("created_date").alias("created_date"),
-        instant("last_modified").alias("last_modified"),
-        "source_system",
-        (q.customer_gate(load.book) | c("is_duplicate")).alias("is_quarantined"),
-        reason.alias("quarantine_reason"),
-        q.customer_score(load.book).alias("dq_score"),
-        "is_duplicate",
-        master,
-        *load.metadata(),
-    )
+        reason = f"coalesce({reason}, {dedup.DUPLICATE_REASON})"
+    staged = {
+        "customer_id": "customer_id",
+        "customer_name": "trim(customer_name)",
+        "customer_type": std.customer_type(),
+        "account_status": std.customer_status(keep_raw=script),
+        "credit_limit": number("credit_limit", load.money),
+        "primary_contact": "trim(primary_contact)",
+        "email_address": lower_trim("email_address"),
+        "phone_number": "phone_number",
+        "billing_city": "trim(billing_city)",
+        "billing_state": upper_trim("billing_state"),
+        "billing_zip": std.zip5(),
+        "region_code": "trim(region_code)" if script else upper_trim("region_code"),
+        "created_date": day("created_date"),
+        "last_modified": instant("last_modified"),
+        "source_system": "source_system",
+        "is_quarantined": f"{q.customer_gate(load.book)} OR is_duplicate",
+        "quarantine_reason": reason,
+        "dq_score": q.customer_score(load.book),
+        "is_duplicate": "is_duplicate",
+        "duplicate_of_key": "duplicate_of_key" if script else "CAST(NULL AS string)",
+        **load.metadata,
+    }
+    return rows.selectExpr(*named(staged))
 
 
 def flagged_work_orders(raw: DataFrame, customers: DataFrame, load: Load) -> DataFrame:
     latest = dedup.keep_latest(raw, ["work_order_id"], dedup.extract_order(load.row_id))
     checked = with_parent_flag(latest, customers, "customer_id", "ref_integrity_ok")
-    return checked.withColumns(q.work_order_flags(load.money, load.three_valued))
+    return with_flags(checked, q.work_order_flags(load.money, load.three_valued), load.as_of)
 
 
 def stage_work_orders(raw: DataFrame, customers: DataFrame, load: Load) -> DataFrame:
     script = load.book == SCRIPT
     hours = "decimal(6,2)" if load.money.startswith("decimal") else "double"
-    rows = flagged_work_orders(raw, customers, load)
-    return rows.select(
-        "work_order_id",
-        "work_order_number",
-        "site_id",
-        "customer_id",
-        std.work_order_type().alias("work_order_type"),
-        std.priority(checked=script).alias("priority"),
-        std.work_order_status().alias("status"),
-        F.trim("description").alias("description"),
-        day("scheduled_date").alias("scheduled_date"),
-        instant("actual_start").alias("actual_start"),
-        std.end_not_before("actual_start", "actual_end").alias("actual_end"),
-        number("estimated_hours", hours).alias("estimated_hours"),
-        std.in_range("actual_hours", 0, d.MAX_HOURS, hours).alias("actual_hours"),
-        std.in_range("labor_cost", 0, money=load.money).alias("labor_cost"),
-        std.in_range("parts_cost", 0, money=load.money).alias("parts_cost"),
-        std.in_range("total_cost", 0, money=load.money).alias("total_cost"),
-        instant("sla_due_date").alias("sla_due_date"),
-        std.bool_text("sla_met").alias("sla_met"),
-        F.trim("resolution_code").alias("resolution_code"),
-        day("created_date").alias("created_date"),
-        instant("last_modified").alias("last_modified"),
-        q.work_order_gate().alias("is_quarantined"),
-        q.work_order_reason(load.book).alias("quarantine_reason"),
-        q.work_order_score(load.book, load.money).alias("dq_score"),
-        "ref_integrity_ok",
-        *load.metadata(),
-    )
+    staged = {
+        "work_order_id": "work_order_id",
+        "work_order_number": "work_order_number",
+        "site_id": "site_id",
+        "customer_id": "customer_id",
+        "work_order_type": std.work_order_type(),
+        "priority": std.priority(checked=script),
+        "status": std.work_order_status(),
+        "description": "trim(description)",
+        "scheduled_date": day("scheduled_date"),
+        "actual_start": instant("actual_start"),
+        "actual_end": std.end_not_before("actual_start", "actual_end"),
+        "estimated_hours": number("estimated_hours", hours),
+        "actual_hours": std.in_range("actual_hours", 0, d.MAX_HOURS, hours),
+        "labor_cost": std.in_range("labor_cost", 0, money=load.money),
+        "parts_cost": std.in_range("parts_cost", 0, money=load.money),
+        "total_cost": std.in_range("total_cost", 0, money=load.money),
+        "sla_due_date": instant("sla_due_date"),
+        "sla_met": std.bool_text("sla_met"),
+        "resolution_code": "trim(resolution_code)",
+        "created_date": day("created_date"),
+        "last_modified": instant("last_modified"),
+        "is_quarantined": q.WORK_ORDER_GATE,
+        "quarantine_reason": q.work_order_reason(load.book),
+        "dq_score": q.work_order_score(load.book, load.money),
+        "ref_integrity_ok": "ref_integrity_ok",
+        **load.metadata,
+    }
+    return flagged_work_orders(raw, customers, load).selectExpr(*named(staged))
 
 
 def flagged_technicians(raw: DataFrame, load: Load) -> DataFrame:
     latest = dedup.keep_latest(raw, ["technician_id"], dedup.extract_order(load.row_id))
-    return latest.withColumns(q.technician_flags(load.today, load.money))
+    return with_flags(latest, q.technician_flags(load.money), load.as_of)
 
 
 def stage_technicians(raw: DataFrame, load: Load) -> DataFrame:
-    rows = flagged_technicians(raw, load)
-    return rows.select(
-        "technician_id",
-        "employee_number",
-        "first_name",
-        "last_name",
-        std.full_name().alias("full_name"),
-        std.technician_status().alias("employment_status"),
-        upper_trim("skill_level").alias("skill_level"),
-        upper_trim("home_region").alias("home_region"),
-        day("hire_date").alias("hire_date"),
-        day("termination_date").alias("termination_date"),
-        std.in_range("hourly_rate", 0, d.MAX_RATE, load.money).alias("hourly_rate"),
-        "manager_id",
-        "email",
-        "mobile_phone",
-        q.technician_gate().alias("is_quarantined"),
-        q.technician_reason().alias("quarantine_reason"),
-        q.technician_score().alias("dq_score"),
-        *load.metadata(),
-    )
+    staged = {
+        "technician_id": "technician_id",
+        "employee_number": "employee_number",
+        "first_name": "first_name",
+        "last_name": "last_name",
+        "full_name": std.full_name(),
+        "employment_status": std.technician_status(),
+        "skill_level": upper_trim("skill_level"),
+        "home_region": upper_trim("home_region"),
+        "hire_date": day("hire_date"),
+        "termination_date": day("termination_date"),
+        "hourly_rate": std.in_range("hourly_rate", 0, d.MAX_RATE, load.money),
+        "manager_id": "manager_id",
+        "email": "email",
+        "mobile_phone": "mobile_phone",
+        "is_quarantined": q.TECHNICIAN_GATE,
+        "quarantine_reason": q.TECHNICIAN_REASON,
+        "dq_score": q.TECHNICIAN_SCORE,
+        **load.metadata,
+    }
+    return flagged_technicians(raw, load).selectExpr(*named(staged))
 
 
 def stage_invoices(raw: DataFrame, work_orders: DataFrame, customers: DataFrame, load: Load) -> DataFrame:
@@ -165,24 +157,24 @@ def stage_invoices(raw: DataFrame, work_orders: DataFrame, customers: DataFrame,
     rows = dedup.keep_latest(raw, ["invoice_id"], dedup.extract_order(load.row_id))
     rows = with_parent_flag(rows, work_orders, "work_order_id", "order_ok")
     rows = with_parent_flag(rows, customers, "customer_id", "customer_ok")
-    rows = rows.withColumns(q.invoice_flags(load.money))
-    return rows.select(
-        "invoice_id",
-        "invoice_number",
-        "work_order_id",
-        "customer_id",
-        day("invoice_date").alias("invoice_date"),
-        day("due_date").alias("due_date"),
-        std.invoice_status().alias("invoice_status"),
-        std.in_range("subtotal", 0, money=load.money).alias("subtotal"),
-        number("tax_amount", load.money).alias("tax_amount"),
-        number("discount_amount", load.money).alias("discount_amount"),
-        std.in_range("total_amount", 0, money=load.money).alias("total_amount"),
-        "payment_terms",
-        std.in_range("payment_received", 0, money=load.money).alias("payment_received"),
-        day("payment_date").alias("payment_date"),
-        q.invoice_gate().alias("is_quarantined"),
-        q.invoice_reason().alias("quarantine_reason"),
-        q.invoice_score().alias("dq_score"),
-        *load.metadata(),
-    )
+    staged = {
+        "invoice_id": "invoice_id",
+        "invoice_number": "invoice_number",
+        "work_order_id": "work_order_id",
+        "customer_id": "customer_id",
+        "invoice_date": day("invoice_date"),
+        "due_date": day("due_date"),
+        "invoice_status": std.invoice_status(),
+        "subtotal": std.in_range("subtotal", 0, money=load.money),
+        "tax_amount": number("tax_amount", load.money),
+        "discount_amount": number("discount_amount", load.money),
+        "total_amount": std.in_range("total_amount", 0, money=load.money),
+        "payment_terms": "payment_terms",
+        "payment_received": std.in_range("payment_received", 0, money=load.money),
+        "payment_date": day("payment_date"),
+        "is_quarantined": q.INVOICE_GATE,
+        "quarantine_reason": q.INVOICE_REASON,
+        "dq_score": q.INVOICE_SCORE,
+        **load.metadata,
+    }
+    return with_flags(rows, q.invoice_flags(load.money), load.as_of).selectExpr(*named(staged))

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from .functions import domains as d
 from .functions import standardize as std
-from .functions.columns import day, day_literal, instant, lower_trim, number, upper_trim
+from .functions.columns import day, instant, lower_trim, named, number, upper_trim
 from .operators import dedup, listings, scoring
 from .operators import quarantine as q
-from .operators.catalog import BY_KEY, RULES
+from .operators.catalog import BY_KEY, RULES, negative
 from .operators.evaluate import (
     RESULT_COLUMNS,
     evaluate,
@@ -63,12 +63,8 @@ def query(name: str):
     return register
 
 
-def today():
-    return day_literal(AS_OF)
-
-
 def results(raw: Raw, rules=RULES) -> DataFrame:
-    return evaluate(raw, rules, today())
+    return evaluate(raw, rules, AS_OF)
 
 
 # -- sources and sinks ------------------------------------------------------
@@ -125,7 +121,7 @@ def _(raw):
     path = scratch_path(raw.spark, "results")
     rules = rules_for_table(RULES, "raw.technicians")
     for run_id, as_of in (("RUN-1", AS_OF), ("RUN-2", MERGE_DAY)):
-        rows = scoring.result_rows(evaluate(raw, rules, day_literal(as_of)), run_id, LOADED)
+        rows = scoring.result_rows(evaluate(raw, rules, as_of), run_id, LOADED)
         table = sinks.append(rows, path)
     return table
 
@@ -134,16 +130,18 @@ def _(raw):
 def _(raw):
     """Days of the invoices first, then the due dates not there yet."""
     path = scratch_path(raw.spark, "absent")
-    invoiced = raw["invoices"].select(day("invoice_date").alias("full_date")).filter("full_date IS NOT NULL")
-    due = raw["invoices"].select(day("due_date").alias("full_date")).filter("full_date IS NOT NULL")
-    keyed = lambda df: df.distinct().select(cur.date_key("full_date").alias("date_sk"), "full_date")
-    sinks.overwrite(keyed(invoiced), path)
-    return sinks.insert_if_absent(keyed(due), path, ["date_sk"])
+
+    def days(column: str) -> DataFrame:
+        found = raw["invoices"].selectExpr(f"{day(column)} AS full_date").filter("full_date IS NOT NULL").distinct()
+        return found.selectExpr(f"{cur.date_key('full_date')} AS date_sk", "full_date")
+
+    sinks.overwrite(days("invoice_date"), path)
+    return sinks.insert_if_absent(days("due_date"), path, ["date_sk"])
 
 
 @query("sink_csv_export")
 def _(raw):
-    rows = evaluate_external(raw, today()).select(
+    rows = evaluate_external(raw, AS_OF).select(
         "rule_code", "dq_dimension", "target_table", "severity", "total_records", "failed_records", "status"
     )
     return sinks.export_csv(rows, scratch_path(raw.spark, "csv"))
@@ -165,7 +163,7 @@ def _rule_query(rule):
 
     @query(f"violations_{rule.key}")
     def _(raw):
-        return listings.violations(raw, rule.key, today())
+        return listings.violations(raw, rule.key, AS_OF)
 
 
 for _rule in RULES:
@@ -185,7 +183,7 @@ def _group_query(group):
 def _extended_listing(rule):
     @query("violations_" + rule.key)
     def _(raw):
-        return violating_rows(raw[rule.table], rule, today())
+        return violating_rows(raw[rule.table], rule, AS_OF)
 
 
 for _group in GROUPS:
@@ -205,17 +203,17 @@ def _(raw):
 
 @query("rule_pass_rate_sql")
 def _(raw):
-    counts = row_rule_counts(raw["customers"], [BY_KEY["c_001"]], today())
-    rate = 100.0 * (1 - F.try_divide(c("failed_records"), F.nullif(c("total_records"), F.lit(0))))
-    return counts.select(
+    counts = row_rule_counts(raw["customers"], [BY_KEY["c_001"]], AS_OF)
+    rate = "100.0D * (1 - failed_records / nullif(total_records, 0))"
+    return counts.selectExpr(
         "rule_code",
         "severity",
         "dq_dimension",
         "target_table",
-        F.lit("customer_name").alias("target_column"),
+        "'customer_name' AS target_column",
         "total_records",
         "failed_records",
-        rate.cast("decimal(5,2)").cast("double").alias("pass_rate_pct"),
+        f"CAST(CAST({rate} AS decimal(5,2)) AS double) AS pass_rate_pct",
     )
 
 
@@ -225,7 +223,7 @@ def _(raw):
     parts = []
     for table in ("customers", "technicians", "work_orders", "invoices", "assignments"):
         rules = [r for r in RULES if isinstance(r, RowRule) and r.table == table]
-        parts.append(with_outcome(row_rule_counts(raw[table], rules, today(), ["_batch_id"])))
+        parts.append(with_outcome(row_rule_counts(raw[table], rules, AS_OF, ["_batch_id"])))
     return reduce(DataFrame.unionAll, parts).select("_batch_id", *RESULT_COLUMNS)
 
 
@@ -236,10 +234,10 @@ def _(raw):
 
 @query("rule_error_isolation")
 def _(raw):
-    broken = replace(BY_KEY["v_016"], code="V-016B", fails=lambda a: c("no_such_column").isNull())
+    broken = replace(BY_KEY["v_016"], code="V-016B", fails="no_such_column IS NULL")
     rules = rules_for_table(RULES, "raw.customers")
     rules = [r for r in rules if isinstance(r, RowRule)] + [broken]
-    return evaluate_isolated(raw, rules, today()).select(*RESULT_COLUMNS)
+    return evaluate_isolated(raw, rules, AS_OF).select(*RESULT_COLUMNS)
 
 
 @query("dq_score_overall")
@@ -254,7 +252,7 @@ def _(raw):
 
 @query("dq_score_external")
 def _(raw):
-    rows = evaluate_external(raw, today())
+    rows = evaluate_external(raw, AS_OF)
     return rows.select(
         "rule_code", "severity", "total_records", "failed_records", "pass_rate", "status"
     ).crossJoin(scoring.graded(rows, digits=1))
@@ -285,7 +283,7 @@ def _runs(raw, days: int) -> DataFrame:
     rows = []
     for back in range(days):
         as_of = AS_OF - dt.timedelta(days=30 * back)
-        rows.append(scoring.summary_row(evaluate(raw, rules, day_literal(as_of)), f"RUN-{as_of}", as_of))
+        rows.append(scoring.summary_row(evaluate(raw, rules, as_of), f"RUN-{as_of}", as_of))
     return reduce(DataFrame.unionAll, rows)
 
 
@@ -297,20 +295,16 @@ def _(raw):
 @query("dq_aggregate_by_table")
 def _(raw):
     """The summed form over six counts, with that report's own spelling and severities."""
-    null_name = replace(BY_KEY["c_001"], dimension="COMPLETENESS", fails=lambda a: c("customer_name").isNull())
+    null_name = replace(BY_KEY["c_001"], dimension="COMPLETENESS", fails="customer_name IS NULL")
     suite = [
         null_name,
         replace(BY_KEY["c_002"], dimension="COMPLETENESS", severity="HIGH"),
         replace(BY_KEY["u_001"], dimension="UNIQUENESS"),
         replace(BY_KEY["u_003"], dimension="UNIQUENESS"),
         replace(BY_KEY["v_001"], dimension="VALIDITY"),
-        replace(
-            BY_KEY["v_006"],
-            dimension="VALIDITY",
-            fails=lambda a: (number("labor_cost") < 0) | (number("parts_cost") < 0),
-        ),
+        replace(BY_KEY["v_006"], dimension="VALIDITY", fails=negative("labor_cost", "parts_cost")),
     ]
-    return scoring.by_table(rule_counts(raw, suite, today()))
+    return scoring.by_table(rule_counts(raw, suite, AS_OF))
 
 
 @query("dq_results_table")
@@ -353,8 +347,8 @@ def _(raw):
 
 @query("dedup_reason")
 def _(raw):
-    return dedup.with_duplicate_flags(raw["customers"]).select(
-        "_src_row", "customer_id", dedup.duplicate_reason().alias("dup_reason")
+    return dedup.with_duplicate_flags(raw["customers"]).selectExpr(
+        "_src_row", "customer_id", f"{dedup.DUPLICATE_REASON} AS dup_reason"
     )
 
 
@@ -388,107 +382,48 @@ def _(raw):
 # -- standardisation --------------------------------------------------------
 
 
-@query("std_customer_status")
-def _(raw):
-    return raw["customers"].select(
-        "_src_row",
-        "account_status",
-        std.customer_status().alias("status_std"),
-        std.customer_status(known_typos=False).alias("status_without_typos"),
-        std.customer_status(keep_raw=True).alias("status_or_raw"),
-    )
-
-
-@query("std_customer_type")
-def _(raw):
-    return raw["customers"].select("_src_row", "customer_type", std.customer_type().alias("type_std"))
-
-
-@query("std_wo_status")
-def _(raw):
-    return raw["work_orders"].select("_src_row", "status", std.work_order_status().alias("status_std"))
-
-
-@query("std_wo_type")
-def _(raw):
-    return raw["work_orders"].select("_src_row", "work_order_type", std.work_order_type().alias("type_std"))
-
-
-@query("std_priority")
-def _(raw):
-    return raw["work_orders"].select(
-        "_src_row", std.priority().alias("priority_std"), std.priority(checked=True).alias("priority_checked")
-    )
-
-
-@query("std_bool_text")
-def _(raw):
-    return raw["work_orders"].select("_src_row", "sla_met", std.bool_text("sla_met").alias("sla_met_std"))
-
-
-@query("std_tech_status")
-def _(raw):
-    return raw["technicians"].select("_src_row", "employment_status", std.technician_status().alias("status_std"))
-
-
-@query("coerce_number")
-def _(raw):
-    return raw["customers_all"].select(
-        "_src_row",
-        number("credit_limit").alias("as_double"),
-        number("credit_limit", "decimal(12,2)").cast("double").alias("as_decimal"),
-    )
-
-
-@query("coerce_date")
-def _(raw):
-    return raw["customers"].select("_src_row", day("created_date").alias("created_date_d"))
-
-
-@query("coerce_timestamp")
-def _(raw):
-    return raw["customers"].select("_src_row", instant("last_modified").alias("last_modified_ts"))
-
-
-@query("clean_text")
-def _(raw):
-    return raw["customers"].select(
-        "_src_row",
-        F.trim("customer_name").alias("customer_name"),
-        lower_trim("email_address").alias("email_address"),
-        F.trim("billing_city").alias("billing_city"),
-        upper_trim("billing_state").alias("billing_state"),
-        std.zip5().alias("billing_zip"),
-        upper_trim("region_code").alias("region_code"),
-    )
-
-
-@query("repair_null_inverted_end")
-def _(raw):
-    return raw["work_orders"].select(
-        "_src_row", std.end_not_before("actual_start", "actual_end").alias("actual_end")
-    )
-
+def projection(name: str, table: str, **columns: str) -> None:
+    """A query that shows raw rows next to expressions over them."""
+    query(name)(lambda raw: raw[table].selectExpr("_src_row", *named(columns)))
 
-@query("repair_null_out_of_range")
-def _(raw):
-    return raw["work_orders"].select(
-        "_src_row",
-        std.in_range("actual_hours", 0, d.MAX_HOURS).alias("actual_hours"),
-        std.in_range("labor_cost", 0).alias("labor_cost"),
-        std.in_range("parts_cost", 0).alias("parts_cost"),
-        std.in_range("total_cost", 0).alias("total_cost"),
-    )
 
-
-@query("repair_null_rate")
-def _(raw):
-    return raw["technicians"].select("_src_row", std.in_range("hourly_rate", 0, d.MAX_RATE).alias("hourly_rate"))
-
-
-@query("derive_full_name")
-def _(raw):
-    return raw["technicians"].select("_src_row", std.full_name().alias("full_name"))
+projection(
+    "std_customer_status", "customers", account_status="account_status", status_std=std.customer_status(),
+    status_without_typos=std.customer_status(known_typos=False), status_or_raw=std.customer_status(keep_raw=True),
+)
+projection("std_customer_type", "customers", customer_type="customer_type", type_std=std.customer_type())
+projection("std_wo_status", "work_orders", status="status", status_std=std.work_order_status())
+projection("std_wo_type", "work_orders", work_order_type="work_order_type", type_std=std.work_order_type())
+projection("std_priority", "work_orders", priority_std=std.priority(), priority_checked=std.priority(checked=True))
+projection("std_bool_text", "work_orders", sla_met="sla_met", sla_met_std=std.bool_text("sla_met"))
+projection(
+    "std_tech_status", "technicians", employment_status="employment_status", status_std=std.technician_status()
+)
+projection(
+    "coerce_number", "customers_all", as_double=number("credit_limit"),
+    as_decimal=f"CAST({number('credit_limit', 'decimal(12,2)')} AS double)",
+)
+projection("coerce_date", "customers", created_date_d=day("created_date"))
+projection("coerce_timestamp", "customers", last_modified_ts=instant("last_modified"))
+projection(
+    "clean_text", "customers",
+    customer_name="trim(customer_name)",
+    email_address=lower_trim("email_address"),
+    billing_city="trim(billing_city)",
+    billing_state=upper_trim("billing_state"),
+    billing_zip=std.zip5(),
+    region_code=upper_trim("region_code"),
+)
+projection("repair_null_inverted_end", "work_orders", actual_end=std.end_not_before("actual_start", "actual_end"))
+projection(
+    "repair_null_out_of_range", "work_orders",
+    actual_hours=std.in_range("actual_hours", 0, d.MAX_HOURS),
+    labor_cost=std.in_range("labor_cost", 0),
+    parts_cost=std.in_range("parts_cost", 0),
+    total_cost=std.in_range("total_cost", 0),
+)
+projection("repair_null_rate", "technicians", hourly_rate=std.in_range("hourly_rate", 0, d.MAX_RATE))
+projection("derive_full_name", "technicians", full_name=std.full_name())
 
 
 @query("ref_flag")
@@ -499,7 +434,7 @@ def _(raw):
 
 @query("add_load_metadata")
 def _(raw):
-    return raw["technicians"].select("technician_id", *LOAD.metadata())
+    return raw["technicians"].selectExpr("technician_id", *named(LOAD.metadata))
 
 
 def staged_customers(raw, load=LOAD):
@@ -529,84 +464,66 @@ query("stage_invoices")(staged_invoices)
 
 # -- quarantine -------------------------------------------------------------
 
-CUSTOMER_FLAGS = (
-    "q_null_name", "q_null_status", "q_invalid_status", "q_neg_credit", "q_bad_credit", "q_future_date",
-)
 
+def customer_flags(raw, book=q.NOTEBOOK):
+    return q.with_flags(raw["customers"], q.customer_flags(book), AS_OF)
 
-@query("quarantine_flags_customers")
-def _(raw):
-    return raw["customers"].withColumns(q.customer_flags(today())).select(
-        "_src_row", *CUSTOMER_FLAGS, q.customer_gate().alias("should_quarantine")
-    )
 
+def _customer_book(suffix, book):
+    @query("quarantine_flags_customers" + suffix)
+    def _(raw):
+        gate = f"{q.customer_gate(book)} AS should_quarantine"
+        return customer_flags(raw, book).selectExpr("_src_row", *q.customer_flags(), gate)
 
-@query("quarantine_flags_customers_sql")
-def _(raw):
-    return raw["customers"].withColumns(q.customer_flags(today(), q.SCRIPT)).select(
-        "_src_row", *CUSTOMER_FLAGS, q.customer_gate(q.SCRIPT).alias("should_quarantine")
-    )
+    @query("record_score_customers" + suffix)
+    def _(raw):
+        return customer_flags(raw, book).selectExpr("_src_row", f"{q.customer_score(book)} AS dq_score")
 
 
-@query("quarantine_flags_work_orders")
-def _(raw):
-    return stg.flagged_work_orders(raw["work_orders"], raw["customers"], LOAD).select(
-        "work_order_id", "q_null_cust", "q_orphan_cust", "q_inv_time", "q_neg_cost",
-        q.work_order_gate().alias("should_quarantine"),
-    )
+_customer_book("", q.NOTEBOOK)
+_customer_book("_sql", q.SCRIPT)
 
 
-@query("quarantine_flags_technicians")
-def _(raw):
-    return stg.flagged_technicians(raw["technicians"], LOAD).select(
-        "technician_id", "q_null_emp", "q_neg_rate", "q_future_hire", "q_inv_dates",
-        q.technician_gate().alias("should_quarantine"),
-    )
+def order_flags(raw):
+    return stg.flagged_work_orders(raw["work_orders"], raw["customers"], LOAD)
 
 
-@query("quarantine_reason")
+@query("quarantine_flags_work_orders")
 def _(raw):
-    """Reasons of all three staged tables, side by side."""
-    customers = stg.flagged_customers(raw["customers"], LOAD).select(
-        F.lit("customers").alias("table_name"),
-        c("_src_row").alias("source_row"),
-        q.customer_reason().alias("quarantine_reason"),
-    )
-    orders = stg.flagged_work_orders(raw["work_orders"], raw["customers"], LOAD).select(
-        F.lit("work_orders"), "_src_row", q.work_order_reason()
-    )
-    technicians = stg.flagged_technicians(raw["technicians"], LOAD).select(
-        F.lit("technicians"), "_src_row", q.technician_reason()
-    )
-    return customers.unionAll(orders).unionAll(technicians)
+    gate = f"{q.WORK_ORDER_GATE} AS should_quarantine"
+    return order_flags(raw).selectExpr("work_order_id", *q.work_order_flags(), gate)
 
 
-@query("record_score_customers")
+@query("quarantine_flags_technicians")
 def _(raw):
-    return raw["customers"].withColumns(q.customer_flags(today())).select(
-        "_src_row", q.customer_score().alias("dq_score")
-    )
+    gate = f"{q.TECHNICIAN_GATE} AS should_quarantine"
+    return stg.flagged_technicians(raw["technicians"], LOAD).selectExpr("technician_id", *q.technician_flags(), gate)
 
 
-@query("record_score_customers_sql")
+@query("quarantine_reason")
 def _(raw):
-    return raw["customers"].withColumns(q.customer_flags(today(), q.SCRIPT)).select(
-        "_src_row", q.customer_score(q.SCRIPT).alias("dq_score")
-    )
+    """Reasons of all three staged tables, one below the other."""
+    tables = {
+        "customers": (stg.flagged_customers(raw["customers"], LOAD), q.customer_reason()),
+        "work_orders": (order_flags(raw), q.work_order_reason()),
+        "technicians": (stg.flagged_technicians(raw["technicians"], LOAD), q.TECHNICIAN_REASON),
+    }
+    parts = [
+        df.selectExpr(f"'{name}' AS table_name", "_src_row AS source_row", f"{reason} AS quarantine_reason")
+        for name, (df, reason) in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 @query("record_score_work_orders")
 def _(raw):
-    return stg.flagged_work_orders(raw["work_orders"], raw["customers"], LOAD).select(
-        "work_order_id", q.work_order_score().alias("dq_score")
-    )
+    return order_flags(raw).selectExpr("work_order_id", f"{q.work_order_score()} AS dq_score")
 
 
 @query("record_score_technicians")
 def _(raw):
-    return stg.flagged_technicians(raw["technicians"], LOAD).select(
-        "technician_id", q.technician_score().alias("dq_score")
-    )
+    flagged = stg.flagged_technicians(raw["technicians"], LOAD)
+    return flagged.selectExpr("technician_id", f"{q.TECHNICIAN_SCORE} AS dq_score")
 
 
 def customer_log(raw, load=LOAD):
@@ -645,8 +562,8 @@ def _(raw):
 
 def calendar(raw) -> DataFrame:
     """The years the orders and invoices fall in."""
-    days = raw["work_orders"].select(day("scheduled_date").alias("d")).unionAll(
-        raw["invoices"].select(day("due_date").alias("d"))
+    days = raw["work_orders"].selectExpr(f"{day('scheduled_date')} AS d").unionAll(
+        raw["invoices"].selectExpr(f"{day('due_date')} AS d")
     )
     return cur.days_covering(days, "d")
 
@@ -656,7 +573,7 @@ def customers_dim(raw, load=LOAD):
 
 
 query("dim_date")(lambda raw: cur.dim_date(calendar(raw)))
-query("dim_date_sql")(lambda raw: cur.dim_date(calendar(raw), cur.sunday_week(), fiscal=False))
+query("dim_date_sql")(lambda raw: cur.dim_date(calendar(raw), cur.SUNDAY_WEEK, fiscal=False))
 query("dim_customer")(customers_dim)
 query("dim_technician")(lambda raw: cur.dim_technician(staged_technicians(raw), LOADED))
 
@@ -705,7 +622,7 @@ def _(raw):
     customers, orders = staged_customers(raw), staged_orders(raw)
     return mon.before_after(
         raw["customers"], customers, cur.dim_customer(customers, LOADED),
-        raw["work_orders"], orders, orders.filter(~c("is_quarantined")),
+        raw["work_orders"], orders, orders.filter("NOT is_quarantined"),
     )
 
 
@@ -718,7 +635,7 @@ def _(raw):
 @query("pct_share")
 def _(raw):
     counts = q.quarantine_counts({"stg.customers": staged_customers(raw), "stg.work_orders": staged_orders(raw)})
-    return counts.select("table_name", mon.pct_share(c("quarantined"), c("total")).alias("quarantined_pct"))
+    return counts.selectExpr("table_name", f"{mon.pct_share('quarantined', 'total')} AS quarantined_pct")
 
 
 @query("pipeline_run_log")
@@ -728,5 +645,5 @@ def _(raw):
         RUN_ID, "dq_pipeline", LOADED, LOADED,
         [raw["customers"], raw["work_orders"]],
         [customers, orders],
-        [cur.dim_customer(customers, LOADED), orders.filter(~c("is_quarantined"))],
+        [cur.dim_customer(customers, LOADED), orders.filter("NOT is_quarantined")],
     )

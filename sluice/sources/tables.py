@@ -86,7 +86,7 @@ def literal_rows(
 
 def stamp_batch(df: DataFrame, extracted: dt.datetime, batch_id: str) -> DataFrame:
     """Mark every row with its extract time and batch."""
-    return df.withColumns({"_extract_timestamp": instant_literal(extracted), "_batch_id": F.lit(batch_id)})
+    return df.withColumns({"_extract_timestamp": F.expr(instant_literal(extracted)), "_batch_id": F.lit(batch_id)})
 
 
 def as_text(df: DataFrame) -> DataFrame:
