@@ -25,6 +25,7 @@ from ..functions.columns import (
     upper_trim,
 )
 from . import profiles as p
+from .joins import attach
 from .profiles import COMPLETED, OPEN, TERMINATED, key_profile
 from .rules import Frames, KeyRule, PairRule, RowRule
 
@@ -458,7 +459,7 @@ def terminated_on_open(frames: Frames, as_of: dt.date) -> DataFrame:
     tasks = key_profile(frames, p.TASK, ["tasks"], as_of)
     gone = frames["technicians"].filter(TERMINATED).groupBy("technician_id").agg(count.alias("gone"))
     orders = frames["work_orders"].filter(OPEN).groupBy("work_order_id").agg(count.alias("open_orders"))
-    joined = tasks.join(gone, "technician_id", "left").join(orders, "work_order_id", "left")
+    joined = attach(attach(tasks, gone, ["technician_id"]), orders, ["work_order_id"])
     return joined.selectExpr(
         "coalesce(sum(tasks), 0) AS total_records",
         "coalesce(sum(tasks * gone * open_orders), 0) AS failed_records",

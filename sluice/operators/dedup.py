@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import case, instant, lower_trim, quoted
 from ..sources.tables import shared_dir
+from .joins import attach
 
 
 def newest_first(name: str | Column) -> Column:
@@ -153,10 +154,17 @@ def other_ids_by_email(customers: DataFrame) -> DataFrame:
     )
 
 
-def with_master_key(flagged: DataFrame, customers: DataFrame, name: str = "duplicate_of_key") -> DataFrame:
+def with_master_key(
+    flagged: DataFrame, customers: DataFrame, name: str = "duplicate_of_key", row_id: str = "_src_row"
+) -> DataFrame:
     """For duplicates, the smallest other customer_id with the same e-mail."""
-    masters = other_ids_by_email(customers)
-    own = F.when(F.col("is_duplicate"), F.lower(F.rtrim("email_address")))
-    joined = flagged.withColumn("_own", own).join(masters, F.col("_own") == F.col("email_key"), "left")
-    other = F.when(F.col("first_id") != F.col("customer_id"), F.col("first_id")).otherwise(F.col("second_id"))
-    return joined.select(*flagged.columns, other.alias(name))
+    masters = other_ids_by_email(customers).selectExpr("true AS wanted", "*")
+    # rows that look for nothing get a key of their own, so that they do not pile up under one
+    wanted = "(is_duplicate AND email_address IS NOT NULL)"
+    keyed = flagged.selectExpr(
+        "*",
+        f"{wanted} AS wanted",
+        f"if({wanted}, lower(rtrim(email_address)), CAST({row_id} AS string)) AS email_key",
+    )
+    other = "if(first_id <> customer_id, first_id, second_id)"
+    return attach(keyed, masters, ["wanted", "email_key"]).selectExpr(*flagged.columns, f"{other} AS {name}")

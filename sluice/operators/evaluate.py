@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import at, case, named, quoted
+from .joins import attach, per_key_keys
 from .profiles import key_profile
 from .rules import Frames, KeyRule, PairRule, RowRule, Rule
 
@@ -189,11 +190,12 @@ def violating_rows(df: DataFrame, rule: RowRule, as_of: dt.date) -> DataFrame:
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows with a key no parent row has."""
-    return child.filter(F.col(key).isNotNull()).join(parent.select(key), key, "left_anti")
+    return attach(child.filter(F.col(key).isNotNull()), per_key_keys(parent, key), [key], "left_anti")
 
 
 def childless_rows(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
-    return parent.join(child.select(key), key, "left_anti")
+    """Parent rows without a child; a null key never finds one."""
+    return attach(parent, per_key_keys(child, key), [key], "left_anti")
 
 
 def repeated_groups(
@@ -214,15 +216,12 @@ def repeated_groups(
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name), *more).filter(F.col(count_name) > 1)
     if member is None:
         return groups
-    parts = F.ceil(F.col(count_name) / F.lit(list_size))
-    spread = F.xxhash64(F.col(member), F.col("_at"))
-    right = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], count_name)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    rows = df.select(*keys, member, F.monotonically_increasing_id().alias("_at"))
+    part = f"CAST(pmod(xxhash64({member}, _at), ceil({count_name} / {list_size})) AS int) AS list_part"
     members = (
-        df.select(*keys, member, F.monotonically_increasing_id().alias("_at"))
-        .join(right, same)
-        .select(*keys, member, count_name, F.pmod(spread, parts).cast("int").alias("list_part"))
-        # a shuffle of its own lets the join above be split by AQE where a key is hot
+        attach(rows, groups.select(*keys, count_name), keys, "inner", null_safe=True)
+        .selectExpr(*keys, member, count_name, part)
+        # a shuffle of its own, because grouping on the join's partitions would keep a hot key whole
         .repartition(*keys, "list_part")
     )
     listed = F.expr(f"listagg({member}, ', ') within group (order by {member})")

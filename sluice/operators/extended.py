@@ -42,6 +42,7 @@ from .catalog import (
     negative,
     without,
 )
+from .joins import attach
 from .profiles import COMPLETED
 from .rules import Frames, KeyRule, PairRule, RowRule
 
@@ -107,7 +108,7 @@ def late_assignments(frames: Frames, as_of: dt.date) -> DataFrame:
     due = frames["work_orders"].groupBy("work_order_id").agg(F.expr(f"max({day('scheduled_date')}) AS due"))
     made = frames["assignments"].selectExpr("work_order_id", f"{day('assigned_date')} AS made")
     made = made.groupBy("work_order_id", "made").agg(F.count(F.lit(1)).alias("tasks"))
-    return made.join(due, "work_order_id", "left").selectExpr(
+    return attach(made, due, ["work_order_id"]).selectExpr(
         "sum(tasks) AS total_records",
         f"coalesce(sum(if(datediff(made, due) > {d.LATE_ASSIGNMENT_DAYS}, tasks, 0)), 0) AS failed_records",
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import lower_trim, number
 from .catalog import BY_KEY
 from .evaluate import childless_rows, orphan_rows, repeated_groups, violating_rows
+from .joins import attach
 from .profiles import COMPLETED, OPEN, TERMINATED
 from .rules import Frames, RowRule
 
@@ -146,7 +147,7 @@ def terminated_on_open_rows(frames: Frames) -> DataFrame:
         "work_order_id", ("wo_status",), newest, "order_matches",
     )
     tasks = frames["assignments"].select("assignment_id", "technician_id", "work_order_id")
-    rows = tasks.join(gone, "technician_id").join(orders, "work_order_id")
+    rows = attach(attach(tasks, gone, ["technician_id"], "inner"), orders, ["work_order_id"], "inner")
     return labelled(
         rows, "cs_007", "assignment_id", "technician_id", "full_name", "employment_status", "work_order_id",
         "wo_status", (F.col("technician_matches") * F.col("order_matches")).alias("join_rows"),
@@ -162,7 +163,7 @@ def invoices_without_contact(frames: Frames) -> DataFrame:
         frames["customers"].filter(lacking), "customer_id", shown, ("_extract_timestamp", "_src_row"), "join_rows"
     )
     bills = frames["invoices"].select("invoice_id", "invoice_number", "customer_id")
-    return bills.join(customers, "customer_id").select(
+    return attach(bills, customers, ["customer_id"], "inner").select(
         F.lit("C-006").alias("rule_code"), F.lit("MEDIUM").alias("severity"),
         "invoice_id", "invoice_number", "customer_id", *shown, "join_rows",
     )
@@ -188,7 +189,7 @@ def shared_email_pairs(frames: Frames) -> DataFrame:
         F.count(F.lit(1)).alias("members"),
     )
     first = first.filter(F.col("members") > 1).select("email_key", "_first", "members")
-    rows = keyed.join(first, "email_key").filter(F.col("_first.customer_id") < F.col("customer_id"))
+    rows = attach(keyed, first, ["email_key"], "inner").filter("_first.customer_id < customer_id")
     return rows.select(
         F.lit("U-002").alias("rule_code"),
         F.lit("HIGH").alias("severity"),

@@ -35,6 +35,7 @@ from ..functions.columns import (
     upper_trim,
 )
 from .catalog import BILL_AMOUNT, future
+from .joins import attach, per_key_keys
 
 NOTEBOOK = "notebook"
 SCRIPT = "script"
@@ -287,11 +288,11 @@ def quarantine_counts(staged: Mapping[str, DataFrame]) -> DataFrame:
 def resolve(log: DataFrame, released: DataFrame, when: dt.datetime, by: str) -> DataFrame:
     """Mark open log rows whose (source_table, source_key) has been released."""
     keys = ["source_table", "source_key"]
-    freed = released.select(*keys).distinct().selectExpr("*", "true AS freed")
+    freed = per_key_keys(released, *keys).selectExpr("*", "true AS freed")
     now = "(freed IS NOT NULL AND NOT resolved_flag)"
     changed = {
         "resolved_flag": f"resolved_flag OR {now}",
         "resolved_date": case([(now, instant_literal(when))], "resolved_date"),
         "resolved_by": case([(now, quoted(by))], "resolved_by"),
     }
-    return log.join(freed, keys, "left").selectExpr(*named({n: changed.get(n, n) for n in log.columns}))
+    return attach(log, freed, keys).selectExpr(*named({n: changed.get(n, n) for n in log.columns}))

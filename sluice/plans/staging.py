@@ -6,13 +6,13 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import domains as d
 from ..functions import standardize as std
 from ..functions.columns import day, instant, instant_literal, lower_trim, named, number, quoted, upper_trim
 from ..operators import dedup
 from ..operators import quarantine as q
+from ..operators.joins import attach, per_key_keys
 from ..operators.quarantine import NOTEBOOK, SCRIPT, with_flags
 
 
@@ -41,8 +41,8 @@ class Load:
 
 def with_parent_flag(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
     """Add whether the key exists in the parent; a null key does not."""
-    known = dedup.distinct_keys(parent.filter(F.col(key).isNotNull()), key).withColumn("_known", F.lit(True))
-    return child.join(known, key, "left").selectExpr(*child.columns, f"_known IS NOT NULL AS {name}")
+    known = per_key_keys(parent, key).selectExpr("*", "true AS _known")
+    return attach(child, known, [key]).selectExpr(*child.columns, f"_known IS NOT NULL AS {name}")
 
 
 def flagged_customers(raw: DataFrame, load: Load) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import attach, per_key_keys
+
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace the table and return it as written, so later steps do not recompute it."""
@@ -21,7 +23,7 @@ def append(df: DataFrame, path: str) -> DataFrame:
 
 def absent_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key the target does not hold yet."""
-    return df.join(target.select(*keys), list(keys), "left_anti").select(*df.columns)
+    return attach(df, per_key_keys(target, *keys), keys, "left_anti")
 
 
 def insert_if_absent(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:

@@ -1,0 +1 @@
+"""Incremental loads."""
