@@ -574,10 +574,11 @@ Q["dq_score_by_dimension"] = (
     f"SELECT dq_dimension, {_dq()} AS dimension_score FROM results GROUP BY dq_dimension"
 )
 Q["dq_score_external"] = (
-    "SELECT rule_code, severity, total_records, failed_records, pass_rate, status, overall_score,"
-    f" {_grade('overall_score')} AS grade FROM external,"
-    f" (SELECT {_dq(digits=1)} AS overall_score FROM external)"
+    f"SELECT dq_dimension, score, {_grade('score')} AS grade FROM ("
+    f"SELECT dq_dimension, {_dq(digits=1)} AS score FROM external GROUP BY dq_dimension"
+    f" UNION ALL SELECT '(overall)', {_dq(digits=1)} FROM external)"
 )
+Q["rule_result_external"] = f"SELECT {_RESULT} FROM external"
 Q["dq_grade"] = (
     f"SELECT overall_score, {_grade('overall_score')} AS grade FROM (SELECT {_dq()} AS overall_score FROM results)"
 )

@@ -40,7 +40,9 @@ def labelled(df: DataFrame, key: str, *columns: str | Column, note: str | None =
 
 def duplicate_customers(frames: Frames) -> DataFrame:
     groups = repeated_groups(frames["customers"], ["customer_id"], None, "occurrence_count")
-    return labelled(groups, "u_001", "customer_id", "occurrence_count").orderBy(F.col("occurrence_count").desc())
+    listed = labelled(groups, "u_001", "customer_id", "occurrence_count")
+    # the id keeps the many groups of two from sorting into one partition
+    return listed.orderBy(F.col("occurrence_count").desc(), "customer_id")
 
 
 def duplicate_emails(frames: Frames) -> DataFrame:

@@ -50,6 +50,14 @@ def by_dimension(results: DataFrame, digits: int = 2) -> DataFrame:
     return results.groupBy("dq_dimension").agg(F.expr(score(digits=digits)).alias("dimension_score"))
 
 
+def with_overall(results: DataFrame, digits: int = 2) -> DataFrame:
+    """Scores and grades per dimension and, in the row ``(overall)``, of the whole suite."""
+    scores = results.rollup("dq_dimension").agg(F.expr(score(digits=digits)).alias("score"))
+    return scores.selectExpr(
+        "coalesce(dq_dimension, '(overall)') AS dq_dimension", "score", f"{grade('score')} AS grade"
+    )
+
+
 def graded(results: DataFrame, digits: int = 2) -> DataFrame:
     return overall(results, digits).selectExpr("*", f"{grade('overall_score')} AS grade")
 

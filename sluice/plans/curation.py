@@ -24,9 +24,16 @@ def days(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_D
     return spark.range(1).selectExpr(f"explode(sequence({day_literal(first)}, {day_literal(last)})) AS full_date")
 
 
-def days_covering(df: DataFrame, column: str) -> DataFrame:
-    """All days of the years a column touches."""
-    span = df.selectExpr(f"min({column}) AS first", f"max({column}) AS last").filter("first IS NOT NULL")
+def days_covering(
+    df: DataFrame, column: str, first: dt.date = dt.date(1900, 1, 1), last: dt.date = dt.date(2100, 12, 31)
+) -> DataFrame:
+    """All days of the years a column touches, within fixed limits.
+
+    The limits bound the calendar when a dirty date lies far outside; such a
+    date gets no date key.
+    """
+    inside = df.filter(f"{column} BETWEEN {day_literal(first)} AND {day_literal(last)}")
+    span = inside.selectExpr(f"min({column}) AS first", f"max({column}) AS last").filter("first IS NOT NULL")
     return span.selectExpr(
         "explode(sequence(trunc(first, 'year'), date_sub(add_months(trunc(last, 'year'), 12), 1))) AS full_date"
     )

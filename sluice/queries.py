@@ -252,10 +252,12 @@ def _(raw):
 
 @query("dq_score_external")
 def _(raw):
-    rows = evaluate_external(raw, AS_OF)
-    return rows.select(
-        "rule_code", "severity", "total_records", "failed_records", "pass_rate", "status"
-    ).crossJoin(scoring.graded(rows, digits=1))
+    return scoring.with_overall(evaluate_external(raw, AS_OF), digits=1)
+
+
+@query("rule_result_external")
+def _(raw):
+    return evaluate_external(raw, AS_OF).select(*RESULT_COLUMNS)
 
 
 @query("dq_grade")

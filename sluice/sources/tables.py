@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
@@ -99,13 +98,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = os.path.join(tempfile.gettempdir(), "sluice-shared")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        named = tempfile.mkdtemp(prefix="sluice-shared-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
 
 

@@ -11,14 +11,14 @@ DATA = os.environ.get("SLUICE_TEST_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from sluice.session import configure
+
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder.master("local[8]"))
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "4g")
         .getOrCreate()
