@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .rules_sql import AS_OF, D, DONE, N, T, U, US
 
-CU = ("customers", "raw_customers_all")
+CU = ("customers", "raw_customers")
 TE = ("technicians", "raw_technicians")
 WO = ("work_orders", "raw_work_orders")
 IN = ("invoices", "raw_invoices")
@@ -156,11 +156,49 @@ def _extra(view: str, *keys: str) -> str:
     )
 
 
+# code -> (keys and failed records, from what); the keys behind the rules below
+X_KEY_LISTS = {
+    "X-NAME-DUPLICATE": ("upper(trim(full_name)) AS name_key, count(*) - 1 AS failed_records",
+                         "raw_technicians WHERE trim(full_name) <> '' GROUP BY upper(trim(full_name))"
+                         " HAVING count(*) > 1"),
+    "X-WO-INACTIVE-CUSTOMER": ("customer_id, count(*) AS failed_records",
+                               "raw_work_orders WHERE customer_id IN (SELECT customer_id FROM raw_customers WHERE"
+                               f" {U('account_status')} IN ('INACTIVE','SUSPENDED','TEMP SUSPEND'))"
+                               " GROUP BY customer_id"),
+    "X-BILLED-CANCELLED": ("work_order_id, count(*) AS failed_records",
+                           "raw_invoices WHERE work_order_id IN (SELECT work_order_id FROM raw_work_orders WHERE"
+                           f" {US('status')} = 'CANCELLED') GROUP BY work_order_id"),
+    "X-ACTIVE-ON-STOPPED": ("work_order_id, count(*) AS failed_records",
+                            f"raw_assignments WHERE {U('assignment_status')} = 'ACTIVE' AND work_order_id IN"
+                            " (SELECT work_order_id FROM raw_work_orders WHERE"
+                            f" {US('status')} IN ('CANCELLED','ON_HOLD')) GROUP BY work_order_id"),
+    "X-TWO-LEADS": ("work_order_id, CAST(1 AS BIGINT) AS failed_records",
+                    f"raw_assignments WHERE {U('assignment_role')} = 'LEAD' GROUP BY work_order_id"
+                    " HAVING count(*) > 1"),
+    "X-PART-ORPHAN": ("work_order_id, count(*) AS failed_records",
+                      "raw_parts WHERE work_order_id NOT IN (SELECT work_order_id FROM raw_work_orders)"
+                      " GROUP BY work_order_id"),
+    "X-PART-DUPLICATE": ("work_order_id, part_number, recorded_date, count(*) - 1 AS failed_records",
+                         "raw_parts WHERE part_number IS NOT NULL GROUP BY work_order_id, part_number, recorded_date"
+                         " HAVING count(*) > 1"),
+    "X-CERT-DUPLICATE": ("technician_id, certification_code, count(*) - 1 AS failed_records",
+                         "raw_certs WHERE certification_code IS NOT NULL GROUP BY technician_id, certification_code"
+                         " HAVING count(*) > 1"),
+    "X-CERT-TERMINATED": ("technician_id, count(*) AS failed_records",
+                          f"raw_certs WHERE {U('cert_status')} = 'ACTIVE' AND technician_id IN"
+                          f" (SELECT technician_id FROM raw_technicians WHERE {US('employment_status')}"
+                          " = 'TERMINATED') GROUP BY technician_id"),
+    "X-ALL-CERTS-EXPIRED": ("technician_id, count(*) AS failed_records",
+                            f"raw_technicians WHERE {US('employment_status')} IN ('ACTIVE','ACTVE')"
+                            " AND technician_id IN (SELECT technician_id FROM raw_certs GROUP BY technician_id"
+                            f" HAVING bool_and({U('cert_status')} = 'EXPIRED')) GROUP BY technician_id"),
+}
+
 # code -> (group, dimension, table, severity, total, failed)
 X_KEYS = {
     "X-CROSS-BATCH": ("x_cross_batch_duplicate", "Uniqueness", "customers", "HIGH",
-                      "SELECT count(*) FROM raw_customers_all",
-                      "SELECT count(*) FROM (SELECT customer_id FROM raw_customers_all GROUP BY customer_id"
+                      "SELECT count(*) FROM raw_customers",
+                      "SELECT count(*) FROM (SELECT customer_id FROM raw_customers GROUP BY customer_id"
                       " HAVING count(DISTINCT _batch_id) > 1)"),
     "X-NAME-DUPLICATE": ("x_name_duplicate", "Uniqueness", "technicians", "LOW",
                          "SELECT count(*) FROM raw_technicians",

@@ -10,7 +10,7 @@ import re
 
 from sluice.sources.dirty_views import VIEWS
 
-from .extended_sql import X_KEYS, X_ROWS
+from .extended_sql import X_KEY_LISTS, X_KEYS, X_ROWS
 from .rules_sql import (
     ALL_KEYS,
     AS_OF,
@@ -37,11 +37,17 @@ BATCH = "BATCH-20010701"
 
 # -- views on views ---------------------------------------------------------
 
+_BATCHED = ("customers", "technicians", "work_orders", "invoices", "assignments", "certs")
 _DERIVED = {
-    "raw_customers_all": "SELECT * FROM raw_customers UNION ALL BY NAME SELECT * FROM raw_customers_batch2",
+    f"raw_{t}_all": f"SELECT * FROM raw_{t} UNION ALL BY NAME SELECT * FROM raw_{t}_batch2" for t in _BATCHED
 }
 
 
+def _both_batches(sql: str) -> str:
+    return re.sub(rf"\braw_({'|'.join(_BATCHED)})\b", r"raw_\1_all", sql)
+
+
+
 def _score(*losses: tuple[str, int]) -> str:
     terms = "".join(f" - CASE WHEN {cond} THEN {loss} ELSE 0 END" for cond, loss in losses)
     return f"greatest(CAST(0 AS DOUBLE), CAST(100{terms} AS DOUBLE))"
@@ -461,13 +467,20 @@ for _key in ALL_KEYS:
 _X_COUNTS: dict[str, list[str]] = {}
 for _code, (_g, _dim, (_table, _view), _sev, _fails, _cols) in X_ROWS.items():
     _X_COUNTS.setdefault(_g, []).append(row_counts(_code, _dim, _table, _sev, _view, "TRUE", _fails))
-    Q["violations_" + _code.lower().replace("-", "_")] = (
+    Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(
         f"SELECT '{_code}' AS rule_code, '{_sev}' AS severity, {_cols} FROM {_view} WHERE {_fails}"
     )
 for _code, (_g, _dim, _table, _sev, _total, _failed) in X_KEYS.items():
     _X_COUNTS.setdefault(_g, []).append(key_counts(_code, _dim, _table, _sev, _total, _failed))
+    if _code in X_KEY_LISTS:
+        _cols, _source = X_KEY_LISTS[_code]
+        Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(
+            f"SELECT '{_code}' AS rule_code, '{_sev}' AS severity, {_cols} FROM {_source}"
+        )
 for _g, _bodies in _X_COUNTS.items():
-    Q[_g] = f"SELECT {_RESULT} FROM ({outcome(union(f'SELECT * FROM ({b})' for b in _bodies))})"
+    Q[_g] = _both_batches(
+        f"SELECT {_RESULT} FROM ({outcome(union(f'SELECT * FROM ({b})' for b in _bodies))})"
+    )
 
 Q["c_006_sql"] = (
     "SELECT 'C-006' AS rule_code, 'MEDIUM' AS severity, i.invoice_id, i.invoice_number, i.customer_id,"
@@ -493,6 +506,17 @@ Q["v_005_sql"] = (
     " AND (email_address NOT LIKE '%@%.%' OR email_address LIKE '% %' OR length(rtrim(email_address)) < 6)"
 )
 
+Q["v_004_decimal"] = (
+    "SELECT 'V-004' AS rule_code, 'HIGH' AS severity, customer_id, customer_name, credit_limit AS raw_credit_limit,"
+    " 'Cannot convert to decimal' AS violation_detail FROM raw_customers_batch2"
+    " WHERE credit_limit IS NOT NULL AND TRY_CAST(credit_limit AS DECIMAL(12,2)) IS NULL"
+)
+Q["cs_006_sql"] = (
+    "SELECT 'CS-006' AS rule_code, 'HIGH' AS severity, work_order_id, work_order_number, sla_due_date, actual_end,"
+    " sla_met, 'SLA flagged as MET but completed after due date' AS violation_detail FROM raw_work_orders"
+    f" WHERE {U('sla_met')} = 'Y' AND {T('actual_end')} > {T('sla_due_date')}"
+)
+
 _TEXT = "CAST({0} AS VARCHAR) AS {0}".format
 _STAMP = f"{LOADED} AS _extract_timestamp, 'BATCH-{{}}' AS _batch_id".format
 Q["src_table"] = "SELECT * FROM customer"
@@ -652,7 +676,7 @@ Q["std_bool_text"] = f"SELECT _src_row, sla_met, {_SLA} AS sla_met_std FROM raw_
 Q["std_tech_status"] = f"SELECT _src_row, employment_status, {_TECH_STATUS} AS status_std FROM raw_technicians"
 Q["coerce_number"] = (
     f"SELECT _src_row, {N('credit_limit')} AS as_double,"
-    " CAST(TRY_CAST(credit_limit AS DECIMAL(12,2)) AS DOUBLE) AS as_decimal FROM raw_customers_all"
+    " CAST(TRY_CAST(credit_limit AS DECIMAL(12,2)) AS DOUBLE) AS as_decimal FROM raw_customers_batch2"
 )
 Q["coerce_date"] = f"SELECT _src_row, {D('created_date')} AS created_date_d FROM raw_customers"
 Q["coerce_timestamp"] = f"SELECT _src_row, {T('last_modified')} AS last_modified_ts FROM raw_customers"

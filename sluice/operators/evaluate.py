@@ -13,6 +13,7 @@ import logging
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -188,6 +189,26 @@ def violating_rows(df: DataFrame, rule: RowRule, as_of: dt.date) -> DataFrame:
     return df.filter(at(keep, as_of)).selectExpr(*[at(text, as_of) for text in texts])
 
 
+def failing_keys(frames: Frames, rule: KeyRule, as_of: dt.date) -> DataFrame:
+    """The keys behind a key rule and how many records of each fail."""
+    counts = key_profile(frames, rule.profile, rule.uses, as_of)
+    return counts.selectExpr(
+        f"{quoted(rule.code)} AS rule_code",
+        f"{quoted(rule.severity)} AS severity",
+        *rule.profile.keys,
+        f"CAST({rule.failed} AS bigint) AS failed_records",
+    ).filter("failed_records > 0")
+
+
+def with_money(rule: RowRule, money: str) -> RowRule:
+    """The same rule with its amounts parsed to another type."""
+
+    def parsed(text: str) -> str:
+        return text.replace("AS double)", f"AS {money})")
+
+    return replace(rule, fails=parsed(rule.fails), detail={n: parsed(t) for n, t in rule.detail.items()})
+
+
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows with a key no parent row has."""
     return attach(child.filter(F.col(key).isNotNull()), per_key_keys(parent, key), [key], "left_anti")

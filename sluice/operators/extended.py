@@ -87,7 +87,7 @@ def recovered_amount(name: str) -> str:
 
 def cross_batch_keys(frames: Frames, as_of: dt.date) -> DataFrame:
     batches = F.expr("min(_batch_id) <> max(_batch_id)").alias("again")
-    keys = frames["customers_all"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("records"), batches)
+    keys = frames["customers"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("records"), batches)
     return keys.selectExpr("sum(records) AS total_records", "count_if(again) AS failed_records")
 
 
@@ -117,7 +117,7 @@ def late_assignments(frames: Frames, as_of: dt.date) -> DataFrame:
 ALL_EXPIRED = "if(active > 0 AND certs > 0 AND certs = expired_certs, active, 0)"
 
 CU, TE, WO, IN, AS, PA, CE = (
-    "customers_all", "technicians", "work_orders", "invoices", "assignments", "parts", "certs",
+    "customers", "technicians", "work_orders", "invoices", "assignments", "parts", "certs",
 )
 
 EXTENDED_RULES = (

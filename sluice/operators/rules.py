@@ -49,7 +49,6 @@ TABLE_NAMES = {
     "assignments": "work_order_assignments",
     "parts": "work_order_parts",
     "certs": "technician_certifications",
-    "customers_all": "customers",
 }
 
 

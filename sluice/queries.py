@@ -15,21 +15,23 @@ from .functions import standardize as std
 from .functions.columns import day, instant, lower_trim, named, number, upper_trim
 from .operators import dedup, listings, scoring
 from .operators import quarantine as q
-from .operators.catalog import BY_KEY, RULES, negative
+from .operators.catalog import BY_KEY, LATE, RULES, is_value, negative
 from .operators.evaluate import (
     RESULT_COLUMNS,
     evaluate,
     evaluate_isolated,
+    failing_keys,
     row_rule_counts,
     rule_counts,
     rules_for_table,
     violating_rows,
+    with_money,
     with_outcome,
 )
 from .operators.extended import EXTENDED_RULES, GROUPS, group_rules
 from .operators.external import evaluate_external
 from .operators.keys import surrogate_key
-from .operators.rules import RowRule
+from .operators.rules import KeyRule, PairRule, RowRule
 from .operators.scd2 import scd2_merge
 from .plans import curation as cur
 from .plans import monitoring as mon
@@ -177,22 +179,38 @@ query("v_005_sql")(listings.loose_email_rows)
 def _group_query(group):
     @query(group)
     def _(raw):
-        return results(raw, group_rules(group)).select(*RESULT_COLUMNS)
+        return results(raw.with_later_batches(), group_rules(group)).select(*RESULT_COLUMNS)
 
 
 def _extended_listing(rule):
     @query("violations_" + rule.key)
     def _(raw):
-        return violating_rows(raw[rule.table], rule, AS_OF)
+        frames = raw.with_later_batches()
+        if isinstance(rule, KeyRule):
+            return failing_keys(frames, rule, AS_OF)
+        return violating_rows(frames[rule.table], rule, AS_OF)
 
 
 for _group in GROUPS:
     _group_query(_group)
 for _rule in EXTENDED_RULES:
-    if isinstance(_rule, RowRule):
+    if not isinstance(_rule, PairRule):
         _extended_listing(_rule)
 
 
+@query("v_004_decimal")
+def _(raw):
+    """Amounts parsed as DECIMAL(12,2): what does not fit counts as unparseable."""
+    return violating_rows(raw["customers_batch2"], with_money(BY_KEY["v_004"], "decimal(12,2)"), AS_OF)
+
+
+@query("cs_006_sql")
+def _(raw):
+    """Only the flag Y counts as met."""
+    only_y = replace(BY_KEY["cs_006"], fails=f"{is_value('sla_met', 'Y')} AND {LATE}")
+    return violating_rows(raw["work_orders"], only_y, AS_OF)
+
+
 # -- evaluation, scores and reports -----------------------------------------
 
 
@@ -402,7 +420,7 @@ projection(
     "std_tech_status", "technicians", employment_status="employment_status", status_std=std.technician_status()
 )
 projection(
-    "coerce_number", "customers_all", as_double=number("credit_limit"),
+    "coerce_number", "customers_batch2", as_double=number("credit_limit"),
     as_decimal=f"CAST({number('credit_limit', 'decimal(12,2)')} AS double)",
 )
 projection("coerce_date", "customers", created_date_d=day("created_date"))

@@ -150,6 +150,86 @@ SELECT CASE WHEN c_custkey % 4 = 0 THEN 'CUST-' || CAST(c_custkey AS STRING) ELS
 FROM {customer} WHERE c_custkey % 9 <> 0
 """
 
+RAW_TECHNICIANS_BATCH2 = """
+SELECT 'TECH-B' || CAST(s_suppkey AS STRING) AS technician_id, 'EMP-B' || CAST(s_suppkey AS STRING) AS employee_number,
+ CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'First' || CAST(s_suppkey AS STRING) END AS first_name,
+ CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 'Last' || CAST(s_suppkey AS STRING) END AS last_name,
+ CASE WHEN s_suppkey % 4 = 0 THEN s_name WHEN s_suppkey % 7 = 0 THEN 'Unknown Tech' ELSE 'First' || CAST(s_suppkey AS STRING) || ' Last' END AS full_name,
+ CASE WHEN s_suppkey % 11 = 0 THEN 'SUSPENDED' ELSE 'ACTIVE' END AS employment_status,
+ CASE s_suppkey % 6 WHEN 0 THEN 'SENOIR' WHEN 1 THEN 'Mid-Level' ELSE 'MID' END AS skill_level,
+ CASE s_suppkey % 5 WHEN 0 THEN 'SOUTHWEST' WHEN 1 THEN NULL ELSE 'CW' END AS home_region,
+ CAST(DATE '1996-01-01' + CAST(s_suppkey % 1500 AS INT) AS STRING) AS hire_date, CAST(NULL AS STRING) AS termination_date,
+ CASE s_suppkey % 8 WHEN 0 THEN '50-60' WHEN 1 THEN '$41.00' ELSE '55.00' END AS hourly_rate,
+ CASE WHEN s_suppkey % 9 = 0 THEN 'MGR-999' ELSE 'MGR-1' END AS manager_id,
+ 'b' || CAST(s_suppkey AS STRING) || CASE s_suppkey % 10 WHEN 0 THEN '@gmail.com' WHEN 1 THEN '@yahoo.com' ELSE '@corp.com' END AS email,
+ '555-5' || CAST(s_suppkey AS STRING) AS mobile_phone, '1996-01-01' AS created_date, '2001-06-20 00:00:00' AS last_modified,
+ TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id, -s_suppkey AS _src_row
+FROM {supplier}
+"""
+
+RAW_WORK_ORDERS_BATCH2 = """
+SELECT 'WO-B' || CAST(o_orderkey AS STRING) AS work_order_id,
+ CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE 'WON-B' || CAST(o_orderkey AS STRING) END AS work_order_number,
+ 'SITE-' || CAST(o_orderkey % 500 AS STRING) AS site_id, 'CUST-' || CAST(o_custkey AS STRING) AS customer_id,
+ CASE WHEN o_orderkey % 6 = 4 THEN 'INSTALLATION' ELSE 'INSPECTION' END AS work_order_type,
+ CASE WHEN o_orderkey % 13 = 0 THEN 'INSPECTION' ELSE 'HIGH' END AS priority,
+ CASE o_orderkey % 6 WHEN 0 THEN 'CANCELLED' WHEN 1 THEN 'IN_PROGRESS' WHEN 2 THEN 'IN PROGRESS' ELSE 'COMPLETED' END AS status,
+ CASE WHEN o_orderkey % 17 = 0 THEN '   ' ELSE 'job ' || CAST(o_orderkey AS STRING) END AS description,
+ CAST(CAST(o_orderdate AS DATE) AS STRING) AS scheduled_date,
+ CAST(o_orderdate + INTERVAL 8 HOUR AS STRING) AS actual_start,
+ CASE WHEN o_orderkey % 6 IN (0, 2) THEN NULL ELSE CAST(o_orderdate + INTERVAL 11 HOUR AS STRING) END AS actual_end,
+ '2.0' AS estimated_hours, CASE WHEN o_orderkey % 6 = 3 THEN '0.0' ELSE '3.0' END AS actual_hours,
+ CASE WHEN o_orderkey % 19 = 0 THEN '650.00' ELSE '195.00' END AS labor_cost,
+ CASE WHEN o_orderkey % 6 = 4 THEN '0.00' WHEN o_orderkey % 23 = 0 THEN '2800.00' ELSE '45.00' END AS parts_cost,
+ '240.00' AS total_cost, CAST(o_orderdate + INTERVAL 12 HOUR AS STRING) AS sla_due_date,
+ CASE WHEN o_orderkey % 6 IN (0, 2) THEN NULL ELSE 'Y' END AS sla_met,
+ CASE WHEN o_orderkey % 6 IN (2, 5) THEN 'RESOLVED_COMPLETE' ELSE NULL END AS resolution_code,
+ CASE WHEN o_orderkey % 9 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 6 AS STRING) ELSE CAST(CAST(o_orderdate AS DATE) - 2 AS STRING) END AS created_date,
+ CAST(o_orderdate + INTERVAL 15 HOUR AS STRING) AS last_modified,
+ TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id, -o_orderkey AS _src_row
+FROM {orders} WHERE o_orderkey % 4 <> 0
+"""
+
+RAW_INVOICES_BATCH2 = """
+SELECT 'INV-B' || CAST(o_orderkey AS STRING) AS invoice_id,
+ CASE WHEN o_orderkey % 45 = 2 THEN NULL WHEN o_orderkey % 10 = 1 THEN 'INVN-B' || CAST(o_orderkey + 1 AS STRING) ELSE 'INVN-B' || CAST(o_orderkey AS STRING) END AS invoice_number,
+ 'WO-B' || CAST(o_orderkey AS STRING) AS work_order_id, 'CUST-' || CAST(o_custkey AS STRING) AS customer_id,
+ CASE WHEN o_orderkey % 31 = 0 THEN '2026-06-01' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS invoice_date,
+ CAST(CAST(o_orderdate AS DATE) + 30 AS STRING) AS due_date,
+ CASE o_orderkey % 4 WHEN 0 THEN 'VOID' WHEN 1 THEN 'PAID' WHEN 2 THEN 'SENT' ELSE 'DRAFT' END AS invoice_status,
+ CASE WHEN o_orderkey % 20 = 1 THEN '0.00' ELSE '195.00' END AS subtotal,
+ CASE WHEN o_orderkey % 29 = 0 THEN '290.00' WHEN o_orderkey % 20 = 1 THEN '0.00' ELSE '15.60' END AS tax_amount,
+ '0.00' AS discount_amount, CASE WHEN o_orderkey % 20 = 1 THEN '0.00' ELSE '210.60' END AS total_amount, 'NET-30' AS payment_terms,
+ CASE WHEN o_orderkey % 4 = 3 THEN NULL WHEN o_orderkey % 20 = 1 THEN '0.00' WHEN o_orderkey % 8 = 2 THEN '210.60' WHEN o_orderkey % 4 = 2 THEN '10.00' ELSE '210.60' END AS payment_received,
+ CASE WHEN o_orderkey % 4 = 3 THEN NULL WHEN o_orderkey % 37 = 1 THEN CAST(CAST(o_orderdate AS DATE) - 1 AS STRING) ELSE CAST(CAST(o_orderdate AS DATE) + 12 AS STRING) END AS payment_date,
+ TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id, -o_orderkey AS _src_row
+FROM {orders} WHERE o_orderkey % 5 <> 0
+"""
+
+RAW_ASSIGNMENTS_BATCH2 = """
+SELECT 'ASGN-B' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS assignment_id,
+ 'WO-B' || CAST(l_orderkey AS STRING) AS work_order_id, 'TECH-B' || CAST(l_suppkey AS STRING) AS technician_id,
+ CASE WHEN l_linenumber % 3 = 0 THEN 'LEAD' ELSE 'SUPPORT' END AS assignment_role,
+ CASE WHEN l_partkey % 41 = 0 THEN CAST(CAST(l_shipdate AS DATE) + 2 AS STRING) ELSE CAST(CAST(l_shipdate AS DATE) - 2 AS STRING) END AS assigned_date,
+ CASE WHEN l_partkey % 43 = 0 THEN '2025-06-15 09:00:00' ELSE CAST(l_shipdate + INTERVAL 6 HOUR AS STRING) END AS start_time,
+ CASE WHEN l_partkey % 43 = 0 THEN '2025-06-15 11:00:00' ELSE CAST(l_shipdate + INTERVAL 14 HOUR AS STRING) END AS end_time,
+ CASE WHEN l_partkey % 47 = 0 THEN '0.0' WHEN l_partkey % 53 = 0 THEN '16.0' ELSE '8.0' END AS hours_logged,
+ CASE l_partkey % 7 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN NULL ELSE 'COMPLETED' END AS assignment_status,
+ TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id
+FROM {lineitem} WHERE l_linenumber <= 3
+"""
+
+RAW_CERTS_BATCH2 = """
+SELECT 'CERT-B' || CAST(p_partkey AS STRING) AS cert_id, 'TECH-B' || CAST(p_partkey % 50 AS STRING) AS technician_id,
+ 'CODE-' || CAST(p_size AS STRING) AS certification_code, p_name AS certification_name,
+ CAST(DATE '1996-01-01' + CAST(p_partkey % 1500 AS INT) AS STRING) AS issued_date,
+ CAST(DATE '2000-06-01' + CAST(p_partkey % 1500 AS INT) AS STRING) AS expiry_date,
+ p_brand AS issuing_body,
+ CASE WHEN p_partkey % 5 = 0 THEN 'EXPIRED' WHEN p_partkey % 13 = 0 THEN 'Pending Renewal' ELSE 'ACTIVE' END AS cert_status,
+ TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id
+FROM {part}
+"""
+
 # view name -> (text, source table)
 VIEWS = {
     "raw_customers": (RAW_CUSTOMERS, "customer"),
@@ -160,4 +240,9 @@ VIEWS = {
     "raw_parts": (RAW_PARTS, "lineitem"),
     "raw_certs": (RAW_CERTS, "part"),
     "raw_customers_batch2": (RAW_CUSTOMERS_BATCH2, "customer"),
+    "raw_technicians_batch2": (RAW_TECHNICIANS_BATCH2, "supplier"),
+    "raw_work_orders_batch2": (RAW_WORK_ORDERS_BATCH2, "orders"),
+    "raw_invoices_batch2": (RAW_INVOICES_BATCH2, "orders"),
+    "raw_assignments_batch2": (RAW_ASSIGNMENTS_BATCH2, "lineitem"),
+    "raw_certs_batch2": (RAW_CERTS_BATCH2, "part"),
 }

@@ -28,33 +28,28 @@ def dirty_view(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 class Raw:
-    """The raw layer of one directory; a table is bound when first asked for."""
-
-    names = {
-        "customers": "raw_customers",
-        "technicians": "raw_technicians",
-        "work_orders": "raw_work_orders",
-        "invoices": "raw_invoices",
-        "assignments": "raw_assignments",
-        "parts": "raw_parts",
-        "certs": "raw_certs",
-        "customers_batch2": "raw_customers_batch2",
-    }
-
-    def __init__(self, spark: SparkSession, directory: str):
+    """The raw layer of one directory; a table is bound when first asked for.
+
+    ``all_batches`` appends the second extract to every table that has one.
+    """
+
+    def __init__(self, spark: SparkSession, directory: str, all_batches: bool = False):
         self.spark = spark
         self.directory = directory
+        self.all_batches = all_batches
         self._bound: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._bound:
-            if table == "customers_all":
-                frame = append_batches(self["customers"], self["customers_batch2"])
-            else:
-                frame = dirty_view(self.spark, self.directory, self.names[table])
-            self._bound[table] = frame
+            names = [f"raw_{table}"]
+            if self.all_batches and f"raw_{table}_batch2" in VIEWS:
+                names.append(f"raw_{table}_batch2")
+            self._bound[table] = append_batches(*[dirty_view(self.spark, self.directory, n) for n in names])
         return self._bound[table]
 
+    def with_later_batches(self) -> Raw:
+        return Raw(self.spark, self.directory, all_batches=True)
+
 
 def append_batches(first: DataFrame, *later: DataFrame) -> DataFrame:
     """Several extracts of one table, one below the other."""
