@@ -147,7 +147,7 @@ SELECT CASE WHEN c_custkey % 4 = 0 THEN 'CUST-' || CAST(c_custkey AS STRING) ELS
  'LEGACY_DB' AS source_system,
  TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp,
  'BATCH-B' AS _batch_id, -c_custkey AS _src_row
-FROM {customer} WHERE c_custkey % 9 <> 0
+FROM {customer}
 """
 
 RAW_TECHNICIANS_BATCH2 = """
@@ -187,7 +187,7 @@ SELECT 'WO-B' || CAST(o_orderkey AS STRING) AS work_order_id,
  CASE WHEN o_orderkey % 9 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 6 AS STRING) ELSE CAST(CAST(o_orderdate AS DATE) - 2 AS STRING) END AS created_date,
  CAST(o_orderdate + INTERVAL 15 HOUR AS STRING) AS last_modified,
  TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id, -o_orderkey AS _src_row
-FROM {orders} WHERE o_orderkey % 4 <> 0
+FROM {orders}
 """
 
 RAW_INVOICES_BATCH2 = """
@@ -203,7 +203,7 @@ SELECT 'INV-B' || CAST(o_orderkey AS STRING) AS invoice_id,
  CASE WHEN o_orderkey % 4 = 3 THEN NULL WHEN o_orderkey % 20 = 1 THEN '0.00' WHEN o_orderkey % 8 = 2 THEN '210.60' WHEN o_orderkey % 4 = 2 THEN '10.00' ELSE '210.60' END AS payment_received,
  CASE WHEN o_orderkey % 4 = 3 THEN NULL WHEN o_orderkey % 37 = 1 THEN CAST(CAST(o_orderdate AS DATE) - 1 AS STRING) ELSE CAST(CAST(o_orderdate AS DATE) + 12 AS STRING) END AS payment_date,
  TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id, -o_orderkey AS _src_row
-FROM {orders} WHERE o_orderkey % 5 <> 0
+FROM {orders}
 """
 
 RAW_ASSIGNMENTS_BATCH2 = """
@@ -216,7 +216,7 @@ SELECT 'ASGN-B' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STR
  CASE WHEN l_partkey % 47 = 0 THEN '0.0' WHEN l_partkey % 53 = 0 THEN '16.0' ELSE '8.0' END AS hours_logged,
  CASE l_partkey % 7 WHEN 0 THEN 'ACTIVE' WHEN 1 THEN NULL ELSE 'COMPLETED' END AS assignment_status,
  TIMESTAMP '2001-06-30 12:00:00' AS _extract_timestamp, 'BATCH-B' AS _batch_id
-FROM {lineitem} WHERE l_linenumber <= 3
+FROM {lineitem}
 """
 
 RAW_CERTS_BATCH2 = """

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from sluice.plans import pipeline
+from sluice.plans import full_run
 from sluice.plans.staging import Load
 from sluice.queries import QUERIES
 from sluice.streaming.incremental import append_new_files
@@ -17,7 +17,7 @@ LOAD = Load(AS_OF, dt.datetime(2001, 7, 1, 6), "BATCH-20010701")
 def runs(spark, raw, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
     span = {"first_day": dt.date(1995, 1, 1), "last_day": dt.date(2001, 12, 31)}
-    out = [pipeline.run(raw, root, LOAD, f"RUN-{i}", dt.datetime(2001, 7, 1, 7), **span) for i in (1, 2)]
+    out = [full_run.run(raw, root, LOAD, f"RUN-{i}", dt.datetime(2001, 7, 1, 7), **span) for i in (1, 2)]
     return root, out
 
 

@@ -7,13 +7,14 @@ import pytest
 
 from sluice.operators import quarantine, scoring
 from sluice.operators.catalog import BY_KEY, RULES
-from sluice.operators.evaluate import evaluate, evaluate_isolated, registry, rules_for_table
+from sluice.operators.evaluate import evaluate, evaluate_isolated, registry, rules_for_table, violating_rows, with_money
 from sluice.operators.extended import EXTENDED_RULES, GROUPS
 from sluice.operators.external import EXTERNAL_RULES
 from sluice.operators.scd2 import scd2_merge
 from sluice.plans import curation
 from sluice.plans.monitoring import pct_share
 from sluice.sources import sinks
+from sluice.sources.schemas import raw_schema
 from sluice.sources.tables import append_batches, literal_rows, shared_dir, text_schema
 
 AS_OF = dt.date(2001, 7, 1)
@@ -186,3 +187,26 @@ def test_log_codes(spark):
 def test_pct_share(spark):
     row = spark.sql(f"SELECT {pct_share('1', '3')} AS a, {pct_share('0', '0')} AS b").first()
     assert (row.a, row.b) == ("33.3%", "0.0%")
+
+
+def test_listing_reads_only_what_it_shows(spark, raw, tmp_path):
+    table = sinks.overwrite(raw["customers"], str(tmp_path / "customers"))
+    plan = violating_rows(table, BY_KEY["c_002"], AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNull(account_status)]" in plan
+    assert "ReadSchema: struct<customer_id:string,customer_name:string,account_status:string>" in plan
+
+
+def test_suite_reads_only_the_columns_it_names(spark, raw, tmp_path):
+    table = sinks.overwrite(raw["technicians"], str(tmp_path / "technicians"))
+    rules = [BY_KEY["v_010"], BY_KEY["v_011"], BY_KEY["t_002"]]
+    plan = evaluate({"technicians": table}, rules, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<hire_date:string,hourly_rate:string>" in plan
+
+
+def test_amounts_in_another_type():
+    assert with_money(BY_KEY["v_003"], "decimal(12,2)").fails == "try_cast(credit_limit AS decimal(12,2)) < 0"
+
+
+def test_raw_schemas():
+    assert raw_schema("invoices").names[-2:] == ["_extract_timestamp", "_batch_id"]
+    assert {f.dataType.simpleString() for f in raw_schema("sites").fields[:-2]} == {"string"}
