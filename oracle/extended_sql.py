@@ -194,6 +194,20 @@ X_KEY_LISTS = {
                             f" HAVING bool_and({U('cert_status')} = 'EXPIRED')) GROUP BY technician_id"),
 }
 
+X_PAIR_LISTS = {
+    "X-CROSS-BATCH": "SELECT customer_id, count(*) AS records, min(_batch_id) AS first_seen,"
+                     " max(_batch_id) AS last_seen FROM raw_customers GROUP BY customer_id"
+                     " HAVING count(DISTINCT _batch_id) > 1",
+    "X-INVOICE-NUMBER": "SELECT invoice_number, count(*) AS records, min(invoice_id) AS first_seen,"
+                        " max(invoice_id) AS last_seen FROM raw_invoices WHERE invoice_number IS NOT NULL"
+                        " GROUP BY invoice_number HAVING count(DISTINCT invoice_id) > 1",
+    "X-LATE-ASSIGNMENT": f"SELECT a.assignment_id, a.work_order_id, {D('a.assigned_date')} AS made, w.due"
+                         " FROM raw_assignments a JOIN (SELECT work_order_id,"
+                         f" max({D('scheduled_date')}) AS due FROM raw_work_orders GROUP BY work_order_id) w"
+                         " ON a.work_order_id = w.work_order_id"
+                         f" WHERE date_diff('day', w.due, {D('a.assigned_date')}) > 30",
+}
+
 # code -> (group, dimension, table, severity, total, failed)
 X_KEYS = {
     "X-CROSS-BATCH": ("x_cross_batch_duplicate", "Uniqueness", "customers", "HIGH",

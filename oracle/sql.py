@@ -10,7 +10,7 @@ import re
 
 from sluice.sources.dirty_views import VIEWS
 
-from .extended_sql import X_KEY_LISTS, X_KEYS, X_ROWS
+from .extended_sql import X_KEY_LISTS, X_KEYS, X_PAIR_LISTS, X_ROWS
 from .rules_sql import (
     ALL_KEYS,
     AS_OF,
@@ -477,6 +477,8 @@ for _code, (_g, _dim, _table, _sev, _total, _failed) in X_KEYS.items():
         Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(
             f"SELECT '{_code}' AS rule_code, '{_sev}' AS severity, {_cols} FROM {_source}"
         )
+    if _code in X_PAIR_LISTS:
+        Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(X_PAIR_LISTS[_code])
 for _g, _bodies in _X_COUNTS.items():
     Q[_g] = _both_batches(
         f"SELECT {_RESULT} FROM ({outcome(union(f'SELECT * FROM ({b})' for b in _bodies))})"

@@ -85,18 +85,43 @@ def recovered_amount(name: str) -> str:
     return number(f"regexp_extract({name}, {quoted(d.CURRENCY_PATTERN)}, 2)")
 
 
+def spans(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Records per key and the first and last value found on it."""
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("records"), F.min(value).alias("first_seen"), F.max(value).alias("last_seen")
+    )
+
+
+SPREAD = "first_seen <> last_seen"
+
+
+def _spread_counts(per_key: DataFrame, key: str) -> DataFrame:
+    return per_key.selectExpr(
+        "sum(records) AS total_records", f"count_if({key} IS NOT NULL AND {SPREAD}) AS failed_records"
+    )
+
+
+def customer_batches(frames: Frames) -> DataFrame:
+    return spans(frames["customers"], "customer_id", "_batch_id")
+
+
+def number_owners(frames: Frames) -> DataFrame:
+    return spans(frames["invoices"], "invoice_number", "invoice_id")
+
+
 def cross_batch_keys(frames: Frames, as_of: dt.date) -> DataFrame:
-    batches = F.expr("min(_batch_id) <> max(_batch_id)").alias("again")
-    keys = frames["customers"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("records"), batches)
-    return keys.selectExpr("sum(records) AS total_records", "count_if(again) AS failed_records")
+    return _spread_counts(customer_batches(frames), "customer_id")
 
 
 def numbers_on_two_invoices(frames: Frames, as_of: dt.date) -> DataFrame:
-    ids = F.expr("min(invoice_id) <> max(invoice_id)").alias("shared")
-    numbers = frames["invoices"].groupBy("invoice_number").agg(F.count(F.lit(1)).alias("records"), ids)
-    return numbers.selectExpr(
-        "sum(records) AS total_records", "count_if(invoice_number IS NOT NULL AND shared) AS failed_records"
-    )
+    return _spread_counts(number_owners(frames), "invoice_number")
+
+
+def due_days(frames: Frames) -> DataFrame:
+    return frames["work_orders"].groupBy("work_order_id").agg(F.expr(f"max({day('scheduled_date')}) AS due"))
+
+
+OVERDUE = f"datediff(made, due) > {d.LATE_ASSIGNMENT_DAYS}"
 
 
 def late_assignments(frames: Frames, as_of: dt.date) -> DataFrame:
@@ -105,15 +130,26 @@ def late_assignments(frames: Frames, as_of: dt.date) -> DataFrame:
     Both sides are reduced per key before they meet: orders to their last
     scheduled day, assignments to counts per assigned day.
     """
-    due = frames["work_orders"].groupBy("work_order_id").agg(F.expr(f"max({day('scheduled_date')}) AS due"))
     made = frames["assignments"].selectExpr("work_order_id", f"{day('assigned_date')} AS made")
     made = made.groupBy("work_order_id", "made").agg(F.count(F.lit(1)).alias("tasks"))
-    return attach(made, due, ["work_order_id"]).selectExpr(
-        "sum(tasks) AS total_records",
-        f"coalesce(sum(if(datediff(made, due) > {d.LATE_ASSIGNMENT_DAYS}, tasks, 0)), 0) AS failed_records",
+    return attach(made, due_days(frames), ["work_order_id"]).selectExpr(
+        "sum(tasks) AS total_records", f"coalesce(sum(if({OVERDUE}, tasks, 0)), 0) AS failed_records"
     )
 
 
+def late_assignment_rows(frames: Frames) -> DataFrame:
+    made = frames["assignments"].selectExpr("assignment_id", "work_order_id", f"{day('assigned_date')} AS made")
+    return attach(made, due_days(frames), ["work_order_id"], "inner").filter(OVERDUE)
+
+
+# what fails the pair rules above
+PAIR_LISTINGS = {
+    "x_cross_batch": lambda frames: customer_batches(frames).filter(SPREAD),
+    "x_invoice_number": lambda frames: number_owners(frames).filter(f"invoice_number IS NOT NULL AND {SPREAD}"),
+    "x_late_assignment": late_assignment_rows,
+}
+
+
 ALL_EXPIRED = "if(active > 0 AND certs > 0 AND certs = expired_certs, active, 0)"
 
 CU, TE, WO, IN, AS, PA, CE = (

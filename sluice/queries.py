@@ -28,7 +28,7 @@ from .operators.evaluate import (
     with_money,
     with_outcome,
 )
-from .operators.extended import EXTENDED_RULES, GROUPS, group_rules
+from .operators.extended import EXTENDED_RULES, GROUPS, PAIR_LISTINGS, group_rules
 from .operators.external import evaluate_external
 from .operators.keys import surrogate_key
 from .operators.rules import KeyRule, PairRule, RowRule
@@ -188,14 +188,15 @@ def _extended_listing(rule):
         frames = raw.with_later_batches()
         if isinstance(rule, KeyRule):
             return failing_keys(frames, rule, AS_OF)
+        if isinstance(rule, PairRule):
+            return PAIR_LISTINGS[rule.key](frames)
         return violating_rows(frames[rule.table], rule, AS_OF)
 
 
 for _group in GROUPS:
     _group_query(_group)
 for _rule in EXTENDED_RULES:
-    if not isinstance(_rule, PairRule):
-        _extended_listing(_rule)
+    _extended_listing(_rule)
 
 
 @query("v_004_decimal")
