@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, sharding, tokencount, tokenfiles
+from . import bpe, exact, packing, sharding, simhash, tokencount, tokenfiles
 from .common import ship
 
 
@@ -22,6 +22,11 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/documents.parquet")
 
 
+def op1_grouped_packing(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents in sequences of at most 2,048 tokens."""
+    return packing.pack(documents(spark, directory), tokenizer("word_bpe_49k.json"))
+
+
 def op3_jump_hash_shards(spark: SparkSession, directory: str) -> DataFrame:
     """Documents on 8 shards; the key law."""
     return sharding.assign(documents(spark, directory), 8)
@@ -32,6 +37,12 @@ def op4_token_files(spark: SparkSession, directory: str) -> DataFrame:
     return tokenfiles.round_trip(documents(spark, directory), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """Fingerprint and component of each document."""
+    found = simhash.grouped(documents(spark, directory))
+    return found.withColumn("fingerprint", simhash.hexadecimal("fingerprint"))
+
+
 def op8_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     """Tokens of each document."""
     counted = tokencount.count_tokens(documents(spark, directory), tokenizer("word_bpe_49k.json"))
@@ -49,8 +60,10 @@ def op10_bloom_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_grouped_packing": op1_grouped_packing,
     "op3_jump_hash_shards": op3_jump_hash_shards,
     "op4_token_files": op4_token_files,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_bloom_exact_dedup": op10_bloom_exact_dedup,
