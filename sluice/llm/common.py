@@ -97,7 +97,7 @@ def gapless(staged: DataFrame, groups: Sequence[str], bucket: str, order: Sequen
     )
 
 
-def slices(texts: Iterable[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+def slices(texts: Iterable[str], chars: int = 3_000_000) -> Iterator[list[str]]:
     """Runs of whole texts of about ``chars`` characters, so that a batch of long ones needs little memory."""
     held, size = [], 0
     for text in texts:

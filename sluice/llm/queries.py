@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, packing, sharding, simhash, tokencount, tokenfiles
+from . import bpe, exact, packing, sharding, simhash, substrings, tokencount, tokenfiles
 from .common import ship
 
 
@@ -37,6 +37,19 @@ def op4_token_files(spark: SparkSession, directory: str) -> DataFrame:
     return tokenfiles.round_trip(documents(spark, directory), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents without the strings of 100 bytes that start earlier."""
+    done = substrings.remove_repeats(documents(spark, directory))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """Fingerprint and component of each document."""
     found = simhash.grouped(documents(spark, directory))
@@ -63,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_grouped_packing": op1_grouped_packing,
     "op3_jump_hash_shards": op3_jump_hash_shards,
     "op4_token_files": op4_token_files,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_trie": op9_bpe_trie,

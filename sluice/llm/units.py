@@ -15,6 +15,7 @@ separators that only one side counts as white space, and strings of special toke
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -38,7 +39,8 @@ def rule_of(definition: dict) -> re.Pattern | None:
     kinds = {n["type"] for n in normalizer.get("normalizers", [normalizer]) if n}
     if steps[0].get("type") == "ByteLevel" and steps[0].get("use_regex") and not steps[0].get("add_prefix_space") and not kinds:
         return SPACED
-    if steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert") and r"[^\s" in steps[0]["pattern"].get("Regex", "") and kinds <= {"NFC", "Replace", "Lowercase"}:
+    words = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
+    if words and r"[^\s" in steps[0]["pattern"].get("Regex", "") and {"Lowercase"} <= kinds <= {"NFC", "Replace", "Lowercase"}:
         return WORDS
     return None
 
@@ -46,7 +48,7 @@ def rule_of(definition: dict) -> re.Pattern | None:
 class Units:
     """Texts to units; units to ids through a bounded memory of ids as bytes."""
 
-    def __init__(self, path: str, most: int = 400_000, longest: int = 64, encode: Callable | None = None):
+    def __init__(self, path: str, most: int = 600_000, longest: int = 64, encode: Callable | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -63,23 +65,29 @@ class Units:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
     def cut(self, text: str) -> list[str]:
-        if self.rule is None or UNSURE.search(text) or any(s in text for s in self.special):
+        if self.rule is None or UNSURE.search(text):
             return [text]
-        return self.rule.findall(text)
+        plain = text.encode().lower().decode() if self.rule is WORDS else text  # A-Z only, which such tokenizers drop anyway
+        return [text] if any(s in plain for s in self.special) else self.rule.findall(plain)
 
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """Per text its ids, each as an unsigned 32-bit little-endian integer."""
-        cut = [self.cut(t) for t in texts]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = set().union(*cut)
-        new = list(new)
-        self.known.update(zip(new, self.encode_units(new)))
-        found = [b"".join(map(self.known.__getitem__, units)) for units in cut]
-        for unit in [u for u in new if len(u) > self.longest]:
-            del self.known[unit]
-        return found
+        collecting = gc.isenabled()
+        gc.disable()  # millions of strings come and go, none of them in a cycle
+        try:
+            cut = [self.cut(t) for t in texts]
+            wanted = set().union(*cut)
+            new = list(wanted.difference(self.known))
+            if len(self.known) + len(new) > self.most:  # what occurs here is likely to occur again
+                self.known = {u: self.known[u] for u in wanted.intersection(self.known)}
+            self.known.update(zip(new, self.encode_units(new)))
+            found = [b"".join(map(self.known.__getitem__, units)) for units in cut]
+            for unit in [u for u in new if len(u) > self.longest]:
+                del self.known[unit]
+            return found
+        finally:
+            if collecting:
+                gc.enable()
 
 
 _LOADED: dict[tuple, Units] = {}
