@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, packing, sharding, simhash, substrings, tokencount, tokenfiles
+from . import bpe, exact, packing, quality, sharding, simhash, substrings, tokencount, tokenfiles, toxicity
 from .common import ship
 
 
@@ -22,11 +22,21 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/documents.parquet")
 
 
+def labels(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.read.parquet(f"{directory}/labels.parquet")
+
+
 def op1_grouped_packing(spark: SparkSession, directory: str) -> DataFrame:
     """Documents in sequences of at most 2,048 tokens."""
     return packing.pack(documents(spark, directory), tokenizer("word_bpe_49k.json"))
 
 
+def op2_quality_ratio(spark: SparkSession, directory: str) -> DataFrame:
+    """Quality rules; texts labelled as good are the trusted ones."""
+    trusted = labels(spark, directory).filter("quality = 1")
+    return quality.judge(documents(spark, directory), trusted)
+
+
 def op3_jump_hash_shards(spark: SparkSession, directory: str) -> DataFrame:
     """Documents on 8 shards; the key law."""
     return sharding.assign(documents(spark, directory), 8)
@@ -50,6 +60,11 @@ def op5_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op6_counterfactual_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    """Toxicity score of each document."""
+    return toxicity.scores(documents(spark, directory), labels(spark, directory))
+
+
 def op7_simhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     """Fingerprint and component of each document."""
     found = simhash.grouped(documents(spark, directory))
@@ -74,9 +89,11 @@ def op10_bloom_exact_dedup(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_grouped_packing": op1_grouped_packing,
+    "op2_quality_ratio": op2_quality_ratio,
     "op3_jump_hash_shards": op3_jump_hash_shards,
     "op4_token_files": op4_token_files,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_counterfactual_toxicity": op6_counterfactual_toxicity,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_trie": op9_bpe_trie,
