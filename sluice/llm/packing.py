@@ -20,7 +20,8 @@ is broadcast.
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator, Mapping
+import zlib
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -195,6 +196,13 @@ def pieces(
 
     A null text is empty: its only piece is the end id (without an end id it has none).
     """
+    return _cut(df, tokenizer, capacity, end_id, id_col, text, ("ids", "binary"), lambda ids: pa.array(ids, pa.binary()))
+
+
+def _cut(
+    df: DataFrame, tokenizer: str, capacity: int, end_id: int | None, id_col: str, text: str, last: tuple[str, str], make: Callable
+) -> DataFrame:
+    """id, piece, start, length and one more column that ``make`` makes of the ids, so that ids need not leave Python."""
     rows = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     ending = b"" if end_id is None else int(end_id).to_bytes(4, "little")
@@ -218,13 +226,13 @@ def pieces(
                         pa.array(number, pa.int32()),
                         pa.array(start, pa.int64()),
                         pa.array([len(i) // 4 for i in ids], pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        make(ids),
                     ],
-                    names=["id", "piece", "start", "length", "ids"],
+                    names=["id", "piece", "start", "length", last[0]],
                 )
                 at += len(texts)
 
-    return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, {' '.join(last)}").withColumnRenamed("id", id_col)
 
 
 def place(staged: DataFrame, capacity: int, bucket: str, order: list[str], groups: int = GROUPS) -> DataFrame:
@@ -261,12 +269,9 @@ def pack(
     ignored; an empty table gives an empty result.  ``sequences`` joins the ids to it.
     """
     buckets = buckets_for(df.count(), 20_000, 8, 4096)
-    staged = stage(
-        pieces(df, tokenizer, capacity, end_id, id_col, text).select(
-            F.col(id_col), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), scattered(buckets).alias("_bucket")
-        ),
-        "pieces",
-    )
+    checksums = lambda ids: pa.array(map(zlib.crc32, ids), pa.int64())
+    summed = _cut(df, tokenizer, capacity, end_id, id_col, text, ("ids_crc32", "long"), checksums)
+    staged = stage(summed.withColumn("_bucket", scattered(buckets)), "pieces")
     return place(staged, capacity, "_bucket", [id_col, "piece"], groups)
 
 
