@@ -25,6 +25,8 @@ SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 #: share of trusted texts that pass the base rules which may fall below the threshold
 LOST = 0.002
+#: so many trusted ids at most are broadcast (16 MB); more are joined by a shuffle
+BROADCAST_IDS = 2_000_000
 #: steps of the histogram of scores, per unit
 STEPS = 10_000
 FIRST, SECOND, THIRD = (np.uint64((0x9E3779B97F4A7C15 * k) & ((1 << 64) - 1)) for k in (3, 5, 7))
@@ -105,7 +107,7 @@ def log_ratio(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def scored(rows: DataFrame, weights: np.ndarray) -> DataFrame:
-    """id, trusted, the base counts and the score of (id, text, trusted) rows; a text without words has score 0."""
+    """id, the base counts and the score of (id, text) rows; a text without words has score 0."""
     shared = rows.sparkSession.sparkContext.broadcast(weights)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -120,19 +122,18 @@ def scored(rows: DataFrame, weights: np.ndarray) -> DataFrame:
                 scores.append(float(weights[grams(hashes)].mean()) if len(hashes) else 0.0)
             counts = list(zip(*found)) if found else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["trusted"], *[pa.array(c, pa.int64()) for c in counts], pa.array(scores, pa.float64())],
-                names=["id", "trusted", *names, "score"],
+                [batch["id"], *[pa.array(c, pa.int64()) for c in counts], pa.array(scores, pa.float64())],
+                names=["id", *names, "score"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, trusted boolean, {', '.join(f'{n} long' for n in names)}, score double")
+    return rows.mapInArrow(run, f"id {kind}, {', '.join(f'{n} long' for n in names)}, score double")
 
 
-def threshold(judged: DataFrame, lost: float = LOST) -> float:
+def threshold(trusted: DataFrame, lost: float = LOST) -> float:
     """The score below which at most the share ``lost`` of trusted texts lies, to 1 / STEPS."""
-    steps = (
-        judged.filter("trusted AND NOT base_failed").groupBy(F.floor(F.col("score") * STEPS).alias("step")).count().collect()
-    )  # scores lie within the logarithm of the n-grams' number
+    steps = trusted.groupBy(F.floor(F.col("score") * STEPS).alias("step")).count().collect()
+    # scores lie within the logarithm of the n-grams' number, which bounds the steps
     allowed, below = lost * sum(r["count"] for r in steps), 0
     for step, count in sorted(tuple(r) for r in steps):
         below += count
@@ -148,11 +149,12 @@ def judge(df: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: s
     passed over.  Without trusted texts every score is 0 and the base rules alone decide.
     A null text has no words.  Other columns are ignored.
     """
-    trusted = trusted_ids.select(F.col(id_col).alias("_trusted")).distinct()
+    trusted = stage(trusted_ids.select(F.col(id_col).alias("_trusted")).filter("_trusted IS NOT NULL").distinct(), "trusted-ids")
+    small = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
     rows = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
-    rows = rows.join(trusted, F.col("id") == F.col("_trusted"), "left").select("id", "text", F.col("_trusted").isNotNull().alias("trusted"))
-    weights = log_ratio(*multinomials(rows))
+    known = rows.join(small, F.col("id") == F.col("_trusted"), "left")
+    weights = log_ratio(*multinomials(known.select("text", F.col("_trusted").isNotNull().alias("trusted"))))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = stage(scored(rows, weights).withColumn("base_failed", failed), "quality-scores")
-    least = threshold(judged, lost)
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop("trusted").withColumnRenamed("id", id_col)
+    least = threshold(judged.filter("NOT base_failed").join(trusted, F.col("id") == F.col("_trusted"), "left_semi"), lost)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).withColumnRenamed("id", id_col)
