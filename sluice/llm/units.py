@@ -27,8 +27,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 LETTERS = r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?|*#$%&()\s]|$)"
 WORDS = re.compile(rf"{LETTERS}|[^ \n\t]+")
 SPACED = re.compile(rf" ?{LETTERS}| ?\S+|\s+(?!\S)|\s")
-#: white space for one side only
-UNSURE = re.compile("[\x1c-\x1f]")
+#: white space for one side only, which matters where white space makes units
+UNSURE = "\x1c\x1d\x1e\x1f"
+#: characters of texts that are remembered whole, so that copies near each other are encoded once
+RECENT = 8_000_000
 
 
 def rule_of(definition: dict) -> re.Pattern | None:
@@ -59,13 +61,14 @@ class Units:
         self.special = [t["content"] for t in definition.get("added_tokens", [])]
         self.rule = rule_of(definition)
         self.most, self.longest, self.known = most, longest, {}
+        self.recent, self.held = {}, 0
         self.encode_units = encode or self._library
 
     def _library(self, units: Sequence[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
     def cut(self, text: str) -> list[str]:
-        if self.rule is None or UNSURE.search(text):
+        if self.rule is None or self.rule is SPACED and any(c in text for c in UNSURE):
             return [text]
         plain = text.encode().lower().decode() if self.rule is WORDS else text  # A-Z only, which such tokenizers drop anyway
         return [text] if any(s in plain for s in self.special) else self.rule.findall(plain)
@@ -75,20 +78,32 @@ class Units:
         collecting = gc.isenabled()
         gc.disable()  # millions of strings come and go, none of them in a cycle
         try:
-            cut = [self.cut(t) for t in texts]
-            wanted = set().union(*cut)
-            new = list(wanted.difference(self.known))
-            if len(self.known) + len(new) > self.most:  # what occurs here is likely to occur again
-                self.known = {u: self.known[u] for u in wanted.intersection(self.known)}
-            self.known.update(zip(new, self.encode_units(new)))
-            found = [b"".join(map(self.known.__getitem__, units)) for units in cut]
-            for unit in [u for u in new if len(u) > self.longest]:
-                del self.known[unit]
-            return found
+            new = [t for t in dict.fromkeys(texts) if t not in self.recent]
+            found = dict(zip(new, self._new_ids(new)))
+            result = [found.get(t) or self.recent.get(t, b"") for t in texts]
+            size = sum(map(len, new))
+            self.held += size
+            if self.held > RECENT:
+                self.recent, self.held = {}, size
+            if size <= RECENT:
+                self.recent.update(found)
+            return result
         finally:
             if collecting:
                 gc.enable()
 
+    def _new_ids(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(t) for t in texts]
+        wanted = set().union(*cut)
+        new = list(wanted.difference(self.known))
+        if len(self.known) + len(new) > self.most:  # what occurs here is likely to occur again
+            self.known = {u: self.known[u] for u in wanted.intersection(self.known)}
+        self.known.update(zip(new, self.encode_units(new)))
+        found = [b"".join(map(self.known.__getitem__, units)) for units in cut]
+        for unit in [u for u in new if len(u) > self.longest]:
+            del self.known[unit]
+        return found
+
 
 _LOADED: dict[tuple, Units] = {}
 
