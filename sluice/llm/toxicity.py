@@ -118,8 +118,8 @@ def labelled(df: DataFrame, labels: DataFrame, id_col: str, text: str, train: Co
     order = (F.xxhash64("_id"), F.col("_id"))
     chosen = [known.filter(F.col("_toxic") == c).orderBy(*order).limit(sample) for c in (0, 1)]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
-    rows = df.join(ids, F.col(id_col) == F.col("_id")).select(F.col("_id").alias("id"), F.col("_toxic").cast("int").alias("toxic"), whole_text(text).alias("text"))
-    rows = rows.dropDuplicates(["id"])
+    rows = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text")).join(ids, F.col("id") == F.col("_id"))
+    rows = rows.select("id", F.col("_toxic").cast("int").alias("toxic"), "text").dropDuplicates(["id"])
     replacements = swaps(IDENTITIES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,11 +137,11 @@ def labelled(df: DataFrame, labels: DataFrame, id_col: str, text: str, train: Co
 
 
 def vocabulary(sample: DataFrame, most: int = WORDS) -> list[str]:
-    """Words of at least two texts in which the classes differ most clearly, and all identity terms."""
+    """Words of at least two texts in which the classes differ most clearly, and all identity terms; none without both classes."""
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
-        raise ValueError("labels of both classes are needed")
+        return []
     seen = sample.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     odds = lambda n, total: F.log((n + 0.5) / (F.lit(total) - n + 0.5))
     t, c = F.col("t"), F.col("c")
@@ -196,9 +196,14 @@ def train(
 def fit(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", train_rows: Column | None = None, sample: int = SAMPLE
 ) -> Model:
-    """Model from labelled rows for which ``train_rows`` (over the labels' columns) holds."""
+    """Model from labelled rows for which ``train_rows`` (over the labels' columns) holds.
+
+    Without labelled texts of both classes every score is 0.5 and nothing is rejected.
+    """
     texts = labelled(df, labels, id_col, text, F.lit(True) if train_rows is None else train_rows, sample)
     terms = vocabulary(texts)
+    if not terms:
+        return Model({}, 0.0)
     number = {t: i for i, t in enumerate(terms)}
     shared = texts.sparkSession.sparkContext.broadcast(number)
 
