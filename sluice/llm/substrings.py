@@ -33,8 +33,8 @@ from .common import buckets_for, free_name, stage, whole_text
 from .windows import GRAM, digests, repeated_intervals, runs
 
 LENGTH = 100
-SLICE = 2_000_000
-PART = 4_000_000
+#: bytes looked at together, bytes of a text looked at together, runs combined before they are sent
+SLICE, PART, COMBINED = 1_000_000, 2_000_000, 250_000
 #: different runs of one anchor in a batch, and in all, from which it is crowded
 CROWD, CROWD_IN_ALL = 64, 4096
 #: bytes compared at once; one anchor may need more
@@ -296,7 +296,7 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             parts: list[Columns] = []
             items: list[tuple[int, int, int, bytes]] = []
-            held = 0
+            held = found = 0
             for id_, tie, value in zip(batch["id"].to_pylist(), batch["tie"].to_pylist(), batch["text"]):
                 data = value.as_py().encode()
                 for at in range(0, max(0, len(data) - length + 1), PART):
@@ -304,7 +304,10 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     held += len(items[-1][3])
                     if held >= SLICE:
                         parts.append(_sampled(items, length))
-                        items, held = [], 0
+                        items, held, found = [], 0, found + len(parts[-1]["id"])
+                    if found >= COMBINED:
+                        yield from _combined(parts, buckets)
+                        parts, found = [], 0
             if items:
                 parts.append(_sampled(items, length))
             yield from _combined(parts, buckets)
