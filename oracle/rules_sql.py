@@ -149,12 +149,12 @@ ROWS = {
     "t_003": ("Timeliness", "work_orders", "CRITICAL", WO, ALL, f"{DONE} AND {D('scheduled_date')} > {AS_OF}",
               WO_COLS + ", status, scheduled_date, actual_end" + note("Completed WO has future scheduled date")),
     "t_004": ("Timeliness", "customers", "LOW", C, ALL,
-              f"{U('account_status')} = 'ACTIVE' AND date_diff('day', {D('last_modified')}, {AS_OF}) > 730",
+              f"{U('account_status')} = 'ACTIVE' AND {T('last_modified')} IS NOT NULL AND date_diff('day', {D('last_modified')}, {AS_OF}) > 730",
               CU_COLS + f", account_status, last_modified"
               f", CAST(date_diff('day', {D('last_modified')}, {AS_OF}) AS INTEGER) AS days_since_modified"
               + note("Customer record not updated in 2+ years")),
     "t_005": ("Timeliness", "work_orders", "HIGH", WO, ALL,
-              f"{US('status')} = 'IN_PROGRESS' AND date_diff('day', {D('last_modified')}, {AS_OF}) > 90",
+              f"{US('status')} = 'IN_PROGRESS' AND {T('last_modified')} IS NOT NULL AND date_diff('day', {D('last_modified')}, {AS_OF}) > 90",
               WO_COLS + f", status, scheduled_date, last_modified"
               f", CAST(date_diff('day', {D('last_modified')}, {AS_OF}) AS INTEGER) AS days_open"
               + note("IN_PROGRESS WO stale for 90+ days")),
@@ -236,16 +236,15 @@ KEY_LISTS = {
     "u_003": "SELECT 'U-003' AS rule_code, 'CRITICAL' AS severity, work_order_id, count(*) AS occurrence_count,"
              " min(_extract_timestamp) AS first_seen, max(_extract_timestamp) AS last_seen"
              " FROM raw_work_orders GROUP BY work_order_id HAVING count(*) > 1",
-    "u_004": "SELECT 'U-004' AS rule_code, 'HIGH' AS severity, work_order_id, count(*) AS invoice_count,"
-             " 0 AS list_part, string_agg(invoice_id, ', ' ORDER BY invoice_id) AS invoice_ids"
-             " FROM raw_invoices GROUP BY work_order_id HAVING count(*) > 1",
-    "u_005": "SELECT 'U-005' AS rule_code, 'HIGH' AS severity, work_order_id, technician_id,"
-             " count(*) AS assignment_count, 0 AS list_part,"
-             " string_agg(assignment_id, ', ' ORDER BY assignment_id) AS assignment_ids"
-             " FROM raw_assignments GROUP BY work_order_id, technician_id HAVING count(*) > 1",
-    "u_006": "SELECT 'U-006' AS rule_code, 'HIGH' AS severity, employee_number, count(*) AS occurrence_count,"
-             " 0 AS list_part, string_agg(technician_id, ', ' ORDER BY technician_id) AS technician_ids"
-             " FROM raw_technicians WHERE employee_number IS NOT NULL GROUP BY employee_number HAVING count(*) > 1",
+    "u_004": "SELECT 'U-004' AS rule_code, 'HIGH' AS severity, work_order_id, invoice_count, invoice_id"
+             " FROM (SELECT *, count(*) OVER (PARTITION BY work_order_id) AS invoice_count FROM raw_invoices)"
+             " WHERE invoice_count > 1",
+    "u_005": "SELECT 'U-005' AS rule_code, 'HIGH' AS severity, work_order_id, technician_id, assignment_count,"
+             " assignment_id FROM (SELECT *, count(*) OVER (PARTITION BY work_order_id, technician_id)"
+             " AS assignment_count FROM raw_assignments) WHERE assignment_count > 1",
+    "u_006": "SELECT 'U-006' AS rule_code, 'HIGH' AS severity, employee_number, occurrence_count, technician_id"
+             " FROM (SELECT *, count(*) OVER (PARTITION BY employee_number) AS occurrence_count"
+             " FROM raw_technicians WHERE employee_number IS NOT NULL) WHERE occurrence_count > 1",
     "r_001": _ORPHAN(code="R-001", sev="CRITICAL", key="customer_id", parent="customers", child="raw_work_orders",
                      pview="raw_customers", cols=WO_COLS + ", customer_id AS orphaned_customer_id"),
     "r_002": _ORPHAN(code="R-002", sev="CRITICAL", key="work_order_id", parent="work_orders", child="raw_invoices",

@@ -150,7 +150,21 @@ def _stage_customers(view: str) -> str:
 
 _DERIVED["stg_customers"] = _stage_customers("flagged_customers")
 _DERIVED["stg_batch2"] = _stage_customers("flagged_batch2")
-_DERIVED["stg_customers_sql"] = (
+
+
+def _script(sql: str) -> str:
+    """With the script book's types: fixed-point amounts and hours, whose text has no exponent."""
+    kinds = {"credit_limit": 12, "labor_cost": 12, "parts_cost": 12, "total_cost": 12, "estimated_hours": 6, "actual_hours": 6}
+    for column, digits in kinds.items():
+        fixed = f"(CASE WHEN {column} NOT ILIKE '%e%' THEN TRY_CAST({column} AS DECIMAL({digits},2)) END)"
+        sql = sql.replace(N(column), fixed)
+    return sql
+
+
+_SHOWN_ORDER = "".join(
+    f"CAST({n} AS DOUBLE) AS {n}, " for n in ("estimated_hours", "actual_hours", "labor_cost", "parts_cost", "total_cost")
+).rstrip(", ")
+_DERIVED["stg_customers_sql"] = _script(
     f"SELECT customer_id, trim(customer_name) AS customer_name, {_TYPE} AS customer_type,"
     f" {_STATUS_RAW} AS account_status, {N('credit_limit')} AS credit_limit,"
     " trim(primary_contact) AS primary_contact, lower(trim(email_address)) AS email_address, phone_number,"
@@ -231,8 +245,8 @@ def _stage_orders(priority: str, gate_cost: str, score_cost: str, text: str, bat
 _DERIVED["stg_orders"] = _stage_orders(
     U("priority"), _NEG_COST, _NEG_COST, "HIGH: negative cost value", f"'{BATCH}'"
 )
-_DERIVED["stg_orders_sql"] = _stage_orders(
-    _PRIORITY_CHECKED, _NEG_COST, f"{N('labor_cost')} < 0", "HIGH: negative cost values", "_batch_id"
+_DERIVED["stg_orders_sql"] = _script(
+    _stage_orders(_PRIORITY_CHECKED, _NEG_COST, f"{N('labor_cost')} < 0", "HIGH: negative cost values", "_batch_id")
 )
 
 _DERIVED["latest_technicians"] = (
@@ -304,10 +318,9 @@ _DERIVED["stg_invoices"] = (
 )
 
 _DERIVED["calendar"] = (
-    "SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min(d)) AS DATE),"
-    " CAST(date_trunc('year', max(d)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE), INTERVAL 1 DAY)) AS DATE)"
-    f" AS full_date FROM (SELECT {D('scheduled_date')} AS d FROM raw_work_orders"
-    f" UNION ALL SELECT {D('due_date')} FROM raw_invoices)"
+    "SELECT CAST(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY)) AS DATE)"
+    f" AS full_date FROM (SELECT DISTINCT year(d) AS y FROM (SELECT {D('scheduled_date')} AS d FROM raw_work_orders"
+    f" UNION ALL SELECT {D('due_date')} FROM raw_invoices) WHERE d IS NOT NULL)"
 )
 _DATE_KEY = "CAST(strftime({}, '%Y%m%d') AS INTEGER)".format
 _DATE_COLUMNS = (
@@ -325,7 +338,9 @@ _DERIVED["dim_date"] = (
 
 
 def _numbered(key: str, name: str) -> str:
-    return f"row_number() OVER (ORDER BY md5({key}), {key}) AS {name}"
+    digits = " + ".join(f"{16 ** (2 - i)} * (instr('0123456789abcdef', substr(md5({key}), {i + 1}, 1)) - 1)" for i in range(3))
+    place = f"row_number() OVER (PARTITION BY left(md5({key}), 3) ORDER BY md5({key}), {key})"
+    return f"({digits}) * 1099511627776 + {place} AS {name}"
 
 
 def _dim_customer(staged: str) -> str:
@@ -702,9 +717,9 @@ Q["add_load_metadata"] = (
     f"SELECT technician_id, {LOADED} AS stg_load_date, '{BATCH}' AS stg_batch_id FROM raw_technicians"
 )
 Q["stage_customers"] = "SELECT * FROM stg_customers"
-Q["stage_customers_sql"] = "SELECT * FROM stg_customers_sql"
+Q["stage_customers_sql"] = "SELECT * REPLACE (CAST(credit_limit AS DOUBLE) AS credit_limit) FROM stg_customers_sql"
 Q["stage_work_orders"] = "SELECT * FROM stg_orders"
-Q["stage_work_orders_sql"] = "SELECT * FROM stg_orders_sql"
+Q["stage_work_orders_sql"] = f"SELECT * REPLACE ({_SHOWN_ORDER}) FROM stg_orders_sql"
 Q["stage_work_orders_three_valued"] = _stage_orders(
     U("priority"), _NEG_COST_3, _NEG_COST, "HIGH: negative cost value", f"'{BATCH}'"
 )
@@ -716,7 +731,7 @@ Q["quarantine_flags_customers"] = (
     f" {_BAD_STATUS} AS q_invalid_status, {_NEG_CREDIT} AS q_neg_credit, {_BAD_CREDIT} AS q_bad_credit,"
     f" {_FUTURE} AS q_future_date, {_CUSTOMER_GATE} AS should_quarantine FROM raw_customers"
 )
-Q["quarantine_flags_customers_sql"] = (
+Q["quarantine_flags_customers_sql"] = _script(
     f"SELECT _src_row, {_BLANK_NAME} AS q_null_name, account_status IS NULL AS q_null_status,"
     f" {_BAD_STATUS_SQL} AS q_invalid_status, {_NEG_CREDIT} AS q_neg_credit, {_BAD_CREDIT} AS q_bad_credit,"
     f" {_FUTURE} AS q_future_date, {_CUSTOMER_GATE_SQL} AS should_quarantine FROM raw_customers"
@@ -738,7 +753,7 @@ Q["quarantine_reason"] = (
     f" UNION ALL SELECT 'technicians', _src_row, {_TECH_REASON} FROM latest_technicians"
 )
 Q["record_score_customers"] = f"SELECT _src_row, {_CUSTOMER_SCORE} AS dq_score FROM raw_customers"
-Q["record_score_customers_sql"] = f"SELECT _src_row, {_CUSTOMER_SCORE_SQL} AS dq_score FROM raw_customers"
+Q["record_score_customers_sql"] = _script(f"SELECT _src_row, {_CUSTOMER_SCORE_SQL} AS dq_score FROM raw_customers")
 Q["record_score_work_orders"] = f"SELECT work_order_id, {_wo_score(_NEG_COST)} AS dq_score FROM latest_orders"
 Q["record_score_technicians"] = f"SELECT technician_id, {_TECH_SCORE} AS dq_score FROM latest_technicians"
 
@@ -800,21 +815,24 @@ _COLS = ("customer_id", *_TRACKED)
 Q["scd2_merge"] = (
     "WITH n AS (SELECT * FROM stg_batch2 QUALIFY row_number() OVER (PARTITION BY customer_id"
     " ORDER BY last_modified DESC, customer_name) = 1),"
-    " o AS (SELECT * FROM dim_customer)"
-    f" SELECT {', '.join('o.' + c for c in _COLS)}, o.effective_from,"
+    " o AS (SELECT * FROM dim_customer),"
+    " last AS (SELECT customer_sk >> 40 AS b, max(customer_sk & 1099511627775) AS place FROM o GROUP BY 1),"
+    f" opened AS (SELECT {_numbered("(n.customer_id || '|2001-07-02')", 'sk')}, {', '.join('n.' + c for c in _COLS)}"
+    f" FROM n LEFT JOIN o ON o.customer_id = n.customer_id WHERE o.customer_id IS NULL OR NOT ({_SAME}))"
+    f" SELECT o.customer_sk, {', '.join('o.' + c for c in _COLS)}, o.effective_from,"
     f" CASE WHEN n.customer_id IS NOT NULL AND NOT ({_SAME}) THEN DATE '2001-07-02' END AS effective_to,"
     f" NOT (n.customer_id IS NOT NULL AND NOT ({_SAME})) AS is_current"
     " FROM o LEFT JOIN n ON o.customer_id = n.customer_id"
-    f" UNION ALL SELECT {', '.join('n.' + c for c in _COLS)}, DATE '2001-07-02', CAST(NULL AS DATE), TRUE"
-    " FROM n LEFT JOIN o ON o.customer_id = n.customer_id"
-    f" WHERE o.customer_id IS NULL OR NOT ({_SAME})"
+    f" UNION ALL SELECT sk + coalesce(place, 0), {', '.join(_COLS)}, DATE '2001-07-02', CAST(NULL AS DATE), TRUE"
+    " FROM opened LEFT JOIN last ON sk >> 40 = b"
 )
 Q["fact_work_orders"] = "SELECT * FROM fact_orders"
 Q["fact_work_orders_sql"] = (
+    f"SELECT * REPLACE ({_SHOWN_ORDER}, CAST(hours_variance AS DOUBLE) AS hours_variance) FROM ("
     f"SELECT {_numbered('w.work_order_id', 'fact_wo_sk')}, w.work_order_id, w.work_order_number, c.customer_sk,"
     f" {_DATE_KEY('w.scheduled_date')} AS scheduled_date_sk, {_DATE_KEY('w.actual_end')} AS completed_date_sk,"
     f" {_MEASURES}, {LOADED} AS load_date, w.stg_batch_id AS record_source FROM stg_orders_sql w"
-    " LEFT JOIN dim_customer_sql c ON w.customer_id = c.customer_id WHERE NOT w.is_quarantined"
+    " LEFT JOIN dim_customer_sql c ON w.customer_id = c.customer_id WHERE NOT w.is_quarantined)"
 )
 Q["fact_invoices"] = (
     f"SELECT {_numbered('i.invoice_id', 'fact_inv_sk')}, i.invoice_id, i.invoice_number, i.work_order_id,"

@@ -56,6 +56,9 @@ def is_blank(c: str) -> str:
 
 
 def number(c: str, money: str = "double") -> str:
+    """A decimal takes no exponent; text that is too large for it does not parse either."""
+    if money.startswith("decimal"):
+        return f"if(contains(lower({c}), 'e'), NULL, try_cast({c} AS {money}))"
     return f"try_cast({c} AS {money})"
 
 

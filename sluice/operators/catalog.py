@@ -80,7 +80,13 @@ def gap(amount: str, total: str) -> str:
 
 
 ORDER_COST = f"({number('labor_cost')} + {number('parts_cost')})"
-BILL_AMOUNT = f"({number('subtotal')} + {number('tax_amount')} - {number('discount_amount')})"
+
+
+def bill_amount(money: str = "double") -> str:
+    return f"({number('subtotal', money)} + {number('tax_amount', money)} - {number('discount_amount', money)})"
+
+
+BILL_AMOUNT = bill_amount()
 MISSING_TIMES = "actual_start IS NULL OR actual_end IS NULL"
 LATE = after(instant, "actual_end", "sla_due_date")
 SLA_KNOWN = f"{instant('actual_end')} IS NOT NULL AND {instant('sla_due_date')} IS NOT NULL AND sla_met IS NOT NULL"
@@ -315,7 +321,8 @@ ROW_RULES = (
     RowRule(
         "T-004", TIMELINESS, "customers", "LOW", "Active customer record stale > 2 years",
         column="last_modified",
-        fails=f"{is_value('account_status', 'ACTIVE')} AND {days_since('last_modified')} > {d.STALE_CUSTOMER_DAYS}",
+        fails=f"{is_value('account_status', 'ACTIVE')} AND {instant('last_modified')} IS NOT NULL"
+        f" AND {days_since('last_modified')} > {d.STALE_CUSTOMER_DAYS}",
         show=CU + ("account_status", "last_modified"),
         detail={
             "days_since_modified": days_since("last_modified"),
@@ -325,7 +332,8 @@ ROW_RULES = (
     RowRule(
         "T-005", TIMELINESS, "work_orders", "HIGH", "IN_PROGRESS WO stale > 90 days",
         column="last_modified",
-        fails=f"{upper_snake('status')} = 'IN_PROGRESS' AND {days_since('last_modified')} > {d.STALE_WORK_DAYS}",
+        fails=f"{upper_snake('status')} = 'IN_PROGRESS' AND {instant('last_modified')} IS NOT NULL"
+        f" AND {days_since('last_modified')} > {d.STALE_WORK_DAYS}",
         show=WO + ("status", "scheduled_date", "last_modified"),
         detail={
             "days_open": days_since("last_modified"),

@@ -220,30 +220,13 @@ def childless_rows(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
 
 
 def repeated_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    member: str | None,
-    count_name: str,
-    list_name: str | None = None,
-    more: Sequence[Column] = (),
-    list_size: int = 10_000,
+    df: DataFrame, keys: Sequence[str], member: str | None, count_name: str, more: Sequence[Column] = ()
 ) -> DataFrame:
-    """Keys that occur more than once, their count and the ids that share them.
+    """Keys that occur more than once and their count; with ``member`` one row per id that shares the key.
 
-    A list holds about ``list_size`` ids.  A key with more of them gets several
-    rows, numbered by ``list_part`` from 0, so that no single row or task has
-    to hold a key's whole membership; together the rows list every id.
+    A group of any size is so many narrow rows, which need not meet in one task.
     """
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name), *more).filter(F.col(count_name) > 1)
     if member is None:
         return groups
-    rows = df.select(*keys, member, F.monotonically_increasing_id().alias("_at"))
-    part = f"CAST(pmod(xxhash64({member}, _at), ceil({count_name} / {list_size})) AS int) AS list_part"
-    members = (
-        attach(rows, groups.select(*keys, count_name), keys, "inner", null_safe=True)
-        .selectExpr(*keys, member, count_name, part)
-        # a shuffle of its own, because grouping on the join's partitions would keep a hot key whole
-        .repartition(*keys, "list_part")
-    )
-    listed = F.expr(f"listagg({member}, ', ') within group (order by {member})")
-    return members.groupBy(*keys, count_name, "list_part").agg(listed.alias(list_name))
+    return attach(df.select(*keys, member), groups.select(*keys, count_name), keys, "inner", null_safe=True)

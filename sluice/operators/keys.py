@@ -1,4 +1,4 @@
-"""Contiguous surrogate keys without a single-task window."""
+"""Surrogate keys in one pass, without a single-task window, that stay once they are given."""
 
 from __future__ import annotations
 
@@ -7,27 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach
 
-def surrogate_key(df: DataFrame, keys: Sequence[str], name: str, digits: int = 3) -> DataFrame:
-    """Number the rows 1..n in the order of a digest of their unique key.
+#: bits of a key for the place inside its bucket
+PLACE_BITS = 40
 
-    The first ``digits`` hex digits of the digest name a bucket; buckets are
-    even whatever the keys look like.  Rows are numbered inside their bucket
-    and shifted by the rows of the buckets before it: at most ``16 ** digits``
-    offsets, which is what is broadcast.  The numbering depends only on the
-    keys, so a lost task repeats it exactly.
+
+def surrogate_key(
+    df: DataFrame, keys: Sequence[str], name: str, digits: int = 3, known: DataFrame | None = None
+) -> DataFrame:
+    """Give each row a number, from the unique ``keys`` of the rows.
+
+    The first ``digits`` hex digits of the key's digest name one of ``16 **
+    digits`` buckets, which are even whatever the keys look like; callers with
+    more rows choose more digits.  A number is the bucket, shifted, plus the
+    row's place in the order of the digests of its bucket.  The rows are read
+    once and nothing is counted first, so numbers are unique but have gaps.
+
+    ``known`` holds keys with the number given to them before.  They keep it;
+    new keys are numbered after the last place of their bucket.  Without it the
+    numbers depend on the whole set of keys, and a lost task repeats them exactly.
     """
     digest = F.md5(F.concat_ws("|", *keys))
-    marked = df.withColumns({"_d": digest, "_b": F.substring(digest, 1, digits)})
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        marked.groupBy("_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(F.col("_b").alias("_bucket"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_d", *keys))
-    return (
-        marked.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), F.col("_b") == F.col("_bucket"))
-        .select((F.col("_offset") + F.col("_inside")).alias(name), *df.columns)
-    )
+    columns = [name, *df.columns]
+    rows = df if known is None else attach(df, known.select(*keys, name), keys, null_safe=True)
+    new = rows if known is None else rows.filter(F.col(name).isNull()).drop(name)
+    marked = new.withColumns({"_d": digest, "_b": F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")})
+    place = F.row_number().over(Window.partitionBy("_b").orderBy("_d", *keys)).cast("long")
+    if known is not None:
+        low = F.col(name).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+        last = known.groupBy(F.shiftright(name, PLACE_BITS).alias("_b")).agg(F.max(low).alias("_last"))
+        marked = marked.withColumn("_place", place)
+        marked = attach(marked, last, ["_b"])
+        place = F.col("_place") + F.coalesce(F.col("_last"), F.lit(0))
+    numbered = marked.withColumn(name, F.shiftleft(F.col("_b"), PLACE_BITS) + place).select(*columns)
+    return numbered if known is None else rows.filter(F.col(name).isNotNull()).select(*columns).unionByName(numbered)

@@ -57,27 +57,21 @@ def duplicate_work_orders(frames: Frames) -> DataFrame:
     return labelled(groups, "u_003", "work_order_id", "occurrence_count", "first_seen", "last_seen")
 
 
-def duplicate_invoices(frames: Frames, list_size: int = 10_000) -> DataFrame:
-    groups = repeated_groups(
-        frames["invoices"], ["work_order_id"], "invoice_id", "invoice_count", "invoice_ids", list_size=list_size
-    )
-    return labelled(groups, "u_004", "work_order_id", "invoice_count", "list_part", "invoice_ids")
+def duplicate_invoices(frames: Frames) -> DataFrame:
+    groups = repeated_groups(frames["invoices"], ["work_order_id"], "invoice_id", "invoice_count")
+    return labelled(groups, "u_004", "work_order_id", "invoice_count", "invoice_id")
 
 
-def duplicate_assignments(frames: Frames, list_size: int = 10_000) -> DataFrame:
+def duplicate_assignments(frames: Frames) -> DataFrame:
     keys = ["work_order_id", "technician_id"]
-    groups = repeated_groups(
-        frames["assignments"], keys, "assignment_id", "assignment_count", "assignment_ids", list_size=list_size
-    )
-    return labelled(groups, "u_005", *keys, "assignment_count", "list_part", "assignment_ids")
+    groups = repeated_groups(frames["assignments"], keys, "assignment_id", "assignment_count")
+    return labelled(groups, "u_005", *keys, "assignment_count", "assignment_id")
 
 
-def duplicate_employee_numbers(frames: Frames, list_size: int = 10_000) -> DataFrame:
+def duplicate_employee_numbers(frames: Frames) -> DataFrame:
     known = frames["technicians"].filter(F.col("employee_number").isNotNull())
-    groups = repeated_groups(
-        known, ["employee_number"], "technician_id", "occurrence_count", "technician_ids", list_size=list_size
-    )
-    return labelled(groups, "u_006", "employee_number", "occurrence_count", "list_part", "technician_ids")
+    groups = repeated_groups(known, ["employee_number"], "technician_id", "occurrence_count")
+    return labelled(groups, "u_006", "employee_number", "occurrence_count", "technician_id")
 
 
 def orphan_work_orders(frames: Frames) -> DataFrame:

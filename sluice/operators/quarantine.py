@@ -34,7 +34,7 @@ from ..functions.columns import (
     true_only,
     upper_trim,
 )
-from .catalog import BILL_AMOUNT, future
+from .catalog import bill_amount, future
 from .joins import attach, per_key_keys
 
 NOTEBOOK = "notebook"
@@ -197,7 +197,7 @@ TECHNICIAN_SCORE = deductions(
 def invoice_flags(money: str = "double") -> Flags:
     """Needs ``order_ok`` and ``customer_ok``, whether the parents exist."""
     amounts = [f"{number(name, money)} < 0" for name in ("subtotal", "total_amount", "payment_received")]
-    off = f"abs({BILL_AMOUNT} - {number('total_amount')}) > {d.CENT}"
+    off = f"abs({bill_amount(money)} - {number('total_amount', money)}) > {d.CENT}"
     return {
         "q_orphan_order": "work_order_id IS NOT NULL AND NOT order_ok",
         "q_orphan_cust": "customer_id IS NOT NULL AND NOT customer_ok",

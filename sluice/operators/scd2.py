@@ -9,23 +9,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_literal
+from .keys import surrogate_key
 
 
 def scd2_merge(
-    dimension: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], effective: dt.date
+    dimension: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    effective: dt.date,
+    surrogate: str | None = None,
 ) -> DataFrame:
     """Merge an extract into a dimension with ``effective_from/effective_to/is_current``.
 
     A changed key closes its current row and opens a new one, a new key opens
     one, a key missing from the extract stays as it is, and history rows pass
-    through.  One full outer join on the key; ``incoming`` has one row per key.
+    through.  One full outer join on the key, in which a null key is a key like
+    any other; ``incoming`` has one row per key.  Versions keep their
+    ``surrogate`` key, and the opened ones get new ones behind them.
     """
+    if surrogate is not None:
+        version = [key, "effective_from"]
+        merged = scd2_merge(dimension.drop(surrogate), incoming, key, tracked, effective)
+        return surrogate_key(merged, version, surrogate, known=dimension.select(*version, surrogate))
     columns = dimension.columns
     current = dimension.filter("is_current")
     closed = dimension.filter("NOT is_current")
-    old = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("_old"))
-    new = incoming.select(F.col(key).alias("_key"), F.struct(*incoming.columns).alias("_new"))
-    both = old.join(new, "_key", "full_outer")
+    old = current.select(F.col(key).alias("_old_key"), F.struct(*columns).alias("_old"))
+    new = incoming.select(F.col(key).alias("_new_key"), F.struct(*incoming.columns).alias("_new"))
+    both = old.join(new, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
 
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     same = F.struct(*[F.col(f"_old.{c}") for c in tracked]).eqNullSafe(

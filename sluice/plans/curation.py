@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.columns import day_literal, instant_literal
+from ..operators.joins import attach
 from ..operators.keys import surrogate_key
 
 FIRST_DAY = dt.date(2015, 1, 1)
@@ -24,18 +25,11 @@ def days(spark: SparkSession, first: dt.date = FIRST_DAY, last: dt.date = LAST_D
     return spark.range(1).selectExpr(f"explode(sequence({day_literal(first)}, {day_literal(last)})) AS full_date")
 
 
-def days_covering(
-    df: DataFrame, column: str, first: dt.date = dt.date(1900, 1, 1), last: dt.date = dt.date(2100, 12, 31)
-) -> DataFrame:
-    """All days of the years a column touches, within fixed limits.
-
-    The limits bound the calendar when a dirty date lies far outside; such a
-    date gets no date key.
-    """
-    inside = df.filter(f"{column} BETWEEN {day_literal(first)} AND {day_literal(last)}")
-    span = inside.selectExpr(f"min({column}) AS first", f"max({column}) AS last").filter("first IS NOT NULL")
-    return span.selectExpr(
-        "explode(sequence(trunc(first, 'year'), date_sub(add_months(trunc(last, 'year'), 12), 1))) AS full_date"
+def days_covering(df: DataFrame, *columns: str) -> DataFrame:
+    """All days of every year that a column touches: 366 rows for each year that occurs, however far off."""
+    years = reduce(DataFrame.unionAll, [df.selectExpr(f"year({column}) AS y") for column in columns])
+    return years.filter("y IS NOT NULL").distinct().selectExpr(
+        "explode(sequence(make_date(y, 1, 1), make_date(y, 12, 31))) AS full_date"
     )
 
 
@@ -124,9 +118,8 @@ def _with_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def _with_day(rows: DataFrame, calendar: DataFrame, day: str, key: str) -> DataFrame:
-    # a calendar is a few thousand rows by construction
-    keys = F.broadcast(calendar.selectExpr(f"full_date AS {day}", f"date_sk AS {key}"))
-    return rows.join(keys, day, "left")
+    keys = calendar.selectExpr(f"full_date AS {day}", f"date_sk AS {key}")
+    return attach(rows, keys, [day])
 
 
 _WORK_ORDER_MEASURES = (

@@ -62,15 +62,21 @@ def curate(
     staged: Frames,
     target: Target,
     load: Load,
-    first_day: dt.date = curation.FIRST_DAY,
-    last_day: dt.date = curation.LAST_DAY,
+    first_day: dt.date | None = None,
+    last_day: dt.date | None = None,
 ) -> dict[str, DataFrame]:
-    spark = staged["customers"].sparkSession
+    """The calendar holds the given days, or else the years in which the facts fall."""
 
     def write(name: str, df: DataFrame) -> DataFrame:
         return sinks.overwrite(df, target("curated", name))
 
-    calendar = write("dim_date", curation.dim_date(curation.days(spark, first_day, last_day)))
+    if first_day and last_day:
+        days = curation.days(staged["customers"].sparkSession, first_day, last_day)
+    else:
+        dates = staged["work_orders"].selectExpr("scheduled_date AS a", "CAST(actual_end AS date) AS b")
+        dates = dates.unionAll(staged["invoices"].selectExpr("invoice_date", "due_date"))
+        days = curation.days_covering(dates, "a", "b")
+    calendar = write("dim_date", curation.dim_date(days))
     customers = write("dim_customer", curation.dim_customer(staged["customers"], load.loaded))
     return {
         "dim_date": calendar,
@@ -91,8 +97,8 @@ def run(
     load: Load,
     run_id: str,
     ended: dt.datetime,
-    first_day: dt.date = curation.FIRST_DAY,
-    last_day: dt.date = curation.LAST_DAY,
+    first_day: dt.date | None = None,
+    last_day: dt.date | None = None,
 ) -> dict[str, DataFrame]:
     """All steps; returns the report and the audit log next to the curated tables."""
     target = Target(root)

@@ -44,7 +44,8 @@ AS_OF = dt.date(2001, 7, 1)
 LOADED = dt.datetime(2001, 7, 1, 6, 0, 0)
 RUN_ID = "RUN-20010701"
 LOAD = Load(AS_OF, LOADED, "BATCH-20010701")
-SCRIPT_LOAD = replace(LOAD, book=q.SCRIPT, batch_id=None)
+SCRIPT_MONEY = "decimal(12,2)"
+SCRIPT_LOAD = replace(LOAD, book=q.SCRIPT, batch_id=None, money=SCRIPT_MONEY)
 MERGE_DAY = dt.date(2001, 7, 2)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -475,9 +476,9 @@ def staged_invoices(raw):
 
 
 query("stage_customers")(staged_customers)
-query("stage_customers_sql")(lambda raw: staged_customers(raw, SCRIPT_LOAD))
+query("stage_customers_sql")(lambda raw: decimals_shown(staged_customers(raw, SCRIPT_LOAD)))
 query("stage_work_orders")(staged_orders)
-query("stage_work_orders_sql")(lambda raw: staged_orders(raw, SCRIPT_LOAD))
+query("stage_work_orders_sql")(lambda raw: decimals_shown(staged_orders(raw, SCRIPT_LOAD)))
 query("stage_work_orders_three_valued")(lambda raw: staged_orders(raw, replace(LOAD, three_valued=True)))
 query("stage_technicians")(staged_technicians)
 query("stage_invoices")(staged_invoices)
@@ -486,8 +487,14 @@ query("stage_invoices")(staged_invoices)
 # -- quarantine -------------------------------------------------------------
 
 
+def decimals_shown(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, for a listing."""
+    return df.select(*[c(n).cast("double").alias(n) if t.startswith("decimal") else c(n) for n, t in df.dtypes])
+
+
 def customer_flags(raw, book=q.NOTEBOOK):
-    return q.with_flags(raw["customers"], q.customer_flags(book), AS_OF)
+    money = SCRIPT_MONEY if book == q.SCRIPT else "double"
+    return q.with_flags(raw["customers"], q.customer_flags(book, money), AS_OF)
 
 
 def _customer_book(suffix, book):
@@ -609,11 +616,11 @@ def _(raw):
 def _(raw):
     """The second extract, one row per customer, merged into the dimension of the first."""
     shown = ["customer_id", "customer_name", "customer_type", "account_status", "region_code", "credit_limit"]
-    dimension = customers_dim(raw).drop("customer_sk")
+    dimension = customers_dim(raw)
     second = stg.stage_customers(raw["customers_batch2"], LOAD)
     incoming = dedup.keep_latest(second, ["customer_id"], [c("last_modified").desc(), c("customer_name").asc()])
-    return scd2_merge(dimension.select(*shown, "effective_from", "effective_to", "is_current"),
-                      incoming.select(*shown), "customer_id", shown[1:], MERGE_DAY)
+    return scd2_merge(dimension.select("customer_sk", *shown, "effective_from", "effective_to", "is_current"),
+                      incoming.select(*shown), "customer_id", shown[1:], MERGE_DAY, "customer_sk")
 
 
 def orders_fact(raw):
@@ -625,8 +632,8 @@ query("fact_work_orders")(orders_fact)
 
 @query("fact_work_orders_sql")
 def _(raw):
-    return cur.fact_work_orders_by_format(
-        staged_orders(raw, SCRIPT_LOAD), customers_dim(raw, SCRIPT_LOAD), LOADED
+    return decimals_shown(
+        cur.fact_work_orders_by_format(staged_orders(raw, SCRIPT_LOAD), customers_dim(raw, SCRIPT_LOAD), LOADED)
     )
 
 

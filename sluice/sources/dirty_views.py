@@ -86,7 +86,7 @@ SELECT 'INV-' || CAST(o_orderkey AS STRING) AS invoice_id,
  CASE WHEN o_orderkey % 7 > 1 THEN NULL WHEN o_orderkey % 35 = 1 THEN '99999999.00' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) END AS payment_received,
  CASE WHEN o_orderkey % 7 > 1 OR o_orderkey % 21 = 1 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) + 12 AS STRING) END AS payment_date,
  TIMESTAMP '2001-06-29 00:00:00' AS _extract_timestamp, 'BATCH-1' AS _batch_id, o_orderkey AS _src_row
-FROM {orders} WHERE o_orderkey % 3 <> 0
+FROM {orders}
 """
 
 RAW_ASSIGNMENTS = """

@@ -10,6 +10,8 @@ from sluice.operators.catalog import BY_KEY, RULES
 from sluice.operators.evaluate import evaluate, evaluate_isolated, registry, rules_for_table, violating_rows, with_money
 from sluice.operators.extended import EXTENDED_RULES, GROUPS
 from sluice.operators.external import EXTERNAL_RULES
+from sluice.functions.columns import number
+from sluice.operators.keys import surrogate_key
 from sluice.operators.scd2 import scd2_merge
 from sluice.plans import curation
 from sluice.plans.monitoring import pct_share
@@ -133,6 +135,49 @@ def test_scd2(spark):
     assert {(r.id, r.name, r.effective_from, r.effective_to, r.is_current) for r in again.collect()} == rows
 
 
+def test_scd2_keeps_keys_and_takes_a_null_key_once(spark):
+    day, steps = dt.date(2020, 1, 1), [dt.date(2021, 1, 1), dt.date(2022, 1, 1), dt.date(2023, 1, 1)]
+    first = spark.createDataFrame([(f"k{i}", "old") for i in range(50)], "id string, name string")
+    dim = surrogate_key(
+        first.selectExpr("*", f"DATE'{day}' AS effective_from", "CAST(NULL AS date) AS effective_to", "true AS is_current"), ["id"], "sk", 1
+    )
+    given = {(r.id, r.effective_from): r.sk for r in dim.collect()}
+    new = spark.createDataFrame([("k1", "new"), ("k2", "new"), (None, "none"), ("x", "x")], "id string, name string")
+    for now in steps:
+        dim = scd2_merge(dim, new, "id", ["name"], now, "sk")
+        rows = dim.collect()
+        assert len(rows) == 54 and len({r.sk for r in rows}) == 54
+        assert all(given.get((r.id, r.effective_from), r.sk) == r.sk for r in rows)
+        given |= {(r.id, r.effective_from): r.sk for r in rows}
+        assert sum(r.id is None for r in rows) == 1
+
+
+def test_known_keys_stay(spark):
+    some = spark.range(0, 400).selectExpr("cast(id AS string) AS k")
+    more = spark.range(100, 900).selectExpr("cast(id AS string) AS k")
+    given = surrogate_key(some, ["k"], "sk", 2)
+    before = {r.k: r.sk for r in given.collect()}
+    after = {r.k: r.sk for r in surrogate_key(more, ["k"], "sk", 2, known=given).collect()}
+    assert len(set(after.values())) == 800 and all(after[k] == v for k, v in before.items() if k in after)
+    assert not {v for k, v in after.items() if k not in before} & set(before.values())
+
+
+def test_calendar_of_the_years_that_occur(spark):
+    dates = spark.sql("SELECT DATE'1850-05-01' AS a, DATE'2150-01-01' AS b UNION ALL SELECT NULL, DATE'2000-02-02'")
+    days = [r.full_date for r in curation.days_covering(dates, "a", "b").collect()]
+    assert sorted({d.year for d in days}) == [1850, 2000, 2150] and len(days) == len(set(days)) == 365 + 366 + 365
+    dated = curation._with_day(dates, curation.dim_date(curation.days_covering(dates, "a", "b")), "b", "b_sk")
+    assert sorted(r.b_sk for r in dated.collect()) == [20000202, 21500101]
+
+
+def test_script_book_parses_fixed_point(spark):
+    texts = ["99999999999.00", "2.5e5", "12.345", "-1", None, "$5"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").selectExpr(f"{number('v', 'decimal(12,2)')} AS d", f"{number('v')} AS f")
+    rows = df.collect()
+    assert [r.d is None for r in rows] == [True, True, False, False, True, True]
+    assert [r.f is None for r in rows] == [False, False, False, False, True, True]
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
     path = str(tmp_path / "t")

@@ -120,6 +120,7 @@ CASES = [
     ("t_001", {"created_date": "2024-01-16"}, True),
     ("t_001", {"created_date": "2024-01-15"}, False),
     ("t_004", {"last_modified": "2021-12-31 00:00:00"}, True),
+    ("t_004", {"last_modified": "2000-01-01 junk"}, False),
     ("t_005", {"status": "IN PROGRESS", "last_modified": "2023-01-01 00:00:00"}, True),
     ("t_006", {"created_date": "UNKNOWN"}, True),
     ("br_004", {"invoice_status": "paid "}, True),
