@@ -408,16 +408,15 @@ def _summary(source: str, run: str, day: str) -> str:
     )
 
 
-_CUSTOMER_ROW_KEYS = [k for k, r in ROWS.items() if r[1] == "customers"]
 
 
 def _run(day: str) -> str:
-    body = union(counts(k).replace(AS_OF, f"DATE '{day}'") for k in _CUSTOMER_ROW_KEYS)
+    body = union(f"SELECT * FROM ({counts(k)})".replace(AS_OF, f"DATE '{day}'") for k in ALL_KEYS)
     return _summary(f"({outcome(body)})", f"RUN-{day}", day)
 
 
-# the standard run and six earlier ones, 30 days apart
-_RUN_DAYS = ["2001-07-01", "2001-06-01", "2001-05-02", "2001-04-02", "2001-03-03", "2001-02-01", "2001-01-02"]
+# the standard run and five earlier ones, 30 days apart
+_RUN_DAYS = ["2001-07-01", "2001-06-01", "2001-05-02", "2001-04-02", "2001-03-03", "2001-02-01"]
 
 # -- the compact suite ------------------------------------------------------
 
@@ -552,7 +551,6 @@ Q["sink_overwrite"] = "SELECT technician_id, full_name FROM raw_technicians"
 Q["sink_truncate_insert"] = "SELECT invoice_id, invoice_status FROM raw_invoices WHERE invoice_status IS NOT NULL"
 Q["sink_append_batch"] = "SELECT customer_id, customer_name, _batch_id FROM raw_customers_all"
 
-_TECH_KEYS = [k for k in ALL_KEYS if (ROWS.get(k) or KEYS.get(k))[1] == "technicians"]
 
 
 def _stored(source: str, run: str) -> str:
@@ -562,13 +560,13 @@ def _stored(source: str, run: str) -> str:
     )
 
 
-def _tech_run(run: str, day: str) -> str:
-    body = union(f"SELECT * FROM ({counts(k).replace(AS_OF, day)})" for k in _TECH_KEYS)
+def _whole_run(run: str, day: str) -> str:
+    body = union(f"SELECT * FROM ({counts(k).replace(AS_OF, day)})" for k in ALL_KEYS)
     return _stored(f"({outcome(body)})", run)
 
 
 Q["sink_append_results"] = (
-    _tech_run("RUN-1", AS_OF) + " UNION ALL " + _tech_run("RUN-2", "DATE '2001-07-02'")
+    _whole_run("RUN-1", AS_OF) + " UNION ALL " + _whole_run("RUN-2", "DATE '2001-07-02'")
 )
 Q["sink_insert_if_absent"] = (
     f"SELECT DISTINCT {_DATE_KEY('d')} AS date_sk, d AS full_date FROM (SELECT {D('invoice_date')} AS d"
@@ -604,11 +602,14 @@ def _per_batch(key: str) -> str:
 
 Q["rule_suite_by_table"] = (
     f"SELECT _batch_id, {_RESULT} FROM ({outcome(union(f'SELECT * FROM ({_per_batch(k)})' for k in ROWS))})"
+    f" UNION ALL SELECT 'BATCH-1', {_RESULT} FROM"
+    f" ({outcome(union(f'SELECT * FROM ({counts(k)})' for k in ALL_KEYS if k not in ROWS))})"
 )
 Q["rule_filter_table"] = f"SELECT {_RESULT} FROM results WHERE contains(target_table, 'invoices')"
 Q["rule_error_isolation"] = (
-    f"SELECT {_RESULT} FROM ({outcome(union(f'SELECT * FROM ({counts(k)})' for k in _CUSTOMER_ROW_KEYS))})"
+    f"SELECT {_RESULT} FROM results"
     " UNION ALL SELECT 'V-016B', 'Validity', 'raw.customers', 'LOW', NULL, NULL, NULL, 'ERROR'"
+    " UNION ALL SELECT 'V-016R', 'Validity', 'raw.customers', 'LOW', NULL, NULL, NULL, 'ERROR'"
 )
 Q["dq_score_overall"] = f"SELECT {_dq()} AS overall_score FROM results"
 Q["dq_score_by_dimension"] = (

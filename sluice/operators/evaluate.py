@@ -16,7 +16,7 @@ from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,33 +146,45 @@ def _quiet():
 
 
 def evaluate_isolated(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFrame:
-    """As ``evaluate``, but a rule that cannot be bound to its table gives a row
-    with status ERROR and null counts instead of failing the suite.
+    """As ``evaluate``, but a rule that fails gives a row with status ERROR and
+    null counts instead of failing the suite.
 
-    Binding is analysis only; no data is read to find the broken rules.
+    Rules that cannot be bound to their table are found by analysis alone.  The
+    others run together; if that fails they run in halves, so a few faulty
+    rules cost a few runs more.  What is collected is one row per rule.
     """
-    sound, broken = [], []
-    for rule in rules:
+    spark = SparkSession.getActiveSession()
+    sound, rows = [], []
+
+    def error(rule: Rule) -> tuple:
+        return (rule.code, rule.dimension, rule.target, rule.severity, None, None, rule.description, None, "ERROR")
+
+    def run(some: list[Rule]) -> None:
         try:
-            with _quiet():
+            rows.extend(tuple(r) for r in evaluate(frames, some, as_of).select(*_ISOLATED).collect())
+        except PySparkException:
+            if len(some) == 1:
+                rows.append(error(some[0]))
+            else:
+                run(some[: len(some) // 2])
+                run(some[len(some) // 2 :])
+
+    with _quiet():
+        for rule in rules:
+            try:
                 rule_counts(frames, [rule], as_of)
-            sound.append(rule)
-        except AnalysisException:
-            broken.append(rule)
-    parts = []
-    if sound:
-        parts.append(evaluate(frames, sound, as_of))
-    for rule in broken:
-        spark = SparkSession.getActiveSession()
-        row = (rule.code, rule.dimension, rule.target, rule.severity, None, None, rule.description, None, "ERROR")
-        parts.append(
-            spark.createDataFrame(
-                [row],
-                "rule_code string, dq_dimension string, target_table string, severity string,"
-                " total_records bigint, failed_records bigint, details string, pass_rate double, status string",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+                sound.append(rule)
+            except AnalysisException:
+                rows.append(error(rule))
+        if sound:
+            run(sound)
+    return spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in _ISOLATED.items()))
+
+
+_ISOLATED = {
+    "rule_code": "string", "dq_dimension": "string", "target_table": "string", "severity": "string",
+    "total_records": "bigint", "failed_records": "bigint", "details": "string", "pass_rate": "double", "status": "string",
+}
 
 
 # -- listings ---------------------------------------------------------------

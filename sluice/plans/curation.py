@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.columns import day_literal, instant_literal
 from ..operators.joins import attach
 from ..operators.keys import surrogate_key
+from ..operators.scd2 import scd2_merge
 
 FIRST_DAY = dt.date(2015, 1, 1)
 LAST_DAY = dt.date(2027, 12, 31)
@@ -72,9 +73,9 @@ def _loaded(loaded: dt.datetime) -> str:
     return f"{instant_literal(loaded)} AS load_date"
 
 
-def dim_customer(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
+def _customers(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
     """Clean, first-of-their-key customers as open versions."""
-    rows = staged.filter("NOT is_quarantined AND NOT is_duplicate").selectExpr(
+    return staged.filter("NOT is_quarantined AND NOT is_duplicate").selectExpr(
         "customer_id",
         "customer_name",
         "customer_type",
@@ -85,7 +86,17 @@ def dim_customer(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
         "stg_batch_id AS record_source",
         _loaded(loaded),
     )
-    return surrogate_key(rows, ["customer_id"], "customer_sk")
+
+
+def dim_customer(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
+    return surrogate_key(_customers(staged, loaded), ["customer_id"], "customer_sk")
+
+
+def merge_customers(dimension: DataFrame, staged: DataFrame, loaded: dt.datetime, effective: dt.date) -> DataFrame:
+    """The dimension with the customers of another load: new versions from ``effective`` on, all keys kept."""
+    incoming = _customers(staged, loaded).drop("effective_from", "effective_to", "is_current")
+    tracked = ["customer_name", "customer_type", "account_status", "region_code", "credit_limit"]
+    return scd2_merge(dimension, incoming, "customer_id", tracked, effective, "customer_sk")
 
 
 def dim_technician(staged: DataFrame, loaded: dt.datetime) -> DataFrame:

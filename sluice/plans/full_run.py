@@ -32,13 +32,13 @@ class Target:
 
 
 def validate(raw: Frames, target: Target, load: Load, run_id: str) -> DataFrame:
-    """Evaluate the suite; append results and the score summary."""
-    stored = sinks.append(
-        scoring.result_rows(evaluate(raw, RULES, load.as_of), run_id, load.loaded), target("dq", "dq_results")
+    """Evaluate the suite; add results and the score summary, once per run id."""
+    stored = sinks.append_once(
+        scoring.result_rows(evaluate(raw, RULES, load.as_of), run_id, load.loaded), target("dq", "dq_results"), ["run_id"]
     )
     results = stored.filter(stored.run_id == run_id)
     summary = scoring.summary_row(results, run_id, load.as_of)
-    return sinks.append(summary, target("dq", "dq_score_summary"))
+    return sinks.append_once(summary, target("dq", "dq_score_summary"), ["run_id"])
 
 
 def stage(raw: Frames, target: Target, load: Load) -> dict[str, DataFrame]:
@@ -55,7 +55,18 @@ def log_quarantine(staged: Frames, target: Target, load: Load, run_id: str) -> D
     rows = quarantine.quarantine_log(
         staged["customers"], "raw.customers", "customer_id", run_id, load.loaded, load.book
     )
-    return sinks.append(rows, target("dq", "quarantine_log"))
+    return sinks.append_once(rows, target("dq", "quarantine_log"), ["run_id"])
+
+
+def _customers(staged: DataFrame, target: Target, load: Load) -> DataFrame:
+    """The customer dimension: a first one, or the one there is with this load merged in."""
+    path = target("curated", "dim_customer")
+    if not sinks.exists(staged.sparkSession, path):
+        return curation.dim_customer(staged, load.loaded)
+    before = staged.sparkSession.read.parquet(path)
+    merged = curation.merge_customers(before, staged, load.loaded, load.as_of)
+    # written aside first: the table it is read from is replaced next
+    return sinks.overwrite(merged, target("curated", "dim_customer_next"))
 
 
 def curate(
@@ -77,7 +88,7 @@ def curate(
         dates = dates.unionAll(staged["invoices"].selectExpr("invoice_date", "due_date"))
         days = curation.days_covering(dates, "a", "b")
     calendar = write("dim_date", curation.dim_date(days))
-    customers = write("dim_customer", curation.dim_customer(staged["customers"], load.loaded))
+    customers = write("dim_customer", _customers(staged["customers"], target, load))
     return {
         "dim_date": calendar,
         "dim_customer": customers,
@@ -121,5 +132,5 @@ def run(
         "dq_score_summary": summary,
         "quarantine_log": log,
         "before_after": report,
-        "pipeline_runs": sinks.append(audit, target("audit", "pipeline_runs")),
+        "pipeline_runs": sinks.append_once(audit, target("audit", "pipeline_runs"), ["run_id"]),
     }

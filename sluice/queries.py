@@ -47,6 +47,7 @@ LOAD = Load(AS_OF, LOADED, "BATCH-20010701")
 SCRIPT_MONEY = "decimal(12,2)"
 SCRIPT_LOAD = replace(LOAD, book=q.SCRIPT, batch_id=None, money=SCRIPT_MONEY)
 MERGE_DAY = dt.date(2001, 7, 2)
+FIRST_BATCH = "BATCH-1"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,10 +123,9 @@ def _(raw):
 @query("sink_append_results")
 def _(raw):
     path = scratch_path(raw.spark, "results")
-    rules = rules_for_table(RULES, "raw.technicians")
-    for run_id, as_of in (("RUN-1", AS_OF), ("RUN-2", MERGE_DAY)):
-        rows = scoring.result_rows(evaluate(raw, rules, as_of), run_id, LOADED)
-        table = sinks.append(rows, path)
+    for run_id, as_of in (("RUN-1", AS_OF), ("RUN-2", MERGE_DAY), ("RUN-2", MERGE_DAY)):
+        rows = scoring.result_rows(evaluate(raw, RULES, as_of), run_id, LOADED)
+        table = sinks.append_once(rows, path, ["run_id"])
     return table
 
 
@@ -239,11 +239,13 @@ def _(raw):
 
 @query("rule_suite_by_table")
 def _(raw):
-    """Every row rule, one pass per table and batch."""
+    """Every rule: row rules in one pass per table and batch, key and pair rules over the extract."""
     parts = []
     for table in ("customers", "technicians", "work_orders", "invoices", "assignments"):
         rules = [r for r in RULES if isinstance(r, RowRule) and r.table == table]
         parts.append(with_outcome(row_rule_counts(raw[table], rules, AS_OF, ["_batch_id"])))
+    others = evaluate(raw, [r for r in RULES if not isinstance(r, RowRule)], AS_OF)
+    parts.append(others.withColumn("_batch_id", F.lit(FIRST_BATCH)).select(*parts[0].columns))
     return reduce(DataFrame.unionAll, parts).select("_batch_id", *RESULT_COLUMNS)
 
 
@@ -254,10 +256,12 @@ def _(raw):
 
 @query("rule_error_isolation")
 def _(raw):
-    broken = replace(BY_KEY["v_016"], code="V-016B", fails="no_such_column IS NULL")
-    rules = rules_for_table(RULES, "raw.customers")
-    rules = [r for r in rules if isinstance(r, RowRule)] + [broken]
-    return evaluate_isolated(raw, rules, AS_OF).select(*RESULT_COLUMNS)
+    """The suite with a rule that cannot be bound and one that fails while it runs."""
+    broken = [
+        replace(BY_KEY["v_016"], code="V-016B", fails="no_such_column IS NULL"),
+        replace(BY_KEY["v_016"], code="V-016R", fails="raise_error(coalesce(customer_id, 'none')) IS NULL"),
+    ]
+    return evaluate_isolated(raw, [*RULES, *broken], AS_OF).select(*RESULT_COLUMNS)
 
 
 @query("dq_score_overall")
@@ -300,18 +304,19 @@ def _(raw):
     return scoring.failed_checks(results(raw))
 
 
-def _runs(raw, days: int) -> DataFrame:
-    rules = [r for r in rules_for_table(RULES, "raw.customers") if isinstance(r, RowRule)]
-    rows = []
+def _stored_runs(raw, days: int) -> DataFrame:
+    """The summaries of several runs, as the runs left them in one table."""
+    path = scratch_path(raw.spark, "dq_score_summary")
     for back in range(days):
         as_of = AS_OF - dt.timedelta(days=30 * back)
-        rows.append(scoring.summary_row(evaluate(raw, rules, as_of), f"RUN-{as_of}", as_of))
-    return reduce(DataFrame.unionAll, rows)
+        summary = scoring.summary_row(evaluate(raw, RULES, as_of), f"RUN-{as_of}", as_of)
+        table = sinks.append_once(summary, path, ["run_id"])
+    return table
 
 
 @query("dq_score_history")
 def _(raw):
-    return scoring.history(_runs(raw, 7))
+    return scoring.history(_stored_runs(raw, 6))
 
 
 @query("dq_aggregate_by_table")
@@ -337,7 +342,7 @@ def _(raw):
 
 @query("dq_score_summary_table")
 def _(raw):
-    return sinks.append(_runs(raw, 2), scratch_path(raw.spark, "dq_score_summary"))
+    return _stored_runs(raw, 2)
 
 
 # -- deduplication ----------------------------------------------------------

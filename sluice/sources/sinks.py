@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach, per_key_keys
 
 
+#: rows of a single-file export at most
+EXPORTED = 100_000
+
+
 def overwrite(df: DataFrame, path: str) -> DataFrame:
     """Replace the table and return it as written, so later steps do not recompute it."""
     df.write.mode("overwrite").parquet(path)
@@ -32,12 +36,24 @@ def insert_if_absent(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame
     return append(absent_rows(df, target, keys), path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def append_once(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """Append what a run adds; a repeated run, whose keys are there already, adds nothing."""
+    return insert_if_absent(df, path, keys) if exists(df.sparkSession, path) else append(df, path)
+
+
 def export_csv(results: DataFrame, path: str) -> DataFrame:
     """One CSV file with a header.
 
     Meant for rule results, whose size is the number of rules; the exchange
-    keeps the work above it parallel.
+    keeps the work above it parallel.  Anything larger is refused.
     """
+    if results.limit(EXPORTED + 1).count() > EXPORTED:
+        raise ValueError(f"more than {EXPORTED} rows do not go to one file")
     results.repartition(1).write.mode("overwrite").option("header", True).csv(path)
     return results.sparkSession.read.schema(results.schema).option("header", True).csv(path)
 

@@ -96,13 +96,22 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):  # one process, whose own disk is shared by all it runs
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="sluice-shared-")
+        remove_at_end(spark, named)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 
 
+def remove_at_end(spark: SparkSession, path: str) -> str:
+    """Spark removes the folder when its driver ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}"
+    """A new folder in the shared one, for as long as the driver lives."""
+    return remove_at_end(spark, f"{shared_dir(spark).rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}")
