@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import at, case, named, quoted
 from .joins import attach, per_key_keys
-from .profiles import key_profile
+from .profiles import key_profile, stacked_profiles
 from .rules import Frames, KeyRule, PairRule, RowRule, Rule
 
 RESULT_COLUMNS = (
@@ -68,6 +68,24 @@ def key_rule_counts(frames: Frames, rules: Sequence[KeyRule], as_of: dt.date) ->
     )
 
 
+def all_key_rule_counts(frames: Frames, by_profile: Mapping[str, Sequence[KeyRule]], as_of: dt.date) -> DataFrame:
+    """The rules of several profiles, with one scan of each table and one aggregate over all keys."""
+    used = {
+        name: (own[0].profile, list(dict.fromkeys(n for rule in own for n in (*rule.uses, rule.total))))
+        for name, own in by_profile.items()
+    }
+    counts = stacked_profiles(frames, used, as_of)
+    total = "coalesce(sum(if(_profile = {}, {}, 0L)), 0L)".format
+    return _one_pass(
+        counts,
+        [
+            _record(r, total(quoted(name), r.total), total(quoted(name), r.failed))
+            for name, own in by_profile.items()
+            for r in own
+        ],
+    )
+
+
 def pair_rule_counts(frames: Frames, rule: PairRule, as_of: dt.date) -> DataFrame:
     record = _record(rule, "total_records", "failed_records")
     return rule.counts(frames, as_of).selectExpr(f"inline(array({record}))")
@@ -86,7 +104,10 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
         else:
             parts.append(pair_rule_counts(frames, rule, as_of))
     parts += [row_rule_counts(frames[table], own, as_of) for table, own in by_table.items()]
-    parts += [key_rule_counts(frames, own, as_of) for own in by_profile.values()]
+    if len(by_profile) > 1:
+        parts.append(all_key_rule_counts(frames, by_profile, as_of))
+    else:
+        parts += [key_rule_counts(frames, own, as_of) for own in by_profile.values()]
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import domains as d
-from ..functions.columns import at, lower_trim, number, one_of, outside, upper_snake, upper_trim
+from ..functions.columns import at, lower_trim, number, one_of, outside, quoted, upper_snake, upper_trim
 from .rules import Frames, Measure, Profile
 
 COMPLETED = one_of(upper_trim("status"), d.COMPLETED)
@@ -115,6 +115,39 @@ CERT_LINE = Profile(
 )
 
 
+def stacked_profiles(
+    frames: Frames, used: Mapping[str, tuple[Profile, Sequence[str]]], as_of: dt.date
+) -> DataFrame:
+    """Several profiles in one frame, each row marked with its ``_profile``.
+
+    A table is read once: each of its rows stands once for every profile that
+    counts it.  Keys that a profile does not have are null, measures 0.
+    """
+    keys = list(dict.fromkeys(k for profile, _ in used.values() for k in profile.keys))
+    names = list(dict.fromkeys(n for _, own in used.values() for n in own))
+    tables: dict[str, list[str]] = defaultdict(list)
+    for name, (profile, own) in used.items():
+        for table in dict.fromkeys(profile.measures[n].table for n in own):
+            key = dict(zip(profile.keys, profile.key_of[table]))
+            hits = {}
+            for measure in own:
+                if profile.measures[measure].table == table:
+                    scope = profile.measures[measure].scope
+                    hits[measure] = "1L" if scope is None else f"if({scope}, 1L, 0L)"
+            fields = [f"{quoted(name)} AS _profile"]
+            fields += [f"{key.get(k, 'CAST(NULL AS string)')} AS {k}" for k in keys]
+            fields += [f"{hits.get(n, '0L')} AS {n}" for n in names]
+            tables[table].append(at(f"named_struct({', '.join(_named(f) for f in fields)})", as_of))
+    parts = [frames[table].selectExpr(f"inline(array({', '.join(rows)}))") for table, rows in tables.items()]
+    stacked = reduce(DataFrame.unionAll, parts)
+    return stacked.groupBy("_profile", *keys).agg(*[F.sum(name).alias(name) for name in names])
+
+
+def _named(field: str) -> str:
+    text, name = field.rsplit(" AS ", 1)
+    return f"{quoted(name)}, {text}"
+
+
 def key_profile(frames: Frames, profile: Profile, names: Sequence[str], as_of: dt.date) -> DataFrame:
     """Counts of the named measures for every key found in any table they read."""
     tables = defaultdict(list)
