@@ -539,13 +539,17 @@ Q["src_table"] = "SELECT * FROM customer"
 Q["src_literal_rows"] = (
     f"SELECT {', '.join(map(_TEXT, ('s_suppkey', 's_name', 's_nationkey', 's_acctbal')))}, {_STAMP(1)} FROM supplier"
 )
+_NAMED = ("technician_id", "employee_number", "full_name", "employment_status")
+_LEFT_OUT = (
+    "first_name", "last_name", "skill_level", "home_region", "hire_date", "termination_date", "hourly_rate",
+    "manager_id", "email", "mobile_phone", "created_date", "last_modified",
+)
 Q["src_insert_values"] = (
-    f"SELECT technician_id, employee_number, full_name, employment_status, {_STAMP(1)} FROM raw_technicians"
+    f"SELECT {', '.join(_NAMED)}, {', '.join(f'CAST(NULL AS VARCHAR) AS {n}' for n in _LEFT_OUT)}, {_STAMP(1)}"
+    " FROM raw_technicians"
 )
 Q["src_explicit_string_schema"] = (
-    "SELECT "
-    + ", ".join(map(_TEXT, ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")))
-    + f", {_STAMP(2)} FROM part"
+    f"SELECT {', '.join(_NAMED + _LEFT_OUT)}, _extract_timestamp, _batch_id FROM raw_technicians"
 )
 Q["sink_overwrite"] = "SELECT technician_id, full_name FROM raw_technicians"
 Q["sink_truncate_insert"] = "SELECT invoice_id, invoice_status FROM raw_invoices WHERE invoice_status IS NOT NULL"

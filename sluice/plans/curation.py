@@ -73,7 +73,7 @@ def _loaded(loaded: dt.datetime) -> str:
     return f"{instant_literal(loaded)} AS load_date"
 
 
-def _customers(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
+def customer_rows(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
     """Clean, first-of-their-key customers as open versions."""
     return staged.filter("NOT is_quarantined AND NOT is_duplicate").selectExpr(
         "customer_id",
@@ -89,12 +89,12 @@ def _customers(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
 
 
 def dim_customer(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
-    return surrogate_key(_customers(staged, loaded), ["customer_id"], "customer_sk")
+    return surrogate_key(customer_rows(staged, loaded), ["customer_id"], "customer_sk")
 
 
 def merge_customers(dimension: DataFrame, staged: DataFrame, loaded: dt.datetime, effective: dt.date) -> DataFrame:
     """The dimension with the customers of another load: new versions from ``effective`` on, all keys kept."""
-    incoming = _customers(staged, loaded).drop("effective_from", "effective_to", "is_current")
+    incoming = customer_rows(staged, loaded).drop("effective_from", "effective_to", "is_current")
     tracked = ["customer_name", "customer_type", "account_status", "region_code", "credit_limit"]
     return scd2_merge(dimension, incoming, "customer_id", tracked, effective, "customer_sk")
 
