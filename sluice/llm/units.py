@@ -60,7 +60,7 @@ class Units:
         self.tokenizer.no_padding()
         self.special = [t["content"] for t in definition.get("added_tokens", [])]
         self.rule = rule_of(definition)
-        self.most, self.longest, self.known = most, longest, {}
+        self.most, self.longest, self.known = most, longest, Known()
         self.recent, self.held = {}, 0
         self.encode_units = encode or self._library
 
@@ -93,18 +93,35 @@ class Units:
                 gc.enable()
 
     def _new_ids(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        wanted = set().union(*cut)
-        new = list(wanted.difference(self.known))
-        if len(self.known) + len(new) > self.most:  # what occurs here is likely to occur again
-            self.known = {u: self.known[u] for u in wanted.intersection(self.known)}
-        self.known.update(zip(new, self.encode_units(new)))
-        found = [b"".join(map(self.known.__getitem__, units)) for units in cut]
+        known = self.known
+        parts = [list(map(known.__getitem__, self.cut(t))) for t in texts]
+        new = known.new
+        if new:
+            for place, ids in zip(new.values(), self.encode_units(list(new))):
+                place.extend(ids)
+            known.update((u, bytes(place)) for u, place in new.items())
+            known.new = {}
+        found = [b"".join(p) for p in parts]
         for unit in [u for u in new if len(u) > self.longest]:
-            del self.known[unit]
+            del known[unit]
+        if len(known) > self.most:  # what occurred here is likely to occur again
+            again = set().union(*(self.cut(t) for t in texts)).difference(new)
+            self.known = Known((u, known[u]) for u in again)
         return found
 
 
+class Known(dict):
+    """Ids by unit.  A unit not seen before gets an empty place, to be filled once all new ones are encoded."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.new: dict[str, bytearray] = {}
+
+    def __missing__(self, unit: str) -> bytearray:
+        place = self[unit] = self.new[unit] = bytearray()
+        return place
+
+
 _LOADED: dict[tuple, Units] = {}
 
 
