@@ -50,7 +50,7 @@ def rule_of(definition: dict) -> re.Pattern | None:
 class Units:
     """Texts to units; units to ids through a bounded memory of ids as bytes."""
 
-    def __init__(self, path: str, most: int = 600_000, longest: int = 64, encode: Callable | None = None):
+    def __init__(self, path: str, most: int = 900_000, longest: int = 64, encode: Callable | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
