@@ -32,10 +32,12 @@ X_ROWS = {
                      " OR contains(email_address, chr(8205)) OR contains(email_address, chr(65279))",
                      "customer_id, email_address"),
     "X-CITY-STATE": ("x_city_state", "Consistency", CU, "MEDIUM",
-                     f"{_CITY.format(U('billing_city'))} <> {U('billing_state')}",
+                     f"{U('billing_city')} IS NOT NULL AND coalesce({_CITY.format(U('billing_city'))}"
+                     f" <> {U('billing_state')}, {_CITY.format(U('billing_city'))} IS NULL)",
                      "customer_id, billing_city, billing_state"),
     "X-REGION-STATE": ("x_region_state", "Consistency", CU, "MEDIUM",
-                       f"{_STATE.format(U('billing_state'))} <> {U('region_code')}",
+                       f"{U('billing_state')} IS NOT NULL AND coalesce({_STATE.format(U('billing_state'))}"
+                       f" <> {U('region_code')}, {_STATE.format(U('billing_state'))} IS NULL)",
                        "customer_id, billing_state, region_code"),
     "X-CURRENCY-CREDIT": ("x_currency_text", "Validity", CU, "MEDIUM", MONEY_MARK("credit_limit"),
                           "customer_id, credit_limit, " + recovered("credit_limit")),

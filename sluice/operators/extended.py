@@ -7,6 +7,7 @@ not enter the score.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,8 +76,14 @@ def when_parent(child: str, parent: str) -> str:
     return f"if({parent} > 0, {child}, 0)"
 
 
-CITY_OFF_STATE = f"{lookup(upper_trim('billing_city'), d.CITY_STATE)} <> {upper_trim('billing_state')}"
-REGION_OFF_STATE = f"{lookup(upper_trim('billing_state'), d.STATE_REGION)} <> {upper_trim('region_code')}"
+def off(value: str, table: Mapping[str, str], expected: str) -> str:
+    """What the table gives for the value is not what the row says; a value that the table lacks counts too."""
+    found = lookup(value, table)
+    return f"({value} IS NOT NULL AND coalesce({found} <> {expected}, {found} IS NULL))"
+
+
+CITY_OFF_STATE = off(upper_trim("billing_city"), d.CITY_STATE, upper_trim("billing_state"))
+REGION_OFF_STATE = off(upper_trim("billing_state"), d.STATE_REGION, upper_trim("region_code"))
 LINE_AMOUNT = f"{number('quantity_used')} * {number('unit_cost')}"
 
 

@@ -131,6 +131,9 @@ X_CASES = [
     ("x_zero_width", {"email_address": "sokafor@apex​power.com"}, True),
     ("x_zero_width", {}, False),
     ("x_city_state", {"billing_city": "Miami", "billing_state": "TX"}, True),
+    ("x_city_state", {"billing_city": "Miami", "billing_state": "FL"}, False),
+    ("x_city_state", {"billing_city": "Dallas", "billing_state": "CA"}, True),
+    ("x_city_state", {"billing_city": None}, False),
     ("x_region_state", {"billing_state": "TX", "region_code": "NE"}, True),
     ("x_currency_credit", {"credit_limit": "USD125000"}, True),
     ("x_sci_notation", {"credit_limit": "2.5e5"}, True),
