@@ -525,7 +525,7 @@ Q["v_005_sql"] = (
 Q["v_004_decimal"] = (
     "SELECT 'V-004' AS rule_code, 'HIGH' AS severity, customer_id, customer_name, credit_limit AS raw_credit_limit,"
     " 'Cannot convert to decimal' AS violation_detail FROM raw_customers_batch2"
-    " WHERE credit_limit IS NOT NULL AND TRY_CAST(credit_limit AS DECIMAL(12,2)) IS NULL"
+    " WHERE credit_limit IS NOT NULL AND (CASE WHEN credit_limit NOT ILIKE '%e%' THEN TRY_CAST(credit_limit AS DECIMAL(12,2)) END) IS NULL"
 )
 Q["cs_006_sql"] = (
     "SELECT 'CS-006' AS rule_code, 'HIGH' AS severity, work_order_id, work_order_number, sla_due_date, actual_end,"
@@ -698,7 +698,7 @@ Q["std_bool_text"] = f"SELECT _src_row, sla_met, {_SLA} AS sla_met_std FROM raw_
 Q["std_tech_status"] = f"SELECT _src_row, employment_status, {_TECH_STATUS} AS status_std FROM raw_technicians"
 Q["coerce_number"] = (
     f"SELECT _src_row, {N('credit_limit')} AS as_double,"
-    " CAST(TRY_CAST(credit_limit AS DECIMAL(12,2)) AS DOUBLE) AS as_decimal FROM raw_customers_batch2"
+    " CAST((CASE WHEN credit_limit NOT ILIKE '%e%' THEN TRY_CAST(credit_limit AS DECIMAL(12,2)) END) AS DOUBLE) AS as_decimal FROM raw_customers_batch2"
 )
 Q["coerce_date"] = f"SELECT _src_row, {D('created_date')} AS created_date_d FROM raw_customers"
 Q["coerce_timestamp"] = f"SELECT _src_row, {T('last_modified')} AS last_modified_ts FROM raw_customers"
