@@ -36,6 +36,8 @@ BLOCK = 256
 COVERED = 0.9
 HEAD = np.dtype([("least", "<u4"), ("width", "u1"), ("patched", "u1"), ("values", "<u2")])
 BLOCKS_AT_ONCE = 4096
+#: units whose ids a worker remembers: about 200 MB
+REMEMBERED = 1_000_000
 
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -216,7 +218,7 @@ def write(
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        units, writer, part = units_for(tokenizer), Writer(), None
+        units, writer, part = units_for(tokenizer, most=REMEMBERED), Writer(), None
         tail = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
             if batch.num_rows:

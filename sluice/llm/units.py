@@ -30,7 +30,7 @@ SPACED = re.compile(rf" ?{LETTERS}| ?\S+|\s+(?!\S)|\s")
 #: white space for one side only, which matters where white space makes units
 UNSURE = "\x1c\x1d\x1e\x1f"
 #: characters of texts that are remembered whole, so that copies near each other are encoded once
-RECENT = 3_000_000
+RECENT = 8_000_000
 
 
 def rule_of(definition: dict) -> re.Pattern | None:
@@ -50,7 +50,7 @@ def rule_of(definition: dict) -> re.Pattern | None:
 class Units:
     """Texts to units; units to ids through a bounded memory of ids as bytes."""
 
-    def __init__(self, path: str, most: int = 850_000, longest: int = 64, encode: Callable | None = None):
+    def __init__(self, path: str, most: int = 600_000, longest: int = 64, encode: Callable | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -125,9 +125,9 @@ class Known(dict):
 _LOADED: dict[tuple, Units] = {}
 
 
-def units_for(path: str, kind: Callable[[str], Units] = Units) -> Units:
+def units_for(path: str, kind: Callable[..., Units] = Units, **options) -> Units:
     """One per Python worker, which keeps it from task to task."""
-    key = (path, kind)
+    key = (path, kind, *sorted(options.items()))
     if key not in _LOADED:
-        _LOADED[key] = kind(path)
+        _LOADED[key] = kind(path, **options)
     return _LOADED[key]
