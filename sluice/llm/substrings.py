@@ -278,15 +278,20 @@ def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return [(a, b) for a, b in wide]
 
 
-def _keys(df: DataFrame, id_col: str, text: str) -> tuple[Column, Column]:
-    """What names a document: its id, null as the smallest, and where ids repeat a digest of the text."""
+def _keys(df: DataFrame, id_col: str, text: str) -> tuple[Column, Column, DataFrame]:
+    """What names a document: its id, null as the smallest, and where ids repeat a digest of the text; each document once."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     unique = df.select(key.alias("id")).groupBy("id").count().filter("count > 1").isEmpty()
-    return key, F.lit(0).cast("long") if unique else F.xxhash64(whole_text(text))
+    tie = F.lit(0).cast("long") if unique else F.xxhash64(whole_text(text))
+    rows = df.select(key.alias("id"), tie.alias("tie"), whole_text(text).alias("text"))
+    return key, tie, rows if unique else stage(rows.dropDuplicates(["id", "tie"]), "documents-once")
 
 
 def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """id, tie, runs (start, windows) of the windows that start earlier too, for (id, tie, text) rows that have any."""
+    """id, tie, runs (start, windows) of the windows that start earlier too, for (id, tie, text) rows that have any.
+
+    Each (id, tie) must be there once: a second row would make every window of the first a repeat.
+    """
     if length < 2 * GRAM:
         raise ValueError("a window must be twice as long as its anchor")
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
@@ -356,9 +361,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
             listed = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sizes, pa.int64()), listed, pa.array(kept, pa.binary())], names=["id", "n_bytes", "spans", "kept"])
 
-    key, tie = _keys(df, id_col, text)
+    key, tie, once = _keys(df, id_col, text)
     rows = df.select(key.alias("id"), tie.alias("tie"), whole_text(text).alias("text"))
-    joined = rows.join(repeated_windows(rows, length), ["id", "tie"], "left").select("id", "text", "runs")
+    joined = rows.join(repeated_windows(once, length), ["id", "tie"], "left").select("id", "text", "runs")
     done = joined.mapInArrow(cut, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return done.withColumn("id", F.nullif("id", F.lit(-(1 << 63)))).withColumnRenamed("id", id_col)
 
@@ -368,8 +373,8 @@ def shorten(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
 
     A null text stays null.
     """
-    key, tie = _keys(df, id_col, text)
-    found = repeated_windows(df.select(key.alias("id"), tie.alias("tie"), whole_text(text).alias("text")), length)
+    key, tie, once = _keys(df, id_col, text)
+    found = repeated_windows(once, length)
     names = {n: free_name(df, f"_{n}") for n in ("id", "tie", "runs")}
     found = found.select(*[F.col(n).alias(as_) for n, as_ in names.items()])
     joined = df.join(found, (key == F.col(names["id"])) & (tie == F.col(names["tie"])), "left")

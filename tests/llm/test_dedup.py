@@ -265,6 +265,25 @@ def test_substrings_of_odd_rows(odd, odd_rows, none):
     assert substrings.remove_repeats(none).count() == substrings.shorten(none).count() == 0
 
 
+def test_repeated_rows_keep_one_text(spark):
+    """Rows that repeat id and text are one document, in one batch or in several; the same id with another text is another."""
+    rng = np.random.default_rng(13)
+    a, b, c = (bytes(rng.integers(97, 123, n, np.uint8)).decode() for n in (400, 700, 300))
+    made = [(1, a), (1, a), (1, a), (2, b + a), (2, b + a), (3, c), (3, c + b), (None, c[:250]), (None, c[:250]), (4, "short"), (4, "short"), (5, None), (5, "")]
+    tie = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64))
+    texts = {((order(i), tie(t or "")), (t or "").encode()) for i, t in made}
+    removed = brute(texts, 100)
+    expected = Counter()
+    for i, t in made:
+        flags = removed[order(i), tie(t or "")]
+        expected[i, bytes(x for x, f in zip((t or "").encode(), flags) if not f).decode()] += 1
+    assert expected[1, a] == 3 and expected[2, b] == 2
+    for parts in (1, 4):
+        df = spark.createDataFrame(made, "doc_id long, text string").repartition(parts)
+        assert Counter((r["doc_id"], bytes(r["kept"]).decode()) for r in substrings.remove_repeats(df).collect()) == expected
+        assert Counter((r["doc_id"], r["text"] or "") for r in substrings.shorten(df).collect()) == expected
+
+
 @rounds(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab", min_size=4, max_size=30), min_size=1, max_size=8))
 def test_intervals_share_their_prefix(texts):
