@@ -5,7 +5,8 @@ a place where both start a word and where that is proven to be a boundary of
 the whole text too:
 
 * the left chunk is right up to there: it sees further than any rule looks ahead;
-* the character there joins none before it when texts are normalised;
+* the character there joins none before it when texts are normalised, and stays
+  one character: of one taken apart the parts can be two words at one place;
 * from a word start on, a tokenizer's split rules depend only on what follows,
   so the right chunk is right from there on.
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,7 +37,7 @@ LOOK_AHEAD = 8
 
 @cache
 def joining() -> frozenset[str]:
-    """Characters that normalisation may join to the one before or move past it."""
+    """Characters that normalisation may join to the one before, move past it or take apart."""
     found = {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}  # vowels and finals of Hangul
     for c in map(chr, range(sys.maxunicode + 1)):
         if unicodedata.combining(c):
@@ -43,17 +45,20 @@ def joining() -> frozenset[str]:
         parts = unicodedata.decomposition(c).split()
         if len(parts) == 2 and not parts[0].startswith("<"):
             found.add(chr(int(parts[1], 16)))
+        if len(c.lower()) > 1 or parts and len(unicodedata.normalize("NFC", c)) > 1:
+            found.add(c)
     return frozenset(found)
 
 
 def boundaries(encoding, piece: str, start: int) -> list[tuple[int, int]]:
-    """(place in the text, tokens before it) of each safe word start of a chunk."""
+    """(place in the text, tokens before it) of each safe word start of a chunk, where one word only starts."""
     found, before, joins = [], None, joining()
     for i, (word, (at, _)) in enumerate(zip(encoding.word_ids, encoding.offsets)):
         if (word is None or word != before) and piece[at] not in joins:
             found.append((start + at, i))
         before = word
-    return found
+    times = Counter(at for at, _ in found)
+    return [s for s in found if times[s[0]] == 1]
 
 
 def count_tokens(

@@ -115,6 +115,17 @@ def test_counts_where_chunks_hardly_align(spark, word_path, byte_path):
         assert {r["doc_id"]: r["n_tokens"] for r in found} == {i: len(own.encode(t, add_special_tokens=False)) for i, t in made}
 
 
+def test_counts_of_characters_taken_apart(spark, word_path, byte_path):
+    """Characters that NFC or lower case makes longer, at every place of small chunks."""
+    taken_apart = "\u09dc\u09dd\u09df\u0958\u095f\ufb1d\u0f73\u0130\u2adc"
+    made = [(200 * k + n, "x" * n + f"ab{c} cd " * 40) for k, c in enumerate(taken_apart) for n in range(7)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    for path in (word_path, byte_path):
+        own = Tokenizer.from_file(path)
+        found = tokencount.count_tokens(df, path, chunk=64, overlap=30).collect()
+        assert {r["doc_id"]: r["n_tokens"] for r in found} == {i: len(own.encode(t, add_special_tokens=False)) for i, t in made}
+
+
 def test_op8_query(spark, data, rows, word_ids):
     found = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in QUERIES["op8_token_counts"](spark, data).collect()}
     assert found == {i: (len(t.encode()), n := len(word_ids(t)), n > 2048) for i, t in rows}
