@@ -7,12 +7,15 @@ swapped for others of its kind, and the fit is penalised for every change of
 the score between a sentence and its copy.  Such terms so lose their own
 weight, and a neutral mention is no reason to reject a text.
 
-The fit uses a bounded sample of the labelled rows; every document is scored.
+The fit uses a bounded sample of the labelled rows, and all sentences of these; every document is scored.
+Words that a sentence shares with its copy change no score, so a pair is kept as the words in which the
+two differ.  These are identity terms and their beginnings: however long the texts, there are few different pairs.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -31,8 +34,6 @@ SENTENCE = re.compile(r"[.!?\n]+")
 SAMPLE = 8_000
 #: words in the model for each class
 WORDS = 2_000
-#: swapped copies from one labelled text at most
-COPIES = 64
 REJECT = 0.7
 
 # identity terms, by kind; a term is swapped for the others of its kind
@@ -78,22 +79,27 @@ def swaps(identities: Sequence[Sequence[str]]) -> dict[str, list[dict[str, str]]
     }
 
 
-def copies(text: str, replacements: dict[str, list[dict[str, str]]], most: int = COPIES) -> list[tuple[set[str], set[str]]]:
-    """(words of a sentence, words of its swapped copy)."""
-    found: list[tuple[set[str], set[str]]] = []
+def _swapped(text: str, replacements: dict[str, list[dict[str, str]]]) -> Iterator[tuple[set[str], set[str]]]:
     for sentence in SENTENCE.split(text.lower()):
         own = set(WORD.findall(sentence))
-        kinds = {id(replacements[w]): replacements[w] for w in own if w in replacements}
+        kinds = {id(replacements[w]): replacements[w] for w in sorted(own) if w in replacements}
         seen = set()
         for choices in kinds.values():
             for choice in choices:
                 swapped = {choice.get(w, w) for w in own}
                 if swapped != own and (key := frozenset(swapped)) not in seen:
                     seen.add(key)
-                    found.append((features(own), features(swapped)))
-                    if len(found) == most:
-                        return found
-    return found
+                    yield features(own), features(swapped)
+
+
+def copies(text: str, replacements: dict[str, list[dict[str, str]]]) -> list[tuple[set[str], set[str]]]:
+    """(words of a sentence, words of its swapped copy), of all sentences."""
+    return list(_swapped(text, replacements))
+
+
+def changes(text: str, replacements: dict[str, list[dict[str, str]]]) -> Counter[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """How often (words only in a sentence, words only in its swapped copy) occur, over all sentences."""
+    return Counter((tuple(sorted(a - b)), tuple(sorted(b - a))) for a, b in _swapped(text, replacements))
 
 
 @dataclass(frozen=True)
@@ -108,7 +114,7 @@ class Model:
 
 
 def labelled(df: DataFrame, labels: DataFrame, id_col: str, text: str, train: Column, sample: int) -> DataFrame:
-    """toxic, words, sentence copies of the sampled labelled texts.
+    """toxic, words, and what the sentence copies change, of the sampled labelled texts.
 
     A document with several labels is toxic if any says so; null labels are
     passed over.  The sampled ids are broadcast: at most ``2 * sample``.
@@ -123,17 +129,17 @@ def labelled(df: DataFrame, labels: DataFrame, id_col: str, text: str, train: Co
     replacements = swaps(IDENTITIES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = pa.struct([("own", pa.list_(pa.string())), ("swapped", pa.list_(pa.string()))])
+        pair = pa.struct([("own", pa.list_(pa.string())), ("swapped", pa.list_(pa.string())), ("times", pa.int64())])
         for batch in batches:
             texts = [t.as_py() for t in batch["text"]]
-            pairs = [[{"own": sorted(a), "swapped": sorted(b)} for a, b in copies(t, replacements)] for t in texts]
+            pairs = [[{"own": a, "swapped": b, "times": n} for (a, b), n in changes(t, replacements).items()] for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], batch["toxic"], pa.array([sorted(words(t)) for t in texts], pa.list_(pa.string())), pa.array(pairs, pa.list_(pair))],
                 names=["id", "toxic", "words", "copies"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return stage(rows.mapInArrow(run, f"id {kind}, toxic int, words array<string>, copies array<struct<own:array<string>,swapped:array<string>>>"), "labelled-words")
+    return stage(rows.mapInArrow(run, f"id {kind}, toxic int, words array<string>, copies array<struct<own:array<string>,swapped:array<string>,times:long>>"), "labelled-words")
 
 
 def vocabulary(sample: DataFrame, most: int = WORDS) -> list[str]:
@@ -166,9 +172,12 @@ def train(
     ridge: float = 1e-4,
     rounds: int = 300,
     rate: float = 0.1,
+    times: np.ndarray | None = None,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias: log loss with both classes weighing the same, ridge, and the mean squared change by swaps.
 
+    ``times``: how many pairs each pair stands for, one if not given.
+
     Full-batch Adam from 0: the same input gives the same model.
     """
     row, column = _sparse(features)
@@ -176,6 +185,7 @@ def train(
     balance = np.where(toxic == 1, 0.5 / max(1, toxic.sum()), 0.5 / max(1, (1 - toxic).sum()))
     own_row, own = _sparse([a for a, _ in pairs])
     swapped_row, swapped = _sparse([b for _, b in pairs])
+    times = np.ones(len(pairs)) if times is None else times
     weights, bias = np.zeros(size), 0.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, rounds + 1):
@@ -184,7 +194,7 @@ def train(
         slope = np.bincount(column, error[row], size) + ridge * weights
         if pairs:
             change = np.bincount(own_row, weights[own], len(pairs)) - np.bincount(swapped_row, weights[swapped], len(pairs))
-            change *= 2 * swap_penalty / len(pairs)
+            change *= 2 * swap_penalty * times / times.sum()
             slope += np.bincount(own, change[own_row], size) - np.bincount(swapped, change[swapped_row], size)
         slope = np.append(slope, error.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
@@ -212,18 +222,27 @@ def fit(
         ints = pa.list_(pa.int32())
         find = lambda own: [number[w] for w in own if w in number]
         for batch in batches:
-            pairs = [[{"own": find(p["own"]), "swapped": find(p["swapped"])} for p in c] for c in batch["copies"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["toxic"], pa.array(map(find, batch["words"].to_pylist()), ints), pa.array(pairs, pa.list_(pa.struct([("own", ints), ("swapped", ints)])))],
-                names=["id", "toxic", "words", "copies"],
+                [batch["id"], batch["toxic"], pa.array(map(find, batch["words"].to_pylist()), ints)], names=["id", "toxic", "words"]
             )
 
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = shared.value
+        ints = pa.list_(pa.int32())
+        find = lambda own: [number[w] for w in own if w in number]
+        for batch in batches:
+            pair = [pa.array(map(find, batch[c].to_pylist()), ints) for c in ("own", "swapped")]
+            yield pa.RecordBatch.from_arrays([*pair, batch["times"]], names=["own", "swapped", "times"])
+
     kind = texts.schema["id"].dataType.simpleString()
-    found = texts.mapInArrow(run, f"id {kind}, toxic int, words array<int>, copies array<struct<own:array<int>,swapped:array<int>>>")
+    found = texts.select("id", "toxic", "words").mapInArrow(run, f"id {kind}, toxic int, words array<int>")
     table = found.toArrow().sort_by("id")  # bounded by the sample and the vocabulary
+    pairs = texts.select(F.inline("copies")).groupBy("own", "swapped").agg(F.sum("times").alias("times"))
+    pairs = pairs.mapInArrow(numbered, "own array<int>, swapped array<int>, times long")
+    pairs = pairs.groupBy("own", "swapped").agg(F.sum("times").alias("times")).collect()  # bounded by the identity terms
+    pairs = sorted((p["own"], p["swapped"], p["times"]) for p in pairs)
     features = table["words"].to_pylist()
-    pairs = [(p["own"], p["swapped"]) for c in table["copies"].to_pylist() for p in c]
-    weights, bias = train(features, table["toxic"].to_numpy(), pairs, len(terms))
+    weights, bias = train(features, table["toxic"].to_numpy(), [p[:2] for p in pairs], len(terms), times=np.array([p[2] for p in pairs], float))
     return Model({t: float(w) for t, w in zip(terms, weights)}, bias)
 
 

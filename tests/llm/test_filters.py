@@ -121,6 +121,26 @@ def test_copies_swap_within_a_kind():
     assert {"men", "sing"} in swapped and {"the", "old", "women"} in swapped and {"the", "young", "men"} in swapped and len(swapped) == 3
 
 
+def test_every_sentence_is_swapped(spark, biased):
+    """Terms that stand only late in long texts are penalised too; equal changes are one weighted pair."""
+    replacements = toxicity.swaps(toxicity.IDENTITIES)
+    text = "An old tree. " * 100 + "The house of the muslim is music."
+    found = toxicity.changes(text, replacements)
+    assert found.total() == len(toxicity.copies(text, replacements)) == 100 + 6 and len(found) == 1 + 6
+    df, marks = biased
+    late = df.select("doc_id", toxicity.F.concat(toxicity.F.lit("An old tree. " * 100), "text").alias("text"))
+    fair = toxicity.fit(late, marks)
+    neutral = "The house of the {} is music. A letter near the garden."
+    assert abs(fair.score(neutral.format("muslim")) - fair.score(neutral.format("hindu"))) < 0.05
+
+
+def test_weighted_pairs_are_repeated_pairs():
+    rows, toxic = [[0, 1], [1, 2], [0, 3], [2, 3]], np.array([1, 0, 1, 0])
+    repeated = toxicity.train(rows, toxic, [([0, 2], [3, 2])] * 5 + [([1], [3])], 4)
+    weighted = toxicity.train(rows, toxic, [([0], [3]), ([1], [3])], 4, times=np.array([5.0, 1.0]))
+    assert np.allclose(repeated[0], weighted[0], atol=1e-6) and abs(repeated[1] - weighted[1]) < 1e-6
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none, biased):
     df, marks = biased
     marks = marks.unionByName(spark.createDataFrame([(0, 0), (None, 1), (3, None), (10**9, 1)], "doc_id long, toxic int"))
