@@ -93,6 +93,17 @@ SLA_KNOWN = f"{instant('actual_end')} IS NOT NULL AND {instant('sla_due_date')}
 SLA_KEPT = case([(f"{instant('actual_end')} <= {instant('sla_due_date')}", "'Y'")], "'N'")
 SLA_MISMATCH = f"{SLA_KEPT} <> {upper_trim('sla_met')}"
 
+
+
+def credit_unparsed(money: str = "double") -> RowRule:
+    """V-004, with amounts read as ``money``: a decimal takes no exponent."""
+    return RowRule(
+        "V-004", VALIDITY, "customers", "HIGH", "credit_limit cannot be parsed as numeric",
+        column="credit_limit", fails=unparsed("credit_limit", lambda name: number(name, money)), show=CU,
+        detail={"raw_credit_limit": "credit_limit", **_note("Cannot convert to decimal")},
+    )
+
+
 ROW_RULES = (
     RowRule(
         "C-001", COMPLETENESS, "customers", "CRITICAL", "customer_name is NULL or blank",
@@ -155,11 +166,7 @@ ROW_RULES = (
         column="credit_limit", fails=negative("credit_limit"), show=CU,
         detail={"raw_credit_limit": "credit_limit"},
     ),
-    RowRule(
-        "V-004", VALIDITY, "customers", "HIGH", "credit_limit cannot be parsed as numeric",
-        column="credit_limit", fails=unparsed("credit_limit", number), show=CU,
-        detail={"raw_credit_limit": "credit_limit", **_note("Cannot convert to decimal")},
-    ),
+    credit_unparsed(),
     RowRule(
         "V-005", VALIDITY, "customers", "MEDIUM", "Invalid email format",
         column="email_address", fails=f"NOT rlike(email_address, {quoted(d.EMAIL_PATTERN)})",

@@ -233,15 +233,6 @@ def failing_keys(frames: Frames, rule: KeyRule, as_of: dt.date) -> DataFrame:
     ).filter("failed_records > 0")
 
 
-def with_money(rule: RowRule, money: str) -> RowRule:
-    """The same rule with its amounts parsed to another type."""
-
-    def parsed(text: str) -> str:
-        return text.replace("AS double)", f"AS {money})")
-
-    return replace(rule, fails=parsed(rule.fails), detail={n: parsed(t) for n, t in rule.detail.items()})
-
-
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows with a key no parent row has."""
     return attach(child.filter(F.col(key).isNotNull()), per_key_keys(parent, key), [key], "left_anti")

@@ -15,7 +15,7 @@ from .functions import standardize as std
 from .functions.columns import day, instant, lower_trim, named, number, upper_trim
 from .operators import dedup, listings, scoring
 from .operators import quarantine as q
-from .operators.catalog import BY_KEY, LATE, RULES, is_value, negative
+from .operators.catalog import BY_KEY, LATE, RULES, credit_unparsed, is_value, negative
 from .operators.evaluate import (
     RESULT_COLUMNS,
     evaluate,
@@ -25,7 +25,6 @@ from .operators.evaluate import (
     rule_counts,
     rules_for_table,
     violating_rows,
-    with_money,
     with_outcome,
 )
 from .operators.extended import EXTENDED_RULES, GROUPS, PAIR_LISTINGS, group_rules
@@ -205,7 +204,7 @@ for _rule in EXTENDED_RULES:
 @query("v_004_decimal")
 def _(raw):
     """Amounts parsed as DECIMAL(12,2): what does not fit counts as unparseable."""
-    return violating_rows(raw["customers_batch2"], with_money(BY_KEY["v_004"], "decimal(12,2)"), AS_OF)
+    return violating_rows(raw["customers_batch2"], credit_unparsed(SCRIPT_MONEY), AS_OF)
 
 
 @query("cs_006_sql")
