@@ -1,5 +1,7 @@
 """Token counts of whole texts; huge texts are encoded as overlapping chunks side by side.
 
+Texts of at most a chunk are counted from their units (see ``units``), each distinct one encoded once.
+
 Chunks know where each of their words starts.  Two neighbours are spliced at
 a place where both start a word and where that is proven to be a boundary of
 the whole text too:
@@ -50,13 +52,24 @@ def joining() -> frozenset[str]:
     return frozenset(found)
 
 
-def boundaries(encoding, piece: str, start: int) -> list[tuple[int, int]]:
-    """(place in the text, tokens before it) of each safe word start of a chunk, where one word only starts."""
-    found, before, joins = [], None, joining()
-    for i, (word, (at, _)) in enumerate(zip(encoding.word_ids, encoding.offsets)):
+def boundaries(encoding, piece: str, low: int, high: int) -> list[tuple[int, int]]:
+    """(place, tokens before it) of each safe word start from ``low`` to ``high``, where one word only starts.
+
+    Only the tokens of these places are looked at, so a chunk costs no more than its two ends.
+    """
+    places = (encoding.char_to_token(at) for at in range(low, high + 1))
+    token = next((t for t in places if t is not None), len(encoding))
+    while token and encoding.token_to_chars(token - 1)[0] >= low:  # a character taken apart
+        token -= 1
+    found, joins = [], joining()
+    before = encoding.token_to_word(token - 1) if token else None
+    while token < len(encoding):
+        at, word = encoding.token_to_chars(token)[0], encoding.token_to_word(token)
+        if at > high:
+            break
         if (word is None or word != before) and piece[at] not in joins:
-            found.append((start + at, i))
-        before = word
+            found.append((at, token))
+        token, before = token + 1, word
     times = Counter(at for at, _ in found)
     return [s for s in found if times[s[0]] == 1]
 
@@ -80,12 +93,11 @@ def count_tokens(
     kind = rows.schema["id"].dataType.simpleString()
 
     def whole_or_huge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = units_for(tokenizer).tokenizer
+        units = units_for(tokenizer)
         for batch in batches:
             at = 0
             for texts in slices(t.as_py() for t in batch["text"]):
-                short = [t for t in texts if len(t) <= chunk]
-                sizes = iter([len(e) for e in library.encode_batch_fast(short, add_special_tokens=False)])
+                sizes = iter([len(ids) // 4 for ids in units.ids([t for t in texts if len(t) <= chunk])])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["row"].slice(at, len(texts)),
@@ -145,18 +157,17 @@ def _splice(huge: DataFrame, tokenizer: str, chunk: int, overlap: int) -> DataFr
             for row, piece, start, last, text in zip(*(batch[c] for c in ("row", "piece", "start", "last", "text"))):
                 start, text = start.as_py(), text.as_py()
                 encoding = units.tokenizer.encode(text, add_special_tokens=False)
-                found = boundaries(encoding, text, start)
-                end = start + len(text)
-                head = [s for s in found if s[0] < start + overlap] if start else []
-                tail = [s for s in found if end - overlap <= s[0] <= end - beyond] if not last.as_py() else []
+                end = len(text)
+                head = boundaries(encoding, text, 0, overlap - 1) if start else []
+                tail = boundaries(encoding, text, end - overlap, end - beyond) if not last.as_py() else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row.as_py()], pa.int64()),
                         pa.array([piece.as_py()], pa.int32()),
                         pa.array([last.as_py()], pa.bool_()),
                         pa.array([len(encoding)], pa.int64()),
-                        pa.array([[{"at": a, "tokens": t} for a, t in head]], spots),
-                        pa.array([[{"at": a, "tokens": t} for a, t in tail]], spots),
+                        pa.array([[{"at": start + a, "tokens": t} for a, t in head]], spots),
+                        pa.array([[{"at": start + a, "tokens": t} for a, t in tail]], spots),
                     ],
                     names=["row", "piece", "last", "n", "head", "tail"],
                 )
