@@ -66,23 +66,29 @@ def collapsed(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """lang, source, term, n, docs: occurrences of a term in a source, and documents of it that hold the term."""
+    """lang, term, docs, all, sources: documents of the language that hold a term, its occurrences, and those per source.
+
+    Each task adds up its texts per term and passes on one row for it with a list of sources, so a term moves once and
+    no term is more rows than there are tasks (and times that a task runs full).
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
         size = 0
 
         def sums() -> Iterator[pa.RecordBatch]:
+            columns: dict[str, list] = {"lang": [], "source": [], "term": [], "n": [], "docs": []}
             for (lang, source), own in held.items():
-                n = len(own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
-                        pa.array([t.decode() for t in own], pa.string()),
-                        pa.array([v[0] for v in own.values()], pa.int64()), pa.array([v[1] for v in own.values()], pa.int64()),
-                    ],
-                    names=["lang", "source", "term", "n", "docs"],
-                )
+                columns["lang"] += [lang] * len(own)
+                columns["source"] += [source] * len(own)
+                columns["term"] += own  # bytes, text to Spark
+                columns["n"] += [v[0] for v in own.values()]
+                columns["docs"] += [v[1] for v in own.values()]
+            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
+            table = pa.table({c: pa.array(v, k) for (c, v), k in zip(columns.items(), kinds)})
+            terms = table.group_by(["lang", "term"], use_threads=False).aggregate([(c, "list") for c in ("source", "n", "docs")])
+            terms = terms.set_column(1, "term", terms["term"].cast(pa.string()))
+            yield from terms.rename_columns(["lang", "term", "source", "n", "docs"]).to_batches(max_chunksize=10_000)
             held.clear()
 
         for batch in batches:
@@ -104,8 +110,13 @@ def term_counts(texts: DataFrame) -> DataFrame:
                         size = 0
         yield from sums()
 
-    partial = texts.mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    partial = texts.mapInArrow(count, "lang string, term string, source array<string>, n array<long>, docs array<long>")
+    cells = partial.repartition("lang", "term").select("lang", "term", F.inline(F.arrays_zip("source", "n", "docs")))
+    # both sums stay where the repartitioning brought the term
+    sums = cells.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return sums.groupBy("lang", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("all"), F.collect_list(F.struct("source", "n")).alias("sources")
+    )
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -130,12 +141,9 @@ def audit(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "
     """
     none = F.lit("")
     groups = df.select(F.coalesce(F.col(lang).cast("string"), none).alias("lang"), F.coalesce(F.col(source).cast("string"), none).alias("source"))
-    counts = term_counts(collapsed(df, text, lang, source))
-    rows = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("all"), F.collect_list(F.struct("source", "n")).alias("sources")
-    )
     #: one row per kept term, with the sources that have it
-    kept = stage(rows.filter(F.col("docs") >= LEAST_DOCUMENTS).drop("docs"), "divergence-terms")
+    counts = term_counts(collapsed(df, text, lang, source))
+    kept = stage(counts.filter(F.col("docs") >= LEAST_DOCUMENTS).drop("docs"), "divergence-terms")
 
     # v, total: kept terms of the language and their occurrences; own: occurrences in the source; 0 where nothing is kept
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("all").alias("total"))
