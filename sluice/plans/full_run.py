@@ -31,31 +31,45 @@ class Target:
         return f"{self.root}/{layer}/{table}"
 
 
-def validate(raw: Frames, target: Target, load: Load, run_id: str) -> DataFrame:
-    """Evaluate the suite; add results and the score summary, once per run id."""
-    stored = sinks.append_once(
-        scoring.result_rows(evaluate(raw, RULES, load.as_of), run_id, load.loaded), target("dq", "dq_results"), ["run_id"]
-    )
+def validate(raw: Frames, target: Target, load: Load, run_id: str) -> tuple[DataFrame, list[tuple[str, str, int]]]:
+    """Evaluate the suite; store results and the score summary, in the place of an earlier try of this run.
+
+    The metrics of the raw layer are counted in the same scans; returned are the summaries and (layer, metric, n).
+    """
+    counted = evaluate(raw, [*RULES, *monitoring.RAW_MEASURES], load.as_of)
+    rows = counted.collect()  # one per rule
+    results = counted.sparkSession.createDataFrame(rows, counted.schema)
+    measures = {m.code for m in monitoring.RAW_MEASURES}
+    rules = results.filter(~results.rule_code.isin(*measures))
+    stored = sinks.replace_run(scoring.result_rows(rules, run_id, load.loaded), target("dq", "dq_results"))
     results = stored.filter(stored.run_id == run_id)
-    summary = scoring.summary_row(results, run_id, load.as_of)
-    return sinks.append_once(summary, target("dq", "dq_score_summary"), ["run_id"])
+    summary = sinks.replace_run(scoring.summary_row(results, run_id, load.as_of), target("dq", "dq_score_summary"))
+    return summary, [(monitoring.RAW, r["details"], r["failed_records"]) for r in rows if r["rule_code"] in measures]
+
 
+STAGED = {"total_rows": "count(1)", "held": monitoring.HELD, "clean": monitoring.CURATED_WORK_ORDERS}
 
-def stage(raw: Frames, target: Target, load: Load) -> dict[str, DataFrame]:
+
+def stage(raw: Frames, target: Target, load: Load) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
+    """The staged tables, and counts of their rows that are observed while they are written."""
     plans = {
         "customers": staging.stage_customers(raw["customers"], load),
         "work_orders": staging.stage_work_orders(raw["work_orders"], raw["customers"], load),
         "technicians": staging.stage_technicians(raw["technicians"], load),
         "invoices": staging.stage_invoices(raw["invoices"], raw["work_orders"], raw["customers"], load),
     }
-    return {name: sinks.overwrite(df, target("stg", name)) for name, df in plans.items()}
+    metrics = {"customers": monitoring.STAGED_CUSTOMERS, "work_orders": monitoring.STAGED_WORK_ORDERS}
+    staged, counts = {}, {}
+    for name, df in plans.items():
+        staged[name], counts[name] = sinks.overwrite_counted(df, target("stg", name), {**metrics.get(name, {}), **STAGED})
+    return staged, counts
 
 
 def log_quarantine(staged: Frames, target: Target, load: Load, run_id: str) -> DataFrame:
     rows = quarantine.quarantine_log(
         staged["customers"], "raw.customers", "customer_id", run_id, load.loaded, load.book
     )
-    return sinks.append_once(rows, target("dq", "quarantine_log"), ["run_id"])
+    return sinks.replace_run(rows, target("dq", "quarantine_log"))
 
 
 def _customers(staged: DataFrame, target: Target, load: Load) -> DataFrame:
@@ -63,10 +77,8 @@ def _customers(staged: DataFrame, target: Target, load: Load) -> DataFrame:
     path = target("curated", "dim_customer")
     if not sinks.exists(staged.sparkSession, path):
         return curation.dim_customer(staged, load.loaded)
-    before = staged.sparkSession.read.parquet(path)
-    merged = curation.merge_customers(before, staged, load.loaded, load.as_of)
-    # written aside first: the table it is read from is replaced next
-    return sinks.overwrite(merged, target("curated", "dim_customer_next"))
+    before = sinks.read(staged.sparkSession, path)
+    return curation.merge_customers(before, staged, load.loaded, load.as_of)
 
 
 def curate(
@@ -75,11 +87,18 @@ def curate(
     load: Load,
     first_day: dt.date | None = None,
     last_day: dt.date | None = None,
-) -> dict[str, DataFrame]:
-    """The calendar holds the given days, or else the years in which the facts fall."""
+) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The curated tables, and how many current or fact rows each has.
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        return sinks.overwrite(df, target("curated", name))
+    The calendar holds the given days, or else the years in which the facts fall.
+    """
+    tables, counts = {}, {}
+
+    def write(name: str, df: DataFrame, current: bool = False) -> DataFrame:
+        n = {"n": "count_if(is_current)" if current else "count(1)"}
+        tables[name], seen = sinks.overwrite_counted(df, target("curated", name), n)
+        counts[name] = seen["n"]
+        return tables[name]
 
     if first_day and last_day:
         days = curation.days(staged["customers"].sparkSession, first_day, last_day)
@@ -88,18 +107,11 @@ def curate(
         dates = dates.unionAll(staged["invoices"].selectExpr("invoice_date", "due_date"))
         days = curation.days_covering(dates, "a", "b")
     calendar = write("dim_date", curation.dim_date(days))
-    customers = write("dim_customer", _customers(staged["customers"], target, load))
-    return {
-        "dim_date": calendar,
-        "dim_customer": customers,
-        "dim_technician": write("dim_technician", curation.dim_technician(staged["technicians"], load.loaded)),
-        "fact_work_orders": write(
-            "fact_work_orders", curation.fact_work_orders(staged["work_orders"], customers, calendar, load.loaded)
-        ),
-        "fact_invoices": write(
-            "fact_invoices", curation.fact_invoices(staged["invoices"], customers, calendar, load.loaded)
-        ),
-    }
+    customers = write("dim_customer", _customers(staged["customers"], target, load), current=True)
+    write("dim_technician", curation.dim_technician(staged["technicians"], load.loaded), current=True)
+    write("fact_work_orders", curation.fact_work_orders(staged["work_orders"], customers, calendar, load.loaded))
+    write("fact_invoices", curation.fact_invoices(staged["invoices"], customers, calendar, load.loaded))
+    return tables, counts
 
 
 def run(
@@ -111,26 +123,39 @@ def run(
     first_day: dt.date | None = None,
     last_day: dt.date | None = None,
 ) -> dict[str, DataFrame]:
-    """All steps; returns the report and the audit log next to the curated tables."""
+    """All steps; returns the reports and the audit log next to the curated tables.
+
+    All reports come from counts taken along the way: no table is read again to be counted.
+    """
     target = Target(root)
-    summary = validate(raw, target, load, run_id)
-    staged = stage(raw, target, load)
+    spark = raw["customers"].sparkSession
+    summary, layers = validate(raw, target, load, run_id)
+    staged, counts = stage(raw, target, load)
     log = log_quarantine(staged, target, load, run_id)
-    curated = curate(staged, target, load, first_day, last_day)
-    report = monitoring.before_after(
-        raw["customers"], staged["customers"], curated["dim_customer"],
-        raw["work_orders"], staged["work_orders"], curated["fact_work_orders"],
-    )
-    audit = monitoring.pipeline_run(
-        run_id, "dq_pipeline", load.loaded, ended,
-        [raw["customers"], raw["work_orders"]],
-        [staged["customers"], staged["work_orders"]],
-        [curated["dim_customer"], curated["fact_work_orders"]],
-    )
+    curated, taken = curate(staged, target, load, first_day, last_day)
+    for table, names, fact in (
+        ("customers", monitoring.CUSTOMER_METRICS, "dim_customer"),
+        ("work_orders", monitoring.WORK_ORDER_METRICS, "fact_work_orders"),
+    ):
+        seen = {k: n for k, n in counts[table].items() if k not in STAGED}
+        layers += monitoring.observed_metrics(names, seen, taken[fact])
+    raw_total = {metric: n for layer, metric, n in layers if layer == monitoring.RAW}
+    totals = {
+        "extracted": raw_total[monitoring.CUSTOMER_METRICS[-1]] + raw_total[monitoring.WORK_ORDER_METRICS[-1]],
+        "staged": counts["customers"]["total_rows"] + counts["work_orders"]["total_rows"],
+        "quarantined": counts["customers"]["held"] + counts["work_orders"]["held"],
+        "curated": taken["dim_customer"] + taken["fact_work_orders"],
+    }
+    parts = [monitoring.records(spark.range(1), **{name: str(n) for name, n in totals.items()})]
+    audit = monitoring.pipeline_run(run_id, "dq_pipeline", load.loaded, ended, parts)
+    held = [(f"stg.{t}", n["total_rows"], n["held"], n["clean"]) for t, n in counts.items()]
     return {
         **curated,
         "dq_score_summary": summary,
         "quarantine_log": log,
-        "before_after": report,
-        "pipeline_runs": sinks.append_once(audit, target("audit", "pipeline_runs"), ["run_id"]),
+        "before_after": monitoring.before_after(spark.createDataFrame(layers, "layer string, metric string, n bigint")),
+        "quarantine_counts": spark.createDataFrame(
+            held, "table_name string, total bigint, quarantined bigint, clean bigint"
+        ),
+        "pipeline_runs": sinks.replace_run(audit, target("audit", "pipeline_runs")),
     }

@@ -123,10 +123,10 @@ def _(raw):
 
 @query("sink_append_results")
 def _(raw):
+    """Two runs, the second of which is corrected: its first results are replaced."""
     path = scratch_path(raw.spark, "results")
-    for run_id, as_of in (("RUN-1", AS_OF), ("RUN-2", MERGE_DAY), ("RUN-2", MERGE_DAY)):
-        rows = scoring.result_rows(evaluate(raw, RULES, as_of), run_id, LOADED)
-        table = sinks.append_once(rows, path, ["run_id"])
+    for run_id, as_of in (("RUN-1", AS_OF), ("RUN-2", AS_OF), ("RUN-2", MERGE_DAY)):
+        table = sinks.replace_run(scoring.result_rows(evaluate(raw, RULES, as_of), run_id, LOADED), path)
     return table
 
 
@@ -311,7 +311,7 @@ def _stored_runs(raw, days: int) -> DataFrame:
     for back in range(days):
         as_of = AS_OF - dt.timedelta(days=30 * back)
         summary = scoring.summary_row(evaluate(raw, RULES, as_of), f"RUN-{as_of}", as_of)
-        table = sinks.append_once(summary, path, ["run_id"])
+        table = sinks.replace_run(summary, path)
     return table
 
 
@@ -596,10 +596,9 @@ def _(raw):
 
 def calendar(raw) -> DataFrame:
     """The years the orders and invoices fall in."""
-    days = raw["work_orders"].selectExpr(f"{day('scheduled_date')} AS d").unionAll(
-        raw["invoices"].selectExpr(f"{day('due_date')} AS d")
-    )
-    return cur.days_covering(days, "d")
+    days = raw["work_orders"].selectExpr(f"{day('scheduled_date')} AS a", f"CAST({instant('actual_end')} AS date) AS b")
+    days = days.unionAll(raw["invoices"].selectExpr(day("invoice_date"), day("due_date")))
+    return cur.days_covering(days, "a", "b")
 
 
 def customers_dim(raw, load=LOAD):
@@ -651,24 +650,14 @@ def _(raw):
 # -- monitoring -------------------------------------------------------------
 
 
-def written(staged: DataFrame) -> DataFrame:
-    """A layer as the reports find it: written once, however often it is counted."""
-    return sinks.overwrite(staged, scratch_path(staged.sparkSession, "layer"))
-
-
 @query("before_after_report")
 def _(raw):
-    customers, orders = written(staged_customers(raw)), written(staged_orders(raw))
-    return mon.before_after(
-        raw["customers"], customers, cur.customer_rows(customers, LOADED),
-        raw["work_orders"], orders, orders.filter("NOT is_quarantined"),
-    )
+    return mon.before_after(mon.layers(raw, staged_customers(raw), staged_orders(raw), AS_OF))
 
 
 @query("before_after_sql")
 def _(raw):
-    customers = written(staged_customers(raw, SCRIPT_LOAD))
-    return mon.before_after_customers(raw["customers"], customers, cur.customer_rows(customers, LOADED))
+    return mon.before_after_customers(mon.customer_layers(raw, staged_customers(raw, SCRIPT_LOAD), AS_OF))
 
 
 @query("pct_share")
@@ -679,10 +668,10 @@ def _(raw):
 
 @query("pipeline_run_log")
 def _(raw):
-    customers, orders = written(staged_customers(raw)), written(staged_orders(raw))
-    return mon.pipeline_run(
-        RUN_ID, "dq_pipeline", LOADED, LOADED,
-        [raw["customers"], raw["work_orders"]],
-        [customers, orders],
-        [cur.customer_rows(customers, LOADED), orders.filter("NOT is_quarantined")],
-    )
+    parts = [mon.records(raw[name], extracted="count(1)") for name in ("customers", "work_orders")]
+    for staged, curated in (
+        (staged_customers(raw), mon.CURATED_CUSTOMERS),
+        (staged_orders(raw), mon.CURATED_WORK_ORDERS),
+    ):
+        parts.append(mon.records(staged, staged="count(1)", quarantined=mon.HELD, curated=curated))
+    return mon.pipeline_run(RUN_ID, "dq_pipeline", LOADED, LOADED, parts)

@@ -1,13 +1,14 @@
-"""Sinks: full refresh, append, insert-if-absent and export."""
+"""Sinks: full refresh, append, insert-if-absent, runs as partitions, and export."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach, per_key_keys
+from .versions import VersionedTable
 
 
 #: rows of a single-file export at most
@@ -15,14 +16,43 @@ EXPORTED = 100_000
 
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table and return it as written, so later steps do not recompute it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the table and return it as written, so later steps do not recompute it.
+
+    Until the new rows are whole readers find the old ones, also if the run is lost.
+    """
+    return VersionedTable(df.sparkSession, path).write(df)
+
+
+def overwrite_counted(df: DataFrame, path: str, counts: Mapping[str, str]) -> tuple[DataFrame, dict[str, int]]:
+    """As ``overwrite``, with aggregates over the rows that are observed while they are written.
+
+    They are taken in the tasks that write the files, of which each counts once, however often it is tried.
+    """
+    seen = Observation()
+    table = overwrite(df.observe(seen, *[F.expr(text).alias(name) for name, text in counts.items()]), path)
+    return table, {name: value or 0 for name, value in seen.get.items()}
 
 
 def append(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("append").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return VersionedTable(df.sparkSession, path).write(df, append=True)
+
+
+def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The newest version of a table, or an earlier one."""
+    return VersionedTable(spark, path).read(version)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return VersionedTable(spark, path).exists()
+
+
+def replace_run(df: DataFrame, path: str, run: str = "run_id") -> DataFrame:
+    """Store what a run adds as a partition of its own; a repeated or corrected run replaces its rows.
+
+    Partitions of other runs are neither read nor written.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def absent_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,18 +62,7 @@ def absent_rows(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFr
 
 def insert_if_absent(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Append only the rows whose key is new."""
-    target = df.sparkSession.read.schema(df.schema).parquet(path)
-    return append(absent_rows(df, target, keys), path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def append_once(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Append what a run adds; a repeated run, whose keys are there already, adds nothing."""
-    return insert_if_absent(df, path, keys) if exists(df.sparkSession, path) else append(df, path)
+    return append(absent_rows(df, read(df.sparkSession, path), keys), path)
 
 
 def export_csv(results: DataFrame, path: str) -> DataFrame:
