@@ -10,7 +10,7 @@ import re
 
 from sluice.sources.dirty_views import VIEWS
 
-from .extended_sql import X_KEY_LISTS, X_KEYS, X_PAIR_LISTS, X_ROWS
+from .extended_sql import X_KEY_LISTS, X_KEYS, X_LOOKUPS, X_PAIR_LISTS, X_REFERENCES, X_ROWS
 from .rules_sql import (
     ALL_KEYS,
     AS_OF,
@@ -484,6 +484,15 @@ for _code, (_g, _dim, (_table, _view), _sev, _fails, _cols) in X_ROWS.items():
     Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(
         f"SELECT '{_code}' AS rule_code, '{_sev}' AS severity, {_cols} FROM {_view} WHERE {_fails}"
     )
+_DERIVED.update(X_REFERENCES)
+for _code, (_g, _dim, (_table, _view), _sev, _fails, _cols) in X_LOOKUPS.items():
+    _total, _failed = f"SELECT count(*) FROM {_view}", f"SELECT count(*) FROM {_view} WHERE {_fails}"
+    _X_COUNTS.setdefault(_g, []).append(key_counts(_code, _dim, _table, _sev, _total, _failed))
+    Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(
+        f"SELECT '{_code}' AS rule_code, '{_sev}' AS severity, {_cols} FROM {_view} WHERE {_fails}"
+    )
+Q["learnt_cities"] = "SELECT key, value FROM known_cities"
+Q["learnt_states"] = "SELECT key, value FROM known_states"
 for _code, (_g, _dim, _table, _sev, _total, _failed) in X_KEYS.items():
     _X_COUNTS.setdefault(_g, []).append(key_counts(_code, _dim, _table, _sev, _total, _failed))
     if _code in X_KEY_LISTS:

@@ -14,6 +14,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 
+from . import domains as d
+
 TODAY = ":as_of"
 
 
@@ -112,6 +114,17 @@ def lookup(value: str, table: Mapping[str, str]) -> str:
     return case([(f"{value} = {quoted(key)}", quoted(found)) for key, found in table.items()])
 
 
+def read_as_latin1(c: str) -> str:
+    """The text whose UTF-8 bytes, read as Latin-1, give this one; null where no text does.
+
+    A sound name may hold the same letters: its bytes are no UTF-8.
+    """
+    there = f"rlike({c}, {quoted(d.LATIN1_PATTERN)})"
+    # other characters cannot be encoded; where one stands the condition has failed anyway
+    read = f"CAST(encode(regexp_replace({c}, '[^\\\\x00-\\\\xFF]', '?'), 'ISO-8859-1') AS string)"
+    return f"if({there}, try_validate_utf8({read}), NULL)"
+
+
 def tagged(prefix: str, value: str) -> str:
     return f"concat({quoted(prefix + ' [')}, {value}, ']')"
 

@@ -22,8 +22,6 @@ ASSIGNMENT_STATUS = ("SCHEDULED", "ACTIVE", "COMPLETED", "CANCELLED")
 REGION = ("NE", "SE", "SW", "NW", "MW", "CW")
 SKILL_LEVEL = ("JUNIOR", "MID", "SENIOR")
 CERT_STATUS = ("ACTIVE", "EXPIRED")
-WAREHOUSE = ("WH-0", "WH-1", "WH-2", "WH-3", "WH-4", "WH-5", "WH-6", "WH-7")
-MANAGER = ("MGR-1", "MGR-2", "MGR-3", "MGR-4", "MGR-5")
 PERSONAL_MAIL = ("gmail.com", "yahoo.com")
 
 # standard value -> accepted spellings
@@ -54,9 +52,6 @@ TECHNICIAN_STATUS_SYNONYMS = {
 TRUE_TEXT = ("Y", "YES", "1", "TRUE")
 FALSE_TEXT = ("N", "NO", "0", "FALSE")
 
-CITY_STATE = {"MIAMI": "FL", "PORTLAND": "OR", "HOUSTON": "TX", "ATLANTA": "GA"}
-STATE_REGION = {"TX": "SW", "GA": "SE", "FL": "SE", "OR": "NW"}
-
 DIMENSIONS = (
     "Completeness",
     "Uniqueness",
@@ -70,7 +65,7 @@ SEVERITY_WEIGHT = {"CRITICAL": 30, "HIGH": 20, "MEDIUM": 10, "LOW": 5}
 DEFAULT_WEIGHT = 5
 GRADES = (("A", 90), ("B", 75), ("C", 60), ("D", 50))
 
-MOJIBAKE_PATTERN = "Ã|Â"
+LATIN1_PATTERN = r"^[\x00-\xFF]*[\x80-\xFF][\x00-\xFF]*$"
 INVISIBLE_PATTERN = "[\u200b-\u200d\ufeff]"
 CURRENCY_PATTERN = r"^(\$|USD)([0-9.]+)$"
 RANGE_PATTERN = r"^[0-9.]+-[0-9.]+$"

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import at, case, named, quoted
 from .joins import attach, per_key_keys
+from .lookups import LookupRule, lookup_rule_counts
 from .profiles import key_profile, stacked_profiles
 from .rules import Frames, KeyRule, PairRule, RowRule, Rule
 
@@ -95,12 +96,15 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
     """Total and failed records of every rule, before pass rate and status."""
     by_table: dict[str, list[RowRule]] = defaultdict(list)
     by_profile: dict[str, list[KeyRule]] = defaultdict(list)
+    by_lookup: list[LookupRule] = []
     parts = []
     for rule in rules:
         if isinstance(rule, RowRule):
             by_table[rule.table].append(rule)
         elif isinstance(rule, KeyRule):
             by_profile[rule.profile.name].append(rule)
+        elif isinstance(rule, LookupRule):
+            by_lookup.append(rule)
         else:
             parts.append(pair_rule_counts(frames, rule, as_of))
     parts += [row_rule_counts(frames[table], own, as_of) for table, own in by_table.items()]
@@ -108,6 +112,7 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
         parts.append(all_key_rule_counts(frames, by_profile, as_of))
     else:
         parts += [key_rule_counts(frames, own, as_of) for own in by_profile.values()]
+    parts += lookup_rule_counts(frames, by_lookup, _record)
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -7,7 +7,6 @@ not enter the score.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +16,11 @@ from ..functions.columns import (
     TODAY,
     day,
     instant,
-    lookup,
     number,
     one_of,
     outside,
     quoted,
+    read_as_latin1,
     upper_snake,
     upper_trim,
 )
@@ -44,6 +43,7 @@ from .catalog import (
     without,
 )
 from .joins import attach
+from .lookups import CONTRADICTS, UNKNOWN, LookupRule, learn
 from .profiles import COMPLETED
 from .rules import Frames, KeyRule, PairRule, RowRule
 
@@ -76,14 +76,22 @@ def when_parent(child: str, parent: str) -> str:
     return f"if({parent} > 0, {child}, 0)"
 
 
-def off(value: str, table: Mapping[str, str], expected: str) -> str:
-    """What the table gives for the value is not what the row says; a value that the table lacks counts too."""
-    found = lookup(value, table)
-    return f"({value} IS NOT NULL AND coalesce({found} <> {expected}, {found} IS NULL))"
+def _lookup(group, code, dimension, table, severity, text, lookup, key, show, value=None, outcome=UNKNOWN):
+    return LookupRule(
+        code, dimension, table, severity, text,
+        group=group, lookup=lookup, key_text=key, value_text=value, outcome=outcome, show=show,
+    )
+
+
+#: a place is learnt from the customers: pairs on so many rows at least, which make up such a share of their key's rows
+PLACE_SUPPORT, PLACE_SHARE = 3, 0.3
+CITY, STATE_OF, REGION_OF = upper_trim("billing_city"), upper_trim("billing_state"), upper_trim("region_code")
+
+
+def learnt_places(frames: Frames, key: str, value: str) -> DataFrame:
+    return learn(frames["customers"], key, value, PLACE_SUPPORT, PLACE_SHARE)
 
 
-CITY_OFF_STATE = off(upper_trim("billing_city"), d.CITY_STATE, upper_trim("billing_state"))
-REGION_OFF_STATE = off(upper_trim("billing_state"), d.STATE_REGION, upper_trim("region_code"))
 LINE_AMOUNT = f"{number('quantity_used')} * {number('unit_cost')}"
 
 
@@ -165,13 +173,18 @@ CU, TE, WO, IN, AS, PA, CE = (
 
 EXTENDED_RULES = (
     _row("x_mojibake", "X-MOJIBAKE", VALIDITY, CU, "MEDIUM", "customer_name shows a broken encoding",
-         matches("customer_name", d.MOJIBAKE_PATTERN), show=("customer_id", "customer_name")),
+         f"{read_as_latin1('customer_name')} IS NOT NULL", show=("customer_id", "customer_name"),
+         detail={"repaired_name": read_as_latin1("customer_name")}),
     _row("x_zero_width", "X-ZERO-WIDTH", VALIDITY, CU, "MEDIUM", "email holds an invisible character",
          matches("email_address", d.INVISIBLE_PATTERN), show=("customer_id", "email_address")),
-    _row("x_city_state", "X-CITY-STATE", CONSISTENCY, CU, "MEDIUM", "billing_city is not in billing_state",
-         CITY_OFF_STATE, show=("customer_id", "billing_city", "billing_state")),
-    _row("x_region_state", "X-REGION-STATE", CONSISTENCY, CU, "MEDIUM", "region_code does not cover billing_state",
-         REGION_OFF_STATE, show=("customer_id", "billing_state", "region_code")),
+    _lookup("x_city_state", "X-CITY-UNKNOWN", VALIDITY, CU, "LOW", "billing_city is not a known city",
+            "cities", CITY, ("customer_id", "billing_city", "billing_state"), STATE_OF),
+    _lookup("x_city_state", "X-CITY-STATE", CONSISTENCY, CU, "MEDIUM", "billing_city is not in billing_state",
+            "cities", CITY, ("customer_id", "billing_city", "billing_state"), STATE_OF, CONTRADICTS),
+    _lookup("x_region_state", "X-REGION-UNKNOWN", VALIDITY, CU, "LOW", "billing_state is not a known state",
+            "states", STATE_OF, ("customer_id", "billing_state", "region_code"), REGION_OF),
+    _lookup("x_region_state", "X-REGION-STATE", CONSISTENCY, CU, "MEDIUM", "region_code does not cover billing_state",
+            "states", STATE_OF, ("customer_id", "billing_state", "region_code"), REGION_OF, CONTRADICTS),
     _row("x_currency_text", "X-CURRENCY-CREDIT", VALIDITY, CU, "MEDIUM", "credit_limit carries a currency mark",
          matches("credit_limit", d.CURRENCY_PATTERN), show=("customer_id", "credit_limit"),
          detail={"recovered_amount": recovered_amount("credit_limit")}),
@@ -210,8 +223,8 @@ EXTENDED_RULES = (
     _row("x_tech_domains", "X-TECH-EMAIL", VALIDITY, TE, "LOW", "e-mail at a personal provider",
          one_of("lower(substring_index(email, '@', -1))", d.PERSONAL_MAIL),
          show=("technician_id", "email")),
-    _row("x_tech_domains", "X-TECH-MANAGER", INTEGRITY, TE, "MEDIUM", "manager_id is not a known manager",
-         outside("manager_id", d.MANAGER), show=("technician_id", "manager_id")),
+    _lookup("x_tech_domains", "X-TECH-MANAGER", INTEGRITY, TE, "MEDIUM", "manager_id is not a known manager",
+            "managers", "manager_id", ("technician_id", "manager_id")),
     _row("x_tech_domains", "X-TECH-NAMES", COMPLETENESS, TE, "MEDIUM", "first and last name are NULL",
          "first_name IS NULL AND last_name IS NULL", show=("technician_id",)),
     _key("x_name_duplicate", "X-NAME-DUPLICATE", UNIQUENESS, TE, "LOW", "full_name on more than one technician",
@@ -303,8 +316,8 @@ EXTENDED_RULES = (
          missing("part_number"), show=("part_usage_id",)),
     _key("x_parts", "X-PART-DUPLICATE", UNIQUENESS, PA, "MEDIUM", "same part on the same WO and day", p.PART_LINE,
          ("parts",), "parts", excess("parts", "work_order_id", "part_number", "recorded_date")),
-    _row("x_parts", "X-PART-WAREHOUSE", VALIDITY, PA, "LOW", "warehouse_code not in allowed domain",
-         outside(upper_trim("warehouse_code"), d.WAREHOUSE), show=("part_usage_id", "warehouse_code")),
+    _lookup("x_parts", "X-PART-WAREHOUSE", VALIDITY, PA, "LOW", "warehouse_code is not a known warehouse",
+            "warehouses", upper_trim("warehouse_code"), ("part_usage_id", "warehouse_code")),
     _row("x_parts", "X-PART-FUTURE", TIMELINESS, PA, "MEDIUM", "recorded_date in the future",
          future("recorded_date"), show=("part_usage_id", "recorded_date")),
     _row("x_parts", "X-PART-RECORDER", COMPLETENESS, PA, "LOW", "recorded_by is NULL",

@@ -37,3 +37,16 @@ def attach(
         same = same & (rows[k].eqNullSafe(right[r]) if null_safe else rows[k] == right[r])
     joined = rows.join(right, same, how)
     return joined if how in ("left_anti", "left_semi") else joined.select(*rows.columns, *others)
+
+
+#: rows of a keyed frame that is broadcast, at most: a key and a few narrow columns each
+BROADCAST_ROWS = 100_000
+
+
+def attach_measured(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left", most: int = BROADCAST_ROWS
+) -> DataFrame:
+    """As ``attach``, but a keyed frame that is counted and found small is broadcast, so the rows do not move."""
+    if per_key.limit(most + 1).count() > most:
+        return attach(rows, per_key, keys, how)
+    return rows.join(F.broadcast(per_key), list(keys), how)

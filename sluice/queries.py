@@ -27,9 +27,10 @@ from .operators.evaluate import (
     violating_rows,
     with_outcome,
 )
-from .operators.extended import EXTENDED_RULES, GROUPS, PAIR_LISTINGS, group_rules
+from .operators.extended import CITY, EXTENDED_RULES, GROUPS, PAIR_LISTINGS, REGION_OF, STATE_OF, group_rules, learnt_places
 from .operators.external import evaluate_external
 from .operators.keys import surrogate_key
+from .operators.lookups import LookupRule, WithLookups, known_values, lookup_violations
 from .operators.rules import KeyRule, PairRule, RowRule
 from .operators.scd2 import scd2_merge
 from .plans import curation as cur
@@ -38,7 +39,7 @@ from .plans import staging as stg
 from .plans.staging import Load
 from .sources import sinks
 from .sources.schemas import raw_schema
-from .sources.tables import Raw, as_text, read_table, scratch_path, stamp_batch
+from .sources.tables import Raw, as_text, dirty_view, read_table, scratch_path, stamp_batch
 
 AS_OF = dt.date(2001, 7, 1)
 LOADED = dt.datetime(2001, 7, 1, 6, 0, 0)
@@ -178,16 +179,32 @@ query("u_002_pairs")(listings.shared_email_pairs)
 query("v_005_sql")(listings.loose_email_rows)
 
 
+def extended_frames(raw) -> WithLookups:
+    """All extracts, and the references they are held against: places learnt from all customers, the managers that the
+    first extract names, and the list of warehouses."""
+    return WithLookups(
+        raw.with_later_batches(),
+        {
+            "cities": lambda frames: learnt_places(frames, CITY, STATE_OF),
+            "states": lambda frames: learnt_places(frames, STATE_OF, REGION_OF),
+            "managers": lambda frames: known_values(raw["technicians"], "manager_id"),
+            "warehouses": lambda frames: known_values(dirty_view(raw.spark, raw.directory, "warehouses"), "warehouse_code"),
+        },
+    )
+
+
 def _group_query(group):
     @query(group)
     def _(raw):
-        return results(raw.with_later_batches(), group_rules(group)).select(*RESULT_COLUMNS)
+        return results(extended_frames(raw), group_rules(group)).select(*RESULT_COLUMNS)
 
 
 def _extended_listing(rule):
     @query("violations_" + rule.key)
     def _(raw):
-        frames = raw.with_later_batches()
+        frames = extended_frames(raw)
+        if isinstance(rule, LookupRule):
+            return lookup_violations(frames, rule)
         if isinstance(rule, KeyRule):
             return failing_keys(frames, rule, AS_OF)
         if isinstance(rule, PairRule):
@@ -201,6 +218,17 @@ for _rule in EXTENDED_RULES:
     _extended_listing(_rule)
 
 
+@query("learnt_cities")
+def _(raw):
+    """The places that the rules on cities hold customers against."""
+    return extended_frames(raw)["cities"]
+
+
+@query("learnt_states")
+def _(raw):
+    return extended_frames(raw)["states"]
+
+
 @query("v_004_decimal")
 def _(raw):
     """Amounts parsed as DECIMAL(12,2): what does not fit counts as unparseable."""

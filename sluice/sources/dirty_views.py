@@ -230,8 +230,14 @@ SELECT 'CERT-B' || CAST(p_partkey AS STRING) AS cert_id, 'TECH-B' || CAST(p_part
 FROM {part}
 """
 
+# One warehouse per nation, but for one region.
+WAREHOUSES = """
+SELECT 'WH-' || CAST(n_nationkey AS STRING) AS warehouse_code FROM {nation} WHERE n_regionkey <> 2
+"""
+
 # view name -> (text, source table)
 VIEWS = {
+    "warehouses": (WAREHOUSES, "nation"),
     "raw_customers": (RAW_CUSTOMERS, "customer"),
     "raw_technicians": (RAW_TECHNICIANS, "supplier"),
     "raw_work_orders": (RAW_WORK_ORDERS, "orders"),
