@@ -491,6 +491,8 @@ for _code, (_g, _dim, (_table, _view), _sev, _fails, _cols) in X_LOOKUPS.items()
     Q["violations_" + _code.lower().replace("-", "_")] = _both_batches(
         f"SELECT '{_code}' AS rule_code, '{_sev}' AS severity, {_cols} FROM {_view} WHERE {_fails}"
     )
+Q["x_cross_batch_indexed"] = _both_batches(X_PAIR_LISTS["X-CROSS-BATCH"])
+Q["rule_suite_incremental"] = _both_batches(f"SELECT {_RESULT} FROM ({outcome(_ALL_COUNTS)})")
 Q["learnt_cities"] = "SELECT key, value FROM known_cities"
 Q["learnt_states"] = "SELECT key, value FROM known_states"
 for _code, (_g, _dim, _table, _sev, _total, _failed) in X_KEYS.items():

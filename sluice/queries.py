@@ -27,8 +27,21 @@ from .operators.evaluate import (
     violating_rows,
     with_outcome,
 )
-from .operators.extended import CITY, EXTENDED_RULES, GROUPS, PAIR_LISTINGS, REGION_OF, STATE_OF, group_rules, learnt_places
+from .operators.extended import (
+    CITY,
+    EXTENDED_RULES,
+    GROUPS,
+    PAIR_LISTINGS,
+    REGION_OF,
+    SPREAD,
+    STATE_OF,
+    group_rules,
+    learnt_places,
+    spans,
+)
 from .operators.external import evaluate_external
+from .operators.incremental import IncrementalSuite
+from .operators.key_index import KeyIndex
 from .operators.keys import surrogate_key
 from .operators.lookups import LookupRule, WithLookups, known_values, lookup_violations
 from .operators.rules import KeyRule, PairRule, RowRule
@@ -218,6 +231,16 @@ for _rule in EXTENDED_RULES:
     _extended_listing(_rule)
 
 
+@query("x_cross_batch_indexed")
+def _(raw):
+    """Customers extracted again: the keys of the second extract meet those of the first in a key index."""
+    values = {"records": "sum", "first_seen": "min", "last_seen": "max"}
+    index = KeyIndex(raw.spark, scratch_path(raw.spark, "key-index"), ["customer_id"], values, buckets=8)
+    for table in ("customers", "customers_batch2"):
+        index.add(spans(raw[table], "customer_id", "_batch_id"), table)
+    return index.read().filter(SPREAD).select("customer_id", *values)
+
+
 @query("learnt_cities")
 def _(raw):
     """The places that the rules on cities hold customers against."""
@@ -278,6 +301,16 @@ def _(raw):
     return reduce(DataFrame.unionAll, parts).select("_batch_id", *RESULT_COLUMNS)
 
 
+@query("rule_suite_incremental")
+def _(raw):
+    """Every rule over both extracts, each of which is scanned when it comes."""
+    tables = ("customers", "technicians", "work_orders", "invoices", "assignments")
+    suite = IncrementalSuite(raw.spark, scratch_path(raw.spark, "suite"), RULES, buckets=8)
+    suite.add(raw, "first", AS_OF)
+    suite.add({t: raw[f"{t}_batch2"] for t in tables}, "second", AS_OF)
+    return suite.evaluate(AS_OF, raw.with_later_batches()).select(*RESULT_COLUMNS)
+
+
 @query("rule_filter_table")
 def _(raw):
     return results(raw, rules_for_table(RULES, "invoices")).select(*RESULT_COLUMNS)

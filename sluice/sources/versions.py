@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +35,8 @@ class Version:
     schema: T.StructType
     #: for tables dealt out by ``write_buckets``: how many buckets there are
     buckets: int = 0
+    #: what the writer wants to know of the version
+    notes: tuple[str, ...] = ()
 
 
 class VersionedTable:
@@ -73,7 +75,7 @@ class VersionedTable:
             stream.close()
         entry = json.loads(text)
         schema = T.StructType.fromJson(entry["schema"])
-        return Version(number, tuple(entry["folders"]), schema, entry["buckets"])
+        return Version(number, tuple(entry["folders"]), schema, entry["buckets"], tuple(entry["notes"]))
 
     def read(self, number: int | None = None) -> DataFrame:
         return self._frame(self.version(number))
@@ -89,21 +91,41 @@ class VersionedTable:
 
     def prepare(self, df: DataFrame) -> str:
         """Write the rows to a new folder, which no reader sees before it is published."""
-        folder = f"data-{uuid.uuid4().hex}"
+        folder = self.new_folder()
         df.write.parquet(f"{self.path}/{folder}")
         return folder
 
+    @staticmethod
+    def new_folder() -> str:
+        return f"data-{uuid.uuid4().hex}"
+
     def publish(self, folder: str, schema: T.StructType, append: bool = False) -> DataFrame:
         def folders(now: Version | None) -> Iterable[str]:
             return [*(now.folders if append and now else ()), folder]
 
         return self._frame(self._commit(folders, schema))
 
-    def _commit(self, folders, schema: T.StructType, buckets: int = 0) -> Version:
+    def replace(self, folder: str, schema: T.StructType, began: Version | None, notes: Sequence[str] = ()) -> None:
+        """Publish a folder that was made from the version ``began``; fails if there is a newer one by now."""
+
+        def folders(now: Version | None) -> list[str]:
+            if (now and now.number) != (began and began.number):
+                raise RuntimeError(f"{self.path} was changed by another run")
+            return [folder]
+
+        self._commit(folders, schema, notes=notes)
+
+    def _commit(
+        self,
+        folders: Callable[[Version | None], Iterable[str]],
+        schema: T.StructType,
+        buckets: int = 0,
+        notes: Sequence[str] = (),
+    ) -> Version:
         """Enter the next version; ``folders`` makes its list from the version before."""
         while True:
             now = self.version() if self.exists() else None
-            new = Version((now.number if now else 0) + 1, tuple(folders(now)), schema, buckets)
+            new = Version((now.number if now else 0) + 1, tuple(folders(now)), schema, buckets, tuple(notes))
             if self._enter(new):
                 return new
 
@@ -111,7 +133,9 @@ class VersionedTable:
         """False if another writer entered this number first."""
         aside, entry = self._at(LOG, f".{uuid.uuid4().hex}"), self._at(LOG, _entry(version.number))
         stream = self._fs.create(aside, True)
-        text = {"folders": version.folders, "schema": version.schema.jsonValue(), "buckets": version.buckets}
+        text = {
+            "folders": version.folders, "schema": version.schema.jsonValue(), "buckets": version.buckets, "notes": version.notes,
+        }
         stream.write(json.dumps(text).encode())
         stream.close()
         if not self._fs.exists(entry) and self._fs.rename(aside, entry):
@@ -152,7 +176,7 @@ class VersionedTable:
         return self._frame(self._commit(folders, began.schema, began.buckets))
 
     def _prepare_buckets(self, df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[str, list[int]]:
-        folder = f"data-{uuid.uuid4().hex}"
+        folder = self.new_folder()
         number = bucket_of(keys, buckets)
         df.withColumn(BUCKET, number).repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
         names = [n for n in self._names(folder) if n.startswith(f"{BUCKET}=")]
