@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.columns import day_literal, instant_literal
 from ..operators.joins import attach
 from ..operators.keys import surrogate_key
-from ..operators.scd2 import scd2_merge
+from ..operators.scd2 import merge_into
+from ..sources.versions import VersionedTable
 
 FIRST_DAY = dt.date(2015, 1, 1)
 LAST_DAY = dt.date(2027, 12, 31)
@@ -88,19 +91,36 @@ def customer_rows(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
     )
 
 
-def dim_customer(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
-    return surrogate_key(customer_rows(staged, loaded), ["customer_id"], "customer_sk")
+def dim_customer(staged: DataFrame, loaded: dt.datetime, digits: int = 3) -> DataFrame:
+    return surrogate_key(customer_rows(staged, loaded), ["customer_id"], "customer_sk", digits)
 
 
-def merge_customers(dimension: DataFrame, staged: DataFrame, loaded: dt.datetime, effective: dt.date) -> DataFrame:
-    """The dimension with the customers of another load: new versions from ``effective`` on, all keys kept."""
-    incoming = customer_rows(staged, loaded).drop("effective_from", "effective_to", "is_current")
-    tracked = ["customer_name", "customer_type", "account_status", "region_code", "credit_limit"]
-    return scd2_merge(dimension, incoming, "customer_id", tracked, effective, "customer_sk")
+@dataclass(frozen=True)
+class Dimension:
+    """A type-2 dimension: its key, surrogate key, and the columns whose change opens a version."""
 
+    name: str
+    key: str
+    surrogate: str
+    tracked: tuple[str, ...]
+    rows: Callable[[DataFrame, dt.datetime], DataFrame]
 
-def dim_technician(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
-    rows = staged.filter("NOT is_quarantined").selectExpr(
+    def first(self, staged: DataFrame, loaded: dt.datetime, digits: int = 3) -> DataFrame:
+        return surrogate_key(self.rows(staged, loaded), [self.key], self.surrogate, digits)
+
+    def load(
+        self, table: VersionedTable, staged: DataFrame, loaded: dt.datetime, effective: dt.date, buckets: int = 64, digits: int = 3
+    ) -> DataFrame:
+        """The stored dimension after this load: made if there is none, else new versions from ``effective`` on, keys kept."""
+        if not table.exists():
+            return table.write_buckets(self.first(staged, loaded, digits), [self.key], buckets)
+        incoming = self.rows(staged, loaded).drop("effective_from", "effective_to", "is_current")
+        return merge_into(table, incoming, self.key, self.tracked, effective, self.surrogate)
+
+
+def technician_rows(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
+    """Clean technicians as open versions."""
+    return staged.filter("NOT is_quarantined").selectExpr(
         "technician_id",
         "employee_number",
         "full_name",
@@ -111,16 +131,37 @@ def dim_technician(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
         *_open_version("hire_date"),
         _loaded(loaded),
     )
-    return surrogate_key(rows, ["technician_id"], "technician_sk")
 
 
-def _clean_facts(staged: DataFrame, key: str, name: str) -> DataFrame:
+def dim_technician(staged: DataFrame, loaded: dt.datetime) -> DataFrame:
+    return TECHNICIAN.first(staged, loaded)
+
+
+CUSTOMER = Dimension(
+    "dim_customer", "customer_id", "customer_sk",
+    ("customer_name", "customer_type", "account_status", "region_code", "credit_limit"), customer_rows,
+)
+TECHNICIAN = Dimension(
+    "dim_technician", "technician_id", "technician_sk",
+    ("employee_number", "full_name", "employment_status", "skill_level", "home_region"), technician_rows,
+)
+
+
+@dataclass(frozen=True)
+class FactKeys:
+    """How facts are numbered: buckets by ``digits``; ``known`` holds the facts of an earlier run, whose keys stay."""
+
+    digits: int = 3
+    known: DataFrame | None = None
+
+
+def _clean_facts(staged: DataFrame, key: str, name: str, keys: FactKeys) -> DataFrame:
     """Clean staged rows with their fact key.
 
     Every lookup that follows matches at most one row, so the key can be
     assigned first, over the staged rows alone.
     """
-    return surrogate_key(staged.filter("NOT is_quarantined"), [key], name)
+    return surrogate_key(staged.filter("NOT is_quarantined"), [key], name, keys.digits, keys.known)
 
 
 def _with_customer(rows: DataFrame, customers: DataFrame) -> DataFrame:
@@ -148,10 +189,10 @@ _WORK_ORDER_MEASURES = (
 
 
 def fact_work_orders(
-    staged: DataFrame, customers: DataFrame, calendar: DataFrame, loaded: dt.datetime
+    staged: DataFrame, customers: DataFrame, calendar: DataFrame, loaded: dt.datetime, keys: FactKeys = FactKeys()
 ) -> DataFrame:
     """Clean work orders with their dimension keys; total cost is recomputed."""
-    rows = _clean_facts(staged, "work_order_id", "fact_wo_sk")
+    rows = _clean_facts(staged, "work_order_id", "fact_wo_sk", keys)
     rows = _with_customer(rows.selectExpr("*", "CAST(actual_end AS date) AS completed_date"), customers)
     rows = _with_day(rows, calendar, "scheduled_date", "scheduled_date_sk")
     rows = _with_day(rows, calendar, "completed_date", "completed_date_sk")
@@ -168,9 +209,11 @@ def fact_work_orders(
     )
 
 
-def fact_work_orders_by_format(staged: DataFrame, customers: DataFrame, loaded: dt.datetime) -> DataFrame:
+def fact_work_orders_by_format(
+    staged: DataFrame, customers: DataFrame, loaded: dt.datetime, keys: FactKeys = FactKeys()
+) -> DataFrame:
     """As ``fact_work_orders``, with date keys formatted instead of looked up."""
-    rows = _with_customer(_clean_facts(staged, "work_order_id", "fact_wo_sk"), customers)
+    rows = _with_customer(_clean_facts(staged, "work_order_id", "fact_wo_sk", keys), customers)
     return rows.selectExpr(
         "fact_wo_sk",
         "work_order_id",
@@ -185,9 +228,9 @@ def fact_work_orders_by_format(staged: DataFrame, customers: DataFrame, loaded:
 
 
 def fact_invoices(
-    staged: DataFrame, customers: DataFrame, calendar: DataFrame, loaded: dt.datetime
+    staged: DataFrame, customers: DataFrame, calendar: DataFrame, loaded: dt.datetime, keys: FactKeys = FactKeys()
 ) -> DataFrame:
-    rows = _with_customer(_clean_facts(staged, "invoice_id", "fact_inv_sk"), customers)
+    rows = _with_customer(_clean_facts(staged, "invoice_id", "fact_inv_sk", keys), customers)
     rows = _with_day(rows, calendar, "invoice_date", "invoice_date_sk")
     rows = _with_day(rows, calendar, "due_date", "due_date_sk")
     return rows.selectExpr(

@@ -8,6 +8,7 @@ costs at most the step at hand.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,10 @@ from pyspark.sql import DataFrame
 from ..operators import quarantine, scoring
 from ..operators.catalog import RULES
 from ..operators.evaluate import evaluate
+from ..operators.keys import key_digits
 from ..operators.rules import Frames
 from ..sources import sinks
+from ..sources.versions import VersionedTable
 from . import curation, monitoring, staging
 from .staging import Load
 
@@ -72,17 +75,9 @@ def log_quarantine(staged: Frames, target: Target, load: Load, run_id: str) -> D
     return sinks.replace_run(rows, target("dq", "quarantine_log"))
 
 
-def _customers(staged: DataFrame, target: Target, load: Load) -> DataFrame:
-    """The customer dimension: a first one, or the one there is with this load merged in."""
-    path = target("curated", "dim_customer")
-    if not sinks.exists(staged.sparkSession, path):
-        return curation.dim_customer(staged, load.loaded)
-    before = sinks.read(staged.sparkSession, path)
-    return curation.merge_customers(before, staged, load.loaded, load.as_of)
-
-
 def curate(
     staged: Frames,
+    counts: Mapping[str, Mapping[str, int]],
     target: Target,
     load: Load,
     first_day: dt.date | None = None,
@@ -90,28 +85,36 @@ def curate(
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """The curated tables, and how many current or fact rows each has.
 
-    The calendar holds the given days, or else the years in which the facts fall.
+    Dimensions are merged where they are stored, facts written as a new version; both keep the keys they have.  The
+    calendar holds the given days, or else the years in which the facts fall.
     """
-    tables, counts = {}, {}
-
-    def write(name: str, df: DataFrame, current: bool = False) -> DataFrame:
-        n = {"n": "count_if(is_current)" if current else "count(1)"}
-        tables[name], seen = sinks.overwrite_counted(df, target("curated", name), n)
-        counts[name] = seen["n"]
-        return tables[name]
-
+    spark = staged["customers"].sparkSession
+    tables, taken = {}, {}
     if first_day and last_day:
-        days = curation.days(staged["customers"].sparkSession, first_day, last_day)
+        days = curation.days(spark, first_day, last_day)
     else:
         dates = staged["work_orders"].selectExpr("scheduled_date AS a", "CAST(actual_end AS date) AS b")
         dates = dates.unionAll(staged["invoices"].selectExpr("invoice_date", "due_date"))
         days = curation.days_covering(dates, "a", "b")
-    calendar = write("dim_date", curation.dim_date(days))
-    customers = write("dim_customer", _customers(staged["customers"], target, load), current=True)
-    write("dim_technician", curation.dim_technician(staged["technicians"], load.loaded), current=True)
-    write("fact_work_orders", curation.fact_work_orders(staged["work_orders"], customers, calendar, load.loaded))
-    write("fact_invoices", curation.fact_invoices(staged["invoices"], customers, calendar, load.loaded))
-    return tables, counts
+    calendar = tables["dim_date"] = sinks.overwrite(curation.dim_date(days), target("curated", "dim_date"))
+
+    for source, dimension in (("customers", curation.CUSTOMER), ("technicians", curation.TECHNICIAN)):
+        stored = VersionedTable(spark, target("curated", dimension.name))
+        digits = key_digits(counts[source]["clean"])
+        tables[dimension.name] = dimension.load(stored, staged[source], load.loaded, load.as_of, load.buckets, digits)
+        taken[dimension.name] = tables[dimension.name].filter("is_current").count()
+
+    for source, name, key, make in (
+        ("work_orders", "fact_work_orders", "work_order_id", curation.fact_work_orders),
+        ("invoices", "fact_invoices", "invoice_id", curation.fact_invoices),
+    ):
+        path = target("curated", name)
+        known = sinks.read(spark, path) if sinks.exists(spark, path) else None
+        keys = curation.FactKeys(key_digits(counts[source]["clean"]), known)
+        facts = make(staged[source], tables["dim_customer"], calendar, load.loaded, keys)
+        tables[name], seen = sinks.overwrite_counted(facts, path, {"n": "count(1)"})
+        taken[name] = seen["n"]
+    return tables, taken
 
 
 def run(
@@ -125,14 +128,14 @@ def run(
 ) -> dict[str, DataFrame]:
     """All steps; returns the reports and the audit log next to the curated tables.
 
-    All reports come from counts taken along the way: no table is read again to be counted.
+    All reports come from counts taken along the way: no raw or staged table is read again to be counted.
     """
     target = Target(root)
     spark = raw["customers"].sparkSession
     summary, layers = validate(raw, target, load, run_id)
     staged, counts = stage(raw, target, load)
     log = log_quarantine(staged, target, load, run_id)
-    curated, taken = curate(staged, target, load, first_day, last_day)
+    curated, taken = curate(staged, counts, target, load, first_day, last_day)
     for table, names, fact in (
         ("customers", monitoring.CUSTOMER_METRICS, "dim_customer"),
         ("work_orders", monitoring.WORK_ORDER_METRICS, "fact_work_orders"),

@@ -32,6 +32,8 @@ class Load:
     null_keys_are_distinct: bool = False
     three_valued: bool = False
     row_id: str = "_src_row"
+    #: buckets of a stored dimension, fixed when it is made
+    buckets: int = 64
 
     @property
     def metadata(self) -> dict[str, str]:
@@ -50,14 +52,10 @@ def flagged_customers(raw: DataFrame, load: Load) -> DataFrame:
     return with_flags(marked, q.customer_flags(load.book, load.money), load.as_of)
 
 
-def stage_customers(raw: DataFrame, load: Load) -> DataFrame:
+def clean_customer(load: Load) -> dict[str, str]:
+    """A customer's own columns, standardised; nothing that depends on other rows."""
     script = load.book == SCRIPT
-    rows = flagged_customers(raw, load)
-    reason = q.customer_reason(load.book)
-    if script:
-        rows = dedup.with_master_key(rows, raw)
-        reason = f"coalesce({reason}, {dedup.DUPLICATE_REASON})"
-    staged = {
+    return {
         "customer_id": "customer_id",
         "customer_name": "trim(customer_name)",
         "customer_type": std.customer_type(),
@@ -73,6 +71,18 @@ def stage_customers(raw: DataFrame, load: Load) -> DataFrame:
         "created_date": day("created_date"),
         "last_modified": instant("last_modified"),
         "source_system": "source_system",
+    }
+
+
+def stage_customers(raw: DataFrame, load: Load) -> DataFrame:
+    script = load.book == SCRIPT
+    rows = flagged_customers(raw, load)
+    reason = q.customer_reason(load.book)
+    if script:
+        rows = dedup.with_master_key(rows, raw)
+        reason = f"coalesce({reason}, {dedup.DUPLICATE_REASON})"
+    staged = {
+        **clean_customer(load),
         "is_quarantined": f"{q.customer_gate(load.book)} OR is_duplicate",
         "quarantine_reason": reason,
         "dq_score": q.customer_score(load.book),

@@ -45,7 +45,7 @@ from .operators.key_index import KeyIndex
 from .operators.keys import surrogate_key
 from .operators.lookups import LookupRule, WithLookups, known_values, lookup_violations
 from .operators.rules import KeyRule, PairRule, RowRule
-from .operators.scd2 import scd2_merge
+from .operators.scd2 import merge_into
 from .plans import curation as cur
 from .plans import monitoring as mon
 from .plans import staging as stg
@@ -53,6 +53,7 @@ from .plans.staging import Load
 from .sources import sinks
 from .sources.schemas import raw_schema
 from .sources.tables import Raw, as_text, dirty_view, read_table, scratch_path, stamp_batch
+from .sources.versions import VersionedTable
 
 AS_OF = dt.date(2001, 7, 1)
 LOADED = dt.datetime(2001, 7, 1, 6, 0, 0)
@@ -680,13 +681,15 @@ def _(raw):
 
 @query("scd2_merge")
 def _(raw):
-    """The second extract, one row per customer, merged into the dimension of the first."""
+    """The second extract, one row per customer, merged into the stored dimension of the first."""
     shown = ["customer_id", "customer_name", "customer_type", "account_status", "region_code", "credit_limit"]
-    dimension = customers_dim(raw)
-    second = stg.stage_customers(raw["customers_batch2"], LOAD)
+    columns = stg.clean_customer(LOAD)
+    second = raw["customers_batch2"].selectExpr(*named({n: columns[n] for n in (*shown, "last_modified")}))
     incoming = dedup.keep_latest(second, ["customer_id"], [c("last_modified").desc(), c("customer_name").asc()])
-    return scd2_merge(dimension.select("customer_sk", *shown, "effective_from", "effective_to", "is_current"),
-                      incoming.select(*shown), "customer_id", shown[1:], MERGE_DAY, "customer_sk")
+    table = VersionedTable(raw.spark, scratch_path(raw.spark, "dim_customer"))
+    first = customers_dim(raw).select("customer_sk", *shown, "effective_from", "effective_to", "is_current")
+    table.write_buckets(first, ["customer_id"], buckets=8)
+    return merge_into(table, incoming.select(*shown), "customer_id", shown[1:], MERGE_DAY, "customer_sk")
 
 
 def orders_fact(raw):

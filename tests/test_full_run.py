@@ -76,6 +76,22 @@ def test_observed_counts_equal_counted_ones(runs, spark):
     assert rows(second["quarantine_counts"].select(*counted.columns)) == rows(counted)
 
 
+def test_keys_stay(spark, raw, runs, tmp_path):
+    """Another load with fewer and changed rows: all keys that there were keep their numbers."""
+    root = str(tmp_path / "lake")
+
+    frames = {t: raw[t] for t in ("customers", "technicians", "work_orders", "invoices", "assignments")}
+    some = {**frames, "technicians": raw["technicians"].filter("_src_row % 3 > 0"), "work_orders": raw["work_orders"].filter("_src_row % 5 > 0")}
+    full_run.run(some, root, LOAD, "RUN-1", dt.datetime(2001, 7, 1, 7))
+    names = {"dim_technician": ("technician_id", "technician_sk"), "fact_work_orders": ("work_order_id", "fact_wo_sk")}
+    before = {t: dict(map(tuple, sinks.read(spark, f"{root}/curated/{t}").select(*names[t]).collect())) for t in names}
+    out = full_run.run(frames, root, LOAD, "RUN-2", dt.datetime(2001, 7, 2, 7))
+    for table, given in before.items():
+        after = dict(map(tuple, out[table].select(*names[table]).collect()))
+        assert len(after) > len(given) and len(set(after.values())) == len(after)
+        assert all(after[k] == n for k, n in given.items())
+
+
 def test_dates_resolve(runs):
     _, (_, second) = runs
     assert second["fact_work_orders"].filter("scheduled_date_sk IS NULL").count() == 0

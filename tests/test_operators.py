@@ -12,11 +12,12 @@ from sluice.operators.extended import EXTENDED_RULES, GROUPS
 from sluice.operators.external import EXTERNAL_RULES
 from sluice.functions.columns import number
 from sluice.operators.keys import surrogate_key
-from sluice.operators.scd2 import scd2_merge
+from sluice.operators.scd2 import merge_into, scd2_merge
 from sluice.plans import curation
 from sluice.plans.monitoring import pct_share
 from sluice.sources import sinks
 from sluice.sources.schemas import raw_schema
+from sluice.sources.versions import VersionedTable
 from sluice.sources.tables import append_batches, literal_rows, shared_dir, text_schema
 
 AS_OF = dt.date(2001, 7, 1)
@@ -152,6 +153,37 @@ def test_scd2_keeps_keys_and_takes_a_null_key_once(spark):
         assert sum(r.id is None for r in rows) == 1
 
 
+def test_scd2_refuses_repeated_keys(spark):
+    dim = spark.createDataFrame([("a", "A", AS_OF, None, True)], "id string, name string, effective_from date, effective_to date, is_current boolean")
+    for twice in (("a", "B"), (None, "B")):
+        new = spark.createDataFrame([twice, twice, ("c", "C")], "id string, name string")
+        with pytest.raises(Exception, match="comes more than once"):
+            scd2_merge(dim, new, "id", ["name"], AS_OF).collect()
+
+
+def test_stored_dimension_is_merged_by_buckets(spark, tmp_path):
+    """Against the merge of whole frames, load after load; buckets without a change keep their files."""
+    shape = "id string, name string, effective_from date, effective_to date, is_current boolean"
+    rows = [(f"k{i}" if i else None, "old", dt.date(2020, 1, 1), None, True) for i in range(400)]
+    first = surrogate_key(spark.createDataFrame(rows, shape), ["id"], "sk", 1)
+    table = VersionedTable(spark, str(tmp_path / "d"))
+    whole = sinks.overwrite(first, str(tmp_path / "w"))
+    table.write_buckets(first, ["id"], 16)
+    loads = [[("k1", "new"), (None, "none"), ("x", "x")], [("k1", "new"), ("k2", "old")], [("k1", "newer"), ("y", None)]]
+    for year, new in enumerate(loads, 2021):
+        incoming = spark.createDataFrame(new, "id string, name string")
+        day = dt.date(year, 1, 1)
+        files = {f for f in table.read().inputFiles()}
+        whole = sinks.overwrite(scd2_merge(whole, incoming, "id", ["name"], day, "sk"), str(tmp_path / "w"))
+        merged = merge_into(table, incoming, "id", ["name"], day, "sk")
+        assert sorted(map(tuple, merged.select(*whole.columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+        assert len({r.sk for r in merged.collect()}) == merged.count()
+        changed = len(files - set(table.read().inputFiles()))
+        assert changed <= 3 if year != 2022 else changed == 0
+    with pytest.raises(Exception, match="comes more than once"):
+        merge_into(table, spark.createDataFrame([("q", "1"), ("q", "2")], "id string, name string"), "id", ["name"], AS_OF, "sk")
+
+
 def test_known_keys_stay(spark):
     some = spark.range(0, 400).selectExpr("cast(id AS string) AS k")
     more = spark.range(100, 900).selectExpr("cast(id AS string) AS k")
