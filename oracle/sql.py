@@ -547,6 +547,17 @@ Q["cs_006_sql"] = (
 _TEXT = "CAST({0} AS VARCHAR) AS {0}".format
 _STAMP = f"{LOADED} AS _extract_timestamp, 'BATCH-{{}}' AS _batch_id".format
 Q["src_table"] = "SELECT * FROM customer"
+Q["src_text_files"] = (
+    "SELECT CAST(s_suppkey AS VARCHAR) AS supplier_id, s_name || ', \"Ltd\"' AS supplier_name,"
+    " CASE WHEN s_suppkey % 11 > 0 THEN CAST(s_nationkey AS VARCHAR) END AS phone FROM supplier WHERE s_suppkey % 7 > 2"
+)
+Q["src_text_files_rejected"] = (
+    "SELECT CASE s_suppkey % 7 WHEN 0 THEN s_suppkey || ',cut' WHEN 2 THEN s_suppkey || ',\"open,1'"
+    " ELSE s_suppkey || ',\"' || s_name || ', \"\"Ltd\"\"\",'"
+    " || CASE WHEN s_suppkey % 11 > 0 THEN CAST(s_nationkey AS VARCHAR) ELSE '' END || ',more' END AS _line,"
+    " CASE s_suppkey % 7 WHEN 0 THEN 'short' WHEN 1 THEN 'long' ELSE 'quotes' END AS _fault"
+    " FROM supplier WHERE s_suppkey % 7 <= 2"
+)
 Q["src_literal_rows"] = (
     f"SELECT {', '.join(map(_TEXT, ('s_suppkey', 's_name', 's_nationkey', 's_acctbal')))}, {_STAMP(1)} FROM supplier"
 )

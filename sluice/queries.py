@@ -50,7 +50,7 @@ from .plans import curation as cur
 from .plans import monitoring as mon
 from .plans import staging as stg
 from .plans.staging import Load
-from .sources import sinks
+from .sources import files, sinks
 from .sources.schemas import raw_schema
 from .sources.tables import Raw, as_text, dirty_view, read_table, scratch_path, stamp_batch
 from .sources.versions import VersionedTable
@@ -113,6 +113,35 @@ def _(raw):
     return raw["technicians"].to(raw_schema("technicians"))
 
 
+def text_extract(raw) -> DataFrame:
+    """Suppliers as text lines, of which some are cut, some run on and some have a stray quote, read back."""
+    columns = ["supplier_id", "supplier_name", "phone"]
+    supplier = read_table(raw.spark, "supplier", raw.directory)
+    row = F.struct(c("s_suppkey").cast("string"), F.concat("s_name", F.lit(', "Ltd"')), F.when(c("s_suppkey") % 11 > 0, c("s_nationkey").cast("string")))
+    line = F.to_csv(row, {"escape": '"'})
+    broken = (
+        F.when(c("s_suppkey") % 7 == 0, F.concat(c("s_suppkey").cast("string"), F.lit(",cut")))
+        .when(c("s_suppkey") % 7 == 1, F.concat(line, F.lit(",more")))
+        .when(c("s_suppkey") % 7 == 2, F.concat(c("s_suppkey").cast("string"), F.lit(',"open,1')))
+        .otherwise(line)
+    )
+    path = scratch_path(raw.spark, "extract")
+    supplier.select(broken.alias("value")).write.text(path)
+    return files.read_extract(raw.spark, path, columns)
+
+
+@query("src_text_files")
+def _(raw):
+    """The rows of an extract of text files."""
+    return files.rows(text_extract(raw)).drop(files.FILE)
+
+
+@query("src_text_files_rejected")
+def _(raw):
+    """The lines of the extract that are no rows."""
+    return files.rejected(text_extract(raw)).drop(files.FILE)
+
+
 @query("sink_overwrite")
 def _(raw):
     path = scratch_path(raw.spark, "overwrite")
