@@ -1,16 +1,23 @@
 """Exact deduplication by two passes over a Bloom filter.
 
-The first pass counts, for every filter position, whether two rows or more
-set it; positions set twice make up the filter.  The second pass tests each
-row: a row with a position that was set once only has no equal and passes
-straight through.  The others are compared by their SHA-256.  The filter
-decides only who is compared, never the result.
+The first pass counts 64-bit hashes: equal ones are added up in each task, and
+one number per hash moves, never a row.  Hashes that occur twice or more make up
+the filter, so its size follows the repeated texts and not the rows.  It is
+split by the upper bits of the hash into as many parts as it needs, each of them
+bounded, and rows are tested part by part.  The second pass tests each row where
+it is: one whose hash is not in the filter has no equal and passes straight
+through.  The others are compared by their SHA-256.  The filter decides only who
+is compared, never the result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,47 +25,69 @@ from ..operators.joins import attach
 from .common import free_name, stage, whole_text
 
 PROBES = 3
-BITS_PER_ROW = 16
-#: The filter is broadcast and never larger.  With more rows than it has room for, more rows are compared exactly
-#: (at worst the digests of all of them); the result is the same.
+BITS_PER_HASH = 16
+#: bytes of one part of the filter, which is broadcast
 FILTER_BYTES = 32 << 20
 
 
-def filter_bits(rows: int, most_bytes: int = FILTER_BYTES) -> int:
-    """A power of two, at least 1,024 and at most ``most_bytes``."""
-    return min(1 << max(10, (max(rows, 1) * BITS_PER_ROW - 1).bit_length()), 8 * most_bytes)
+def repeated_hashes(hashes: DataFrame, column: str) -> DataFrame:
+    """hash: those that stand on two rows or more; a hash that any number of rows have moves once per task."""
+    counted = hashes.select(F.col(column).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter("rows > 1").select("hash")
 
 
-def positions(text: Column, bits: int) -> list[Column]:
-    base = F.xxhash64(text)
-    return [F.xxhash64(base, F.lit(i)).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)]
+def parts_and_bits(repeated: int, most_bytes: int) -> tuple[int, int]:
+    """How many parts the filter has, and bits of each: a power of two, 1,024 at least."""
+    parts = max(1, -(-repeated * BITS_PER_HASH // (8 * most_bytes)))
+    wanted = -(-repeated // parts) * BITS_PER_HASH
+    return parts, min(1 << max(10, (max(wanted, 1) - 1).bit_length()), 8 * most_bytes)
 
 
-def repeated_positions(df: DataFrame, text: str, bits: int) -> DataFrame:
-    """64-bit words of the filter: the positions that two rows or more set."""
-    set_by = df.select(F.explode(F.array_distinct(F.array(*positions(whole_text(text), bits)))).alias("position"))
-    twice = set_by.groupBy("position").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    return twice.groupBy(F.shiftright("position", 6).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(position & 63 as int)))").alias("mask")
-    )
+def part_of(column: str, parts: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(column, 33), F.lit(parts)).cast("int")
+
+
+def positions(column: str, bits: int) -> list[Column]:
+    return [F.xxhash64(column, F.lit(i)).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)]
+
+
+class RepeatFilter:
+    """The Bloom filter over hashes that repeat.  Making it runs the first pass."""
+
+    def __init__(self, hashes: DataFrame, column: str, most_bytes: int = FILTER_BYTES):
+        if most_bytes & (most_bytes - 1):
+            raise ValueError("the bytes of a part are a power of two")
+        self.column = column
+        self.repeated = stage(repeated_hashes(hashes, column), "repeated-hashes")
+        self.parts, self.bits = parts_and_bits(self.repeated.count(), most_bytes)
+
+    def _words(self, part: int) -> np.ndarray:
+        own = self.repeated.filter(part_of("hash", self.parts) == part)
+        bits = own.select(F.explode(F.array(*positions("hash", self.bits))).alias("position"))
+        found = bits.groupBy(F.shiftright("position", 6).alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, cast(position & 63 as int)))").alias("mask")
+        ).toArrow()
+        words = np.zeros(self.bits // 64, np.int64)
+        words[found["word"].to_numpy()] = found["mask"].to_numpy()
+        return words
 
+    def tested(self, rows: DataFrame, name: str) -> Iterator[DataFrame]:
+        """The rows of each part, with a column that is true for those that have an equal, and for a few others."""
+        for part in range(self.parts):
+            all_set = _tester(rows.sparkSession.sparkContext.broadcast(self._words(part)))
+            own = rows if self.parts == 1 else rows.filter(part_of(self.column, self.parts) == part)
+            yield own.withColumn(name, all_set(*positions(self.column, self.bits)))
 
-def possibly_repeated(df: DataFrame, text: str, most_bytes: int = FILTER_BYTES) -> Column:
-    """True for every row that has an equal, and for a few others.  Runs the first pass."""
-    bits = filter_bits(df.count(), most_bytes)
-    found = repeated_positions(df, text, bits).toArrow()
-    words = np.zeros(bits // 64, np.int64)
-    words[found["word"].to_numpy()] = found["mask"].to_numpy()
-    shared = df.sparkSession.sparkContext.broadcast(words)
 
+def _tester(words: Broadcast):
     @F.pandas_udf("boolean")
     def all_set(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         hit = np.ones(len(a), bool)
         for p in (a.to_numpy(), b.to_numpy(), c.to_numpy()):
-            hit &= (shared.value[p >> 6] >> (p & 63)) & 1 == 1
+            hit &= (words.value[p >> 6] >> (p & 63)) & 1 == 1
         return pd.Series(hit)
 
-    return all_set(*positions(whole_text(text), bits))
+    return all_set
 
 
 def groups_of_equals(
@@ -71,16 +100,16 @@ def groups_of_equals(
     text equals the empty one.  Other columns are ignored; an empty table gives
     an empty result.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    marked = stage(
-        rows.select(
-            "id",
-            F.sha2(whole_text("text"), 256).alias("sha"),
-            possibly_repeated(rows, "text", most_bytes).alias("maybe"),
+    digests = stage(
+        df.select(
+            F.col(id_col).alias("id"),
+            F.sha2(whole_text(text), 256).alias("sha"),
+            F.xxhash64(whole_text(text)).alias("hash"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "exact-digests",
     )
+    marked = reduce(DataFrame.unionByName, RepeatFilter(digests, "hash", most_bytes).tested(digests, "maybe"))
     alone = marked.filter("NOT maybe").select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("kept"), "sha")
     groups = (
         marked.filter("maybe")
@@ -107,8 +136,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", most_byt
     keeps one row per text, then those rows meet.
     """
     columns = df.columns
-    flag, sha, at = (free_name(df, n) for n in ("_maybe", "_sha", "_at"))
-    marked = df.withColumn(flag, possibly_repeated(df, text, most_bytes))
+    flag, sha, at, code = (free_name(df, n) for n in ("_maybe", "_sha", "_at", "_hash"))
+    coded = df.withColumn(code, F.xxhash64(whole_text(text)))
+    marked = reduce(DataFrame.unionByName, RepeatFilter(coded, code, most_bytes).tested(coded, flag))
     winner = F.max_by(F.struct(*[F.col(c) for c in columns]), F.struct(F.col(id_col), F.col(at)))
     compared = (
         marked.filter(F.col(flag))

@@ -55,11 +55,38 @@ def test_equal_texts_whatever_the_filter(odd, odd_rows, none, most_bytes):
     assert exact.groups_of_equals(none).count() == exact.keep_one(none).count() == 0
 
 
+def flagged(df, **options):
+    """(text, whether it is compared) of every row, and the number of parts of the filter."""
+    coded = df.select("text", exact.F.xxhash64("text").alias("hash"))
+    bloom = exact.RepeatFilter(coded, "hash", **options)
+    return [(r["text"], r["maybe"]) for part in bloom.tested(coded, "maybe") for r in part.collect()], bloom.parts
+
+
 def test_only_possible_repeats_are_compared(docs, rows):
-    flagged = docs.select("text", exact.possibly_repeated(docs, "text").alias("maybe")).collect()
+    found, parts = flagged(docs)
     times = Counter(t for _, t in rows)
-    assert all(r["maybe"] for r in flagged if times[r["text"]] > 1)
-    assert sum(r["maybe"] for r in flagged if times[r["text"]] == 1) < 0.05 * len(rows)
+    assert Counter(t for t, _ in found) == times and parts == 1
+    assert all(maybe for t, maybe in found if times[t] > 1)
+    assert sum(maybe for t, maybe in found if times[t] == 1) < 0.05 * len(rows)
+
+
+def test_filter_of_many_parts_does_not_saturate(spark):
+    """1,024 bits a part: rows without an equal pass straight through however many rows and repeats there are."""
+    texts = [f"alone {i}" for i in range(6000)] + [f"twice {i % 900}" for i in range(1800)] + ["hot"] * 3000
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    found, parts = flagged(df, most_bytes=128)
+    assert parts == -(-901 * 16 // 1024) and len(found) == len(texts)
+    assert all(maybe for t, maybe in found if not t.startswith("alone"))
+    assert sum(maybe for t, maybe in found if t.startswith("alone")) < 0.05 * 6000
+    kept = {r["doc_id"]: r["group_size"] for r in exact.groups_of_equals(df, most_bytes=128).collect() if r["kept"]}
+    last = {t: i for i, t in enumerate(texts)}
+    assert kept == {i: Counter(texts)[t] for t, i in last.items()}
+    assert sorted(r["doc_id"] for r in exact.keep_one(df, most_bytes=128).collect()) == sorted(last.values())
+
+
+def test_first_pass_moves_one_number_per_hash(docs):
+    plan = exact.repeated_hashes(docs.select(exact.F.xxhash64("text").alias("hash")), "hash")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan and "text" not in plan.split("Exchange")[0]
 
 
 # --- near
