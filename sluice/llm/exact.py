@@ -51,6 +51,19 @@ def positions(column: str, bits: int) -> list[Column]:
     return [F.xxhash64(column, F.lit(i)).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)]
 
 
+def filter_words(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A Bloom filter of hashes as 64-bit words, put together by Spark; ``bits`` bounds what is collected."""
+    found = (
+        hashes.select(F.explode(F.array(*positions(column, bits))).alias("position"))
+        .groupBy(F.shiftright("position", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(position & 63 as int)))").alias("mask"))
+        .toArrow()
+    )
+    words = np.zeros(bits // 64, np.int64)
+    words[found["word"].to_numpy()] = found["mask"].to_numpy()
+    return words
+
+
 class RepeatFilter:
     """The Bloom filter over hashes that repeat.  Making it runs the first pass."""
 
@@ -62,24 +75,19 @@ class RepeatFilter:
         self.parts, self.bits = parts_and_bits(self.repeated.count(), most_bytes)
 
     def _words(self, part: int) -> np.ndarray:
-        own = self.repeated.filter(part_of("hash", self.parts) == part)
-        bits = own.select(F.explode(F.array(*positions("hash", self.bits))).alias("position"))
-        found = bits.groupBy(F.shiftright("position", 6).alias("word")).agg(
-            F.expr("bit_or(shiftleft(1L, cast(position & 63 as int)))").alias("mask")
-        ).toArrow()
-        words = np.zeros(self.bits // 64, np.int64)
-        words[found["word"].to_numpy()] = found["mask"].to_numpy()
-        return words
+        return filter_words(self.repeated.filter(part_of("hash", self.parts) == part), "hash", self.bits)
 
     def tested(self, rows: DataFrame, name: str) -> Iterator[DataFrame]:
         """The rows of each part, with a column that is true for those that have an equal, and for a few others."""
         for part in range(self.parts):
-            all_set = _tester(rows.sparkSession.sparkContext.broadcast(self._words(part)))
+            all_set = tester(rows.sparkSession.sparkContext.broadcast(self._words(part)))
             own = rows if self.parts == 1 else rows.filter(part_of(self.column, self.parts) == part)
             yield own.withColumn(name, all_set(*positions(self.column, self.bits)))
 
 
-def _tester(words: Broadcast):
+def tester(words: Broadcast):
+    """A function of ``PROBES`` positions: whether the filter has them all."""
+
     @F.pandas_udf("boolean")
     def all_set(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         hit = np.ones(len(a), bool)

@@ -15,9 +15,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import exact
 from .common import stage, whole_text
 
 BUCKET_BITS = 14
@@ -25,8 +28,9 @@ SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 #: share of trusted texts that pass the base rules which may fall below the threshold
 LOST = 0.002
-#: so many trusted ids at most are broadcast (16 MB); more are joined by a shuffle
-BROADCAST_IDS = 2_000_000
+#: bytes that are broadcast to tell trusted documents: their ids as sorted numbers of 8 bytes or, if these are more or
+#: ids are no numbers, a Bloom filter of them
+BROADCAST_BYTES = 128 << 20
 #: steps of the histogram of scores, per unit
 STEPS = 10_000
 FIRST, SECOND, THIRD = (np.uint64((0x9E3779B97F4A7C15 * k) & ((1 << 64) - 1)) for k in (3, 5, 7))
@@ -77,16 +81,20 @@ def base(text: str, hashes: np.ndarray) -> tuple[int, int, int, int, int]:
     )
 
 
-def multinomials(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams per bucket in all texts and in trusted ones, of (text, trusted) rows."""
+def multinomials(rows: DataFrame, trusted: Broadcast | None = None, all_trusted: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams per bucket in all texts and in trusted ones, of (id, text) rows; ``trusted`` are the sorted trusted ids."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, found = Hashes(), np.zeros((2, 1 << BUCKET_BITS), np.int64)
         for batch in batches:
-            for text, trusted in zip(batch["text"], batch["trusted"].to_pylist()):
+            if trusted is not None:
+                marks = among(batch["id"], trusted.value)
+            else:
+                marks = np.full(batch.num_rows, all_trusted)
+            for text, mark in zip(batch["text"], marks):
                 own = np.bincount(grams(hashes_of(text.as_py().encode().split(), known)), minlength=1 << BUCKET_BITS)
                 found[0] += own
-                if trusted:
+                if mark:
                     found[1] += own
         used = np.flatnonzero(found[0])
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[0][used]), pa.array(found[1][used])], names=["bucket", "corpus", "target"])
@@ -99,6 +107,36 @@ def multinomials(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return corpus, target
 
 
+def among(ids: pa.Array, known: np.ndarray) -> np.ndarray:
+    """Which ids stand in the sorted ``known``; null ones do not."""
+    if not len(known):
+        return np.zeros(len(ids), bool)
+    there = np.asarray(ids.is_valid())
+    values = ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+    place = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return there & (known[place] == values)
+
+
+def trusted_counts(rows: DataFrame, trusted: DataFrame, most_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams per bucket in all texts and in those of trusted ids; texts stay in the tasks that read them.
+
+    Ids that are numbers and few enough go to every task.  Otherwise a Bloom filter of them does, all texts are counted
+    where they are, and only texts that the filter lets through move, to meet the ids exactly.
+    """
+    context = rows.sparkSession.sparkContext
+    n = trusted.count()
+    if isinstance(rows.schema["id"].dataType, T.IntegralType) and 8 * n <= most_bytes:
+        known = np.sort(trusted.select(F.col("_trusted").cast("long")).toArrow()["_trusted"].to_numpy())
+        return multinomials(rows, context.broadcast(known))
+    bits = min(8 * most_bytes, 1 << max(10, (16 * n).bit_length()))
+    hashes = trusted.select(F.xxhash64("_trusted").alias("hash"))
+    maybe = exact.tester(context.broadcast(exact.filter_words(hashes, "hash", bits)))
+    coded = rows.filter("id IS NOT NULL").withColumn("hash", F.xxhash64("id"))
+    passed = coded.filter(maybe(*exact.positions("hash", bits))).select("id", "text")
+    corpus, _ = multinomials(rows)
+    return corpus, multinomials(passed.join(trusted, F.col("id") == F.col("_trusted"), "left_semi"), all_trusted=True)[1]
+
+
 def log_ratio(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Logarithm of target over corpus probability, every bucket counted once more in both; 0 without a target."""
     if not target.any():
@@ -142,18 +180,25 @@ def threshold(trusted: DataFrame, lost: float = LOST) -> float:
     return float("-inf")
 
 
-def judge(df: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text", lost: float = LOST) -> DataFrame:
+def judge(
+    df: DataFrame,
+    trusted_ids: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    lost: float = LOST,
+    most_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """One row per input row: id, the base counts, base_failed, score, kept.
 
-    ``trusted_ids`` has a column of the id's name; ids may repeat and nulls are
+    ``trusted_ids`` has a column of the id's name and type; ids may repeat and nulls are
     passed over.  Without trusted texts every score is 0 and the base rules alone decide.
-    A null text has no words.  Other columns are ignored.
+    A null text has no words, and rows with a null id are never trusted.  Rows that repeat an id are separate rows, all
+    of them trusted if the id is.  Texts are read whole, one at a time.  Other columns are ignored; an empty table gives
+    an empty result.
     """
     trusted = stage(trusted_ids.select(F.col(id_col).alias("_trusted")).filter("_trusted IS NOT NULL").distinct(), "trusted-ids")
-    small = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
     rows = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
-    known = rows.join(small, F.col("id") == F.col("_trusted"), "left")
-    weights = log_ratio(*multinomials(known.select("text", F.col("_trusted").isNotNull().alias("trusted"))))
+    weights = log_ratio(*trusted_counts(rows, trusted, most_bytes))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = stage(scored(rows, weights).withColumn("base_failed", failed), "quality-scores")
     least = threshold(judged.filter("NOT base_failed").join(trusted, F.col("id") == F.col("_trusted"), "left_semi"), lost)

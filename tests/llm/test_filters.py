@@ -58,6 +58,39 @@ def test_quality_tells_labels_apart(spark):
     assert sum(good) >= 0.99 * len(good)
 
 
+def test_trusted_texts_are_found_without_moving_texts(spark, docs, data, monkeypatch):
+    """Ids as numbers in every task, a Bloom filter that has no room for them, and ids that are text: equal results."""
+    good = labels(spark, data).filter("quality = 1").select("doc_id")
+    some = docs.withColumn("doc_id", quality.F.when(quality.F.col("doc_id") % 9 > 0, quality.F.col("doc_id")))
+    plans = []
+    counted = quality.multinomials
+
+    def seen(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return counted(rows, *args, **options)
+
+    monkeypatch.setattr(quality, "multinomials", seen)
+
+    def found(rows, ids, **options):
+        plans.clear()
+        out = quality.judge(rows, ids, **options).collect()
+        return {(str(r["doc_id"]), r["n_words"], round(r["score"], 12), r["kept"]) for r in out}
+
+    expected = found(some, good)
+    assert not any("Exchange" in p for p in plans) and len(plans) == 1
+    assert found(some, good, most_bytes=128) == expected
+    assert "Exchange" not in plans[0] and "all_set" in plans[1]  # all texts stay; some that pass the filter move
+    text = quality.F.col("doc_id").cast("string")
+    assert found(some.withColumn("doc_id", text), good.withColumn("doc_id", text)) == expected
+    assert "Exchange" not in plans[0]
+
+
+def test_among_sorted_ids():
+    ids = quality.pa.array([5, None, 0, -3, 9, 10, 2**62])
+    assert quality.among(ids, np.array([-3, 5, 9, 2**62])).tolist() == [True, False, False, True, True, False, True]
+    assert not quality.among(ids, np.array([], np.int64)).any()
+
+
 def test_quality_of_odd_rows(spark, odd, odd_rows, none):
     trusted = spark.createDataFrame([(4,), (4,), (None,), (99,)], "doc_id long")
     for known in (trusted, trusted.filter("false")):
