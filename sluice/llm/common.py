@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import zipfile
@@ -97,6 +98,20 @@ def gapless(staged: DataFrame, groups: Sequence[str], bucket: str, order: Sequen
     )
 
 
+#: what separates words of bytes; `bytes.split` takes the same
+ASCII_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
+
+
+def word_runs(data: bytes, size: int = 2 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in order, cut out of slices that end at white space, so that a long text needs little memory."""
+    at = 0
+    while at < len(data):
+        found = ASCII_SPACE.search(data, at + size) if at + size < len(data) else None
+        end = found.start() if found else len(data)
+        yield data[at:end].split()
+        at = end
+
+
 def slices(texts: Iterable[str], chars: int = 3_000_000) -> Iterator[list[str]]:
     """Runs of whole texts of about ``chars`` characters, so that a batch of long ones needs little memory."""
     held, size = [], 0

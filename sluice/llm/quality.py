@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import exact
-from .common import stage, whole_text
+from .common import stage, whole_text, word_runs
 
 BUCKET_BITS = 14
 SPACES = " \t\n\v\f\r"
@@ -56,13 +56,30 @@ def grams(hashes: np.ndarray) -> np.ndarray:
     return (np.concatenate([hashes, pairs]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def text_hashes(text: str, known: Hashes) -> np.ndarray:
+    """The hashes of a text's words; the words of a long one are cut out in slices."""
+    return np.concatenate([np.empty(0, np.uint64), *[hashes_of(words, known) for words in word_runs(text.encode())]])
+
+
+def gram_runs(hashes: np.ndarray, size: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The buckets of ``grams``, of so many words at a time; a pair belongs to its second word."""
+    for low in range(0, len(hashes), size):
+        own = grams(hashes[max(low - 1, 0) : low + size])
+        yield own[1:] if low else own  # the first word was counted with the run before
+
+
 def repeated_words(hashes: np.ndarray) -> int:
     """Words inside 3-word windows that occur twice or more."""
     if len(hashes) < 4:
         return 0
     windows = hashes[:-2] * FIRST + hashes[1:-1] * SECOND + hashes[2:] * THIRD
-    _, inverse, counts = np.unique(windows, return_inverse=True, return_counts=True)
-    again = counts[inverse] > 1
+    ordered = np.sort(windows)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    del ordered
+    place = np.minimum(np.searchsorted(twice, windows), len(twice) - 1)
+    again = twice[place] == windows
     inside = np.zeros(len(hashes), bool)
     for shift in range(3):
         inside[shift : shift + len(again)] |= again
@@ -92,10 +109,11 @@ def multinomials(rows: DataFrame, trusted: Broadcast | None = None, all_trusted:
             else:
                 marks = np.full(batch.num_rows, all_trusted)
             for text, mark in zip(batch["text"], marks):
-                own = np.bincount(grams(hashes_of(text.as_py().encode().split(), known)), minlength=1 << BUCKET_BITS)
-                found[0] += own
-                if mark:
-                    found[1] += own
+                for run in gram_runs(text_hashes(text.as_py(), known)):
+                    own = np.bincount(run, minlength=1 << BUCKET_BITS)
+                    found[0] += own
+                    if mark:
+                        found[1] += own
         used = np.flatnonzero(found[0])
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(found[0][used]), pa.array(found[1][used])], names=["bucket", "corpus", "target"])
 
@@ -155,9 +173,10 @@ def scored(rows: DataFrame, weights: np.ndarray) -> DataFrame:
             found, scores = [], []
             for value in batch["text"]:
                 text = value.as_py()
-                hashes = hashes_of(text.encode().split(), known)
+                hashes = text_hashes(text, known)
                 found.append(base(text, hashes))
-                scores.append(float(weights[grams(hashes)].mean()) if len(hashes) else 0.0)
+                total = sum(float(weights[run].sum()) for run in gram_runs(hashes))
+                scores.append(total / (2 * len(hashes) - 1) if len(hashes) else 0.0)
             counts = list(zip(*found)) if found else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], *[pa.array(c, pa.int64()) for c in counts], pa.array(scores, pa.float64())],

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
-from .common import free_name, stage, whole_text
+from .common import free_name, stage, whole_text, word_runs
 
 SHINGLE = 4
 DISTANCE = 4
@@ -35,22 +35,33 @@ MEETING = 4096
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The SimHash of a text over its word shingles, unsigned; 0 without words."""
-    words = text.encode().lower().split()  # of bytes: A-Z, and white space of ASCII
-    if not words:
-        return 0
+    """The SimHash of a text over its word shingles, unsigned; 0 without words.  Long texts are read in slices."""
+    ones, n, before = np.zeros(64, np.int64), 0, []
+    for words in word_runs(text.encode().lower()):  # of bytes: A-Z, and white space of ASCII
+        words = before + words
+        ones += _ones(words, shingle, seed)
+        n += max(0, len(words) - shingle + 1)
+        before = words[max(0, len(words) - shingle + 1) :]
+    if not n:  # fewer words than a shingle has: their whole sequence is one
+        ones, n = _ones(before, len(before), seed), 1
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+
+
+def _ones(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
+    """How many shingles of the words have each bit of their hash set."""
+    ones = np.zeros(64, np.int64)
+    if not words or len(words) < shingle:
+        return ones
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    last = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
-    spans = list(zip(starts[: len(last)].tolist(), last.tolist()))
-    ones = np.zeros(64, np.int64)
+    last = ends[shingle - 1 :]
+    spans = list(zip((ends - lengths)[: len(last)].tolist(), last.tolist()))
     for low in range(0, len(spans), 65_536):
         hashes = b"".join([xxhash.xxh64_digest(joined[a:b], seed) for a, b in spans[low : low + 65_536]])
         bits = np.unpackbits(np.frombuffer(hashes, np.uint8)).reshape(-1, 64)
         ones += np.add.reduce(bits, axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(2 * ones > len(spans)).tobytes(), "big")
+    return ones
 
 
 def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:

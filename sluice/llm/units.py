@@ -20,7 +20,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -29,6 +29,9 @@ WORDS = re.compile(rf"{LETTERS}|[^ \n\t]+")
 SPACED = re.compile(rf" ?{LETTERS}| ?\S+|\s+(?!\S)|\s")
 #: white space for one side only, which matters where white space makes units
 UNSURE = "\x1c\x1d\x1e\x1f"
+#: a longer text is cut into slices of so many characters first, at single spaces between words, where every unit ends
+SLICE = 2_000_000
+SAFE = re.compile(r"(?<=\S) (?=\S)")
 #: characters of texts that are remembered whole, so that copies near each other are encoded once
 RECENT = 8_000_000
 
@@ -67,11 +70,16 @@ class Units:
     def _library(self, units: Sequence[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
-    def cut(self, text: str) -> list[str]:
+    def _plain(self, text: str) -> str | None:
+        """The text as units are cut from it; none where it has to go to the library whole."""
         if self.rule is None or self.rule is SPACED and any(c in text for c in UNSURE):
-            return [text]
+            return None
         plain = text.encode().lower().decode() if self.rule is WORDS else text  # A-Z only, which such tokenizers drop anyway
-        return [text] if any(s in plain for s in self.special) else self.rule.findall(plain)
+        return None if any(s in plain for s in self.special) else plain
+
+    def cut(self, text: str) -> list[str]:
+        plain = self._plain(text)
+        return [text] if plain is None else self.rule.findall(plain)
 
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """Per text its ids, each as an unsigned 32-bit little-endian integer."""
@@ -92,7 +100,24 @@ class Units:
             if collecting:
                 gc.enable()
 
+    def slices(self, text: str) -> Iterator[str]:
+        """A text in slices whose ids, one after the other, are its ids; whole where it may not be cut."""
+        if len(text) <= SLICE or self._plain(text) is None:
+            yield text
+            return
+        at = 0
+        while at < len(text):
+            found = SAFE.search(text, at + SLICE)
+            end = found.start() if found else len(text)
+            yield text[at:end]
+            at = end
+
     def _new_ids(self, texts: list[str]) -> list[bytes]:
+        if all(len(t) <= SLICE for t in texts):
+            return self._cut_ids(texts)
+        return [b"".join([self._cut_ids([part])[0] for part in self.slices(t)]) for t in texts]
+
+    def _cut_ids(self, texts: list[str]) -> list[bytes]:
         known = self.known
         parts = [list(map(known.__getitem__, self.cut(t))) for t in texts]
         new = known.new
