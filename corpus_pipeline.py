@@ -11,7 +11,10 @@ next one reads it, so a lost executor repeats part of one stage only:
 5. packing: the pieces of all documents and their places in the sequences.
 
 Rows with a null id or text pass like any others (a null text is the empty one);
-columns beyond those of documents are carried along up to the last stage.
+columns beyond those of documents are carried along up to the last stage.  Rows
+that repeat both id and text leave one row at stage 2; rows that repeat an id with
+another text are documents of their own, in stage 4 ordered by a digest of the text.
+An empty table passes all stages and has no pieces.
 """
 
 from __future__ import annotations
