@@ -158,7 +158,8 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: s
     """One row per input row: id, ids (unsigned 32-bit little-endian), decoded text.
 
     A null text is the empty one, which has no ids.  Rows do not depend on each
-    other; other columns are ignored.
+    other, so repeated rows and null ids are rows like any others; other columns
+    are ignored; an empty table gives an empty result.
     """
     rows = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -198,21 +198,27 @@ def write(
     text: str = "text",
     end_id: int | None = 0,
     rows_per_file: int = 6_000,
+    bytes_per_file: int = 32 << 20,
 ) -> DataFrame:
     """Write the files; returns their list: part, file, documents, tokens.
 
     Documents go to files by ranges of their id, in ascending order; rows that
-    repeat an id follow each other by their text.  A null id counts as the
-    smallest and is stored as -2 ** 63.  A null text is empty and has only the
+    repeat an id follow each other by the beginning of their text, then a digest of it; however many they are, they
+    are dealt out to files like others.  There are as many files as rows or bytes of text ask for.  Ids are whole numbers that fit a long.
+    A null id counts as the smallest and is stored as -2 ** 63; a document with that very id is read back with null.  A null text is empty and has only the
     end id.  A task writes its file under a name of its own and renames it when it is
     whole, so a repeated task leaves the same file.  An empty table has no files.
     """
-    parts = buckets_for(df.count(), rows_per_file, 12, 1 << 20)
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0)).alias("bytes")).first()
+    parts = max(buckets_for(size["rows"], rows_per_file, 12, 1 << 20), buckets_for(size["bytes"], bytes_per_file, 1, 1 << 20))
+    order = ["id", "head", "digest", "row"]  # the last one tells rows apart that are equal in all else
     rows = (
         df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), whole_text(text).alias("text"))
-        .repartitionByRange(parts, "id")
+        .withColumns({"head": F.substring("text", 1, 32), "digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+        .repartitionByRange(parts, *order)
         .withColumn("part", F.spark_partition_id())
-        .sortWithinPartitions("id", "text")
+        .sortWithinPartitions(*order)
+        .drop("head", "digest", "row")
     )
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

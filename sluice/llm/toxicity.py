@@ -263,7 +263,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, held_out, score, predicted.  Repeated rows get equal scores; other columns are ignored."""
+    """One row per input row: id, held_out, score, predicted.
+
+    Repeated rows get equal scores; rows with a null id are scored like others, are not held out and never learnt from.
+    A null text is the empty one.  Texts are read whole.  Other columns are ignored; an empty table gives an empty
+    result, and without labels every score is 0.5.
+    """
     model = fit(df, labels, id_col, text, ~held_out(id_col))
     found = score(df, model, text)
     return df.select(id_col, held_out(id_col).alias("held_out"), found.alias("score")).withColumn(

@@ -184,6 +184,18 @@ def test_files_of_odd_rows(odd, odd_rows, none, byte_path, byte_ids):
     assert tokenfiles.round_trip(none, byte_path).count() == 0
 
 
+def test_a_hot_id_and_long_texts_fill_many_files(spark, byte_path, byte_ids, tmp_path):
+    rows = [(7, f"text {i % 50}") for i in range(3000)] + [(7, "same")] * 1000 + [(i, "x y " * 2000) for i in range(8, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    listing = tokenfiles.write(df, str(tmp_path / "f"), byte_path, rows_per_file=400, bytes_per_file=40_000)
+    files = listing.collect()
+    assert sum(f["documents"] for f in files) == len(rows) and max(f["documents"] for f in files) < 1000
+    back = tokenfiles.read(spark, str(tmp_path / "f"), listing).collect()
+    order = [r["id"] for r in sorted(back, key=lambda r: r["start"])]
+    assert order == sorted(i for i, _ in rows)
+    assert Counter((r["id"], bytes(r["ids"])) for r in back) == Counter((i, array("I", [*byte_ids(t), 0]).tobytes()) for i, t in rows)
+
+
 def check_plan(histogram, capacity, groups=packing.GROUPS):
     made = packing.plan(histogram, capacity, groups)
     ranks, load = defaultdict(list), defaultdict(list)
