@@ -1,4 +1,7 @@
-"""The 62 rules of the standard suite."""
+"""The 62 rules of the standard suite.
+
+Fixed values: the codes, dimensions, severities, descriptions and details below are texts that results show as they are.
+"""
 
 from __future__ import annotations
 

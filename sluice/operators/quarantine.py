@@ -6,7 +6,7 @@ a record, in the texts and in the score; ``NOTEBOOK`` is the default and
 unless ``three_valued`` asks for the undecided gate to stay null.
 
 Flags are named expressions over raw rows; gates, reasons and scores read the
-flags.
+flags.  Fixed values: the texts of reasons are shown by results as they are.
 """
 
 from __future__ import annotations

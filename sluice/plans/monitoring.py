@@ -15,6 +15,7 @@ from ..operators.evaluate import rule_counts
 from ..operators.profiles import CUSTOMER
 from ..operators.rules import Frames, KeyRule, RowRule
 
+#: Names of layers and metrics as the reports show them
 RAW, STAGING, CURATED = "RAW", "STAGING", "CURATED"
 CLEAN = "NOT is_quarantined"
 

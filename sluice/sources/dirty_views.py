@@ -131,7 +131,7 @@ FROM {part}
 # place and region contradictions, placeholders).
 RAW_CUSTOMERS_BATCH2 = """
 SELECT CASE WHEN c_custkey % 4 = 0 THEN 'CUST-' || CAST(c_custkey AS STRING) ELSE 'CUST-B' || CAST(c_custkey AS STRING) END AS customer_id,
- CASE WHEN c_custkey % 5 = 0 THEN 'Valle de EnergÃ­a ' || CAST(c_custkey AS STRING) WHEN c_custkey % 7 = 0 THEN CAST(100000 + c_custkey AS STRING) ELSE c_name END AS customer_name,
+ CASE WHEN c_custkey % 5 = 0 THEN 'FÃ¡brica ' || CAST(c_custkey AS STRING) WHEN c_custkey % 7 = 0 THEN CAST(100000 + c_custkey AS STRING) ELSE c_name END AS customer_name,
  CASE c_custkey % 3 WHEN 0 THEN 'ENTERPRISE' WHEN 1 THEN 'GOVERNMENT' ELSE 'SMB' END AS customer_type,
  CASE c_custkey % 11 WHEN 0 THEN '1' WHEN 1 THEN '' WHEN 2 THEN 'INACTIVE' ELSE 'ACTIVE' END AS account_status,
  CASE c_custkey % 13 WHEN 0 THEN 'USD125000' WHEN 1 THEN '$450000' WHEN 2 THEN '2.5e5' WHEN 3 THEN '50-60' WHEN 4 THEN '99999999999.00' ELSE CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS STRING) END AS credit_limit,

@@ -91,7 +91,7 @@ CASES = [
     ("v_005", {"email_address": "not-an-email"}, True),
     ("v_005", {"email_address": "ytanaka@coastalpwr"}, True),
     ("v_005", {"email_address": "bcarlson@@silverton.com"}, True),
-    ("v_005", {"email_address": "sokafor@apex​power.com"}, False),
+    ("v_005", {"email_address": "nobody@north​mill.com"}, False),
     ("v_005", {"email_address": None}, False),
     ("v_006", {"labor_cost": "-195.00", "parts_cost": "-85.00"}, True),
     ("v_007", {"total_amount": "-714.80"}, True),
@@ -129,14 +129,14 @@ CASES = [
     ("br_005", {"estimated_hours": "0.0"}, True),
 ]
 X_CASES = [
-    ("x_mojibake", {"customer_name": "Valle de EnergÃ\xada"}, True),
+    ("x_mojibake", {"customer_name": "FÃ¡brica Norte"}, True),
     ("x_mojibake", {"customer_name": "SÃO PAULO"}, False),
     ("x_mojibake", {"customer_name": "Größe Â"}, False),
     ("x_mojibake", {"customer_name": "日本 Ã\xad"}, False),
     ("x_mojibake", {"customer_name": "æ\x97¥æ\x9c¬"}, True),
     ("x_mojibake", {"customer_name": "plain"}, False),
     ("x_mojibake", {"customer_name": None}, False),
-    ("x_zero_width", {"email_address": "sokafor@apex​power.com"}, True),
+    ("x_zero_width", {"email_address": "nobody@north​mill.com"}, True),
     ("x_zero_width", {}, False),
     ("x_currency_credit", {"credit_limit": "USD125000"}, True),
     ("x_sci_notation", {"credit_limit": "2.5e5"}, True),
@@ -160,7 +160,7 @@ def test_extended_rule(spark, key, change, fails):
     assert violating_rows(frame(spark, "customers", change), X[key], AS_OF).count() == int(fails)
 
 
-@pytest.mark.parametrize("name", ["Energía", "日本", "Größe", "naïve café"])
+@pytest.mark.parametrize("name", ["Fábrica", "日本", "Größe", "naïve café"])
 def test_broken_names_are_repaired(spark, name):
     broken = name.encode().decode("latin-1")
     rows = violating_rows(frame(spark, "customers", {"customer_name": broken}), X["x_mojibake"], AS_OF)
