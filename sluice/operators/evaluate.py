@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
@@ -24,7 +24,7 @@ from ..functions.columns import at, case, named, quoted
 from .joins import attach, per_key_keys
 from .lookups import LookupRule, lookup_rule_counts
 from .profiles import key_profile, stacked_profiles
-from .rules import Frames, KeyRule, PairRule, RowRule, Rule
+from .rules import FrameRule, Frames, KeyRule, PairRule, RowRule, Rule
 
 RESULT_COLUMNS = (
     "rule_code", "dq_dimension", "target_table", "severity", "total_records", "failed_records", "pass_rate", "status",
@@ -97,6 +97,7 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
     by_table: dict[str, list[RowRule]] = defaultdict(list)
     by_profile: dict[str, list[KeyRule]] = defaultdict(list)
     by_lookup: list[LookupRule] = []
+    by_source: dict[Callable, list[FrameRule]] = defaultdict(list)
     parts = []
     for rule in rules:
         if isinstance(rule, RowRule):
@@ -105,6 +106,8 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
             by_profile[rule.profile.name].append(rule)
         elif isinstance(rule, LookupRule):
             by_lookup.append(rule)
+        elif isinstance(rule, FrameRule):
+            by_source[rule.source].append(rule)
         else:
             parts.append(pair_rule_counts(frames, rule, as_of))
     parts += [row_rule_counts(frames[table], own, as_of) for table, own in by_table.items()]
@@ -113,6 +116,9 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
     else:
         parts += [key_rule_counts(frames, own, as_of) for own in by_profile.values()]
     parts += lookup_rule_counts(frames, by_lookup, _record)
+    for source, own in by_source.items():
+        sums = [_record(r, f"coalesce(sum({r.total}), 0)", f"coalesce(sum({r.failed}), 0)") for r in own]
+        parts.append(_one_pass(source(frames), sums))
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -45,7 +45,7 @@ from .catalog import (
 from .joins import attach
 from .lookups import CONTRADICTS, UNKNOWN, LookupRule, learn
 from .profiles import COMPLETED
-from .rules import Frames, KeyRule, PairRule, RowRule
+from .rules import FrameRule, Frames, KeyRule, PairRule, RowRule
 
 
 def _row(group, code, dimension, table, severity, text, fails, **more):
@@ -63,6 +63,12 @@ def _pair(group, code, dimension, table, severity, text, counts):
     return PairRule(code, dimension, table, severity, text, group=group, counts=counts)
 
 
+def _frame(group, code, dimension, table, severity, text, source, total, failed):
+    return FrameRule(
+        code, dimension, table, severity, text, group=group, source=source, total=total, failed=failed
+    )
+
+
 def state(*values: str) -> str:
     return one_of(upper_snake("status"), values)
 
@@ -132,36 +138,47 @@ def numbers_on_two_invoices(frames: Frames, as_of: dt.date) -> DataFrame:
     return _spread_counts(number_owners(frames), "invoice_number")
 
 
-def due_days(frames: Frames) -> DataFrame:
-    return frames["work_orders"].groupBy("work_order_id").agg(F.expr(f"max({day('scheduled_date')}) AS due"))
-
-
 OVERDUE = f"datediff(made, due) > {d.LATE_ASSIGNMENT_DAYS}"
+ON_STOPPED = "if(stopped > 0, active_tasks, 0)"
 
 
-def late_assignments(frames: Frames, as_of: dt.date) -> DataFrame:
-    """Assignments made long after the order was due to start.
+def assignment_days(frames: Frames) -> DataFrame:
+    """Assignments per order and day they were made, with the order's last scheduled day and whether it is held or cancelled.
 
-    Both sides are reduced per key before they meet: orders to their last
-    scheduled day, assignments to counts per assigned day.
+    Both tables are reduced per key before they meet, and read once for all rules about the two.
     """
-    made = frames["assignments"].selectExpr("work_order_id", f"{day('assigned_date')} AS made")
-    made = made.groupBy("work_order_id", "made").agg(F.count(F.lit(1)).alias("tasks"))
-    return attach(made, due_days(frames), ["work_order_id"]).selectExpr(
-        "sum(tasks) AS total_records", f"coalesce(sum(if({OVERDUE}, tasks, 0)), 0) AS failed_records"
+    active = p.WORK_ORDER.measures["active_tasks"].scope
+    made = frames["assignments"].selectExpr("work_order_id", f"{day('assigned_date')} AS made", f"{active} AS active")
+    made = made.groupBy("work_order_id", "made").agg(
+        F.count(F.lit(1)).alias("tasks"), F.expr("count_if(active)").alias("active_tasks")
     )
+    stopped = p.WORK_ORDER.measures["not_active"].scope
+    orders = frames["work_orders"].groupBy("work_order_id").agg(
+        F.expr(f"max({day('scheduled_date')})").alias("due"), F.expr(f"count_if({stopped})").alias("stopped")
+    )
+    return attach(made, orders, ["work_order_id"])
 
 
 def late_assignment_rows(frames: Frames) -> DataFrame:
     made = frames["assignments"].selectExpr("assignment_id", "work_order_id", f"{day('assigned_date')} AS made")
-    return attach(made, due_days(frames), ["work_order_id"], "inner").filter(OVERDUE)
+    due = frames["work_orders"].groupBy("work_order_id").agg(F.expr(f"max({day('scheduled_date')})").alias("due"))
+    return attach(made, due, ["work_order_id"], "inner").filter(OVERDUE)
+
+
+def stopped_orders(frames: Frames) -> DataFrame:
+    """Orders that are held or cancelled and how many active assignments each has."""
+    counts = assignment_days(frames).groupBy("work_order_id").agg(F.expr(f"sum({ON_STOPPED})").alias("failed_records"))
+    return counts.filter("failed_records > 0").selectExpr(
+        "'X-ACTIVE-ON-STOPPED' AS rule_code", "'HIGH' AS severity", "work_order_id", "failed_records"
+    )
 
 
-# what fails the pair rules above
+# what fails the pair and frame rules
 PAIR_LISTINGS = {
     "x_cross_batch": lambda frames: customer_batches(frames).filter(SPREAD),
     "x_invoice_number": lambda frames: number_owners(frames).filter(f"invoice_number IS NOT NULL AND {SPREAD}"),
     "x_late_assignment": late_assignment_rows,
+    "x_active_on_stopped": stopped_orders,
 }
 
 
@@ -286,11 +303,10 @@ EXTENDED_RULES = (
          negative("hours_logged"), show=("assignment_id", "hours_logged")),
     _row("x_assignment_contradictions", "X-LONG-SHIFT", BUSINESS, AS, "LOW", "hours_logged above a single shift",
          f"{number('hours_logged')} > {d.LONG_SHIFT_HOURS}", show=("assignment_id", "hours_logged")),
-    _key("x_assignment_contradictions", "X-ACTIVE-ON-STOPPED", BUSINESS, AS, "HIGH",
-         "ACTIVE assignment on a held or cancelled WO", p.WORK_ORDER, ("tasks", "active_tasks", "not_active"),
-         "tasks", when_parent("active_tasks", "not_active")),
-    _pair("x_assignment_contradictions", "X-LATE-ASSIGNMENT", TIMELINESS, AS, "MEDIUM",
-          "assigned long after the scheduled date", late_assignments),
+    _frame("x_assignment_contradictions", "X-ACTIVE-ON-STOPPED", BUSINESS, AS, "HIGH",
+           "ACTIVE assignment on a held or cancelled WO", assignment_days, "tasks", ON_STOPPED),
+    _frame("x_assignment_contradictions", "X-LATE-ASSIGNMENT", TIMELINESS, AS, "MEDIUM",
+           "assigned long after the scheduled date", assignment_days, "tasks", f"if({OVERDUE}, tasks, 0)"),
     _row("x_assignment_contradictions", "X-NULL-STATUS", COMPLETENESS, AS, "MEDIUM", "assignment_status is NULL",
          missing("assignment_status"), show=("assignment_id",)),
     _row("x_assignment_contradictions", "X-ASSIGNED-AFTER-START", CONSISTENCY, AS, "MEDIUM",

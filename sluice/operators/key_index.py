@@ -47,8 +47,7 @@ class KeyIndex:
 
     def _registered(self, folder: str, schema: T.StructType) -> str:
         """The folder as a table of the session's catalog, where buckets can be declared; the files stay where they are."""
-        path = f"{self.table.path}/{folder}"
-        name = "key_index_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+        path, name = f"{self.table.path}/{folder}", self._name(folder)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
@@ -56,6 +55,9 @@ class KeyIndex:
         )
         return name
 
+    def _name(self, folder: str) -> str:
+        return "key_index_" + hashlib.sha256(f"{self.table.path}/{folder}".encode()).hexdigest()[:24]
+
     def _keyed(self, batch: DataFrame) -> DataFrame:
         return batch.select(_key_text(self.keys).alias(KEY), *self.keys, *self.values)
 
@@ -80,6 +82,8 @@ class KeyIndex:
         # one task per bucket writes one sorted file
         (merged.repartition(self.buckets, KEY) if began is None else merged).write.insertInto(target)
         self.table.replace(folder, merged.schema, began, (*(began.notes if began else ()), name))
+        if began:  # the catalog forgets the older version, whose files stay
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(began.folders[0])}")
 
     def _merged(self, new: DataFrame) -> DataFrame:
         old = self.read()

@@ -1,6 +1,6 @@
 """Rules as data.
 
-A rule says which rows of its target table fail.  Three shapes exist:
+A rule says which rows of its target table fail.  Four shapes exist:
 
 ``RowRule``
     a predicate on one row, counted over all rows or over a scope;
@@ -8,7 +8,9 @@ A rule says which rows of its target table fail.  Three shapes exist:
     a condition on the number of rows several tables hold for one key
     (duplicates, orphans, missing children);
 ``PairRule``
-    the count of join rows between tables, computed from per-key counts.
+    the count of join rows between tables, computed from per-key counts;
+``FrameRule``
+    sums over rows that tables were reduced to, shared by several rules.
 
 Conditions are SQL text.  ``:as_of`` in it stands for the day of the run, which
 replaces the wall clock, so a run can be repeated.
@@ -96,3 +98,12 @@ class PairRule(Rule):
     """``counts`` yields one row ``(total_records, failed_records)``."""
 
     counts: Callable[[Frames, dt.date], DataFrame] = field(kw_only=True)
+
+
+@dataclass(frozen=True)
+class FrameRule(Rule):
+    """Sums over a frame made from several tables; rules with the same ``source`` share it."""
+
+    source: Callable[[Frames], DataFrame] = field(kw_only=True)
+    total: str = field(kw_only=True)
+    failed: str = field(kw_only=True)

@@ -44,7 +44,7 @@ from .operators.incremental import IncrementalSuite
 from .operators.key_index import KeyIndex
 from .operators.keys import surrogate_key
 from .operators.lookups import LookupRule, WithLookups, known_values, lookup_violations
-from .operators.rules import KeyRule, PairRule, RowRule
+from .operators.rules import FrameRule, KeyRule, PairRule, RowRule
 from .operators.scd2 import merge_into
 from .plans import curation as cur
 from .plans import monitoring as mon
@@ -250,7 +250,7 @@ def _extended_listing(rule):
             return lookup_violations(frames, rule)
         if isinstance(rule, KeyRule):
             return failing_keys(frames, rule, AS_OF)
-        if isinstance(rule, PairRule):
+        if isinstance(rule, (PairRule, FrameRule)):
             return PAIR_LISTINGS[rule.key](frames)
         return violating_rows(frames[rule.table], rule, AS_OF)
 
