@@ -91,27 +91,37 @@ def digests(data: bytes, at: np.ndarray, windows: np.ndarray, length: int) -> np
 
 
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by their first ``depth`` symbols at least, and the rank of each in that order."""
+    """Suffixes sorted by their first ``depth`` symbols at least, and the rank of each in that order.
+
+    The first key packs as many symbols as fit 64 bits, each later one as many ranks.
+    """
     n = len(text)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(8, np.uint64)])
+    bits = int(text.max(initial=0) + 1).bit_length()
+    used = np.zeros(1 << bits, bool)
+    used[text] = True
+    codes = np.cumsum(used).astype(np.uint64)[text]  # from 1, in the order of the symbols; 0 stands behind the end
+    bits = int(used.sum()).bit_length()
+    span, bits = 64 // bits, np.uint64(bits)
+    padded = np.concatenate([codes, np.zeros(span, np.uint64)])
     key = np.zeros(n, np.uint64)
-    for i in range(7):  # symbols have up to 9 bits
-        key = (key << np.uint64(9)) | padded[i : i + n]
-    span = 7
+    for i in range(span):
+        key = (key << bits) | padded[i : i + n]
+    ranks_in_key, rank_bits = 64 // n.bit_length(), np.uint64(n.bit_length())
     while True:
         order = np.argsort(key)
         ranked = key[order]
-        new = np.concatenate([[False], ranked[1:] != ranked[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if span >= depth or int(rank[order[-1]]) == n - 1:
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]]), dtype=np.uint64)
+        if span >= depth or int(rank[order[-1]]) == n:
             place = np.empty(n, np.int32)
             place[order] = np.arange(n, dtype=np.int32)
             return order.astype(np.int32), place
-        ahead = np.zeros(n, np.int64)
-        ahead[: max(0, n - span)] = rank[span:] + 1
-        key = (rank.astype(np.uint64) << np.uint64(32)) | ahead.astype(np.uint64)
-        span *= 2
+        key, shift = rank.copy(), span
+        for _ in range(min(ranks_in_key, -(-depth // span)) - 1):
+            key <<= rank_bits
+            key[: max(0, n - shift)] |= rank[shift:]
+            shift += span
+        span = shift
 
 
 def repeated_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +132,7 @@ def repeated_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     are neighbours again and share d + 1 symbols.  A border between neighbours
     that appears at d + 1 is their common prefix d, so prefixes come out by
     increasing value, and the search stops at ``length`` or when a step finds none.
-    Only rows without a border above them are looked at.
+    Only borders of the last step are extended, and rows without a border above them looked at.
     """
     n = len(text)
     order, place = suffix_order(text, length)
@@ -136,12 +146,26 @@ def repeated_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
     border[at_end[at_end + 1 < n] + 1] = True
     open_rows = np.flatnonzero(~border).astype(np.int32)
     here, above = following[open_rows], following[open_rows - 1]
+    # neighbours whose extensions are neighbours too: a border between these is theirs a step later
+    next_to = here == above + 1
+    behind = np.full(n, -1, np.int32)
+    behind[here[next_to]] = open_rows[next_to]
+    apart = ~next_to
+    open_rows, here, above = open_rows[apart], here[apart], above[apart]
+    found = np.flatnonzero(border)
     for _ in range(length - 1):
-        interval = np.cumsum(border, dtype=np.int32)
-        parted = interval[here] != interval[above]
-        if not parted.any():
+        passed_on = behind[found]
+        passed_on = passed_on[passed_on >= 0]
+        if len(open_rows) * 16 > n:
+            interval = np.cumsum(border, dtype=np.int32)
+            parted = interval[here] != interval[above]
+        else:
+            found.sort()
+            parted = np.searchsorted(found, here, "right") != np.searchsorted(found, above, "right")
+        found = np.concatenate([passed_on, open_rows[parted]])
+        if not len(found):
             break
-        border[open_rows[parted]] = True
+        border[found] = True
         whole = ~parted
         open_rows, here, above = open_rows[whole], here[whole], above[whole]
     return order, np.cumsum(border, dtype=np.int32)
