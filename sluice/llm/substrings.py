@@ -14,7 +14,7 @@ All windows of ``length`` bytes are compared, in four steps:
 
 An anchor with many different runs (the edge of a passage that a large share of
 all documents contain) is crowded: its windows are dealt out one by one by
-their own digest, and equal ones again are sent once per batch.
+their own digest, and equal ones again are sent once per task.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ SLICE, PART, COMBINED = 1_000_000, 2_000_000, 250_000
 CROWD, CROWD_IN_ALL = 64, 4096
 #: bytes compared at once; one anchor may need more
 COMPARED = 1_000_000
+#: crowded windows that a task remembers
+REMEMBERED = 50_000
 
 COMPARE, REPEAT, SPLIT, MARK = range(4)
 FIELDS = {
@@ -169,12 +171,15 @@ def _shared(columns: Columns, side: str) -> np.ndarray:
 
 
 def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Bytes of contested runs; of crowded ones each window, equal ones once per batch."""
+    """Bytes of contested runs; of crowded ones each window.
+
+    A window goes without its bytes if the task has sent an equal one that stands earlier, as far back as it remembers.
+    """
     names = ["key", "id", "tie", "start", "windows", "bytes"]
+    seen: dict[bytes, tuple[int, int, int]] = {}
     for batch in batches:
         ids, ties, texts = batch["id"].to_pylist(), batch["tie"].to_pylist(), batch["text"]
         out: list[tuple] = []
-        seen: set[bytes] = set()
         for row in sorted(range(len(ids)), key=lambda i: (ids[i], ties[i])):
             data = texts[row].as_py().encode()
             for run in sorted(batch["runs"][row].as_py(), key=lambda r: r["start"]):
@@ -186,8 +191,12 @@ def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
                     window = data[at : at + length]
                     digest = xxhash.xxh3_128_digest(window)
                     key = int.from_bytes(digest[:8], "little", signed=True)
-                    known = digest in seen
-                    seen.add(digest)
+                    place = (ids[row], ties[row], at)
+                    known = seen.get(digest, place) < place
+                    if not known:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen[digest] = place
                     out.append((xxhash.xxh3_64_intdigest(ids[row].to_bytes(8, "little", signed=True)) >> 1 if known else key, ids[row], ties[row], at, 1, None if known else window))
         for low in range(0, len(out), 50_000):
             columns = list(zip(*out[low : low + 50_000]))
@@ -221,7 +230,9 @@ def _compared(held: list[tuple[int, int, int, int, bytes]], length: int) -> list
 
 
 def _contests(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Repeated windows among segments that come by key; equal windows have equal keys, so one alone has no equal."""
     held: list[tuple] = []
+    own: list[tuple] = []
     size, last = 0, None
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
 
@@ -235,14 +246,19 @@ def _contests(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
             if segment[4] is None:
                 known.append(tuple(segment[:4]))
                 continue
-            if size >= COMPARED and key != last:
-                yield rows(_compared(held, length))
-                held, size = [], 0
-            held.append(tuple(segment))
-            size += len(segment[4])
-            last = key
+            if key != last:
+                if len(own) > 1:
+                    held += own
+                    size += sum(len(s[4]) for s in own)
+                if size >= COMPARED:
+                    yield rows(_compared(held, length))
+                    held, size = [], 0
+                own, last = [], key
+            own.append(tuple(segment))
         if known:
             yield rows(known)
+    if len(own) > 1:
+        held += own
     if held:
         yield rows(_compared(held, length))
 
@@ -328,7 +344,8 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("id", "tie")
         .agg(F.collect_list(F.struct("kind", "start", "windows", "anchor")).alias("runs"))
     )
-    segments = rows.join(contested, ["id", "tie"]).mapInArrow(
+    # in a fixed order, so that a repeated task sends the same windows
+    segments = rows.join(contested, ["id", "tie"]).sortWithinPartitions("id", "tie").mapInArrow(
         lambda b: _segments(b, length), "key long, id long, tie long, start long, windows int, bytes binary"
     )
     resolved = stage(
