@@ -233,9 +233,10 @@ def test_passages_edges_and_periods(spark):
     check_removed(substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
 
 
-def test_crowded_anchors_and_parts_of_texts(spark, monkeypatch):
-    """Crowds from the second run on, parts of 150 bytes, comparisons of 300 bytes: as without."""
-    for name, value in (("CROWD", 1), ("CROWD_IN_ALL", 2), ("PART", 150), ("SLICE", 400), ("COMPARED", 300)):
+@pytest.mark.parametrize("remembered", [3, 50_000])
+def test_crowded_anchors_and_parts_of_texts(spark, monkeypatch, remembered):
+    """Crowds from the second run on, parts of 150 bytes, comparisons of 300 bytes, few windows remembered, documents in any order: as without."""
+    for name, value in (("CROWD", 1), ("CROWD_IN_ALL", 2), ("PART", 150), ("SLICE", 400), ("COMPARED", 300), ("REMEMBERED", remembered)):
         monkeypatch.setattr(substrings, name, value)
     rows = passages(12)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -263,8 +264,9 @@ def test_crowded_anchors_and_parts_of_texts(spark, monkeypatch):
         else:
             contested[r["id"]].append(r)
     assert any(r["kind"] == substrings.SPLIT for r in runs)
-    batch = pa.RecordBatch.from_pylist([{"id": i, "tie": 0, "text": texts[i], "runs": found} for i, found in contested.items()])
-    segments = pa.Table.from_batches(substrings._segments(iter([batch]), 100)).sort_by("key")
+    mixed = sorted(contested, key=lambda i: i * 37 % 101)
+    table = pa.Table.from_pylist([{"id": i, "tie": 0, "text": texts[i], "runs": contested[i]} for i in mixed])
+    segments = pa.Table.from_batches(substrings._segments(iter(table.to_batches(max_chunksize=9)), 100)).sort_by("key")
     for out in substrings._contests(iter(segments.to_batches(max_chunksize=7)), 100):
         for r in out.to_pylist():
             windows_of[r["id"]] |= set(range(r["start"], r["start"] + r["windows"]))
@@ -323,6 +325,24 @@ def test_intervals_share_their_prefix(texts):
             assert (by_place[p] == by_place[q]) == (symbols[p : p + 5] == symbols[q : q + 5]).all()
 
 
+@pytest.mark.parametrize("length", [1, 2, 9, 40, 130])
+@pytest.mark.parametrize("letters", [1, 2, 30, 256])
+def test_intervals_of_any_depth_and_alphabet(length, letters):
+    """Of windows without a separator, those in one interval are those that are equal."""
+    rng = np.random.default_rng(length * 1000 + letters)
+    base = [rng.integers(1, letters + 1, int(n)).astype(np.uint16) for n in rng.integers(0, 200, 12)]
+    parts = [*base, *[b[int(rng.integers(0, 9)) :] for b in base], np.tile(base[0][:7], 40), np.ones(300, np.uint16)]
+    symbols = np.concatenate([np.append(p, np.uint16(0)) for p in parts])
+    suffixes, interval = windows.repeated_intervals(symbols, length)
+    of = dict(zip(suffixes.tolist(), interval.tolist()))
+    by_window, by_interval = {}, {}
+    for at in range(len(symbols) - length):
+        if symbols[at : at + length].all():
+            by_window.setdefault(symbols[at : at + length].tobytes(), []).append(at)
+            by_interval.setdefault(of[at], []).append(at)
+    assert sorted(by_window.values()) == sorted(by_interval.values())
+
+
 @rounds(max_examples=80, deadline=None)
 @given(st.binary(max_size=12), st.lists(st.integers(0, 8), max_size=6))
 def test_whole_characters(prefix, places):
