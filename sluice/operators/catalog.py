@@ -28,8 +28,8 @@ from ..functions.columns import (
     upper_trim,
 )
 from . import profiles as p
-from .joins import attach
-from .profiles import COMPLETED, OPEN, TERMINATED, key_profile
+from .joins import attach_measured
+from .profiles import COMPLETED, OPEN, TERMINATED
 from .rules import Frames, KeyRule, PairRule, RowRule
 
 CU = ("customer_id", "customer_name")
@@ -470,23 +470,28 @@ KEY_RULES = (
 def terminated_on_open(frames: Frames, as_of: dt.date) -> DataFrame:
     """Join rows of assignment, open order and terminated technician.
 
-    Each side is reduced to one count per key first, so the join never
-    multiplies rows, however often a key occurs.
+    Terminated technicians are reduced to one count per key first, so the join
+    never multiplies rows, however often a key occurs.  The assignments that
+    meet one and the open orders are one union and one aggregate per order.
     """
     count = F.count(F.lit(1))
-    tasks = key_profile(frames, p.TASK, ["tasks"], as_of)
     gone = frames["technicians"].filter(TERMINATED).groupBy("technician_id").agg(count.alias("gone"))
-    orders = frames["work_orders"].filter(OPEN).groupBy("work_order_id").agg(count.alias("open_orders"))
-    joined = attach(attach(tasks, gone, ["technician_id"]), orders, ["work_order_id"])
-    return joined.selectExpr(
-        "coalesce(sum(tasks), 0) AS total_records",
-        "coalesce(sum(tasks * gone * open_orders), 0) AS failed_records",
+    tasks = frames["assignments"].filter("work_order_id IS NOT NULL").select("work_order_id", "technician_id")
+    left_behind = attach_measured(tasks, gone, ["technician_id"], "inner")
+    orders = frames["work_orders"].filter(OPEN).filter("work_order_id IS NOT NULL")
+    stacked = left_behind.selectExpr("work_order_id", "gone", "0L AS open_orders").unionAll(
+        orders.selectExpr("work_order_id", "0L AS gone", "1L AS open_orders")
     )
+    per_order = stacked.groupBy("work_order_id").agg(F.sum("gone").alias("gone"), F.sum("open_orders").alias("open_orders"))
+    counts = frames["assignments"].agg(count.alias("total_records")).selectExpr("total_records", "0L AS failed_records")
+    counts = counts.unionAll(per_order.selectExpr("0L AS total_records", "gone * open_orders AS failed_records"))
+    return counts.selectExpr("sum(total_records) AS total_records", "sum(failed_records) AS failed_records")
 
 
 PAIR_RULES = (
     PairRule(
-        "CS-007", CONSISTENCY, "assignments", "HIGH", "Terminated tech on open WO", counts=terminated_on_open
+        "CS-007", CONSISTENCY, "assignments", "HIGH", "Terminated tech on open WO", counts=terminated_on_open,
+        daily=False,
     ),
 )
 

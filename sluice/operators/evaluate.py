@@ -3,7 +3,8 @@
 All row rules of a table are one aggregate over one scan.  All rules on one
 key are one union of narrow projections and one aggregate per key, which Spark
 combines before the shuffle, so a key that holds a large share of the rows is
-reduced to one row per task before it moves.
+reduced to one row per task before it moves.  Each key has an aggregate of its
+own, whose rows hold that key and its counts alone.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
@@ -20,10 +21,11 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import at, case, named, quoted
+from ..functions.columns import TODAY, at, case, named, quoted
+from ..session import keep_compiled
 from .joins import attach, per_key_keys
 from .lookups import LookupRule, lookup_rule_counts
-from .profiles import key_profile, stacked_profiles
+from .profiles import key_profile
 from .rules import FrameRule, Frames, KeyRule, PairRule, RowRule, Rule
 
 RESULT_COLUMNS = (
@@ -46,16 +48,16 @@ def _one_pass(df: DataFrame, records: Sequence[str], by: Sequence[str] = ()) ->
     return wide.selectExpr(*by, "inline(records)")
 
 
+def _row_record(rule: RowRule) -> str:
+    if rule.scope is None:
+        return _record(rule, "count(1)", f"count_if({rule.fails})")
+    return _record(rule, f"count_if({rule.scope})", f"count_if(({rule.scope}) AND ({rule.fails}))")
+
+
 def row_rule_counts(df: DataFrame, rules: Sequence[RowRule], as_of: dt.date, by: Sequence[str] = ()) -> DataFrame:
     """All row rules of one table in one pass, optionally per group of ``by``."""
-    records = []
-    for rule in rules:
-        if rule.scope is None:
-            total, failed = "count(1)", f"count_if({rule.fails})"
-        else:
-            total, failed = f"count_if({rule.scope})", f"count_if(({rule.scope}) AND ({rule.fails}))"
-        records.append(at(_record(rule, total, failed), as_of))
-    return _one_pass(df, records, by)
+    keep_compiled(df.sparkSession)
+    return _one_pass(df, [at(_row_record(rule), as_of) for rule in rules], by)
 
 
 def key_rule_counts(frames: Frames, rules: Sequence[KeyRule], as_of: dt.date) -> DataFrame:
@@ -69,24 +71,6 @@ def key_rule_counts(frames: Frames, rules: Sequence[KeyRule], as_of: dt.date) ->
     )
 
 
-def all_key_rule_counts(frames: Frames, by_profile: Mapping[str, Sequence[KeyRule]], as_of: dt.date) -> DataFrame:
-    """The rules of several profiles, with one scan of each table and one aggregate over all keys."""
-    used = {
-        name: (own[0].profile, list(dict.fromkeys(n for rule in own for n in (*rule.uses, rule.total))))
-        for name, own in by_profile.items()
-    }
-    counts = stacked_profiles(frames, used, as_of)
-    total = "coalesce(sum(if(_profile = {}, {}, 0L)), 0L)".format
-    return _one_pass(
-        counts,
-        [
-            _record(r, total(quoted(name), r.total), total(quoted(name), r.failed))
-            for name, own in by_profile.items()
-            for r in own
-        ],
-    )
-
-
 def pair_rule_counts(frames: Frames, rule: PairRule, as_of: dt.date) -> DataFrame:
     record = _record(rule, "total_records", "failed_records")
     return rule.counts(frames, as_of).selectExpr(f"inline(array({record}))")
@@ -111,10 +95,7 @@ def rule_counts(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFr
         else:
             parts.append(pair_rule_counts(frames, rule, as_of))
     parts += [row_rule_counts(frames[table], own, as_of) for table, own in by_table.items()]
-    if len(by_profile) > 1:
-        parts.append(all_key_rule_counts(frames, by_profile, as_of))
-    else:
-        parts += [key_rule_counts(frames, own, as_of) for own in by_profile.values()]
+    parts += [key_rule_counts(frames, own, as_of) for own in by_profile.values()]
     parts += lookup_rule_counts(frames, by_lookup, _record)
     for source, own in by_source.items():
         sums = [_record(r, f"coalesce(sum({r.total}), 0)", f"coalesce(sum({r.failed}), 0)") for r in own]
@@ -138,6 +119,15 @@ def evaluate(frames: Frames, rules: Iterable[Rule], as_of: dt.date) -> DataFrame
     return with_outcome(rule_counts(frames, rules, as_of))
 
 
+def names_today(rule: Rule) -> bool:
+    """Whether the counts of a rule may change with the day of the run, over the same tables."""
+    if isinstance(rule, RowRule):
+        return TODAY in rule.fails or TODAY in (rule.scope or "")
+    if isinstance(rule, KeyRule):
+        return any(TODAY in (rule.profile.measures[n].scope or "") for n in (*rule.uses, rule.total))
+    return isinstance(rule, PairRule) and rule.daily
+
+
 def rules_for_table(rules: Iterable[Rule], text: str) -> list[Rule]:
     """Rules whose target table contains ``text``."""
     return [rule for rule in rules if text in rule.target]

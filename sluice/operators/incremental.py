@@ -20,9 +20,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import TODAY
 from ..sources import sinks
-from .evaluate import _one_pass, _record, row_rule_counts, rule_counts, with_outcome
+from .evaluate import _one_pass, _record, names_today, row_rule_counts, rule_counts, with_outcome
 from .key_index import KeyIndex
 from .profiles import key_profile
 from .rules import Frames, KeyRule, RowRule, Rule
@@ -32,10 +31,6 @@ COUNTS = (
 )
 
 
-def names_today(rule: RowRule) -> bool:
-    return TODAY in rule.fails or TODAY in (rule.scope or "")
-
-
 class IncrementalSuite:
     """The rules and what is stored of the batches seen so far, under ``root``."""
 

@@ -98,6 +98,8 @@ class PairRule(Rule):
     """``counts`` yields one row ``(total_records, failed_records)``."""
 
     counts: Callable[[Frames, dt.date], DataFrame] = field(kw_only=True)
+    # the counts may differ from day to day over the same tables
+    daily: bool = field(default=True, kw_only=True)
 
 
 @dataclass(frozen=True)

@@ -17,6 +17,15 @@ SETTINGS = {
 }
 
 
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+
+
+def keep_compiled(spark: SparkSession) -> None:
+    """Hold a session, however it was made, to the size of generated methods that the JVM compiles."""
+    if int(spark.conf.get(HUGE_METHOD)) > int(SETTINGS[HUGE_METHOD]):
+        spark.conf.set(HUGE_METHOD, SETTINGS[HUGE_METHOD])
+
+
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

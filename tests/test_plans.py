@@ -6,8 +6,11 @@ from collections import Counter
 import pytest
 
 from sluice.operators import dedup
+from sluice.operators.catalog import RULES, terminated_on_open
+from sluice.operators.evaluate import evaluate, rule_counts
+from sluice.operators.rules import KeyRule
 from sluice.plans import staging
-from sluice.queries import LOAD, QUERIES, customers_dim, extended_frames
+from sluice.queries import AS_OF, LOAD, QUERIES, customers_dim, extended_frames
 
 
 def scans(df):
@@ -40,3 +43,29 @@ def test_a_merge_reads_customers_three_times_in_all(raw):
 def test_references_are_built_once(raw):
     frames = extended_frames(raw)
     assert frames["cities"] is frames["cities"] and frames["customers"] is not None
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\((.+?), \d+\)", plan.split("== Initial Plan ==")[0])
+
+
+def test_keys_move_with_their_own_columns_alone(raw):
+    """A row on its way to a key carries that key, not those of other profiles."""
+    rules = [r for r in RULES if isinstance(r, KeyRule)]
+    widths = Counter(len(re.findall(r"#\d+", keys)) for keys in shuffles(rule_counts(raw, rules, AS_OF)))
+    assert widths == {1: 5, 2: 1}  # work order, customer, technician, e-mail, employee; assignment by two
+
+
+def test_assignments_of_terminated_technicians_move_once(raw):
+    """The others do not move, and none moves to its technician."""
+    found = shuffles(terminated_on_open(raw, AS_OF))
+    assert sum("work_order_id" in keys for keys in found) == 1
+    assert sum("technician_id" in keys for keys in found) <= 1  # the technicians themselves
+
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark, raw, settings):
+    settings(spark__sql__codegen__hugeMethodLimit="65535")
+    evaluate(raw, RULES[:2], AS_OF)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
