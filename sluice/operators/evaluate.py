@@ -21,8 +21,9 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import TODAY, at, case, named, quoted
+from ..functions.columns import TODAY, at, case, day_literal, named, quoted
 from ..session import keep_compiled
+from ..sources import sinks
 from .joins import attach, per_key_keys
 from .lookups import LookupRule, lookup_rule_counts
 from .profiles import key_profile
@@ -60,6 +61,15 @@ def row_rule_counts(df: DataFrame, rules: Sequence[RowRule], as_of: dt.date, by:
     return _one_pass(df, [at(_row_record(rule), as_of) for rule in rules], by)
 
 
+def row_rule_counts_by_day(df: DataFrame, rules: Sequence[RowRule], days: Sequence[dt.date]) -> DataFrame:
+    """All row rules of one table for each day, in one pass."""
+    keep_compiled(df.sparkSession)
+    records = [
+        f"struct({day_literal(day)} AS as_of, {at(_row_record(rule), day)} AS counts)" for rule in rules for day in days
+    ]
+    return _one_pass(df, records).select("counts.*", "as_of")
+
+
 def key_rule_counts(frames: Frames, rules: Sequence[KeyRule], as_of: dt.date) -> DataFrame:
     """All rules that share one profile."""
     profile = rules[0].profile
@@ -128,6 +138,32 @@ def names_today(rule: Rule) -> bool:
     return isinstance(rule, PairRule) and rule.daily
 
 
+def evaluate_days(
+    frames: Frames, rules: Iterable[Rule], days: Iterable[dt.date], path: str
+) -> dict[dt.date, DataFrame]:
+    """As ``evaluate`` for each of several days over the same tables.
+
+    Rules that name the day are counted for every day, row rules of one table in one pass; the others, whose counts
+    are the same on all days, once.  The counts, a row per rule and day, are stored at ``path``.
+    """
+    days, fixed, daily = sorted(set(days)), [], []
+    for rule in rules:
+        (daily if names_today(rule) else fixed).append(rule)
+    parts = [rule_counts(frames, fixed, days[0]).withColumn("as_of", F.lit(None).cast("date"))] if fixed else []
+    by_table: dict[str, list[RowRule]] = defaultdict(list)
+    for rule in daily:
+        if isinstance(rule, RowRule):
+            by_table[rule.table].append(rule)
+    parts += [row_rule_counts_by_day(frames[table], own, days) for table, own in by_table.items()]
+    if others := [rule for rule in daily if not isinstance(rule, RowRule)]:
+        parts += [rule_counts(frames, others, day).withColumn("as_of", F.lit(day)) for day in days]
+    stored = sinks.overwrite(reduce(DataFrame.unionAll, parts), path)
+    return {
+        day: with_outcome(stored.filter(F.col("as_of").isNull() | (F.col("as_of") == F.lit(day))).drop("as_of"))
+        for day in days
+    }
+
+
 def rules_for_table(rules: Iterable[Rule], text: str) -> list[Rule]:
     """Rules whose target table contains ``text``."""
     return [rule for rule in rules if text in rule.target]

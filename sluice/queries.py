@@ -19,6 +19,7 @@ from .operators.catalog import BY_KEY, LATE, RULES, credit_unparsed, is_value, n
 from .operators.evaluate import (
     RESULT_COLUMNS,
     evaluate,
+    evaluate_days,
     evaluate_isolated,
     failing_keys,
     row_rule_counts,
@@ -169,8 +170,10 @@ def _(raw):
 def _(raw):
     """Two runs, the second of which is corrected: its first results are replaced."""
     path = scratch_path(raw.spark, "results")
-    for run_id, as_of in (("RUN-1", AS_OF), ("RUN-2", AS_OF), ("RUN-2", MERGE_DAY)):
-        table = sinks.replace_run(scoring.result_rows(evaluate(raw, RULES, as_of), run_id, LOADED), path)
+    runs = (("RUN-1", AS_OF), ("RUN-2", AS_OF), ("RUN-2", MERGE_DAY))
+    evaluated = evaluate_days(raw, RULES, [as_of for _, as_of in runs], scratch_path(raw.spark, "counts"))
+    for run_id, as_of in runs:
+        table = sinks.replace_run(scoring.result_rows(evaluated[as_of], run_id, LOADED), path)
     return table
 
 
@@ -399,9 +402,10 @@ def _(raw):
 def _stored_runs(raw, days: int) -> DataFrame:
     """The summaries of several runs, as the runs left them in one table."""
     path = scratch_path(raw.spark, "dq_score_summary")
-    for back in range(days):
-        as_of = AS_OF - dt.timedelta(days=30 * back)
-        summary = scoring.summary_row(evaluate(raw, RULES, as_of), f"RUN-{as_of}", as_of)
+    runs = [AS_OF - dt.timedelta(days=30 * back) for back in range(days)]
+    evaluated = evaluate_days(raw, RULES, runs, scratch_path(raw.spark, "counts"))
+    for as_of in runs:
+        summary = scoring.summary_row(evaluated[as_of], f"RUN-{as_of}", as_of)
         table = sinks.replace_run(summary, path)
     return table
 

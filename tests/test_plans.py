@@ -1,5 +1,6 @@
 """How often queries read their tables."""
 
+import datetime as dt
 import re
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pytest
 
 from sluice.operators import dedup
 from sluice.operators.catalog import RULES, terminated_on_open
-from sluice.operators.evaluate import evaluate, rule_counts
+from sluice.operators.evaluate import evaluate, evaluate_days, rule_counts
 from sluice.operators.rules import KeyRule
 from sluice.plans import staging
 from sluice.queries import AS_OF, LOAD, QUERIES, customers_dim, extended_frames
@@ -64,6 +65,28 @@ def test_assignments_of_terminated_technicians_move_once(raw):
     assert sum("technician_id" in keys for keys in found) <= 1  # the technicians themselves
 
 
+def test_runs_of_several_days_count_once_what_no_day_changes(raw, tmp_path):
+    days = [AS_OF - dt.timedelta(days=400 * k) for k in range(3)]
+    calls = []
+
+    class Counting:
+        def __getitem__(self, table):
+            calls.append(table)
+            return raw[table]
+
+    evaluated = evaluate_days(Counting(), RULES, days, str(tmp_path / "counts"))
+    once = len(calls)
+    calls.clear()
+    evaluate_days(Counting(), RULES, days[:1], str(tmp_path / "one"))
+    assert once == len(calls)  # as often as for one day
+    outcomes = []
+    for day in days:
+        got = sorted(map(tuple, evaluated[day].collect()))
+        assert got == sorted(map(tuple, evaluate(raw, RULES, day).collect()))
+        outcomes.append(got)
+    assert outcomes[0] != outcomes[1] != outcomes[2]
+
+
 
 def test_generated_methods_stay_small_enough_to_be_compiled(spark, raw, settings):
     settings(spark__sql__codegen__hugeMethodLimit="65535")
