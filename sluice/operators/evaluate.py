@@ -208,8 +208,9 @@ def evaluate_isolated(frames: Frames, rules: Iterable[Rule], as_of: dt.date) ->
     null counts instead of failing the suite.
 
     Rules that cannot be bound to their table are found by analysis alone.  The
-    others run together; if that fails they run in halves, so a few faulty
-    rules cost a few runs more.  What is collected is one row per rule.
+    others run with those they share a pass with; if that fails they run in
+    halves, so a faulty rule costs a few runs of its own pass and none of
+    others.  What is collected is one row per rule.
     """
     spark = SparkSession.getActiveSession()
     sound, rows = [], []
@@ -234,11 +235,25 @@ def evaluate_isolated(frames: Frames, rules: Iterable[Rule], as_of: dt.date) ->
                 sound.append(rule)
             except AnalysisException:
                 rows.append(error(rule))
-        if sound:
-            run(sound)
+            except PySparkException:  # fails while it runs, below
+                sound.append(rule)
+        shared: dict[object, list[Rule]] = defaultdict(list)
+        for rule in sound:
+            shared[_pass_of(rule)].append(rule)
+        for some in shared.values():
+            run(some)
     return spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in _ISOLATED.items()))
 
 
+def _pass_of(rule: Rule) -> object:
+    """Rules with the same value are counted by one aggregate."""
+    if isinstance(rule, RowRule):
+        return rule.table
+    if isinstance(rule, KeyRule):
+        return "key", rule.profile.name
+    return ("source", rule.source) if isinstance(rule, FrameRule) else type(rule)
+
+
 _ISOLATED = {
     "rule_code": "string", "dq_dimension": "string", "target_table": "string", "severity": "string",
     "total_records": "bigint", "failed_records": "bigint", "details": "string", "pass_rate": "double", "status": "string",

@@ -3,13 +3,15 @@
 import datetime as dt
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 
 from sluice.operators import dedup
-from sluice.operators.catalog import RULES, terminated_on_open
+from sluice.operators import evaluate as evaluation
+from sluice.operators.catalog import BY_KEY, RULES, terminated_on_open
 from sluice.operators.evaluate import evaluate, evaluate_days, rule_counts
-from sluice.operators.rules import KeyRule
+from sluice.operators.rules import KeyRule, RowRule
 from sluice.plans import staging
 from sluice.queries import AS_OF, LOAD, QUERIES, customers_dim, extended_frames
 
@@ -87,6 +89,21 @@ def test_runs_of_several_days_count_once_what_no_day_changes(raw, tmp_path):
     assert outcomes[0] != outcomes[1] != outcomes[2]
 
 
+def test_a_failing_rule_repeats_no_other_pass(raw, monkeypatch):
+    """Rules of other tables and keys are evaluated once."""
+    seen = Counter()
+
+    def counted(frames, rules, as_of):
+        rules = list(rules)
+        seen.update(r.code for r in rules)
+        return evaluate(frames, rules, as_of)
+
+    monkeypatch.setattr(evaluation, "evaluate", counted)
+    broken = replace(BY_KEY["v_016"], code="V-016R", fails="raise_error(coalesce(customer_id, 'none')) IS NULL")
+    got = {r.rule_code: r.status for r in evaluation.evaluate_isolated(raw, [*RULES, broken], AS_OF).collect()}
+    assert got.pop("V-016R") == "ERROR" and "ERROR" not in got.values() and len(got) == len(RULES)
+    assert {seen[r.code] for r in RULES if not (isinstance(r, RowRule) and r.table == "customers")} == {1}
+
 
 def test_generated_methods_stay_small_enough_to_be_compiled(spark, raw, settings):
     settings(spark__sql__codegen__hugeMethodLimit="65535")
