@@ -64,7 +64,12 @@ class IncrementalSuite:
             stamped = self._row_counts(batch, self.row_rules, as_of).withColumns({"batch": F.lit(name), "as_of": F.lit(as_of)})
             sinks.replace_run(stamped, f"{self.root}/rows", "batch")
         for profile, own in self.key_rules.items():
-            self.indexes[profile].add(key_profile(batch, own[0].profile, self._measures(own), as_of), name)
+            if name in self.indexes[profile].batches():
+                continue
+            measures = self._measures(own)
+            tables = {own[0].profile.measures[n].table for n in measures}
+            most = sum(batch[t].count() for t in tables)  # no more keys than rows
+            self.indexes[profile].add(key_profile(batch, own[0].profile, measures, as_of), name, most)
 
     def counts(self, as_of: dt.date, history: Frames | None = None) -> DataFrame:
         """Total and failed records of every rule over all batches."""

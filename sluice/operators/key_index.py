@@ -1,21 +1,26 @@
 """A table of keys and what is known of each, kept sorted in buckets, so that a new batch meets history where it lies.
 
-History is never shuffled: the batch is reduced to one row per key, dealt out
+History is not shuffled: the batch is reduced to one row per key, dealt out
 into the buckets of the index and joined to them.  The merged rows are written
 to the same buckets, as a new version of the index that names the batches in
 it; a batch that is in it adds nothing when it is repeated.
+
+One task writes one bucket, so there are as many as hold ``KEYS_A_BUCKET`` keys
+each, and at first twice as many.  An index that outgrows its buckets gets at
+least twice as many and is dealt out anew, once for each doubling.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.versions import VersionedTable
+from ..sources.versions import Version, VersionedTable
 
 #: how the values of a key are added up over batches
 MERGES = {
@@ -24,13 +29,15 @@ MERGES = {
     "max": lambda old, new: F.greatest(old, new),
 }
 KEY = "_key"
+#: keys that one task sorts and writes, about
+KEYS_A_BUCKET = 1_000_000
 
 
 class KeyIndex:
     """``keys`` name the key columns, ``values`` the value columns and how each is merged: sum, min or max.
 
-    A batch is a frame of one row per key, in which null keys are keys like any other.  ``buckets`` is fixed when the
-    index is made: as many as give files of some hundred MB once it is grown.
+    A batch is a frame of one row per key, in which null keys are keys like any other.  There are ``buckets`` buckets,
+    or more if the keys ask for them.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], values: Mapping[str, str], buckets: int = 64):
@@ -43,15 +50,15 @@ class KeyIndex:
     def read(self) -> DataFrame:
         """All keys; the plan knows the buckets."""
         version = self.table.version()
-        return self.spark.table(self._registered(version.folders[0], version.schema))
+        return self.spark.table(self._registered(version.folders[0], version.schema, version.buckets or self.buckets))
 
-    def _registered(self, folder: str, schema: T.StructType) -> str:
+    def _registered(self, folder: str, schema: T.StructType, buckets: int) -> str:
         """The folder as a table of the session's catalog, where buckets can be declared; the files stay where they are."""
         path, name = f"{self.table.path}/{folder}", self._name(folder)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
-            f" CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            f" CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
         return name
 
@@ -70,18 +77,28 @@ class KeyIndex:
         new = self._keyed(batch)
         return new.join(old, new[KEY] == old["_old"], how).drop(KEY, "_old")
 
-    def add(self, batch: DataFrame, name: str) -> None:
-        """Merge a batch, once."""
+    def _buckets_for(self, began: Version | None, most: int) -> int:
+        """How many buckets hold the keys there are and up to ``most`` new ones."""
+        if began is None:
+            return max(self.buckets, math.ceil(2 * most / KEYS_A_BUCKET))  # room for as many again
+        now = began.buckets or self.buckets
+        asked = math.ceil((self.read().count() + most) / KEYS_A_BUCKET)
+        return now if asked <= now else max(asked, 2 * now)
+
+    def add(self, batch: DataFrame, name: str, most: int | None = None) -> None:
+        """Merge a batch, once.  ``most`` says how many keys it has at most; without it they are counted."""
         if name in self.batches():
             return
         new = self._keyed(batch)
         began = self.table.version() if self.table.exists() else None
+        buckets = self._buckets_for(began, new.count() if most is None else most)
         merged = new if began is None else self._merged(new)
         folder = self.table.new_folder()
-        target = self._registered(folder, merged.schema)
+        target = self._registered(folder, merged.schema, buckets)
         # one task per bucket writes one sorted file
-        (merged.repartition(self.buckets, KEY) if began is None else merged).write.insertInto(target)
-        self.table.replace(folder, merged.schema, began, (*(began.notes if began else ()), name))
+        as_dealt = began and buckets == (began.buckets or self.buckets)
+        (merged if as_dealt else merged.repartition(buckets, KEY)).write.insertInto(target)
+        self.table.replace(folder, merged.schema, began, (*(began.notes if began else ()), name), buckets)
         if began:  # the catalog forgets the older version, whose files stay
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(began.folders[0])}")
 

@@ -33,7 +33,7 @@ class Version:
     #: relative to the table's path
     folders: tuple[str, ...]
     schema: T.StructType
-    #: for tables dealt out by ``write_buckets``: how many buckets there are
+    #: for tables dealt out by key: how many buckets there are
     buckets: int = 0
     #: what the writer wants to know of the version
     notes: tuple[str, ...] = ()
@@ -105,7 +105,9 @@ class VersionedTable:
 
         return self._frame(self._commit(folders, schema))
 
-    def replace(self, folder: str, schema: T.StructType, began: Version | None, notes: Sequence[str] = ()) -> None:
+    def replace(
+        self, folder: str, schema: T.StructType, began: Version | None, notes: Sequence[str] = (), buckets: int = 0
+    ) -> None:
         """Publish a folder that was made from the version ``began``; fails if there is a newer one by now."""
 
         def folders(now: Version | None) -> list[str]:
@@ -113,7 +115,7 @@ class VersionedTable:
                 raise RuntimeError(f"{self.path} was changed by another run")
             return [folder]
 
-        self._commit(folders, schema, notes=notes)
+        self._commit(folders, schema, buckets, notes)
 
     def _commit(
         self,
